@@ -94,3 +94,123 @@ QUERIES: dict[str, Query] = {
     "gap_histogram": gap_histogram,
     "evaluation_gap_histogram": evaluation_gap_histogram,
 }
+
+
+# --- tasks -------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from evallens.operators import files as files_op  # noqa: E402
+from evallens.operators import links as links_op  # noqa: E402
+from evallens.operators import tasks as tasks_op  # noqa: E402
+from evallens.operators import verdicts as verdicts_op  # noqa: E402
+from evallens.schemas import TASK_JSON  # noqa: E402
+from evallens.session import scratch_path  # noqa: E402
+from evallens.sources import tasks as tasks_src  # noqa: E402
+
+
+def _tasks(spark, d):
+    return fx.tasks(spark, d).drop("conv_id")
+
+
+def tasks_flat(spark, d):
+    """S1 + S2 on JSON text: nested records -> JSON -> parse with the fixed schema -> flatten."""
+    nested = fx.nested_task_records(spark, d)
+    parsed = nested.select(tasks_src.parse_task_json(F.to_json(F.struct(*nested.columns))).alias("r")).select("r.*")
+    return tasks_src.flatten_tasks(parsed)
+
+
+def tasks_loaded(spark, d):
+    """S1-S4 through storage: JSON files -> scan -> flatten -> parquet table -> scan."""
+    json_dir = scratch_path(spark, "task-json")
+    fx.nested_task_records(spark, d).write.json(json_dir)
+    flat = tasks_src.flatten_tasks(tasks_src.read_task_json(spark, json_dir, multiline=False))
+    table_dir = scratch_path(spark, "tasks")
+    tasks_src.write_tasks(flat, table_dir)
+    return tasks_src.read_tasks(spark, table_dir, columns=tasks_src.TASK_COLUMNS)
+
+
+def tasks_latest(spark, d):
+    return tasks_op.latest_per_key(fx.task_loads(spark, d), "task_id", ("loaded_at",))
+
+
+def tasks_current_steps(spark, d):
+    return tasks_op.apply_step_updates(_tasks(spark, d), fx.step_changes(spark, d))
+
+
+def unmatched_step_updates(spark, d):
+    return tasks_op.unmatched_step_updates(_tasks(spark, d), fx.step_changes(spark, d))
+
+
+def rejected_step_changes(spark, d):
+    return tasks_op.rejected_step_changes(fx.step_changes(spark, d))
+
+
+def evaluations_valid(spark, d):
+    return verdicts_op.valid_verdicts(fx.verdicts(spark, d))
+
+
+def evaluations_rejected(spark, d):
+    return verdicts_op.rejected_verdicts(fx.verdicts(spark, d))
+
+
+# --- files and links -----------------------------------------------------------
+
+def _keys(spark, d):
+    return fx.object_keys(spark, d).select("file_name")
+
+
+def object_keys_split(spark, d):
+    urls = fx.table(spark, d, "pages", "url").select(F.col("url").alias("file_name"))
+    return files_op.split_keys(_keys(spark, d).unionByName(urls))
+
+
+def task_files(spark, d):
+    return files_op.files_by_task(_tasks(spark, d), _keys(spark, d))
+
+
+def task_file_counts(spark, d):
+    return files_op.file_counts(_tasks(spark, d), _keys(spark, d))
+
+
+def orphan_files(spark, d):
+    return files_op.orphan_files(_tasks(spark, d), _keys(spark, d))
+
+
+def _pages(spark, d):
+    return fx.table(spark, d, "pages", "page_id", "url", "html")
+
+
+def links_all(spark, d):
+    return links_op.harvest_links(_pages(spark, d))
+
+
+def links_filtered(spark, d):
+    return links_op.file_urls(links_op.harvest_links(_pages(spark, d)))
+
+
+# The harvest suffixes match no link of the test pages; these two keep 410.
+TEST_SUFFIXES = (".", "e")
+
+
+def links_filtered_e(spark, d):
+    return links_op.file_urls(links_op.harvest_links(_pages(spark, d)), suffixes=TEST_SUFFIXES)
+
+
+QUERIES.update({
+    "tasks_flat": tasks_flat,
+    "tasks_loaded": tasks_loaded,
+    "tasks_latest": tasks_latest,
+    "tasks_current_steps": tasks_current_steps,
+    "unmatched_step_updates": unmatched_step_updates,
+    "rejected_step_changes": rejected_step_changes,
+    "evaluations_valid": evaluations_valid,
+    "evaluations_rejected": evaluations_rejected,
+    "object_keys_split": object_keys_split,
+    "task_files": task_files,
+    "task_file_counts": task_file_counts,
+    "orphan_files": orphan_files,
+    "links_all": links_all,
+    "links_filtered": links_filtered,
+    "links_filtered_e": links_filtered_e,
+})

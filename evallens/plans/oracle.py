@@ -93,3 +93,121 @@ ORDER BY evaluation_timestamp NULLS LAST, evaluation_id""",
     "gap_histogram": "WITH" + _histogram(_gaps(EVENTS, "ts", "event_id")),
     "evaluation_gap_histogram": EV + "," + _histogram(_gaps("evaluations", "evaluation_timestamp", "evaluation_id")),
 }
+
+
+# --- tasks, verdicts, files, links -------------------------------------------------
+
+from evallens.functions.text import HAS_EXT_PATTERN, SPLIT_EXT_PATTERN, STRIP_PATTERN  # noqa: E402
+from evallens.operators.links import A_HREF_PATTERN, ENTITIES, LI_PATTERN, ORIGIN_PATTERN  # noqa: E402
+from evallens.schemas import HARVEST_SUFFIXES, SUPPORTED_EXTENSIONS  # noqa: E402
+
+
+def q(s: str) -> str:
+    """A SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {q(STRIP_PATTERN)}, '', 'g')"
+
+
+_TASKS_FLAT = """
+SELECT task_id, coalesce(question, '') AS question,
+       CAST(CASE WHEN conv_id % 4 <> 0 THEN level ELSE 0 END AS INTEGER) AS level,
+       task_id || '.txt' AS file_name,
+       coalesce(final_answer, '') AS final_answer,
+       coalesce(steps, '') AS steps,
+       CASE WHEN steps IS NOT NULL THEN number_of_steps ELSE '' END AS number_of_steps,
+       CASE WHEN steps IS NOT NULL AND conv_id % 2 = 0 THEN number_of_steps || ' minutes' ELSE '' END AS how_long,
+       CASE WHEN steps IS NOT NULL THEN 'none' ELSE '' END AS tools,
+       CASE WHEN steps IS NOT NULL THEN number_of_tools ELSE '' END AS number_of_tools
+FROM tasks"""
+
+_VALID_CHANGES = f"""
+  valid AS (SELECT * FROM step_changes WHERE {strip_sql('steps')} <> '')"""
+
+_SPLIT = f"""
+  SELECT file_name,
+         CASE WHEN regexp_matches(file_name, {q(HAS_EXT_PATTERN)})
+              THEN regexp_extract(file_name, {q(SPLIT_EXT_PATTERN)}, 1) ELSE file_name END AS file_base_name,
+         lower(CASE WHEN regexp_matches(file_name, {q(HAS_EXT_PATTERN)})
+              THEN regexp_extract(file_name, {q(SPLIT_EXT_PATTERN)}, 2) ELSE '' END) AS file_ext
+  FROM {{src}}"""
+
+
+def _split(src: str) -> str:
+    exts = ", ".join(q(e) for e in SUPPORTED_EXTENSIONS)
+    return f"SELECT *, file_ext IN ({exts}) AS supported FROM ({_SPLIT.format(src=src)})"
+
+
+def _unescape(x: str) -> str:
+    for ent, ch in ENTITIES:
+        x = f"replace({x}, {q(ent)}, {q(ch)})"
+    return x
+
+
+_LINKS = f"""
+  li AS (SELECT page_id, url, regexp_extract_all(html, {q(LI_PATTERN)}, 1) AS items FROM pages),
+  li1 AS (SELECT page_id, url, unnest(items) AS li, generate_subscripts(items, 1) AS li_pos FROM li),
+  a AS (SELECT page_id, url, li_pos, regexp_extract(li, {q(A_HREF_PATTERN)}, 1) AS raw FROM li1),
+  links AS (
+    SELECT page_id, url AS page_url, CAST(li_pos AS INTEGER) AS li_pos,
+           {_unescape("CASE WHEN starts_with(raw, '\"') OR starts_with(raw, '''') THEN substring(raw, 2, length(raw) - 2) ELSE raw END")} AS href
+    FROM a WHERE raw <> '')"""
+
+
+def _file_urls(suffixes) -> str:
+    ends = " OR ".join(f"ends_with(href, {q(s)})" for s in suffixes)
+    return f"""WITH {_LINKS},
+  f AS (SELECT *, replace(CASE WHEN starts_with(href, '/')
+                    THEN regexp_extract(page_url, {q(ORIGIN_PATTERN)}, 1) || href ELSE href END,
+                    '/blob/', '/resolve/') AS url
+        FROM links WHERE href <> '' AND ({ends}))
+SELECT *, string_split(url, '/')[-1] AS key FROM f"""
+
+
+ORACLE.update({
+    "tasks_flat": "WITH" + fx.TASKS_SQL + _TASKS_FLAT,
+    "tasks_loaded": "WITH" + fx.TASKS_SQL + _TASKS_FLAT,
+    "tasks_latest": "WITH" + fx.TASK_LOADS_SQL + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY loaded_at DESC) AS rn FROM task_loads)
+WHERE rn = 1""",
+    "tasks_current_steps": "WITH" + fx.STEP_CHANGES_SQL + "," + _VALID_CHANGES + """,
+  latest AS (SELECT task_id, steps AS new_steps, changed_at FROM (
+      SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY changed_at DESC, seq DESC) AS rn FROM valid)
+    WHERE rn = 1)
+SELECT t.task_id, t.question, t.level, t.file_name, t.final_answer, coalesce(l.new_steps, t.steps) AS steps,
+       t.number_of_steps, t.how_long, t.tools, t.number_of_tools, l.changed_at AS steps_changed_at
+FROM tasks t LEFT JOIN latest l ON l.task_id = t.task_id""",
+    "unmatched_step_updates": "WITH" + fx.STEP_CHANGES_SQL + "," + _VALID_CHANGES + """
+SELECT * FROM valid WHERE task_id NOT IN (SELECT task_id FROM tasks)""",
+    "rejected_step_changes": "WITH" + fx.STEP_CHANGES_SQL + f"""
+SELECT * FROM step_changes WHERE NOT coalesce({strip_sql('steps')} <> '', false)""",
+    "evaluations_valid": "WITH" + fx.VERDICTS_SQL + f""",
+  c AS (SELECT *, coalesce(is_correct, false) AS ok, {strip_sql('user_feedback')} AS stripped FROM verdicts)
+SELECT evaluation_id, task_id, ok AS is_correct, CASE WHEN ok THEN NULL ELSE stripped END AS user_feedback,
+       evaluation_timestamp
+FROM c WHERE NOT coalesce((ok AND user_feedback IS NOT NULL) OR (NOT ok AND (user_feedback IS NULL OR stripped = '')), false)""",
+    "evaluations_rejected": "WITH" + fx.VERDICTS_SQL + f""",
+  c AS (SELECT *, coalesce(is_correct, false) AS ok, {strip_sql('user_feedback')} AS stripped FROM verdicts)
+SELECT evaluation_id, task_id, ok AS is_correct, user_feedback, evaluation_timestamp,
+       CASE WHEN ok AND user_feedback IS NOT NULL THEN 'feedback_on_correct' ELSE 'empty_feedback' END AS reason
+FROM c WHERE coalesce((ok AND user_feedback IS NOT NULL) OR (NOT ok AND (user_feedback IS NULL OR stripped = '')), false)""",
+    "object_keys_split": "WITH" + fx.OBJECT_KEYS_SQL + """,
+  keys AS (SELECT file_name FROM object_keys UNION ALL SELECT url FROM pages)
+""" + _split("keys"),
+    "task_files": "WITH" + fx.OBJECT_KEYS_SQL + f""",
+  k AS ({_split("object_keys")})
+SELECT t.task_id, k.file_name, k.file_ext, k.supported FROM tasks t LEFT JOIN k ON k.file_base_name = t.task_id""",
+    "task_file_counts": "WITH" + fx.OBJECT_KEYS_SQL + f""",
+  k AS ({_split("object_keys")})
+SELECT t.task_id, count(k.file_name) AS n_files FROM tasks t LEFT JOIN k ON k.file_base_name = t.task_id
+GROUP BY t.task_id""",
+    "orphan_files": "WITH" + fx.OBJECT_KEYS_SQL + f""",
+  k AS ({_split("object_keys")})
+SELECT * FROM k WHERE file_base_name NOT IN (SELECT task_id FROM tasks)""",
+    "links_all": f"WITH {_LINKS}\nSELECT * FROM links",
+    "links_filtered": _file_urls(HARVEST_SUFFIXES),
+    "links_filtered_e": _file_urls((".", "e")),
+})
