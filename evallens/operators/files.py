@@ -42,3 +42,11 @@ def orphan_files(tasks: DataFrame, files: DataFrame) -> DataFrame:
     """Files whose base name matches no task (dropped silently by the reference)."""
     f = split_keys(files) if "file_base_name" not in files.columns else files
     return f.join(tasks.select(F.col("task_id").alias("file_base_name")), "file_base_name", "left_anti")
+
+
+def wanted_files(tasks: DataFrame, files: DataFrame, key: str = "key") -> DataFrame:
+    """Files of known tasks with a supported extension: joined on key names
+    before any content is extracted (semi join; the task side is only ids)."""
+    f = files.withColumn("_base", splitext_base(F.col(key)))
+    f = f.where(splitext_ext(F.col(key)).isin(list(SUPPORTED_EXTENSIONS)))
+    return f.join(tasks.select(F.col("task_id").alias("_base")), "_base", "left_semi").drop("_base")

@@ -214,3 +214,61 @@ QUERIES.update({
     "links_filtered": links_filtered,
     "links_filtered_e": links_filtered_e,
 })
+
+
+# --- extraction, prompts, completions ----------------------------------------------
+
+import hashlib  # noqa: E402
+
+from evallens.operators import extract as extract_op  # noqa: E402
+from evallens.operators import prompts as prompts_op  # noqa: E402
+
+
+def extract_plain(spark, d):
+    return extract_op.extract_text(fx.file_bytes(spark, d)).select("key", "ext", "text", "status")
+
+
+def extract_csv(spark, d):
+    n = spark.sparkContext.defaultParallelism
+    return extract_op.extract_text(fx.csv_files(spark, d), parallelism=n).select("key", "ext", "text", "status")
+
+
+def extract_zip(spark, d):
+    return extract_op.extract_text(fx.zip_files(spark, d)).select("key", "ext", "text", "status")
+
+
+def _prompts(spark, d, tasks=None):
+    tasks = tasks if tasks is not None else _tasks(spark, d)
+    files = files_op.wanted_files(tasks, fx.object_bytes(spark, d))
+    return prompts_op.build_prompts(tasks, extract_op.extract_text(files))
+
+
+def prompts(spark, d):
+    return _prompts(spark, d)
+
+
+def answer_fingerprint(prompt: str) -> str:
+    """Deterministic stand-in for the chat service: reads the whole prompt."""
+    return f"{len(prompt)}:{hashlib.sha256(prompt.encode('utf-8')).hexdigest()}"
+
+
+def completions(spark, d):
+    return prompts_op.complete(_prompts(spark, d), answer_fingerprint)
+
+
+def rerun_completions(spark, d):
+    """M2: after steps edits, only prompts whose text changed are scored again."""
+    before = _prompts(spark, d).withColumn("prompt_id", prompts_op.prompt_id(F.col("prompt")))
+    edited = tasks_op.apply_step_updates(_tasks(spark, d), fx.step_changes(spark, d))
+    after = _prompts(spark, d, edited)
+    return prompts_op.complete(prompts_op.changed_prompts(after, before), answer_fingerprint)
+
+
+QUERIES.update({
+    "extract_plain": extract_plain,
+    "extract_csv": extract_csv,
+    "extract_zip": extract_zip,
+    "prompts": prompts,
+    "completions": completions,
+    "rerun_completions": rerun_completions,
+})

@@ -171,7 +171,7 @@ def step_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(change(4, F.concat(F.lit("unknown-"), tid), F.lit("orphan change"), m == 2)))
 
 
-STEP_CHANGES_SQL = TASKS_SQL + """,
+STEP_CHANGES_CTE = """
 step_changes AS (
   SELECT task_id, 'Step 1: revise the answer for task ' || task_id AS steps,
          TIMESTAMP '2024-02-01 00:00:00' + to_minutes(CAST(conv_id AS BIGINT)) + INTERVAL 1 DAY AS changed_at, CAST(1 AS BIGINT) AS seq
@@ -189,6 +189,8 @@ step_changes AS (
          TIMESTAMP '2024-02-01 00:00:00' + to_minutes(CAST(conv_id AS BIGINT)) + INTERVAL 4 DAY, 4
   FROM tasks WHERE conv_id % 4 = 2
 )"""
+STEP_CHANGES_SQL = TASKS_SQL + "," + STEP_CHANGES_CTE
+
 
 
 # --- object keys: files attached to tasks ----------------------------------------
@@ -233,3 +235,62 @@ def file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("doc_id").cast("string"), ext).alias("key"),
         F.encode(F.col("text"), "UTF-8").alias("content"),
     )
+
+
+# --- CSV files: one per order, its line items ----------------------------------------
+
+CSV_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`{orderkey}.csv` with a header and the order's lines in line-number order (ties by text)."""
+    li = table(spark, sf_dir, "lineitem", *CSV_COLUMNS)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in CSV_COLUMNS])
+    body = F.expr("listagg(_line, '\n') WITHIN GROUP (ORDER BY l_linenumber, _line)")
+    per_order = li.withColumn("_line", line).groupBy("l_orderkey").agg(body.alias("_body"))
+    return per_order.select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit(".csv")).alias("key"),
+        F.encode(F.concat(F.lit(",".join(CSV_COLUMNS) + "\n"), F.col("_body"), F.lit("\n")), "UTF-8").alias("content"),
+    )
+
+
+CSV_FILES_SQL = """
+csv_lines AS (
+  SELECT l_orderkey, l_linenumber,
+         concat_ws(',', """ + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in CSV_COLUMNS) + """) AS line
+  FROM lineitem)"""
+
+
+# --- ZIP archives: one per conversation ------------------------------------------------
+
+def _zip_batch(batches):
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    for pdf in batches:
+        keys, blobs = [], []
+        for conv_id, turns in zip(pdf["conv_id"], pdf["turns"]):
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+                for t in turns:
+                    zf.writestr(f"conv{conv_id}/turn{t['turn']}.txt", (t["text"] or "").encode("utf-8"))
+                zf.writestr(f"conv{conv_id}/meta.json", b"{}")
+                zf.writestr(f"conv{conv_id}/raw.bin", b"\x00\x01")
+                if conv_id % 2 == 0 and len(turns):
+                    inner = io.BytesIO()
+                    with zipfile.ZipFile(inner, "w") as iz:
+                        iz.writestr("first.txt", (turns[0]["text"] or "").encode("utf-8"))
+                    zf.writestr(f"conv{conv_id}/inner.zip", inner.getvalue())
+            keys.append(f"conv{conv_id}.zip")
+            blobs.append(buf.getvalue())
+        yield pd.DataFrame({"key": keys, "content": blobs})
+
+
+def zip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`conv{id}.zip`: every turn as `turn{n}.txt`, a `.json`, a `.bin`, and for even
+    ids a nested `inner.zip` holding the first turn."""
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    per_conv = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("turns"))
+    return per_conv.mapInPandas(_zip_batch, "key string, content binary")

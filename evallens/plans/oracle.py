@@ -211,3 +211,94 @@ SELECT * FROM k WHERE file_base_name NOT IN (SELECT task_id FROM tasks)""",
     "links_filtered": _file_urls(HARVEST_SUFFIXES),
     "links_filtered_e": _file_urls((".", "e")),
 })
+
+
+# --- extraction, prompts, completions ----------------------------------------------
+
+from evallens.plans.fixtures import CSV_COLUMNS  # noqa: E402
+
+
+def _nl(x: str) -> str:
+    return f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')"
+
+
+_PLAIN = """WITH f AS (
+  SELECT CAST(doc_id AS VARCHAR) || ['.txt', '.py', '.pdb', '.json'][CAST(doc_id % 4 + 1 AS INTEGER)] AS key, text
+  FROM documents),
+  e AS (SELECT key, lower(regexp_extract(key, '(\\.[^./]*)$', 1)) AS ext, text FROM f)
+SELECT key, ext,
+       CASE WHEN ext IN ('.txt', '.py', '.pdb') THEN """ + _nl("text") + """
+            ELSE 'Unsupported file type: ' || ext END AS text,
+       CASE WHEN ext IN ('.txt', '.py', '.pdb') THEN 'ok' ELSE 'unsupported' END AS status
+FROM e"""
+
+_CSV = "WITH" + fx.CSV_FILES_SQL + f"""
+SELECT CAST(l_orderkey AS VARCHAR) || '.csv' AS key, '.csv' AS ext,
+       {q(",".join(CSV_COLUMNS))} || chr(10) || string_agg(line, chr(10) ORDER BY l_linenumber, line) || chr(10) AS text,
+       'ok' AS status
+FROM csv_lines GROUP BY l_orderkey"""
+
+_ZIP = f"""WITH c AS (SELECT conv_id, turn, text FROM conversations),
+  m AS (
+    SELECT conv_id, 'conv' || conv_id || '/turn' || turn || '.txt' AS path,
+           'Extracted from turn' || turn || '.txt:' || chr(10) || {_nl("coalesce(text, '')")} || chr(10) AS chunk
+    FROM c
+    UNION ALL SELECT DISTINCT conv_id, 'conv' || conv_id || '/meta.json',
+           'Extracted from meta.json:' || chr(10) || 'Unsupported file type: .json' || chr(10) FROM c
+    UNION ALL SELECT DISTINCT conv_id, 'conv' || conv_id || '/raw.bin', 'Skipped unsupported file: raw.bin' || chr(10) FROM c
+    UNION ALL SELECT conv_id, 'conv' || conv_id || '/inner.zip',
+           'Extracted from inner.zip:' || chr(10) || 'Extracted from first.txt:' || chr(10)
+           || {_nl("coalesce(first_text, '')")} || chr(10) || chr(10)
+    FROM (SELECT conv_id, arg_min(text, turn) AS first_text FROM c GROUP BY conv_id) WHERE conv_id % 2 = 0)
+SELECT 'conv' || conv_id || '.zip' AS key, '.zip' AS ext, string_agg(chunk, '' ORDER BY path) AS text, 'ok' AS status
+FROM m GROUP BY conv_id"""
+
+
+def _prompts_sql(tasks_cte: str) -> str:
+    """Prompts over `tasks_cte` (a CTE with task_id, question, steps) as CTE `pr_<tasks_cte>`."""
+    n = tasks_cte
+    return f""",
+  ob_{n} AS (SELECT k.file_name AS key, coalesce(d.text, '') AS text
+         FROM object_keys k LEFT JOIN (SELECT doc_id, text FROM documents) d ON d.doc_id = k.conv_id),
+  sp_{n} AS (SELECT s.*, o.text FROM ({_SPLIT.format(src=f"ob_{n}").replace("file_name", "key")}) s
+             JOIN ob_{n} o USING (key)),
+  ex_{n} AS (SELECT file_base_name AS task_id, key,
+                CASE WHEN file_ext = '.txt' THEN {_nl("text")}
+                     ELSE 'No decoder for file type: ' || file_ext END AS text
+         FROM sp_{n} WHERE file_ext IN ('.txt', '.pdf') AND file_base_name IN (SELECT task_id FROM {n})),
+  tt_{n} AS (SELECT task_id, string_agg('Extracted Text from ' || key || ':' || chr(10) || text || chr(10), '' ORDER BY key)
+                AS extracted_text FROM ex_{n} GROUP BY task_id),
+  pr_{n} AS (
+    SELECT t.task_id,
+           'Steps:' || chr(10) || coalesce(t.steps, '') || chr(10) || chr(10) || 'Question:' || chr(10)
+           || coalesce(t.question, '') || chr(10)
+           || CASE WHEN coalesce(tt.extracted_text, '') <> '' THEN chr(10) || 'Extracted Text:' || chr(10) || tt.extracted_text
+                   ELSE '' END AS prompt
+    FROM {n} t LEFT JOIN tt_{n} tt ON tt.task_id = t.task_id)"""
+
+
+_FP = "CAST(length(prompt) AS VARCHAR) || ':' || sha256(prompt)"
+
+_EDITED = """,
+  valid AS (SELECT * FROM step_changes WHERE """ + strip_sql("steps") + """ <> ''),
+  latest AS (SELECT task_id, steps AS new_steps FROM (
+      SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY changed_at DESC, seq DESC) AS rn FROM valid)
+    WHERE rn = 1),
+  edited AS (SELECT t.task_id, t.question, coalesce(l.new_steps, t.steps) AS steps
+             FROM tasks t LEFT JOIN latest l ON l.task_id = t.task_id)"""
+
+ORACLE.update({
+    "extract_plain": _PLAIN,
+    "extract_csv": _CSV,
+    "extract_zip": _ZIP,
+    "prompts": "WITH" + fx.OBJECT_KEYS_SQL + _prompts_sql("tasks") + "\nSELECT * FROM pr_tasks",
+    "completions": "WITH" + fx.OBJECT_KEYS_SQL + _prompts_sql("tasks") + f"""
+SELECT sha256(prompt) AS prompt_id, task_id, {_FP} AS response, CAST(NULL AS VARCHAR) AS error,
+       CAST(1 AS INTEGER) AS attempts
+FROM pr_tasks""",
+    "rerun_completions": "WITH" + fx.OBJECT_KEYS_SQL + "," + fx.STEP_CHANGES_CTE + _EDITED
+                         + _prompts_sql("tasks") + _prompts_sql("edited") + f"""
+SELECT sha256(prompt) AS prompt_id, task_id, {_FP} AS response, CAST(NULL AS VARCHAR) AS error,
+       CAST(1 AS INTEGER) AS attempts
+FROM pr_edited WHERE sha256(prompt) NOT IN (SELECT sha256(prompt) FROM pr_tasks)""",
+})
