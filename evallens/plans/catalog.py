@@ -272,3 +272,82 @@ QUERIES.update({
     "completions": completions,
     "rerun_completions": rerun_completions,
 })
+
+
+# --- object store and streaming ---------------------------------------------------
+
+from evallens.session import shared_dir  # noqa: E402,F401
+from evallens.sources import objects as objects_src  # noqa: E402
+from evallens.streaming import ingest as ingest_st  # noqa: E402
+
+# Files written by Spark's text writer, one directory per key: key=<name>/part-*.txt
+KEY_DIR_PATTERN = r"/key=([^/]+)/[^/]*$"
+
+
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _stored_documents(spark, d):
+    """Documents written as files, one per key (the text writer adds a final newline).
+
+    Written once per application and input folder, then reused.
+    """
+    k = (spark.sparkContext.applicationId, d)
+    if k in _STORES:
+        return _STORES[k]
+    store = scratch_path(spark, "store")
+    docs = fx.file_bytes(spark, d).select("key", F.col("content").cast("string").alias("value"))
+    docs.write.partitionBy("key").text(store)
+    _STORES[k] = store
+    return store
+
+
+def object_listing(spark, d):
+    """S8 over a store derived from `documents`."""
+    store = _stored_documents(spark, d)
+    return objects_src.list_objects(spark, store, key_pattern=KEY_DIR_PATTERN).select("key", "length")
+
+
+def objects_landed(spark, d):
+    """S8 + S9 + S11 + extraction: store -> landed table (by ext) -> text."""
+    store = _stored_documents(spark, d)
+    out = scratch_path(spark, "landed")
+    objects_src.land_objects(spark, store, out, key_pattern=KEY_DIR_PATTERN)
+    landed = objects_src.read_landed(spark, out)
+    return extract_op.extract_text(landed).select("key", "ext", "text", "status")
+
+
+def _evaluation_files(spark, d):
+    """The evaluations written as files twice over: all rows, then the incorrect ones again."""
+    src = scratch_path(spark, "eval-in")
+    ev = fx.evaluations(spark, d)
+    ev.write.parquet(f"{src}/part1")
+    ev.where(~F.col("is_correct")).write.parquet(f"{src}/part2")
+    return src
+
+
+def ingest_stream_result(spark, d):
+    """Duplicates removed by the streaming ingest."""
+    src = _evaluation_files(spark, d)
+    sink = scratch_path(spark, "eval-sink")
+    q = ingest_st.ingest_evaluations(spark, f"{src}/*", sink, scratch_path(spark, "ckpt"))
+    q.awaitTermination()
+    return spark.read.schema(ingest_st.EVALUATIONS).parquet(sink)
+
+
+def live_summary_result(spark, d):
+    """The streaming summary over the ingested table."""
+    src = _evaluation_files(spark, d)
+    sink = scratch_path(spark, "eval-sink")
+    ingest_st.ingest_evaluations(spark, f"{src}/*", sink, scratch_path(spark, "ckpt")).awaitTermination()
+    out = scratch_path(spark, "summary")
+    ingest_st.live_summary(spark, sink, out, scratch_path(spark, "ckpt")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+QUERIES.update({
+    "object_listing": object_listing,
+    "objects_landed": objects_landed,
+    "ingest_stream_result": ingest_stream_result,
+    "live_summary_result": live_summary_result,
+})

@@ -302,3 +302,17 @@ SELECT sha256(prompt) AS prompt_id, task_id, {_FP} AS response, CAST(NULL AS VAR
        CAST(1 AS INTEGER) AS attempts
 FROM pr_edited WHERE sha256(prompt) NOT IN (SELECT sha256(prompt) FROM pr_tasks)""",
 })
+
+
+# --- object store and streaming ---------------------------------------------------
+
+_DOC_KEYS = """WITH f AS (
+  SELECT CAST(doc_id AS VARCHAR) || ['.txt', '.py', '.pdb', '.json'][CAST(doc_id % 4 + 1 AS INTEGER)] AS key, text
+  FROM documents)"""
+
+ORACLE.update({
+    "object_listing": _DOC_KEYS + "\nSELECT key, CAST(strlen(text) + 1 AS BIGINT) AS length FROM f",
+    "objects_landed": _PLAIN.replace("AS key, text\n  FROM documents", "AS key, text || chr(10) AS text\n  FROM documents"),
+    "ingest_stream_result": EV + "\nSELECT * FROM evaluations",
+    "live_summary_result": EV + _summary("evaluations"),
+})
