@@ -19,6 +19,7 @@ hour holds a large share of the rows.
 
 from __future__ import annotations
 
+import datetime
 import functools
 import operator
 
@@ -37,12 +38,18 @@ def micros(ts) -> F.Column:
 def _quantile_bucket(known: DataFrame, ts: str, buckets: int) -> F.Column:
     # `buckets - 1` cut points: a bounded list, whatever the row count.
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = known.select(micros(F.col(ts)).cast("double").alias("_m")).approxQuantile("_m", probs, 0.001)
-    cuts = sorted(set(c for c in cuts if c is not None))
+    cuts = known.select(micros(F.col(ts)).cast("double").alias("_m")).approxQuantile("_m", probs, 0.01)
+    cuts = sorted(set(int(c) for c in cuts if c is not None))
     if not cuts:
         return F.lit(0)
-    m = micros(F.col(ts))
-    return functools.reduce(operator.add, [(m >= F.lit(int(c))).cast("int") for c in cuts])
+    # Compare the zone-less times with zone-less literals: plain long comparisons.
+    t = F.col(ts)
+    return functools.reduce(operator.add, [(t >= _ntz_literal(c)).cast("int") for c in cuts])
+
+
+def _ntz_literal(us: int) -> F.Column:
+    d = datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=us)
+    return F.expr(f"TIMESTAMP_NTZ '{d.isoformat(sep=' ')}'")
 
 
 def _grain_bucket(ts: str, grain: str) -> F.Column:

@@ -44,6 +44,16 @@ def distribution(evals: DataFrame) -> DataFrame:
         F.expr("stack(2, 'Correct', correct_answers, 'Incorrect', incorrect_answers) AS (outcome, n)"))
 
 
+# Position of a token: (row id, index in the row) packed into one exact
+# decimal, id * 2^31 + index, so `min` runs in a hash aggregate (a struct
+# would force a sort-based aggregate over every token).
+_POS_SPAN = 2 ** 31
+
+
+def first_position(row_id, pos) -> F.Column:
+    return row_id.cast("decimal(38,0)") * F.lit(_POS_SPAN).cast("decimal(38,0)") + pos.cast("decimal(38,0)")
+
+
 def word_counts(df: DataFrame, text_col: str = "user_feedback", id_col: str = "evaluation_id",
                 stopwords=STOPWORDS) -> DataFrame:
     """Frequency of each non-stop-word, with its first occurrence.
@@ -60,7 +70,7 @@ def word_counts(df: DataFrame, text_col: str = "user_feedback", id_col: str = "e
         toks = toks.where(~F.col("word").isin(list(stopwords)))
     return toks.groupBy("word").agg(
         F.count(F.lit(1)).alias("frequency"),
-        F.min(F.struct("_id", "_pos")).alias("first"),
+        F.min(first_position(F.col("_id"), F.col("_pos"))).alias("first"),
     )
 
 

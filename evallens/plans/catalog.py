@@ -297,6 +297,8 @@ def _stored_documents(spark, d):
         return _STORES[k]
     store = scratch_path(spark, "store")
     docs = fx.file_bytes(spark, d).select("key", F.col("content").cast("string").alias("value"))
+    # One file per key: spread keys over parallel writer tasks.
+    docs = docs.repartition(4 * spark.sparkContext.defaultParallelism, "key")
     docs.write.partitionBy("key").text(store)
     _STORES[k] = store
     return store

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Listing many small folders: a few listing tasks, not one task per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
