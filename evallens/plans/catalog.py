@@ -353,3 +353,11 @@ QUERIES.update({
     "ingest_stream_result": ingest_stream_result,
     "live_summary_result": live_summary_result,
 })
+
+
+def links_parsed(spark, d):
+    """S10 through an HTML parser (exact tree semantics)."""
+    return links_op.harvest_links_parsed(_pages(spark, d))
+
+
+QUERIES["links_parsed"] = links_parsed

@@ -61,3 +61,13 @@ def compare(df, con, sql: str):
         diff = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
         problems.append(f"values differ, e.g. {diff}")
     return problems, len(sr)
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "binary": "BLOB"}
+
+
+def type_problems(df, con, sql: str):
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    dt = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}

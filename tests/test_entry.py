@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from compare import compare, duck
+from compare import compare, duck, type_problems
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,5 +26,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    problems, _ = compare(E.queries()[name](spark, SF), con, E.oracle_sql()[name])
+    df = E.queries()[name](spark, SF)
+    assert not type_problems(df, con, E.oracle_sql()[name])
+    problems, _ = compare(df, con, E.oracle_sql()[name])
     assert not problems, problems

@@ -105,3 +105,15 @@ def test_verdicts(spark):
     assert ok == {3: "x", 4: None}
     bad = {r.evaluation_id: (r.reason, r.user_feedback) for r in verdicts_op.rejected_verdicts(v).collect()}
     assert bad == {1: ("feedback_on_correct", "extra"), 2: ("empty_feedback", "  \t"), 5: ("empty_feedback", None)}
+
+
+def test_links_parser_nested_and_bare_href(spark):
+    html = ('<ul><li>outer<ul><li><a href="/in.pdf">x</a></li></ul></li>'
+            '<li><a href>bare</a><a href="/later.txt">l</a></li><li><br/><a href="/q?a=1&amp;b=2">e</a></li></ul>')
+    assert links_op.li_first_links(html) == [(1, "/in.pdf"), (2, "/in.pdf"), (3, ""), (4, "/q?a=1&b=2")]
+    pages = spark.createDataFrame([(7, "https://h.example/p", html)], "page_id long, url string, html string")
+    got = [(r.li_pos, r.href) for r in links_op.harvest_links_parsed(pages).orderBy("li_pos").collect()]
+    assert got == [(1, "/in.pdf"), (2, "/in.pdf"), (4, "/q?a=1&b=2")]
+    # the regex form reads the first closing tag: the nested item is folded into the outer one
+    regex = [(r.li_pos, r.href) for r in links_op.harvest_links(pages).orderBy("li_pos").collect()]
+    assert regex[0] == (1, "/in.pdf")
