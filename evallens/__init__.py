@@ -4,4 +4,15 @@ Every public function takes DataFrames (or column expressions) and returns a
 DataFrame; none starts a session or collects data to the driver.
 """
 
+import sys as _sys
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers (mapInPandas bodies and the helpers they
+# call) are shipped by value, so executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older pyspark: install the package on executors
+    pass
