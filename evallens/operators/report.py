@@ -38,6 +38,14 @@ def format_pct(pct) -> F.Column:
     return F.format_string("%.2f%%", pct)
 
 
+def summary_display(evals: DataFrame) -> DataFrame:
+    """The three metric tiles: counts with their rates as text."""
+    return summary(evals).select(
+        "total_evaluations", "correct_answers", "incorrect_answers",
+        format_pct(F.col("correct_pct")).alias("correct_rate"),
+        format_pct(F.col("incorrect_pct")).alias("incorrect_rate"))
+
+
 def distribution(evals: DataFrame) -> DataFrame:
     """A5: always both classes, zero included (a plain groupBy would drop one)."""
     return summary(evals).select(
@@ -97,6 +105,22 @@ def detail(evals: DataFrame) -> DataFrame:
                  .orderBy(F.col("evaluation_timestamp").asc_nulls_last(), F.col("evaluation_id")))
 
 
+def evaluation_report(evals: DataFrame, k: int = TOP_WORDS_K, max_bins: int = 30,
+                      grain: str | None = None) -> dict[str, DataFrame]:
+    """Job D in one call: every block of the report as a lazy DataFrame."""
+    from evallens.operators import gaps
+
+    g = gaps.time_gaps(evals, grain=grain)
+    return {
+        "summary": summary(evals),
+        "distribution": distribution(evals),
+        "top_words": top_words(evals, k=k),
+        "mean_gap": gaps.mean_gap(evals),
+        "histogram": gaps.histogram(g, max_bins=max_bins),
+        "detail": detail(evals),
+    }
+
+
 def first_row(df: DataFrame, order_by: str) -> DataFrame:
     """S12 `SELECT TOP 1 *`, made deterministic by an order key."""
     return df.orderBy(F.col(order_by).asc_nulls_last()).limit(1)

@@ -25,6 +25,18 @@ def latest_per_key(df: DataFrame, key: str = "task_id", order: tuple[str, ...] =
     return df.groupBy(key).agg(best).select(key, "_row.*")
 
 
+def pick_tasks(tasks: DataFrame, ids) -> DataFrame:
+    """The tasks with the chosen ids; an empty choice selects nothing.
+
+    A short list of ids becomes an `IN` filter that reaches the parquet scan;
+    a DataFrame of ids (any size) is a semi join.
+    """
+    if isinstance(ids, DataFrame):
+        return tasks.join(ids.select(F.col(ids.columns[0]).alias("task_id")).distinct(), "task_id", "left_semi")
+    chosen = [i for i in ([ids] if isinstance(ids, str) else list(ids or [])) if i]
+    return tasks.where(F.col("task_id").isin(chosen)) if chosen else tasks.limit(0)
+
+
 def valid_step_changes(changes: DataFrame) -> DataFrame:
     """P10: an edit whose steps are blank after `strip()` is refused.
 

@@ -361,3 +361,15 @@ def links_parsed(spark, d):
 
 
 QUERIES["links_parsed"] = links_parsed
+
+
+def summary_display(spark, d):
+    return report.summary_display(fx.evaluations(spark, d))
+
+
+def evaluated_tasks(spark, d):
+    """P7 at scale: the tasks named by the evaluations (a set of ids, semi join)."""
+    return tasks_op.pick_tasks(_tasks(spark, d), fx.evaluations(spark, d).select("task_id"))
+
+
+QUERIES.update({"summary_display": summary_display, "evaluated_tasks": evaluated_tasks})

@@ -319,3 +319,9 @@ ORACLE.update({
 
 # The test pages have no nested lists, where the parser and the regex agree.
 ORACLE["links_parsed"] = ORACLE["links_all"]
+
+ORACLE["summary_display"] = EV + """, s AS (""" + _summary("evaluations") + """)
+SELECT total_evaluations, correct_answers, incorrect_answers,
+       printf('%.2f%%', correct_pct) AS correct_rate, printf('%.2f%%', incorrect_pct) AS incorrect_rate FROM s"""
+ORACLE["evaluated_tasks"] = "WITH" + fx.TASKS_SQL + "," + fx.EVALUATIONS_SQL + """
+SELECT * EXCLUDE (conv_id) FROM tasks WHERE task_id IN (SELECT task_id FROM evaluations)"""

@@ -57,12 +57,26 @@ def flatten_tasks(nested: DataFrame) -> DataFrame:
     )
 
 
-def write_tasks(tasks: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
-    """S3: one job commit for the whole load (the reference commits once at the end)."""
-    tasks.select(*TASK_COLUMNS).write.mode(mode).format(fmt).save(path)
+def write_tasks(tasks: DataFrame, path: str | None, mode: str = "append", fmt: str = "parquet",
+                options: dict | None = None) -> None:
+    """S3: one job commit for the whole load (the reference commits once at the end).
+
+    For a database pass `fmt="jdbc"`, `path=None` and the JDBC options
+    (`url`, `dbtable`, ...).
+    """
+    w = tasks.select(*TASK_COLUMNS).write.mode(mode).format(fmt).options(**(options or {}))
+    w.save(path) if path is not None else w.save()
 
 
-def read_tasks(spark: SparkSession, path: str, fmt: str = "parquet", columns=None) -> DataFrame:
-    """Scan stored tasks; only the needed columns reach the reader."""
-    df = spark.read.format(fmt).schema(TASKS).load(path)
+def read_tasks(spark: SparkSession, path: str | None, fmt: str = "parquet", columns=None,
+               options: dict | None = None) -> DataFrame:
+    """Scan stored tasks; only the needed columns reach the reader.
+
+    With `fmt="jdbc"`, give `partitionColumn`, `lowerBound`, `upperBound` and
+    `numPartitions` in `options` so the table is read by many tasks.
+    """
+    r = spark.read.format(fmt).options(**(options or {}))
+    if fmt != "jdbc":
+        r = r.schema(TASKS)
+    df = r.load(path) if path is not None else r.load()
     return df.select(*(columns or READ_COLUMNS))

@@ -128,3 +128,14 @@ def test_histogram_counts_sum_and_width(spark):
     assert sum(r.n for r in rows) == len(vals)
     assert {r.bin_end - r.bin_start for r in rows} == {5.0}  # 61/30 -> 2.03 -> 5
     assert len(rows) <= 31
+
+
+def test_evaluation_report_bundle(spark):
+    df = evals(spark, [(i, str(i), i % 3 != 0, None if i % 3 else "bad units", T0 + dt.timedelta(minutes=7 * i))
+                       for i in range(12)])
+    rep = report.evaluation_report(df, grain="day")
+    assert set(rep) == {"summary", "distribution", "top_words", "mean_gap", "histogram", "detail"}
+    assert rep["summary"].collect()[0].total_evaluations == 12
+    assert abs(rep["mean_gap"].collect()[0].mean_gap_minutes - 7.0) < 1e-12
+    assert sum(r.n for r in rep["histogram"].collect()) == 11
+    assert report.summary_display(df).collect()[0].correct_rate == "66.67%"

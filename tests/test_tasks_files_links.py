@@ -117,3 +117,29 @@ def test_links_parser_nested_and_bare_href(spark):
     # the regex form reads the first closing tag: the nested item is folded into the outer one
     regex = [(r.li_pos, r.href) for r in links_op.harvest_links(pages).orderBy("li_pos").collect()]
     assert regex[0] == (1, "/in.pdf")
+
+
+def test_pick_tasks(spark, tmp_dir):
+    t = spark.createDataFrame([("t1",), ("t2",), ("t3",)], "task_id string")
+    assert tasks_op.pick_tasks(t, "").count() == 0
+    assert tasks_op.pick_tasks(t, None).count() == 0
+    assert [r.task_id for r in tasks_op.pick_tasks(t, "t2").collect()] == ["t2"]
+    ids = spark.createDataFrame([("t1",), ("t3",), ("t3",)], "id string")
+    assert sorted(r.task_id for r in tasks_op.pick_tasks(t, ids).collect()) == ["t1", "t3"]
+    p = f"{tmp_dir}/t"
+    t.write.parquet(p)
+    plan = tasks_op.pick_tasks(spark.read.parquet(p), ["t2"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(task_id" in plan or "PushedFilters: [IsNotNull(task_id), EqualTo(task_id" in plan
+
+
+def test_append_and_read_evaluations(spark, tmp_dir):
+    from evallens.sources import evaluations as ev_src
+
+    v = spark.createDataFrame([("t1", True, None), ("t2", False, "  wrong unit ")],
+                              "task_id string, is_correct boolean, user_feedback string")
+    path = f"{tmp_dir}/evals"
+    ev_src.append_evaluations(verdicts_op.valid_verdicts(v), path)
+    ev_src.append_evaluations(verdicts_op.valid_verdicts(v.where("task_id = 't1'")), path)
+    got = ev_src.read_evaluations(spark, path).collect()
+    assert len(got) == 3 and {r.user_feedback for r in got} == {None, "wrong unit"}
+    assert all(r.evaluation_id is not None and r.evaluation_timestamp is not None for r in got)
