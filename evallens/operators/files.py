@@ -22,12 +22,19 @@ def files_by_task(tasks: DataFrame, files: DataFrame) -> DataFrame:
     """Every task with each of its files (base name = task id).
 
     Kept flat, one row per (task, file); a task without files has one row with
-    NULL file columns.  Nothing is collected per task, so a task with very many
-    files is spread over rows, not packed into one value.
+    NULL file columns.  Nothing is collected per task.  Written as an inner
+    join (AQE may split a task that owns a large share of the files; in a
+    left outer join the file side could not be split) plus the tasks without
+    files (anti join against the distinct base names, combined map-side).
     """
     f = split_keys(files) if "file_base_name" not in files.columns else files
     f = f.select(F.col("file_base_name").alias("task_id"), "file_name", "file_ext", "supported")
-    return tasks.select("task_id").join(f, "task_id", "left")
+    ids = tasks.select("task_id")
+    matched = f.join(ids, "task_id").select("task_id", "file_name", "file_ext", "supported")
+    bare = ids.join(f.select("task_id").distinct(), "task_id", "left_anti").select(
+        "task_id", F.lit(None).cast("string").alias("file_name"), F.lit(None).cast("string").alias("file_ext"),
+        F.lit(None).cast("boolean").alias("supported"))
+    return matched.unionByName(bare)
 
 
 def file_counts(tasks: DataFrame, files: DataFrame) -> DataFrame:

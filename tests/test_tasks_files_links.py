@@ -143,3 +143,19 @@ def test_append_and_read_evaluations(spark, tmp_dir):
     got = ev_src.read_evaluations(spark, path).collect()
     assert len(got) == 3 and {r.user_feedback for r in got} == {None, "wrong unit"}
     assert all(r.evaluation_id is not None and r.evaluation_timestamp is not None for r in got)
+
+
+def test_task_files_with_a_hot_task(spark):
+    """One task owns a third of the files; results stay whole and equal to a plain left join."""
+    n = 3000
+    tasks = spark.range(n).select(F.col("id").cast("string").alias("task_id"))
+    hot = spark.range(n // 2).select(F.concat(F.lit("0/"), F.col("id").cast("string"), F.lit(".txt")).alias("k"))
+    keys = (spark.range(n).select(F.concat(F.col("id").cast("string"), F.lit(".txt")).alias("file_name"))
+            .unionByName(spark.range(n // 2).select(F.concat(F.lit("0."), F.col("id").cast("string")).alias("file_name"))))
+    got = files_op.files_by_task(tasks, keys)
+    naive = tasks.join(files_op.split_keys(keys).select(F.col("file_base_name").alias("task_id"), "file_name"),
+                       "task_id", "left")
+    assert got.select("task_id", "file_name").exceptAll(naive).count() == 0
+    assert naive.exceptAll(got.select("task_id", "file_name")).count() == 0
+    assert got.where("task_id = '0'").count() == 1 + n // 2
+    assert hot.count() == n // 2
