@@ -19,37 +19,50 @@ hour holds a large share of the rows.
 
 from __future__ import annotations
 
-import datetime
-import functools
-import operator
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 MICROS_PER_MINUTE = 60_000_000.0
+_MICROS_PER_DAY = 86_400_000_000
 
 
 def micros(ts) -> F.Column:
-    """Microseconds since the epoch of a timestamp_ntz, with no zone involved."""
-    return F.timestamp_diff("MICROSECOND", F.expr(EPOCH), ts)
+    """Microseconds since 1970-01-01 00:00 of a zone-less timestamp.
+
+    Built from the calendar fields, so no session time zone is applied (a cast
+    to TIMESTAMP would shift wall-clock times around daylight-saving changes).
+    """
+    t = ts.cast("timestamp_ntz")
+    days = F.unix_date(F.to_date(t)).cast("long")
+    secs = (F.hour(t) * 3600 + F.minute(t) * 60).cast("long")
+    frac = (F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long")
+    return days * F.lit(_MICROS_PER_DAY) + secs * F.lit(1_000_000) + frac
+
+
+def minutes_between(earlier, later) -> F.Column:
+    return (micros(later) - micros(earlier)).cast("double") / F.lit(MICROS_PER_MINUTE)
 
 
-def _quantile_bucket(known: DataFrame, ts: str, buckets: int) -> F.Column:
+def _quantile_cuts(known: DataFrame, ts: str, buckets: int) -> list[float]:
     # `buckets - 1` cut points: a bounded list, whatever the row count.
     probs = [i / buckets for i in range(1, buckets)]
     cuts = known.select(micros(F.col(ts)).cast("double").alias("_m")).approxQuantile("_m", probs, 0.01)
-    cuts = sorted(set(int(c) for c in cuts if c is not None))
-    if not cuts:
-        return F.lit(0)
-    # Compare the zone-less times with zone-less literals: plain long comparisons.
-    t = F.col(ts)
-    return functools.reduce(operator.add, [(t >= _ntz_literal(c)).cast("int") for c in cuts])
+    return sorted(set(c for c in cuts if c is not None))
 
 
-def _ntz_literal(us: int) -> F.Column:
-    d = datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=us)
-    return F.expr(f"TIMESTAMP_NTZ '{d.isoformat(sep=' ')}'")
+def _bucketer(known: DataFrame, ts: str, grain: str | None, buckets: int | None):
+    """A function adding bucket column `_b` to a DataFrame holding `ts`."""
+    if grain is not None:
+        return lambda df: df.withColumn("_b", _grain_bucket(ts, grain))
+    n = buckets or max(8, 4 * int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = _quantile_cuts(known, ts, n)
+    if not cuts:
+        return lambda df: df.withColumn("_b", F.lit(0.0))
+    from pyspark.ml.feature import Bucketizer
+
+    # Bucket = number of cut points <= time, by binary search in the JVM.
+    b = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_m", outputCol="_b")
+    return lambda df: b.transform(df.withColumn("_m", micros(F.col(ts)).cast("double"))).drop("_m")
 
 
 def _grain_bucket(ts: str, grain: str) -> F.Column:
@@ -65,26 +78,22 @@ def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evalu
     """
     rows = df.select(F.col(key).alias(key), F.col(ts).alias(ts))
     known = rows.where(F.col(ts).isNotNull())
-    if grain is None:
-        n = buckets or max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        bucket = _quantile_bucket(known, ts, n)
-    else:
-        bucket = _grain_bucket(ts, grain)
+    bucket = _bucketer(known, ts, grain, buckets)
+    instants = bucket(known.groupBy(ts).agg(F.min(key).alias("_first")))
 
-    instants = (known.groupBy(ts).agg(F.min(key).alias("_first"))
-                     .withColumn("_b", bucket))
     in_bucket = Window.partitionBy("_b").orderBy(ts)
     instants = instants.withColumn("_prev", F.lag(ts).over(in_bucket))
 
-    # One row per non-empty bucket; empty buckets never appear, so the lag
-    # below skips them by construction.
-    edges = instants.groupBy("_b").agg(F.max(ts).alias("_last"))
+    # Last time of each non-empty bucket, straight from the rows: map-side
+    # partial aggregation leaves one row per bucket per task to shuffle.
+    # Empty buckets never appear, so the lag over buckets skips them.
+    edges = bucket(known.select(ts)).groupBy("_b").agg(F.max(ts).alias("_last"))
     edges = edges.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_prev_bucket_last"))
 
     instants = (instants.join(F.broadcast(edges), "_b")
                         .select(F.col(ts).alias("_ts"), "_first",
                                 F.coalesce("_prev", "_prev_bucket_last").alias("_prev")))
-    gap_of_instant = F.timestamp_diff("MICROSECOND", F.col("_prev"), F.col("_ts")) / F.lit(MICROS_PER_MINUTE)
+    gap_of_instant = minutes_between(F.col("_prev"), F.col("_ts"))
 
     joined = known.join(instants, known[ts] == instants["_ts"])
     gaps = joined.select(

@@ -139,3 +139,20 @@ def test_evaluation_report_bundle(spark):
     assert abs(rep["mean_gap"].collect()[0].mean_gap_minutes - 7.0) < 1e-12
     assert sum(r.n for r in rep["histogram"].collect()) == 11
     assert report.summary_display(df).collect()[0].correct_rate == "66.67%"
+
+
+def test_gaps_ignore_session_time_zone(spark):
+    """Zone-less times differ by wall-clock time, also across a daylight-saving change."""
+    rows = [(1, dt.datetime(2024, 3, 10, 1, 30)), (2, dt.datetime(2024, 3, 10, 3, 30)),
+            (3, dt.datetime(2024, 11, 3, 0, 59, 59, 500)), (4, dt.datetime(2024, 11, 3, 2, 0))]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = evals(spark, [(i, str(i), True, None, t) for i, t in rows])
+        got = _spark_gaps(gaps.time_gaps(df, buckets=2))
+        mean = gaps.mean_gap(df).collect()[0].mean_gap_minutes
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == _pandas_gaps(rows)
+    assert got[2] == 120.0
+    assert abs(mean - (rows[-1][1] - rows[0][1]).total_seconds() / 60 / 3) < 1e-9
