@@ -19,7 +19,7 @@ import zipfile
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,48 @@ Decoder = Callable[[bytes], str]
 
 # --- JVM path ------------------------------------------------------------------
 
+# A CSV whose pandas round trip (`read_csv(...).to_csv(index=False)`) is provably
+# the identity needs no Python: every field is a canonical int64 or plain text
+# that pandas reads back as the same string (no digits, quotes, commas, control
+# characters or edge spaces, and none of the NA / boolean / infinity words),
+# every line has the header's field count, header names are unique, the file
+# ends with one newline and has no blank line.  Anything else goes to pandas.
+# Fixed values (pandas' default NA strings without digits, its boolean words,
+# and the float words it parses), lower-cased:
+CSV_SPECIAL_WORDS = ("n/a", "na", "<na>", "#na", "#n/a", "#n/a n/a", "null", "nan", "-nan", "+nan", "none",
+                     "true", "false", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+# One search finds any field that breaks the rule (fields run between start,
+# ',' and '\n'): a quote or control character, an empty field, an edge space, a
+# digit outside a canonical int, or one of the words.  A find is one linear
+# pass with no repeated group, so a long file cannot overflow the regex stack.
+_START = r"(?:^|(?<=[,\n]))"
+_END = r"(?=[,\n]|\z)"
+CSV_BAD_FIELD = "|".join([
+    r'[[\p{C}"]&&[^\n]]',
+    _START + _END,
+    _START + r"[\s\p{Z}]",
+    r"[\s\p{Z}]" + _END,
+    _START + r"(?!(?:-?[1-9][0-9]{0,17}|0)" + _END + r")[^,\n]*\p{N}",
+    _START + "(?i:" + "|".join(w.replace("+", r"\+") for w in CSV_SPECIAL_WORDS) + ")" + _END,
+])
+
+
+def csv_round_trips(content: Column) -> Column:
+    """True when pandas would give back the file's own text (see above); never NULL."""
+    s = content.cast("string")
+    body = F.left(s, F.length(s) - 1)
+    header = F.split(F.substring_index(body, "\n", 1), ",", -1)
+    # every line has the header's commas: the comma skeleton is the header's, repeated
+    skel = F.regexp_replace(body, r"[^,\n]+", "")
+    lines = F.length(skel) - F.length(F.replace(skel, F.lit("\n"), F.lit(""))) + 1
+    head_skel = F.regexp_replace(F.substring_index(body, "\n", 1), r"[^,]+", "")
+    ok = (F.is_valid_utf8(s) & s.endswith("\n") & body.contains("\n")
+          & ~body.rlike(CSV_BAD_FIELD)
+          & (skel == F.concat_ws("\n", F.array_repeat(head_skel, lines)))
+          & (F.size(F.array_distinct(header)) == F.size(header)))
+    return F.coalesce(ok, F.lit(False))
+
+
 def _native(files: DataFrame, decoders: dict[str, Decoder]) -> DataFrame:
     ext = F.col("ext")
     s = F.col("content").cast("string")
@@ -56,14 +98,15 @@ def _native(files: DataFrame, decoders: dict[str, Decoder]) -> DataFrame:
     latin1 = universal_newlines(F.decode(F.col("content"), "ISO-8859-1"))
     bad_utf8 = F.lit("'utf-8' codec can't decode the bytes: invalid UTF-8")
     err = (F.when(ext.isin(".txt", ".pdb") & ~valid, bad_utf8))
-    text = (F.when(ext == ".txt", F.when(valid, as_text).otherwise(F.concat(F.lit("Error processing file: "), bad_utf8)))
+    text = (F.when(ext == ".csv", s)  # only files that pass csv_round_trips come here
+             .when(ext == ".txt", F.when(valid, as_text).otherwise(F.concat(F.lit("Error processing file: "), bad_utf8)))
              .when(ext == ".py", F.when(valid, as_text).otherwise(latin1))
              .when(ext == ".pdb", F.when(valid, as_text).otherwise(F.concat(F.lit("Error processing .pdb file: "), bad_utf8)))
              .when(ext.isin(*[e for e in RICH_FORMATS if e not in decoders]),
                    F.concat(F.lit("No decoder for file type: "), ext))
              .otherwise(F.concat(F.lit("Unsupported file type: "), ext)))
     status = (F.when(err.isNotNull(), F.lit("error"))
-               .when(ext.isin(".txt", ".py", ".pdb"), F.lit("ok"))
+               .when(ext.isin(".txt", ".py", ".pdb", ".csv"), F.lit("ok"))
                .when(ext.isin(*RICH_FORMATS), F.lit("no_decoder"))
                .otherwise(F.lit("unsupported")))
     return files.select("key", "ext", text.alias("text"), status.alias("status"), err.alias("error"))
@@ -163,7 +206,8 @@ def extract_text(files: DataFrame, decoders: dict[str, Decoder] | None = None,
     if "ext" not in files.columns:
         f = f.withColumn("ext", splitext_ext(F.col("key")))
     py_exts = sorted(set(PYTHON_FORMATS) | set(decoders))
-    in_py = F.col("ext").isin(*py_exts)
+    csv_plain = (F.col("ext") == ".csv") & csv_round_trips(F.col("content"))
+    in_py = F.coalesce(F.col("ext").isin(*py_exts) & ~csv_plain, F.lit(False))
     py = f.where(in_py)
     if parallelism:
         py = py.repartition(parallelism, "key")
