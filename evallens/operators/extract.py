@@ -2,13 +2,15 @@
 
 Input rows are files: a key (object name) and its bytes, e.g. from the
 `binaryFile` source or a landed-objects table.  Output: (key, ext, text,
-status, error).  Plain-text formats are decoded inside the JVM; CSV and ZIP
-(and caller-supplied decoders for rich formats) run in Python workers through
-`mapInPandas`, on those rows only.  As in the reference, a failure becomes
-text (so it reaches the prompt); `status`/`error` make it filterable.
-
-When the input has an `ext` column (landed objects are partitioned by it),
-the per-format branches prune partitions instead of reading all bytes twice.
+status, error).  Plain-text formats, and CSV files whose pandas round trip is
+the identity, are decoded inside the JVM.  Other CSV and ZIP files (and
+caller-supplied decoders for rich formats) run in Python workers through a
+scalar pandas UDF.  As in the reference, a failure becomes text (so it
+reaches the prompt); `status`/`error` make it filterable.
+
+Every file is read once: one projection routes each row, and the UDF gets
+the bytes only of rows routed to Python (NULL for the others, whose text
+never leaves the JVM).
 """
 
 from __future__ import annotations
@@ -58,19 +60,23 @@ Decoder = Callable[[bytes], str]
 # and the float words it parses), lower-cased:
 CSV_SPECIAL_WORDS = ("n/a", "na", "<na>", "#na", "#n/a", "#n/a n/a", "null", "nan", "-nan", "+nan", "none",
                      "true", "false", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
-# One search finds any field that breaks the rule (fields run between start,
-# ',' and '\n'): a quote or control character, an empty field, an edge space, a
-# digit outside a canonical int, or one of the words.  A find is one linear
-# pass with no repeated group, so a long file cannot overflow the regex stack.
-_START = r"(?:^|(?<=[,\n]))"
-_END = r"(?=[,\n]|\z)"
+# One search finds anything that breaks the rule: a quote or control character
+# anywhere, a body of one line, or a field (after the start, ',' or '\n') that
+# is empty, has an edge space, holds a digit outside a canonical int, or is one
+# of the words.  Field tests start only at a delimiter, so most positions cost
+# one character-class check; there is no repeated group, so a long file cannot
+# overflow the regex stack.
+_FIELD_END = r"(?=[,\n]|\z)"
 CSV_BAD_FIELD = "|".join([
     r'[[\p{C}"]&&[^\n]]',
-    _START + _END,
-    _START + r"[\s\p{Z}]",
-    r"[\s\p{Z}]" + _END,
-    _START + r"(?!(?:-?[1-9][0-9]{0,17}|0)" + _END + r")[^,\n]*\p{N}",
-    _START + "(?i:" + "|".join(w.replace("+", r"\+") for w in CSV_SPECIAL_WORDS) + ")" + _END,
+    r"\A[^\n]*\z",
+    r"(?:\A|[,\n])(?:" + "|".join([
+        _FIELD_END,
+        r"[\s\p{Z}]",
+        r"[^,\n]*[\s\p{Z}]" + _FIELD_END,
+        r"(?!(?:-?[1-9][0-9]{0,17}|0)" + _FIELD_END + r")[^,\n]*\p{N}",
+        "(?i:" + "|".join(w.replace("+", r"\+") for w in CSV_SPECIAL_WORDS) + ")" + _FIELD_END,
+    ]) + ")",
 ])
 
 
@@ -78,27 +84,26 @@ def csv_round_trips(content: Column) -> Column:
     """True when pandas would give back the file's own text (see above); never NULL."""
     s = content.cast("string")
     body = F.left(s, F.length(s) - 1)
-    header = F.split(F.substring_index(body, "\n", 1), ",", -1)
-    # every line has the header's commas: the comma skeleton is the header's, repeated
+    # every line has the header's commas: removing each "<header skeleton>\n"
+    # from the comma skeleton (plus a final '\n') leaves nothing
     skel = F.regexp_replace(body, r"[^,\n]+", "")
-    lines = F.length(skel) - F.length(F.replace(skel, F.lit("\n"), F.lit(""))) + 1
-    head_skel = F.regexp_replace(F.substring_index(body, "\n", 1), r"[^,]+", "")
-    ok = (F.is_valid_utf8(s) & s.endswith("\n") & body.contains("\n")
-          & ~body.rlike(CSV_BAD_FIELD)
-          & (skel == F.concat_ws("\n", F.array_repeat(head_skel, lines)))
+    line_skel = F.concat(F.substring_index(skel, "\n", 1), F.lit("\n"))
+    same_shape = F.replace(F.concat(skel, F.lit("\n")), line_skel, F.lit("")) == ""
+    header = F.split(F.substring_index(body, "\n", 1), ",", -1)
+    ok = (F.is_valid_utf8(s) & s.endswith("\n") & ~body.rlike(CSV_BAD_FIELD) & same_shape
           & (F.size(F.array_distinct(header)) == F.size(header)))
     return F.coalesce(ok, F.lit(False))
 
 
-def _native(files: DataFrame, decoders: dict[str, Decoder]) -> DataFrame:
-    ext = F.col("ext")
-    s = F.col("content").cast("string")
+def _native(ext: Column, content: Column, decoders: dict[str, Decoder]) -> tuple[Column, Column, Column]:
+    """(text, status, error) for every format the JVM decodes; CSV only for files that pass csv_round_trips."""
+    s = content.cast("string")
     valid = F.is_valid_utf8(s)
     as_text = universal_newlines(s)
-    latin1 = universal_newlines(F.decode(F.col("content"), "ISO-8859-1"))
+    latin1 = universal_newlines(F.decode(content, "ISO-8859-1"))
     bad_utf8 = F.lit("'utf-8' codec can't decode the bytes: invalid UTF-8")
     err = (F.when(ext.isin(".txt", ".pdb") & ~valid, bad_utf8))
-    text = (F.when(ext == ".csv", s)  # only files that pass csv_round_trips come here
+    text = (F.when(ext == ".csv", s)
              .when(ext == ".txt", F.when(valid, as_text).otherwise(F.concat(F.lit("Error processing file: "), bad_utf8)))
              .when(ext == ".py", F.when(valid, as_text).otherwise(latin1))
              .when(ext == ".pdb", F.when(valid, as_text).otherwise(F.concat(F.lit("Error processing .pdb file: "), bad_utf8)))
@@ -109,7 +114,7 @@ def _native(files: DataFrame, decoders: dict[str, Decoder]) -> DataFrame:
                .when(ext.isin(".txt", ".py", ".pdb", ".csv"), F.lit("ok"))
                .when(ext.isin(*RICH_FORMATS), F.lit("no_decoder"))
                .otherwise(F.lit("unsupported")))
-    return files.select("key", "ext", text.alias("text"), status.alias("status"), err.alias("error"))
+    return text, status, err
 
 
 # --- Python path ---------------------------------------------------------------
@@ -176,17 +181,19 @@ def zip_text(data: bytes, decoders: dict[str, Decoder], depth: int = 0) -> str:
     return "".join(out)
 
 
-def _python(files: DataFrame, decoders: dict[str, Decoder]) -> DataFrame:
-    def run(batches):
-        for pdf in batches:
-            res = [extract_bytes(k, bytes(c) if c is not None else b"", decoders)
-                   for k, c in zip(pdf["key"], pdf["content"])]
-            yield pd.DataFrame({
-                "key": pdf["key"], "ext": pdf["ext"],
-                "text": [r[0] for r in res], "status": [r[1] for r in res], "error": [r[2] for r in res],
-            })
+PY_RESULT = T.StructType([f for f in EXTRACTED.fields if f.name in ("text", "status", "error")])
+
 
-    return files.select("key", "ext", "content").mapInPandas(run, EXTRACTED)
+def _python(decoders: dict[str, Decoder]):
+    """Scalar pandas UDF (key, content) -> struct(text, status, error); NULL content gives NULL."""
+
+    @F.pandas_udf(PY_RESULT)
+    def run(keys: pd.Series, contents: pd.Series) -> pd.DataFrame:
+        res = [extract_bytes(k, bytes(c), decoders) if c is not None else (None, None, None)
+               for k, c in zip(keys, contents)]
+        return pd.DataFrame(res, columns=["text", "status", "error"], dtype=object)
+
+    return run
 
 
 def extract_text(files: DataFrame, decoders: dict[str, Decoder] | None = None,
@@ -197,18 +204,26 @@ def extract_text(files: DataFrame, decoders: dict[str, Decoder] | None = None,
     rich formats (PDF, Office, images); without one such files get status
     `no_decoder`.  Keep `spark.sql.execution.arrow.maxRecordsPerBatch` small
     when files are large: a Python batch holds that many whole files.
-    `parallelism` spreads the Python-decoded files over that many tasks (use
-    it when the input comes from a small shuffle that AQE packed together).
+    `parallelism` spreads the files over that many tasks first (use it when
+    the input comes from a small shuffle that AQE packed together).
     """
     decoders = {k.lower(): v for k, v in (decoders or {}).items()}
     f = files.select(F.col(key).alias("key"), F.col(content).alias("content"),
                      *([F.col("ext")] if "ext" in files.columns else []))
     if "ext" not in files.columns:
         f = f.withColumn("ext", splitext_ext(F.col("key")))
-    py_exts = sorted(set(PYTHON_FORMATS) | set(decoders))
-    csv_plain = (F.col("ext") == ".csv") & csv_round_trips(F.col("content"))
-    in_py = F.coalesce(F.col("ext").isin(*py_exts) & ~csv_plain, F.lit(False))
-    py = f.where(in_py)
     if parallelism:
-        py = py.repartition(parallelism, "key")
-    return _native(f.where(~in_py), decoders).unionByName(_python(py, decoders))
+        f = f.repartition(parallelism, "key")
+    py_exts = sorted(set(PYTHON_FORMATS) | set(decoders))
+    ext, data = F.col("ext"), F.col("content")
+    csv_plain = (ext == ".csv") & csv_round_trips(data)
+    # the route is its own column, so the (costly) CSV check runs once per row
+    routed = f.withColumn("_py", F.coalesce(ext.isin(*py_exts) & ~csv_plain, F.lit(False)))
+    in_py = F.col("_py")
+    py = _python(decoders)(F.when(in_py, F.col("key")), F.when(in_py, data))
+    text, status, err = _native(ext, data, decoders)
+    both = routed.select("key", "ext", "_py", text.alias("_text"), status.alias("_status"), err.alias("_error"),
+                         py.alias("_r"))
+    return both.select(
+        "key", "ext",
+        *[F.when(in_py, F.col("_r")[c]).otherwise(F.col("_" + c)).alias(c) for c in ("text", "status", "error")])
