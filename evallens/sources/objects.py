@@ -58,20 +58,43 @@ def latest_per_key(listing: DataFrame) -> DataFrame:
         F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
 
 
+# Fixed value: most superseded paths shipped to every task as a broadcast
+# (a path is ~100 bytes, so this bounds the broadcast near 10 MB).
+MAX_BROADCAST_SUPERSEDED = 100_000
+
+
 def land_objects(spark: SparkSession, uri: str, out: str, key_pattern: str | None = None,
-                 glob: str | None = None) -> None:
+                 glob: str | None = None, max_broadcast: int = MAX_BROADCAST_SUPERSEDED,
+                 bytes_per_task: int = 128 << 20) -> None:
     """Copy the store into a table (key, ext, length, modificationTime, content)
     partitioned by extension.
 
-    Winners are chosen on metadata; the bytes are joined to them once (one
-    shuffle of the content), then written.  Readers that want one format prune
-    to its partition.  Writes go to a new directory; nothing is overwritten.
+    Winners are chosen on metadata (no bytes read), and one metadata job
+    counts the paths they supersede and the bytes to land.  When nothing is
+    superseded, every file is kept as it is scanned.  Up to `max_broadcast`
+    superseded paths, a broadcast anti join drops them.  Only beyond that are
+    the bytes shuffled (a semi join on the winners).  Scan partitions of many
+    small files are coalesced (no shuffle) to about one per `bytes_per_task`
+    of data (at least one per core), so each writer task writes
+    few, full files.  Listing and bytes come from one relation, so both see
+    the same file listing.  Writes go to a new directory; nothing is
+    overwritten.
     """
-    listing = list_objects(spark, uri, key_pattern, glob)
-    winners = latest_per_key(listing).join(listing, ["key", "path"])
-    body = _reader(spark, glob).load(uri).select("path", "content")
-    landed = winners.join(body, "path").select(
-        "key", splitext_ext(F.col("key")).alias("ext"), "length", "modificationTime", "content")
+    store = _reader(spark, glob).load(uri)
+    listing = store.select("path", "length", "modificationTime").withColumn("key", _key(F.col("path"), key_pattern))
+    winners = latest_per_key(listing).select("path")
+    flagged = listing.join(winners.withColumn("_won", F.lit(True)), "path", "left")
+    superseded_n, total = flagged.agg(F.count_if(F.col("_won").isNull()), F.coalesce(F.sum("length"), F.lit(0))).first()
+    if superseded_n == 0:
+        kept = store
+    elif superseded_n <= max_broadcast:
+        kept = store.join(F.broadcast(listing.select("path").join(winners, "path", "left_anti")), "path", "left_anti")
+    else:
+        kept = store.join(winners, "path", "left_semi")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // bytes_per_task))
+    key = _key(F.col("path"), key_pattern)
+    landed = kept.coalesce(tasks).select(
+        key.alias("key"), splitext_ext(key).alias("ext"), "length", "modificationTime", "content")
     landed.write.mode("errorifexists").partitionBy("ext").parquet(out)
 
 

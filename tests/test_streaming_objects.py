@@ -42,3 +42,24 @@ def test_list_fetch_land(spark, tmp_dir):
     objects_src.land_objects(spark, store, out)
     got = {r.key: (r.ext, bytes(r.content)) for r in objects_src.read_landed(spark, out).collect()}
     assert got == {"a.txt": (".txt", b"newer"), "b.PY": (".py", b"x=1")}
+
+
+def test_land_paths_agree(spark, tmp_dir):
+    """No superseded file, a broadcast of them, and the shuffle fallback land the same rows."""
+    store = os.path.join(tmp_dir, "store2")
+    for rel, data, when in [("x/a.txt", b"old", 1_000), ("y/a.txt", b"new", 2_000), ("b.txt", b"b", 1_000),
+                            ("x/c.py", b"c1", 5_000), ("y/c.py", b"c2", 5_000)]:
+        os.makedirs(os.path.dirname(os.path.join(store, rel)), exist_ok=True)
+        with open(os.path.join(store, rel), "wb") as f:
+            f.write(data)
+        os.utime(os.path.join(store, rel), (when, when))
+    runs = {}
+    for name, limit in (("broadcast", 100), ("shuffle", 0)):
+        out = os.path.join(tmp_dir, "landed-" + name)
+        objects_src.land_objects(spark, store, out, max_broadcast=limit)
+        runs[name] = {r.key: bytes(r.content) for r in objects_src.read_landed(spark, out).collect()}
+    # equal times: the greater path wins
+    assert runs["broadcast"] == runs["shuffle"] == {"a.txt": b"new", "b.txt": b"b", "c.py": b"c2"}
+    out = os.path.join(tmp_dir, "landed-single")
+    objects_src.land_objects(spark, os.path.join(store, "x"), out)
+    assert {r.key for r in objects_src.read_landed(spark, out).collect()} == {"a.txt", "c.py"}
