@@ -69,17 +69,10 @@ def _grain_bucket(ts: str, grain: str) -> F.Column:
     return F.date_trunc(grain, F.col(ts).cast("timestamp_ntz"))
 
 
-def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evaluation_id",
-              grain: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Rows of `df` as (key, ts, gap_minutes); gap to the previous row in time order.
-
-    The first row and rows with a NULL time get a NULL gap.  Tied times are
-    ordered by `key`.
-    """
-    rows = df.select(F.col(key).alias(key), F.col(ts).alias(ts))
-    known = rows.where(F.col(ts).isNotNull())
+def _instant_gaps(known: DataFrame, ts: str, key: str, grain: str | None, buckets: int | None) -> DataFrame:
+    """One row per distinct non-NULL time: (_ts, _first, _n, _gap); `_gap` is NULL for the first time."""
     bucket = _bucketer(known, ts, grain, buckets)
-    instants = bucket(known.groupBy(ts).agg(F.min(key).alias("_first")))
+    instants = bucket(known.groupBy(ts).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")))
 
     in_bucket = Window.partitionBy("_b").orderBy(ts)
     instants = instants.withColumn("_prev", F.lag(ts).over(in_bucket))
@@ -91,18 +84,46 @@ def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evalu
     edges = edges.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_prev_bucket_last"))
 
     instants = (instants.join(F.broadcast(edges), "_b")
-                        .select(F.col(ts).alias("_ts"), "_first",
+                        .select(F.col(ts).alias("_ts"), "_first", "_n",
                                 F.coalesce("_prev", "_prev_bucket_last").alias("_prev")))
-    gap_of_instant = minutes_between(F.col("_prev"), F.col("_ts"))
+    return instants.select("_ts", "_first", "_n", minutes_between(F.col("_prev"), F.col("_ts")).alias("_gap"))
 
+
+def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evaluation_id",
+              grain: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Rows of `df` as (key, ts, gap_minutes); gap to the previous row in time order.
+
+    The first row and rows with a NULL time get a NULL gap.  Tied times are
+    ordered by `key`.
+    """
+    rows = df.select(F.col(key).alias(key), F.col(ts).alias(ts))
+    known = rows.where(F.col(ts).isNotNull())
+    instants = _instant_gaps(known, ts, key, grain, buckets)
     joined = known.join(instants, known[ts] == instants["_ts"])
     gaps = joined.select(
         F.col(key), F.col(ts),
-        F.when(F.col(key) == F.col("_first"), gap_of_instant).otherwise(F.lit(0.0)).alias("gap_minutes"))
+        F.when(F.col(key) == F.col("_first"), F.col("_gap")).otherwise(F.lit(0.0)).alias("gap_minutes"))
     unknown = rows.where(F.col(ts).isNull()).select(key, ts, F.lit(None).cast("double").alias("gap_minutes"))
     return gaps.unionByName(unknown)
 
 
+def gap_histogram(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evaluation_id",
+                  max_bins: int = 30, width: float | None = None, grain: str | None = None,
+                  buckets: int | None = None) -> DataFrame:
+    """A8 over W1 without the rows: `histogram(time_gaps(df))` from one row per time.
+
+    At each time the first row has the instant's gap and the other rows 0, so
+    the gaps are counted as weights on the instants.  The rows are never joined
+    back, so a time holding many rows is one weighted row.
+    """
+    known = df.select(F.col(key).alias(key), F.col(ts).alias(ts)).where(F.col(ts).isNotNull())
+    instants = _instant_gaps(known, ts, key, grain, buckets)
+    # per time: its gap once, and 0 for each further row (one pass, two values)
+    weighted = (instants.select(F.expr("stack(2, _gap, 1L, 0.0D, _n - 1) AS (_v, _c)"))
+                        .where(F.col("_v").isNotNull() & (F.col("_c") > 0)))
+    return histogram(weighted, value="_v", max_bins=max_bins, width=width, weight="_c")
+
+
 def mean_gap(df: DataFrame, ts: str = "evaluation_timestamp") -> DataFrame:
     """Mean of the gaps in minutes, without computing the gaps.
 
@@ -132,23 +153,26 @@ def nice_width(span: F.Column, max_bins: int) -> F.Column:
 
 
 def histogram(gaps: DataFrame, value: str = "gap_minutes", max_bins: int = 30,
-              width: float | None = None) -> DataFrame:
+              width: float | None = None, weight: str | None = None) -> DataFrame:
     """Counts per bin of width `width`, edges at multiples of it.
 
     Bin edges are not fixed by the reference (a chart library picks them);
     here the width is a round number giving at most about `max_bins` bins.  The
     bounds come from a one-row global aggregate, joined on a constant key, so
-    the plan stays lazy and the broadcast side is exactly one row.
+    the plan stays lazy and the broadcast side is exactly one row.  With
+    `weight`, each row counts that many times (rows of weight 0 still widen
+    the bounds, so give none).
     """
-    v = gaps.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"), F.lit(0).alias("_k"))
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    v = gaps.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"), w.alias("_c"), F.lit(0).alias("_k"))
     if width is None:
         bounds = v.groupBy("_k").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         bounds = bounds.select("_k", nice_width(F.col("_hi") - F.col("_lo"), max_bins).alias("_w"))
         v = v.join(F.broadcast(bounds), "_k")
     else:
         v = v.withColumn("_w", F.lit(float(width)))
-    binned = v.select(F.floor(F.col("_v") / F.col("_w")).alias("bin"), "_w")
-    return binned.groupBy("bin", "_w").agg(F.count(F.lit(1)).alias("n")).select(
+    binned = v.select(F.floor(F.col("_v") / F.col("_w")).alias("bin"), "_w", "_c")
+    return binned.groupBy("bin", "_w").agg(F.sum("_c").alias("n")).select(
         "bin",
         (F.col("bin") * F.col("_w")).alias("bin_start"),
         ((F.col("bin") + 1) * F.col("_w")).alias("bin_end"),

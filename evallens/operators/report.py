@@ -110,13 +110,12 @@ def evaluation_report(evals: DataFrame, k: int = TOP_WORDS_K, max_bins: int = 30
     """Job D in one call: every block of the report as a lazy DataFrame."""
     from evallens.operators import gaps
 
-    g = gaps.time_gaps(evals, grain=grain)
     return {
         "summary": summary(evals),
         "distribution": distribution(evals),
         "top_words": top_words(evals, k=k),
         "mean_gap": gaps.mean_gap(evals),
-        "histogram": gaps.histogram(g, max_bins=max_bins),
+        "histogram": gaps.gap_histogram(evals, max_bins=max_bins, grain=grain),
         "detail": detail(evals),
     }
 

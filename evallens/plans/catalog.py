@@ -71,11 +71,11 @@ def evaluation_mean_gap(spark, d):
 
 
 def gap_histogram(spark, d):
-    return gaps.histogram(gaps.time_gaps(_events(spark, d), ts="ts", key="event_id"))
+    return gaps.gap_histogram(_events(spark, d), ts="ts", key="event_id")
 
 
 def evaluation_gap_histogram(spark, d):
-    return gaps.histogram(gaps.time_gaps(fx.evaluations(spark, d)))
+    return gaps.gap_histogram(fx.evaluations(spark, d))
 
 
 QUERIES: dict[str, Query] = {

@@ -156,3 +156,17 @@ def test_gaps_ignore_session_time_zone(spark):
     assert got == _pandas_gaps(rows)
     assert got[2] == 120.0
     assert abs(mean - (rows[-1][1] - rows[0][1]).total_seconds() / 60 / 3) < 1e-9
+
+
+def test_gap_histogram_equals_histogram_of_row_gaps(spark):
+    """Weighted instants give the same bins as the per-row gaps, ties and NULL times included."""
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "ts")
+    tied = ev.where(F.col("event_id") % 50 == 0).select((F.col("event_id") + 10_000_000).alias("event_id"), "ts")
+    nulls = ev.limit(3).select((F.col("event_id") + 20_000_000).alias("event_id"), F.lit(None).cast("timestamp_ntz").alias("ts"))
+    df = ev.unionByName(tied).unionByName(nulls)
+    for grain in (None, "day"):
+        rows = gaps.histogram(gaps.time_gaps(df, ts="ts", key="event_id", grain=grain))
+        inst = gaps.gap_histogram(df, ts="ts", key="event_id", grain=grain)
+        assert sorted(rows.collect()) == sorted(inst.collect())
+    one = evals(spark, [(1, "a", True, None, T0), (2, "b", True, None, T0), (3, "c", True, None, None)])
+    assert [(r.bin, r.n) for r in gaps.gap_histogram(one).collect()] == [(0, 1)]  # the tie's 0; the first is NULL
