@@ -149,3 +149,16 @@ def test_extract_csv_matches_python_dispatch(spark):
     for k, b in rows:
         text, status, _ = extract_op.extract_bytes(k, b)
         assert got[k] == (text, status), k
+
+
+def test_extract_reads_each_file_once(spark, tmp_dir):
+    """One scan of the source, no union of per-route branches; Python sees only routed rows."""
+    rows = [("a.txt", b"x\r\ny"), ("b.csv", b"k,v\n1,x\n"), ("c.csv", b"k,v\n1.50,x\n"), ("d.zip", b"PK")]
+    spark.createDataFrame(rows, "key string, content binary").write.parquet(f"{tmp_dir}/files")
+    out = extract_op.extract_text(spark.read.parquet(f"{tmp_dir}/files"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan and "ArrowEvalPython" in plan
+    got = {r.key: (r.text, r.status) for r in out.collect()}
+    assert got["a.txt"] == ("x\ny", "ok") and got["b.csv"] == ("k,v\n1,x\n", "ok")
+    assert got["c.csv"] == ("k,v\n1.5,x\n", "ok")  # pandas re-emits the float
+    assert got["d.zip"][1] == "error"
