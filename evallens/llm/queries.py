@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import chat, mixing
+from evallens.llm import chat, mixing, warc
 
 
 def _read(spark, d, name):
@@ -26,7 +26,13 @@ def op9_chat_format(spark, d):
     return chat.read_chat(chat.format_chat(conv))
 
 
+def op10_warc(spark, d):
+    archives = warc.write_warc(_read(spark, d, "pages"))
+    return warc.page_records(warc.read_warc(archives, payloads=False))
+
+
 QUERIES = {
+    "op10_warc": op10_warc,
     "op8_mix_sources": op8_mix_sources,
     "op9_chat_format": op9_chat_format,
 }
@@ -34,6 +40,15 @@ QUERIES = {
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLE = {
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS winner FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < winner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < winner THEN winner END AS refers_to
+FROM r""",
     "op8_mix_sources": f"""
 WITH RECURSIVE base AS (
   SELECT doc_id, source, {_WORDS}::BIGINT AS size,
