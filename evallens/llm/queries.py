@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import chat, mixing, warc
+from evallens.llm import chat, mixing, ngram_join, warc
 
 
 def _read(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op2_ngram_join(spark, d):
+    return ngram_join.ngram_join(_read(spark, d, "documents"), n=3, num=90, den=100)
+
+
 def op8_mix_sources(spark, d):
     m = mixing.mix(_read(spark, d, "documents"))
     return m.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -32,6 +36,7 @@ def op10_warc(spark, d):
 
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op10_warc": op10_warc,
     "op8_mix_sources": op8_mix_sources,
     "op9_chat_format": op9_chat_format,
@@ -40,6 +45,25 @@ QUERIES = {
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLE = {
+    "op2_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN [hash(w[i], w[i + 1], w[i + 2]) FOR i IN range(1, len(w) - 1)]
+                                      WHEN len(w) > 0 THEN [hash(len(w), w)] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sn AS (SELECT s.doc_id, s.g, n.n FROM s JOIN n USING (doc_id)),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM sn a JOIN sn b ON a.g = b.g AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least_id AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(l.b, w.doc_id)) AS component_id,
+       coalesce(g.n_links, 0)::BIGINT AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least_id l ON l.a = w.doc_id LEFT JOIN degree g ON g.a = w.doc_id""",
     "op10_warc": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
