@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import chat, mixing, ngram_join, warc
+from evallens.llm import ann, chat, embed_dedup, mixing, ngram_join, warc
 
 
 def _read(spark, d, name):
@@ -15,6 +15,15 @@ def op2_ngram_join(spark, d):
     return ngram_join.ngram_join(_read(spark, d, "documents"), n=3, num=90, den=100)
 
 
+def op3_nearest(spark, d):
+    vectors = _read(spark, d, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op5_embedding_dedup(spark, d):
+    return embed_dedup.embedding_dedup(_read(spark, d, "embeddings"), cosine=0.98)
+
+
 def op8_mix_sources(spark, d):
     m = mixing.mix(_read(spark, d, "documents"))
     return m.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -36,6 +45,8 @@ def op10_warc(spark, d):
 
 
 QUERIES = {
+    "op3_nearest": op3_nearest,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op2_ngram_join": op2_ngram_join,
     "op10_warc": op10_warc,
     "op8_mix_sources": op8_mix_sources,
@@ -45,6 +56,19 @@ QUERIES = {
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLE = {
+    "op5_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, list_contains([x IS NULL OR NOT isfinite(x) FOR x IN embedding], true) AS bad FROM embeddings),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND NOT bad),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least_id AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(l.b, vec_id)) AS component_id,
+       least(vec_id, coalesce(l.b, vec_id)) = vec_id AS kept
+FROM v LEFT JOIN least_id l ON l.a = vec_id LEFT JOIN degree g ON g.a = vec_id""",
     "op2_ngram_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
