@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import ann, chat, embed_dedup, mixing, ngram_join, warc
+from evallens.llm import ann, chat, embed_dedup, mixing, ngram_join, packing, sharding, warc
 
 
 def _read(spark, d, name):
@@ -24,6 +24,14 @@ def op5_embedding_dedup(spark, d):
     return embed_dedup.embedding_dedup(_read(spark, d, "embeddings"), cosine=0.98)
 
 
+def op4_sharding(spark, d):
+    return sharding.shard(_read(spark, d, "documents"), shards=40)
+
+
+def op6_packing(spark, d):
+    return packing.pack(_read(spark, d, "documents"), max_tokens=2048, buckets=8, batch_tokens=16384)
+
+
 def op8_mix_sources(spark, d):
     m = mixing.mix(_read(spark, d, "documents"))
     return m.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -45,6 +53,8 @@ def op10_warc(spark, d):
 
 
 QUERIES = {
+    "op4_sharding": op4_sharding,
+    "op6_packing": op6_packing,
     "op3_nearest": op3_nearest,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -53,9 +63,38 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
 }
 
+
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+# The dynamic programme, one step per bucket: d<k>(j, cost) is the least padding of the
+# first j distinct lengths in k buckets, i the length at which the last bucket starts.
+_STEPS = ",\n".join(
+    f"d{k} AS (SELECT c.j, min(d.cost + c.cost) AS cost, arg_min(c.i, (d.cost + c.cost, c.i)) AS i "
+    f"FROM d{k - 1} d JOIN cost c ON c.i = d.j GROUP BY c.j)" for k in range(2, 9))
+_BACK = ",\n".join(f"e{k} AS (SELECT d.i AS j, d.j AS last FROM d{k} d JOIN e{k + 1} e ON e.j = d.j)" for k in range(8, 0, -1))
+
 ORACLE = {
+    "op6_packing": f"""
+WITH docs AS (SELECT doc_id, {_WORDS}::BIGINT AS n FROM documents),
+piece AS (SELECT doc_id, n, unnest(range(0, greatest(1, (n + 2047) // 2048)))::BIGINT AS piece FROM docs),
+seqs AS (SELECT doc_id, piece, least(2048, n - piece * 2048)::BIGINT AS n_tokens,
+              substr(md5('pack|' || coalesce(doc_id::VARCHAR, chr(0)) || '|' || piece), 1, 16) AS k FROM piece),
+hist AS (SELECT n_tokens AS len, count(*) AS c FROM seqs WHERE n_tokens > 0 GROUP BY n_tokens),
+h AS (SELECT row_number() OVER w AS j, len, sum(c) OVER w AS seqs, sum(c * len) OVER w AS toks FROM hist WINDOW w AS (ORDER BY len)),
+h0 AS (SELECT 0 AS j, 0 AS len, 0 AS seqs, 0 AS toks UNION ALL SELECT * FROM h),
+cost AS (SELECT a.j AS i, b.j, b.len * (b.seqs - a.seqs) - (b.toks - a.toks) AS cost FROM h0 a JOIN h b ON a.j < b.j),
+d1 AS (SELECT j, cost, i FROM cost WHERE i = 0),
+{_STEPS},
+e9 AS (SELECT max(j) AS j, 0 AS last FROM h),
+{_BACK},
+ends AS (SELECT len, row_number() OVER (ORDER BY len) - 1 AS bucket FROM h JOIN (
+  {" UNION ".join(f"SELECT last FROM e{k}" for k in range(1, 9))}) e ON h.j = e.last),
+b AS (SELECT s.*, e.bucket, e.len AS bucket_len FROM seqs s ASOF LEFT JOIN ends e ON s.n_tokens <= e.len AND s.n_tokens > 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY k, doc_id, piece, n_tokens) - 1 AS pos,
+             greatest(1, 16384 // bucket_len) AS per FROM b)
+SELECT doc_id, piece, n_tokens, bucket::INT AS bucket, bucket_len, CASE WHEN bucket IS NOT NULL THEN pos // per END AS batch,
+       CASE WHEN bucket IS NOT NULL THEN pos % per END AS place
+FROM p""",
     "op5_embedding_dedup": """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e, list_contains([x IS NULL OR NOT isfinite(x) FOR x IN embedding], true) AS bad FROM embeddings),
