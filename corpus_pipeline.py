@@ -3,18 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from evallens.llm import mixing
+from evallens.llm import mixing, ngram_join, packing, toxicity
 from evallens.session import scratch_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(docs, labels).where(~F.col("rejected")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8
+    or more): the one with the least doc_id."""
+    groups = ngram_join.ngram_join(docs, n=5, num=80, den=100)
+    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed_documents(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Batches of sequences of like length."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
     ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import ann, chat, embed_dedup, mixing, ngram_join, packing, sharding, warc
+from evallens.llm import ann, chat, embed_dedup, license_scan, mixing, ngram_join, packing, sharding, toxicity, warc
 
 
 def _read(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_toxicity(spark, d):
+    scored = toxicity.toxicity(_read(spark, d, "documents"), _read(spark, d, "labels"))
+    return scored.select("doc_id", "severity", "grade", "p_toxic", "rejected")
+
+
 def op2_ngram_join(spark, d):
     return ngram_join.ngram_join(_read(spark, d, "documents"), n=3, num=90, den=100)
 
@@ -32,6 +37,23 @@ def op6_packing(spark, d):
     return packing.pack(_read(spark, d, "documents"), max_tokens=2048, buckets=8, batch_tokens=16384)
 
 
+def document_files(docs):
+    """Documents as a file tree: /source/lang/hundreds/tens/name; each folder of sixteen
+    files has a licence file, and so has each folder of sixteen such folders."""
+    part = lambda c: F.coalesce(F.col(c), F.lit("none"))
+    i = F.coalesce(F.col("doc_id"), F.lit(-1))
+    upper = F.concat_ws("/", F.lit(""), part("source"), part("lang"), F.shiftright(i, 8).cast("string"))
+    lower = F.concat_ws("/", upper, F.shiftright(i, 4).cast("string"))
+    path = F.when(i % 256 == 0, F.concat(upper, F.lit("/LICENSE"))).when(i % 16 == 0, F.concat(lower, F.lit("/LICENSE"))).otherwise(
+        F.concat(lower, F.lit("/"), i.cast("string"), F.lit(".txt")))
+    return docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+
+
+def op7_license_scan(spark, d):
+    files = license_scan.scan(document_files(_read(spark, d, "documents")))
+    return files.withColumnRenamed("file_id", "doc_id")
+
+
 def op8_mix_sources(spark, d):
     m = mixing.mix(_read(spark, d, "documents"))
     return m.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -53,6 +75,8 @@ def op10_warc(spark, d):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op7_license_scan": op7_license_scan,
     "op4_sharding": op4_sharding,
     "op6_packing": op6_packing,
     "op3_nearest": op3_nearest,
