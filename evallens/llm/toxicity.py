@@ -27,7 +27,7 @@ CACHED_WORDS = 1 << 16
 # Bounds of the training sample: labelled rows per class, and features.
 SAMPLE_ROWS, SAMPLE_TERMS = 3000, 512
 GRADES = 4  # 0: not toxic; 1 to 3: mild, strong, severe
-PENALTY = 2e-3
+PENALTY = 3e-4
 PREFIXES = (3, 4, 5, 6)
 
 
@@ -81,7 +81,7 @@ class Model:
 
 
 def fit_cumulative_link(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.ndarray, features: int,
-                        grades: int, penalty: float, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+                        grades: int, penalty: float, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) of the L1-penalised cumulative-link model, by accelerated proximal gradient steps.
 
     The sparse matrix is given by (rows, cols, vals).  Weights are not negative:
@@ -133,13 +133,12 @@ def fit_cumulative_link(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y:
     return w, a + np.concatenate([[0.0], np.cumsum(gap)])
 
 
-def severity_grades(share: np.ndarray, toxic: np.ndarray, grades: int = GRADES) -> np.ndarray:
-    """Grades from a yes/no label: 0 for documents that are not toxic; toxic ones by
-    the share of their words that mark toxic documents, cut at the quantiles of
-    the positive shares.  Toxic rows without such a word: 1."""
-    pos = share[(toxic == 1) & (share > 0)]
-    cuts = np.quantile(pos, np.arange(1, grades - 1) / (grades - 1)) if len(pos) else np.zeros(grades - 2)
-    return np.where(toxic == 1, 1 + (share[:, None] > cuts[None, :]).sum(axis=1), 0).astype(np.int64)
+def severity_grades(evidence: np.ndarray, toxic: np.ndarray, grades: int = GRADES) -> np.ndarray:
+    """Grades from a yes/no label: 0 for documents that are not toxic; toxic ones are cut
+    into equal parts by their evidence (the score of a yes/no fit)."""
+    cuts = np.quantile(evidence[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
+    grade = np.where(toxic == 1, 1 + (evidence[:, None] > cuts[None, :]).sum(axis=1), 0)
+    return np.searchsorted(np.unique(grade), grade)  # no empty grade
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int = SAMPLE_TERMS,
@@ -148,8 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
 
     The sample is the least hash keys of each class.  The features are the words
     and word beginnings whose document rates differ most between the classes (in
-    standard errors); those above by eight mark toxic documents.  None if a
-    class has no usable document.
+    standard errors).  The labels say yes or no; a toxic document's grade comes
+    from its evidence in a first yes/no fit.  None if a class has no usable document.
     """
     spark = docs.sparkSession
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -180,22 +179,23 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
     both = F.count(F.lit(1)) / F.lit(float(size[0] + size[1]))
     spread = F.sqrt(F.greatest(both * (1 - both), F.lit(1e-9)) * F.lit(1 / size[0] + 1 / size[1]))
     ranked = found.groupBy("term").agg(((rate(1) - rate(0)) / spread).alias("z"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= 5)
-    top = [tuple(r) for r in ranked.orderBy(F.desc(F.abs("z")), "term").limit(terms).select("term", "z").collect()]
+    top = [r.term for r in ranked.orderBy(F.desc(F.abs("z")), "term").limit(terms).collect()]
     if not top:
         return None
-    known = spark.createDataFrame([(t, i, z > 8) for i, (t, z) in enumerate(top)], "term string, i int, mark boolean")
-    data = found.join(F.broadcast(known), "term").select("doc_id", "i", "n", "mark").toPandas().sort_values(["doc_id", "i"])
+    known = spark.createDataFrame([(t, i) for i, t in enumerate(top)], "term string, i int")
+    data = found.join(F.broadcast(known), "term").select("doc_id", "i", "n").toPandas().sort_values(["doc_id", "i"])
     docs_ = found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("words").alias("words")).toPandas().sort_values("doc_id")
-    toxic, words = docs_["toxic"].to_numpy(), docs_["words"].to_numpy()
+    toxic, words = docs_["toxic"].to_numpy().astype(np.int64), docs_["words"].to_numpy()
+    if toxic.min() == toxic.max():
+        return None
     doc = np.searchsorted(docs_["doc_id"].to_numpy(), data["doc_id"].to_numpy())
-    term, n = data["i"].to_numpy().astype(np.int64), data["n"].to_numpy()
-    grade = severity_grades(np.bincount(doc, n * data["mark"].to_numpy(), minlength=len(toxic)) / words, toxic)
-    grade = np.searchsorted(np.unique(grade), grade)  # no empty grade
-    k = len(top)
-    w, thresholds = fit_cumulative_link(np.concatenate([doc, doc]), np.concatenate([term, term + k]),
-                                        np.concatenate([np.ones(len(n)), np.log1p(1000 * n / words[doc])]),
-                                        grade, 2 * k, int(grade.max()) + 1, penalty)
-    return Model({t: (float(w[i]), float(w[i + k])) for i, (t, _) in enumerate(top) if w[i] or w[i + k]}, [float(t) for t in thresholds])
+    term, n, k = data["i"].to_numpy().astype(np.int64), data["n"].to_numpy(), len(top)
+    rows_, cols = np.concatenate([doc, doc]), np.concatenate([term, term + k])
+    vals = np.concatenate([np.ones(len(n)), np.log1p(1000 * n / words[doc])])
+    w, _ = fit_cumulative_link(rows_, cols, vals, toxic, 2 * k, 2, penalty)
+    grade = severity_grades(np.bincount(rows_, vals * w[cols], minlength=len(toxic)), toxic)
+    w, thresholds = fit_cumulative_link(rows_, cols, vals, grade, 2 * k, int(grade.max()) + 1, penalty)
+    return Model({t: (float(w[i]), float(w[i + k])) for i, t in enumerate(top) if w[i] or w[i + k]}, [float(t) for t in thresholds])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, model: Model | None = None, **how) -> DataFrame:
