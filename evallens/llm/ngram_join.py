@@ -57,6 +57,8 @@ class Classes:
     def of(self, n: int) -> list[int]:
         """The classes in which a set of n n-grams is cut: that of its own size, and
         the one below if a linked set may be the smaller one there."""
+        if n == 0:
+            return []
         while not self.low or self.low[-1] <= n:
             self._add()
         own = next(i for i in range(len(self.low) - 1, -1, -1) if self.low[i] <= n)
