@@ -97,7 +97,44 @@ _STEPS = ",\n".join(
     f"FROM d{k - 1} d JOIN cost c ON c.i = d.j GROUP BY c.j)" for k in range(2, 9))
 _BACK = ",\n".join(f"e{k} AS (SELECT d.i AS j, d.j AS last FROM d{k} d JOIN e{k + 1} e ON e.j = d.j)" for k in range(8, 0, -1))
 
+_TEMPLATES = ",\n".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(license_scan.TEMPLATES))
+
 ORACLE = {
+    "op7_license_scan": f"""
+WITH parts AS (
+  SELECT doc_id, text, '/' || coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || (coalesce(doc_id, -1) >> 8) AS up,
+         (coalesce(doc_id, -1) >> 4) AS low FROM documents),
+files AS (
+  SELECT doc_id, text, CASE WHEN doc_id % 256 = 0 THEN up ELSE up || '/' || low END AS dir, up, doc_id % 16 = 0 AS is_license,
+         CASE WHEN doc_id % 256 = 0 THEN up || '/LICENSE' WHEN doc_id % 16 = 0 THEN up || '/' || low || '/LICENSE'
+              ELSE up || '/' || low || '/' || coalesce(doc_id, -1) || '.txt' END AS path FROM parts),
+lines AS (
+  SELECT doc_id, path, generate_subscripts(string_split(text, chr(10)), 1) AS seg, unnest(string_split(text, chr(10))) AS s FROM files
+  UNION ALL SELECT doc_id, path, 0, text FROM files WHERE is_license AND len(string_split(text, chr(10))) > 1),
+words AS (
+  SELECT doc_id, path, seg, [x FOR x IN regexp_split_to_array(lower(s), '[^\\p{{L}}\\p{{N}}]+') IF x <> ''] AS w FROM lines),
+seg AS (SELECT * FROM words WHERE len(w) > 0),
+tpl(i, license, t) AS (VALUES {_TEMPLATES}),
+tt AS (SELECT i, license, unnest([x FOR x IN regexp_split_to_array(lower(t), '[^\\p{{L}}\\p{{N}}]+') IF x <> '']) AS term FROM tpl),
+ttf AS (SELECT i, license, term, count(*) AS tf FROM tt GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM seg),
+flat AS (SELECT doc_id, path, seg, unnest(w) AS term FROM seg),
+tf AS (SELECT doc_id, path, seg, term, count(*) AS tf FROM flat GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+idf AS (SELECT DISTINCT t.term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM ttf t CROSS JOIN total LEFT JOIN df USING (term)),
+tw AS (SELECT i, license, term, (1 + ln(tf)) * idf AS w FROM ttf JOIN idf USING (term)),
+tn AS (SELECT i, sqrt(sum(w * w)) AS norm FROM tw GROUP BY i),
+sw AS (SELECT doc_id, path, seg, term, (1 + ln(tf)) * coalesce(idf, ln(n + 1) + 1) AS w FROM tf CROSS JOIN total LEFT JOIN idf USING (term)),
+sn AS (SELECT doc_id, path, seg, sqrt(sum(w * w)) AS norm FROM sw GROUP BY ALL),
+cos AS (
+  SELECT s.doc_id, s.path, s.seg, t.i, t.license, round(sum(s.w * t.w / tn.norm) / any_value(sn.norm), 6) AS score
+  FROM sw s JOIN tw t USING (term) JOIN tn ON tn.i = t.i JOIN sn ON sn.path = s.path AND sn.seg = s.seg AND sn.doc_id = s.doc_id
+  GROUP BY ALL),
+own AS (SELECT doc_id, path, arg_min(license, (-score, license)) AS own_license, max(score) AS own_score FROM cos WHERE score >= 0.6 GROUP BY ALL),
+dirs AS (SELECT f.dir, arg_min(o.own_license, (-o.own_score, o.own_license)) AS license FROM files f JOIN own o USING (doc_id, path) WHERE is_license GROUP BY f.dir)
+SELECT f.doc_id, f.path, own_license, own_score, coalesce(own_license, a.license, b.license) AS license,
+       CASE WHEN own_license IS NULL THEN CASE WHEN a.license IS NOT NULL THEN f.dir WHEN b.license IS NOT NULL THEN f.up END END AS license_dir
+FROM files f LEFT JOIN own o ON o.doc_id = f.doc_id AND o.path = f.path LEFT JOIN dirs a ON a.dir = f.dir LEFT JOIN dirs b ON b.dir = f.up""",
     "op6_packing": f"""
 WITH docs AS (SELECT doc_id, {_WORDS}::BIGINT AS n FROM documents),
 piece AS (SELECT doc_id, n, unnest(range(0, greatest(1, (n + 2047) // 2048)))::BIGINT AS piece FROM docs),
