@@ -40,11 +40,6 @@ EXTRACTED = T.StructType([
 RICH_FORMATS = (".pdf", ".docx", ".xlsx", ".pptx", ".png", ".jpg", ".jpeg")
 PYTHON_FORMATS = (".csv", ".zip")
 
-# Limits for archives (a ZIP is expanded in one Python worker).
-MAX_ZIP_DEPTH = 8
-MAX_ZIP_MEMBERS = 100_000
-MAX_ZIP_BYTES = 1 << 30
-
 Decoder = Callable[[bytes], str]
 
 
@@ -102,15 +97,17 @@ def _native(ext: Column, content: Column, decoders: dict[str, Decoder]) -> tuple
     as_text = universal_newlines(s)
     latin1 = universal_newlines(F.decode(content, "ISO-8859-1"))
     bad_utf8 = F.lit("'utf-8' codec can't decode the bytes: invalid UTF-8")
-    err = (F.when(ext.isin(".txt", ".pdb") & ~valid, bad_utf8))
-    text = (F.when(ext == ".csv", s)
+    err = F.when(content.isNull(), F.lit("no content")).when(ext.isin(".txt", ".pdb") & ~valid, bad_utf8)
+    text = (F.when(content.isNull(), F.lit(None).cast("string"))
+             .when(ext == ".csv", s)
              .when(ext == ".txt", F.when(valid, as_text).otherwise(F.concat(F.lit("Error processing file: "), bad_utf8)))
              .when(ext == ".py", F.when(valid, as_text).otherwise(latin1))
              .when(ext == ".pdb", F.when(valid, as_text).otherwise(F.concat(F.lit("Error processing .pdb file: "), bad_utf8)))
              .when(ext.isin(*[e for e in RICH_FORMATS if e not in decoders]),
                    F.concat(F.lit("No decoder for file type: "), ext))
              .otherwise(F.concat(F.lit("Unsupported file type: "), ext)))
-    status = (F.when(err.isNotNull(), F.lit("error"))
+    status = (F.when(content.isNull(), F.lit("missing"))
+               .when(err.isNotNull(), F.lit("error"))
                .when(ext.isin(".txt", ".py", ".pdb", ".csv"), F.lit("ok"))
                .when(ext.isin(*RICH_FORMATS), F.lit("no_decoder"))
                .otherwise(F.lit("unsupported")))
@@ -127,8 +124,7 @@ def _newlines(s: str) -> str:
     return s.replace("\r\n", "\n").replace("\r", "\n")
 
 
-def extract_bytes(name: str, data: bytes, decoders: dict[str, Decoder] | None = None,
-                  depth: int = 0) -> tuple[str, str, str | None]:
+def extract_bytes(name: str, data: bytes, decoders: dict[str, Decoder] | None = None) -> tuple[str, str, str | None]:
     """Python restatement of the per-file dispatch; used for ZIP members and CSV."""
     decoders = decoders or {}
     ext = py_splitext_ext(name)
@@ -148,7 +144,7 @@ def extract_bytes(name: str, data: bytes, decoders: dict[str, Decoder] | None =
         if ext == ".csv":
             return pd.read_csv(io.BytesIO(data)).to_csv(index=False), "ok", None
         if ext == ".zip":
-            return zip_text(data, decoders, depth), "ok", None
+            return zip_text(data, decoders)
         if ext in decoders:
             return decoders[ext](data), "ok", None
         if ext in RICH_FORMATS:
@@ -158,27 +154,60 @@ def extract_bytes(name: str, data: bytes, decoders: dict[str, Decoder] | None =
         return f"Error processing file: {e}", "error", str(e)
 
 
-def zip_text(data: bytes, decoders: dict[str, Decoder], depth: int = 0) -> str:
-    """E5: each member in path order; supported members extracted (recursively)."""
-    if depth >= MAX_ZIP_DEPTH:
-        raise ValueError(f"archive nested deeper than {MAX_ZIP_DEPTH}")
-    out = []
-    inflated = 0
-    with zipfile.ZipFile(io.BytesIO(data)) as zf:
-        members = sorted((i for i in zf.infolist() if not i.is_dir()), key=lambda i: i.filename)
-        if len(members) > MAX_ZIP_MEMBERS:
-            raise ValueError(f"archive has more than {MAX_ZIP_MEMBERS} members")
-        for info in members:
-            base = posixpath.basename(info.filename)
-            if py_splitext_ext(base) in SUPPORTED_EXTENSIONS:
-                inflated += info.file_size
-                if inflated > MAX_ZIP_BYTES:
-                    raise ValueError(f"archive inflates beyond {MAX_ZIP_BYTES} bytes")
-                text, _, _ = extract_bytes(base, zf.read(info), decoders, depth + 1)
-                out.append(f"Extracted from {base}:\n{text}\n")
+class _Archive:
+    """An open archive on the way down: its members left, in path order, and the text so far."""
+
+    def __init__(self, name: str, data: bytes):
+        self.name, self.out = name, []
+        self.zf = zipfile.ZipFile(io.BytesIO(data))
+        self.left = iter(sorted((i for i in self.zf.infolist() if not i.is_dir()), key=lambda i: i.filename))
+
+
+def zip_text(data: bytes, decoders: dict[str, Decoder]) -> tuple[str, str, str | None]:
+    """E5: each member in path order; supported members extracted, archives inside
+    archives at any depth (a stack, no recursion).
+
+    One member's bytes are open per level.  An archive that cannot be read on
+    gives its error as text, as a file does.  Status `partial` if a member failed;
+    `error` names the first one.
+    """
+    stack, faults = [_Archive("", data)], []
+    while True:
+        top = stack[-1]
+        try:
+            info = next(top.left, None)
+            if info is None:
+                text, done = "".join(top.out), True
             else:
-                out.append(f"Skipped unsupported file: {base}\n")
-    return "".join(out)
+                done = False
+                base = posixpath.basename(info.filename)
+                ext = py_splitext_ext(base)
+                if ext not in SUPPORTED_EXTENSIONS:
+                    top.out.append(f"Skipped unsupported file: {base}\n")
+                    continue
+                member = top.zf.read(info)
+        except Exception as e:  # noqa: BLE001 - the message is the archive's text
+            if len(stack) == 1:
+                raise
+            faults.append((top.name, str(e)))
+            text, done = f"Error processing file: {e}", True
+        if done:
+            if len(stack) == 1:
+                return text, "partial" if faults else "ok", f"{faults[0][0]}: {faults[0][1]}" if faults else None
+            stack.pop()
+            stack[-1].out.append(f"Extracted from {top.name}:\n{text}\n")
+            continue
+        if ext == ".zip":
+            try:
+                stack.append(_Archive(base, member))
+                continue
+            except Exception as e:  # noqa: BLE001
+                text, status, err = f"Error processing file: {e}", "error", str(e)
+        else:
+            text, status, err = extract_bytes(base, member, decoders)
+        if status == "error":
+            faults.append((base, err))
+        top.out.append(f"Extracted from {base}:\n{text}\n")
 
 
 PY_RESULT = T.StructType([f for f in EXTRACTED.fields if f.name in ("text", "status", "error")])
@@ -197,9 +226,14 @@ def _python(decoders: dict[str, Decoder]):
 
 
 def extract_text(files: DataFrame, decoders: dict[str, Decoder] | None = None,
-                 key: str = "key", content: str = "content", parallelism: int | None = None) -> DataFrame:
+                 key: str = "key", content: str = "content", parallelism: int | None = None,
+                 python_formats: tuple[str, ...] = PYTHON_FORMATS) -> DataFrame:
     """E1-E7 over a DataFrame of files; one output row per input file.
 
+    `python_formats`: the formats among the files that may need Python; with
+    none (and no decoder) the plan stays in the JVM, and a file of such a format
+    gets status `not_routed`.  Files without content: status `missing`, NULL text.
+
     `decoders` maps a lower-case extension to a function bytes -> text for the
     rich formats (PDF, Office, images); without one such files get status
     `no_decoder`.  Keep `spark.sql.execution.arrow.maxRecordsPerBatch` small
@@ -214,11 +248,17 @@ def extract_text(files: DataFrame, decoders: dict[str, Decoder] | None = None,
         f = f.withColumn("ext", splitext_ext(F.col("key")))
     if parallelism:
         f = f.repartition(parallelism, "key")
-    py_exts = sorted(set(PYTHON_FORMATS) | set(decoders))
+    py_exts = sorted(set(python_formats) | set(decoders))
     ext, data = F.col("ext"), F.col("content")
+    if not py_exts:
+        text, status, err = _native(ext, data, decoders)
+        left = ext.isin(*PYTHON_FORMATS) & data.isNotNull() & ~((ext == ".csv") & csv_round_trips(data))
+        none = F.lit(None).cast("string")
+        return f.select("key", "ext", F.when(left, none).otherwise(text).alias("text"),
+                        F.when(left, F.lit("not_routed")).otherwise(status).alias("status"), F.when(left, none).otherwise(err).alias("error"))
     csv_plain = (ext == ".csv") & csv_round_trips(data)
     # the route is its own column, so the (costly) CSV check runs once per row
-    routed = f.withColumn("_py", F.coalesce(ext.isin(*py_exts) & ~csv_plain, F.lit(False)))
+    routed = f.withColumn("_py", F.coalesce(data.isNotNull() & ext.isin(*py_exts) & ~csv_plain, F.lit(False)))
     in_py = F.col("_py")
     py = _python(decoders)(F.when(in_py, F.col("key")), F.when(in_py, data))
     text, status, err = _native(ext, data, decoders)

@@ -4,17 +4,18 @@ The reference sorts all rows on one machine and takes `diff()`.  A plain
 `lag().over(Window.orderBy(ts))` does the same in Spark by moving every row
 into one task, so it is avoided.  Instead:
 
-1. Rows sharing one instant collapse to one row per instant (map-side
-   aggregation), so a burst of identical timestamps never lands in one task.
-2. Instants are cut into buckets; `lag` runs per bucket, in parallel.
-3. Each bucket's first instant takes the previous bucket's last instant from
-   a table with one row per bucket (broadcast; its size is the bucket count).
-4. Rows join back to their instant: the first row (lowest id) of an instant
-   gets the gap, further rows at that instant get 0, as `diff()` gives.
-
-Buckets are either a calendar grain (`grain="day"`/`"hour"`, fully lazy) or,
-by default, quantiles of the timestamps, which stay even when a single day or
-hour holds a large share of the rows.
+1. Rows with one time and key collapse to one counted row (map-side
+   aggregation), which a range shuffle on the time deals into as many
+   buckets as the data needs; this table is written once and everything else
+   reads it, so the input is scanned once.
+2. `lag` runs over the distinct times of each bucket, in parallel.
+3. Each bucket's first time takes the last time of the bucket before it, from
+   a table with one row per bucket.
+4. The first row (lowest key, NULL last) of a time gets the gap, further rows
+   at that time get 0, as `diff()` gives.
+
+Spark cuts a range shuffle between distinct values only, so a time is in one
+bucket, and a burst at one time is few rows there: one per distinct key.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evallens.session import scratch_path
+
 MICROS_PER_MINUTE = 60_000_000.0
 _MICROS_PER_DAY = 86_400_000_000
 
@@ -43,81 +46,61 @@ def minutes_between(earlier, later) -> F.Column:
     return (micros(later) - micros(earlier)).cast("double") / F.lit(MICROS_PER_MINUTE)
 
 
-def _quantile_cuts(known: DataFrame, ts: str, buckets: int) -> list[float]:
-    # `buckets - 1` cut points: a bounded list, whatever the row count.
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = known.select(micros(F.col(ts)).cast("double").alias("_m")).approxQuantile("_m", probs, 0.01)
-    return sorted(set(c for c in cuts if c is not None))
-
-
-def _bucketer(known: DataFrame, ts: str, grain: str | None, buckets: int | None):
-    """A function adding bucket column `_b` to a DataFrame holding `ts`."""
-    if grain is not None:
-        return lambda df: df.withColumn("_b", _grain_bucket(ts, grain))
-    n = buckets or max(8, 4 * int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = _quantile_cuts(known, ts, n)
-    if not cuts:
-        return lambda df: df.withColumn("_b", F.lit(0.0))
-    from pyspark.ml.feature import Bucketizer
-
-    # Bucket = number of cut points <= time, by binary search in the JVM.
-    b = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_m", outputCol="_b")
-    return lambda df: b.transform(df.withColumn("_m", micros(F.col(ts)).cast("double"))).drop("_m")
-
+ROWS_PER_BUCKET = 1 << 20
 
-def _grain_bucket(ts: str, grain: str) -> F.Column:
-    return F.date_trunc(grain, F.col(ts).cast("timestamp_ntz"))
 
+def _counted(df: DataFrame, ts: str, keys: list[str]) -> DataFrame:
+    """Rows with a known time as (_ts, *keys, _c, _b), stored: _c equal rows, bucket _b in time order."""
+    spark = df.sparkSession
+    rows = df.where(F.col(ts).isNotNull()).groupBy(F.col(ts).alias("_ts"), *keys).agg(F.count(F.lit(1)).alias("_c"))
+    raw = scratch_path(spark, "gap-counts")
+    rows.write.parquet(raw)
+    rows = spark.read.schema(rows.schema).parquet(raw)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_BUCKET))
+    path = scratch_path(spark, "gap-buckets")
+    rows.repartitionByRange(n, "_ts").withColumn("_b", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
-def _instant_gaps(known: DataFrame, ts: str, key: str, grain: str | None, buckets: int | None) -> DataFrame:
-    """One row per distinct non-NULL time: (_ts, _first, _n, _gap); `_gap` is NULL for the first time."""
-    bucket = _bucketer(known, ts, grain, buckets)
-    instants = bucket(known.groupBy(ts).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")))
 
-    in_bucket = Window.partitionBy("_b").orderBy(ts)
-    instants = instants.withColumn("_prev", F.lag(ts).over(in_bucket))
+def _instant_gaps(counted: DataFrame, first: str | None) -> DataFrame:
+    """One row per distinct time: (_b, _ts, _first, _n, _gap); `_gap` is NULL for the first time."""
+    key = F.min(first) if first else F.lit(None)
+    instants = counted.groupBy("_b", "_ts").agg(key.alias("_first"), F.sum("_c").alias("_n"))
+    instants = instants.withColumn("_prev", F.lag("_ts").over(Window.partitionBy("_b").orderBy("_ts")))
+    # One row per non-empty bucket.
+    edges = counted.groupBy("_b").agg(F.max("_ts").alias("_last"))
+    edges = edges.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_before"))
+    instants = instants.join(edges, "_b").withColumn("_prev", F.coalesce("_prev", "_before"))
+    return instants.select("_b", "_ts", "_first", "_n", minutes_between(F.col("_prev"), F.col("_ts")).alias("_gap"))
 
-    # Last time of each non-empty bucket, straight from the rows: map-side
-    # partial aggregation leaves one row per bucket per task to shuffle.
-    # Empty buckets never appear, so the lag over buckets skips them.
-    edges = bucket(known.select(ts)).groupBy("_b").agg(F.max(ts).alias("_last"))
-    edges = edges.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_prev_bucket_last"))
 
-    instants = (instants.join(F.broadcast(edges), "_b")
-                        .select(F.col(ts).alias("_ts"), "_first", "_n",
-                                F.coalesce("_prev", "_prev_bucket_last").alias("_prev")))
-    return instants.select("_ts", "_first", "_n", minutes_between(F.col("_prev"), F.col("_ts")).alias("_gap"))
-
-
-def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evaluation_id",
-              grain: str | None = None, buckets: int | None = None) -> DataFrame:
+def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evaluation_id") -> DataFrame:
     """Rows of `df` as (key, ts, gap_minutes); gap to the previous row in time order.
 
     The first row and rows with a NULL time get a NULL gap.  Tied times are
-    ordered by `key`.
+    ordered by `key`, NULL keys last; of rows that repeat a time and key, one is
+    the first.  The counted rows are written to the shared folder when this is called.
     """
-    rows = df.select(F.col(key).alias(key), F.col(ts).alias(ts))
-    known = rows.where(F.col(ts).isNotNull())
-    instants = _instant_gaps(known, ts, key, grain, buckets)
-    joined = known.join(instants, known[ts] == instants["_ts"])
-    gaps = joined.select(
-        F.col(key), F.col(ts),
-        F.when(F.col(key) == F.col("_first"), F.col("_gap")).otherwise(F.lit(0.0)).alias("gap_minutes"))
-    unknown = rows.where(F.col(ts).isNull()).select(key, ts, F.lit(None).cast("double").alias("gap_minutes"))
+    counted = _counted(df, ts, [F.col(key).alias("_key")])
+    instants = _instant_gaps(counted, "_key").drop("_n")
+    joined = counted.join(instants, ["_b", "_ts"])
+    is_first = F.col("_key").eqNullSafe(F.col("_first"))
+    each = joined.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))))
+    gap = F.when(is_first & (F.col("_i") == 1), F.col("_gap")).otherwise(F.lit(0.0))
+    gaps = each.select(F.col("_key").alias(key), F.col("_ts").alias(ts), gap.alias("gap_minutes"))
+    unknown = df.where(F.col(ts).isNull()).select(key, ts, F.lit(None).cast("double").alias("gap_minutes"))
     return gaps.unionByName(unknown)
 
 
-def gap_histogram(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evaluation_id",
-                  max_bins: int = 30, width: float | None = None, grain: str | None = None,
-                  buckets: int | None = None) -> DataFrame:
+def gap_histogram(df: DataFrame, ts: str = "evaluation_timestamp", max_bins: int = 30,
+                  width: float | None = None) -> DataFrame:
     """A8 over W1 without the rows: `histogram(time_gaps(df))` from one row per time.
 
     At each time the first row has the instant's gap and the other rows 0, so
-    the gaps are counted as weights on the instants.  The rows are never joined
-    back, so a time holding many rows is one weighted row.
+    the gaps are counted as weights on the instants: a time holding many rows is
+    one weighted row.
     """
-    known = df.select(F.col(key).alias(key), F.col(ts).alias(ts)).where(F.col(ts).isNotNull())
-    instants = _instant_gaps(known, ts, key, grain, buckets)
+    instants = _instant_gaps(_counted(df, ts, []), None)
     # per time: its gap once, and 0 for each further row (one pass, two values)
     weighted = (instants.select(F.expr("stack(2, _gap, 1L, 0.0D, _n - 1) AS (_v, _c)"))
                         .where(F.col("_v").isNotNull() & (F.col("_c") > 0)))
@@ -143,36 +126,45 @@ def mean_gap(df: DataFrame, ts: str = "evaluation_timestamp") -> DataFrame:
     return agg.select(F.col("_n").alias("n_times"), mean.alias("mean_gap_minutes"))
 
 
-def nice_width(span: F.Column, max_bins: int) -> F.Column:
-    """Smallest {1, 2, 5} x 10^k that is >= span / max_bins; 1 for a zero span."""
-    raw = span / F.lit(float(max_bins))
-    p = F.pow(F.lit(10.0), F.floor(F.log10(F.when(raw > 0, raw).otherwise(F.lit(1.0)))))
-    m = raw / p
-    step = F.when(m <= 1.0, 1.0).when(m <= 2.0, 2.0).when(m <= 5.0, 5.0).otherwise(10.0)
-    return F.when(raw > 0, step * p).otherwise(F.lit(1.0))
+def _bins(width: F.Column, lo: F.Column, hi: F.Column) -> F.Column:
+    return F.floor(hi / width) - F.floor(lo / width) + 1
+
+
+def nice_width(lo: F.Column, hi: F.Column, max_bins: int) -> F.Column:
+    """Smallest {1, 2, 5} x 10^k for which [lo, hi] touches at most `max_bins` bins; 1 for a single value."""
+    raw = (hi - lo) / F.lit(float(max_bins))
+    some = F.when(raw > 0, raw).otherwise(F.lit(1.0))
+    p = F.pow(F.lit(10.0), F.floor(F.log10(some)))
+    steps = [p, p * 2, p * 5, p * 10, p * 20]
+    fits = F.coalesce(*[F.when((w >= some) & (_bins(w, lo, hi) <= max_bins), w) for w in steps])
+    return F.when(raw > 0, fits).otherwise(F.lit(1.0))
 
 
 def histogram(gaps: DataFrame, value: str = "gap_minutes", max_bins: int = 30,
               width: float | None = None, weight: str | None = None) -> DataFrame:
     """Counts per bin of width `width`, edges at multiples of it.
 
-    Bin edges are not fixed by the reference (a chart library picks them);
-    here the width is a round number giving at most about `max_bins` bins.  The
-    bounds come from a one-row global aggregate, joined on a constant key, so
-    the plan stays lazy and the broadcast side is exactly one row.  With
-    `weight`, each row counts that many times (rows of weight 0 still widen
-    the bounds, so give none).
+    Bin edges are not fixed by the reference (a chart library picks them); here
+    the width is a round number giving at most `max_bins` bins, and a bin
+    without values has count 0.  The bounds come from a one-row global aggregate;
+    the broadcast sides are that row and the bins.  With a given `width` only bins
+    with values are returned.  With `weight`, each row counts that many times
+    (rows of weight 0 still widen the bounds, so give none).
     """
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     v = gaps.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"), w.alias("_c"), F.lit(0).alias("_k"))
+    bins = None
     if width is None:
         bounds = v.groupBy("_k").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        bounds = bounds.select("_k", nice_width(F.col("_hi") - F.col("_lo"), max_bins).alias("_w"))
-        v = v.join(F.broadcast(bounds), "_k")
+        bounds = bounds.withColumn("_w", nice_width(F.col("_lo"), F.col("_hi"), max_bins))
+        v = v.join(F.broadcast(bounds.select("_k", "_w")), "_k")
+        bins = bounds.select("_w", F.explode(F.sequence(F.floor(F.col("_lo") / F.col("_w")), F.floor(F.col("_hi") / F.col("_w")))).alias("bin"))
     else:
         v = v.withColumn("_w", F.lit(float(width)))
-    binned = v.select(F.floor(F.col("_v") / F.col("_w")).alias("bin"), "_w", "_c")
-    return binned.groupBy("bin", "_w").agg(F.sum("_c").alias("n")).select(
+    counts = v.select(F.floor(F.col("_v") / F.col("_w")).alias("bin"), "_w", "_c").groupBy("bin", "_w").agg(F.sum("_c").alias("n"))
+    if bins is not None:
+        counts = bins.join(counts.drop("_w"), "bin", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    return counts.select(
         "bin",
         (F.col("bin") * F.col("_w")).alias("bin_start"),
         ((F.col("bin") + 1) * F.col("_w")).alias("bin_end"),

@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from evallens.functions.text import last_segment
 from evallens.schemas import HARVEST_SUFFIXES
 
-# Each <li ...> element up to its first closing tag.
-LI_PATTERN = r"(?is)<li\b[^>]*>(.*?)</li>"
-# The href of the first <a ...> that has one (double, single or no quotes).
-A_HREF_PATTERN = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# One token per comment, script or style element, or tag (attribute values may hold '>').
+TOKEN_PATTERN = (r"""(?is)<!--.*?(?:-->|\z)|<(?:script|style)\b.*?</(?:script|style)\s*>"""
+                 r"""|</?[a-z][^\s/>]*+(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+# The value of the first href attribute of a tag (double, single or no quotes).
+HREF_PATTERN = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 ORIGIN_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)"
+REFERENCE_PATTERN = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[^&]+|&"
 
 # The basic HTML character references, decoded in attribute values.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+# Elements that never have content (no end tag to wait for).
+VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 
 
 def _unquote(v: F.Column) -> F.Column:
@@ -26,117 +30,80 @@ def _unquote(v: F.Column) -> F.Column:
     return F.when(quoted, F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
 
 
+def _numeric(part: F.Column) -> F.Column:
+    """A numeric character reference as its character; other parts as they are."""
+    digits = F.regexp_extract(part, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+    code = F.when(part.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(part.startswith("&#") & F.coalesce(valid, F.lit(False)), char).otherwise(part)
+
+
 def _unescape(v: F.Column) -> F.Column:
+    numeric = F.array_join(F.transform(F.regexp_extract_all(v, F.lit(REFERENCE_PATTERN), 0), _numeric), "")
+    out = F.when(v.contains("&#"), numeric).otherwise(v)
     for ent, ch in ENTITIES:
-        v = F.replace(v, F.lit(ent), F.lit(ch))
-    return v
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(v.contains("&"), out).otherwise(v)
+
+
+def _fold(state: F.Column, token: F.Column) -> F.Column:
+    """One tag on the stack of open elements.
+
+    `open`: (tag, number of the <li> or 0, link found) from the outermost in; `n`:
+    <li> so far; `found`: (number, raw href).
+    """
+    entry = "struct<t:string,i:int,done:boolean>"
+    tag = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
+    opened, n = state["open"], state["n"]
+    back = F.array_position(F.reverse(F.transform(opened, lambda o: o["t"])), tag).cast("int")
+    closed = F.when(back > 0, F.slice(opened, 1, F.size(opened) - back)).otherwise(opened)
+    href = F.regexp_extract(token, HREF_PATTERN, 1)
+    link = (tag == "a") & (href != "")
+    marked = F.when(link, F.transform(opened, lambda o: F.struct(o["t"].alias("t"), o["i"].alias("i"), F.lit(True).alias("done")))).otherwise(opened)
+    hits = F.transform(F.filter(opened, lambda o: (o["i"] > 0) & ~o["done"]), lambda o: F.struct(o["i"].alias("i"), href.alias("href")))
+    number = F.when(tag == "li", n + 1).otherwise(F.lit(0))
+    grown = F.concat(marked, F.array(F.struct(tag.alias("t"), number.alias("i"), F.lit(False).alias("done")).cast(entry)))
+    skip = tag.isin("", *VOID_TAGS) | token.endswith("/>")
+    is_end = token.startswith("</")
+    return F.struct(
+        F.when(is_end, closed).when(skip, marked).otherwise(grown).cast(f"array<{entry}>").alias("open"),
+        (n + F.when(~is_end & (tag == "li"), 1).otherwise(0)).cast("int").alias("n"),
+        F.when(~is_end & link, F.concat(state["found"], hits)).otherwise(state["found"]).cast("array<struct<i:int,href:string>>").alias("found"))
 
 
 def harvest_links(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
     """S10 + O4: for each <li>, the href of its first <a href>; <li> without one is skipped.
 
     Returns (page_id, li_pos, href, page_url?) with li_pos counting all <li> from 1.
-    One page in, many rows out; nothing crosses a shuffle.
+    Rules of a lenient parser, folded over the page's tags in the JVM: an end tag
+    closes the latest open element of its name and everything opened inside it,
+    stray end tags are ignored, unclosed elements stay open (so outer items see
+    inner links), and comments, scripts and styles hold no tags.  One page in, many
+    rows out; nothing crosses a shuffle.
     """
     keep = [key] + (["url"] if "url" in pages.columns else [])
-    items = pages.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(LI_PATTERN), 1)).alias("_i", "_li"))
-    raw = F.regexp_extract(F.col("_li"), A_HREF_PATTERN, 1)
-    out = (items.withColumn("_href_raw", raw)
-                .where(F.col("_href_raw") != "")
-                .select(*keep, (F.col("_i") + 1).alias("li_pos"), _unescape(_unquote(F.col("_href_raw"))).alias("href")))
+    start = F.struct(F.array().cast("array<struct<t:string,i:int,done:boolean>>").alias("open"), F.lit(0).alias("n"),
+                     F.array().cast("array<struct<i:int,href:string>>").alias("found"))
+    tags = F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0)
+    tags = F.filter(tags, lambda t: ~t.rlike(r"(?i)^<(?:!--|script\b|style\b)"))
+    found = F.aggregate(tags, start, _fold, lambda s: s["found"])
+    rows = pages.where(F.col(html).isNotNull()).select(*keep, F.explode(found).alias("_l"))
+    out = rows.select(*keep, F.col("_l.i").alias("li_pos"), _unescape(_unquote(F.col("_l.href"))).alias("href")).where(F.col("href") != "")
     return out.withColumnRenamed("url", "page_url") if "url" in keep else out
 
 
-# Elements that never have content (no end tag to wait for).
-VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-
-
-def li_first_links(html: str) -> list[tuple[int, str | None]]:
-    """(li_pos, href) per <li> in document order, href of its first descendant
-    <a> with an href attribute ('' for a bare attribute, None when none).
-
-    Tree rules of a lenient parser: an end tag closes the most recent open
-    element of that name and everything opened inside it; stray end tags are
-    ignored; unclosed elements stay open, so nested items see inner links.
-    """
-    from html.parser import HTMLParser
-
-    class _P(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.items: list[str | None] = []
-            self.stack: list[tuple[str, int | None]] = []
-
-        def handle_starttag(self, tag, attrs):
-            if tag == "a":
-                href = next((v for k, v in attrs if k == "href"), False)
-                if href is not False:
-                    for _, li in self.stack:
-                        if li is not None and self.items[li] is None:
-                            self.items[li] = href or ""
-            if tag in VOID_TAGS:
-                return
-            li = None
-            if tag == "li":
-                self.items.append(None)
-                li = len(self.items) - 1
-            self.stack.append((tag, li))
-
-        def handle_startendtag(self, tag, attrs):
-            self.handle_starttag(tag, attrs)
-            if tag not in VOID_TAGS and self.stack and self.stack[-1][0] == tag:
-                self.stack.pop()
-
-        def handle_endtag(self, tag):
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == tag:
-                    del self.stack[i:]
-                    break
-
-    p = _P()
-    p.feed(html or "")
-    p.close()
-    return [(i + 1, h) for i, h in enumerate(p.items)]
-
-
-def harvest_links_parsed(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
-    """S10 with an HTML parser instead of a regex (stdlib `html.parser` in
-    `mapInPandas`): exact for nested lists and odd markup, slower than
-    `harvest_links`.  Same output columns."""
-    import pandas as pd
-
-    has_url = "url" in pages.columns
-    cols = [key] + (["url"] if has_url else []) + [html]
-
-    def run(batches):
-        for pdf in batches:
-            out = {key: [], "li_pos": [], "href": []}
-            if has_url:
-                out["page_url"] = []
-            for row in pdf.itertuples(index=False):
-                for pos, href in li_first_links(getattr(row, html)):
-                    if href:
-                        out[key].append(getattr(row, key))
-                        out["li_pos"].append(pos)
-                        out["href"].append(href)
-                        if has_url:
-                            out["page_url"].append(row.url)
-            yield pd.DataFrame({k: pd.Series(v, dtype="int32" if k == "li_pos" else None) for k, v in out.items()})
-
-    key_type = pages.schema[key].dataType.simpleString()
-    schema = f"{key} {key_type}" + (", page_url string" if has_url else "") + ", li_pos int, href string"
-    return pages.select(*cols).mapInPandas(run, schema)
-
-
 def suffix_filter(href: F.Column, suffixes=HARVEST_SUFFIXES) -> F.Column:
     """Non-empty href ending with one of the suffixes (case-sensitive)."""
     ends = functools.reduce(operator.or_, [href.endswith(s) for s in suffixes])
     return (href != "") & ends
 
 
-def file_urls(links: DataFrame, suffixes=HARVEST_SUFFIXES, host: str | None = None) -> DataFrame:
+def file_urls(links: DataFrame, suffixes=HARVEST_SUFFIXES, host: str | None = None, distinct: bool = False) -> DataFrame:
     """Keep file links, make absolute URLs, `/blob/` -> `/resolve/`, key = last segment.
 
+    `distinct`: one row (url, key) per URL, however many items link to it.
+
     A root-relative href is prefixed with `host`, or with the page's own origin
     when no host is given; an absolute href is kept as it is.
     """
@@ -144,6 +111,5 @@ def file_urls(links: DataFrame, suffixes=HARVEST_SUFFIXES, host: str | None = No
     prefix = F.lit(host) if host is not None else F.regexp_extract(F.col("page_url"), ORIGIN_PATTERN, 1)
     url = F.when(href.startswith("/"), F.concat(prefix, href)).otherwise(href)
     url = F.replace(url, F.lit("/blob/"), F.lit("/resolve/"))
-    return (links.where(suffix_filter(href, suffixes))
-                 .withColumn("url", url)
-                 .withColumn("key", last_segment(F.col("url"))))
+    out = links.where(suffix_filter(href, suffixes)).withColumn("url", url).withColumn("key", last_segment(F.col("url")))
+    return out.select("url", "key").distinct() if distinct else out

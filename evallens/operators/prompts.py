@@ -6,12 +6,22 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evallens.functions.text import splitext_base
-from evallens.schemas import MAX_RESPONSE_TOKENS, SUPPORTED_EXTENSIONS, SYSTEM_MESSAGE, TEMPERATURE
+from evallens.schemas import (CHUNK_END, CHUNK_HEAD, CHUNK_MID, MAX_RESPONSE_TOKENS, PROMPT_QUESTION, PROMPT_STEPS, PROMPT_TEXT,
+                              SUPPORTED_EXTENSIONS, SYSTEM_MESSAGE, TEMPERATURE)
+from evallens.sources.paths import path_exists
+
+# Stored answers, one row per prompt sent.
+SCORED = T.StructType([
+    T.StructField("prompt_id", T.StringType()),
+    T.StructField("response", T.StringType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("attempts", T.IntegerType()),
+])
 
 COMPLETED = T.StructType([
     T.StructField("prompt_id", T.StringType()),
@@ -30,8 +40,8 @@ def task_texts(extracted: DataFrame) -> DataFrame:
     """
     chunks = (extracted.where(F.col("ext").isin(list(SUPPORTED_EXTENSIONS)))
                        .select(splitext_base(F.col("key")).alias("task_id"), "key",
-                               F.concat(F.lit("Extracted Text from "), F.col("key"), F.lit(":\n"),
-                                        F.coalesce(F.col("text"), F.lit("")), F.lit("\n")).alias("chunk")))
+                               F.concat(F.lit(CHUNK_HEAD), F.col("key"), F.lit(CHUNK_MID),
+                                        F.coalesce(F.col("text"), F.lit("")), F.lit(CHUNK_END)).alias("chunk")))
     return chunks.groupBy("task_id").agg(
         F.expr("listagg(chunk, '') WITHIN GROUP (ORDER BY key)").alias("extracted_text"))
 
@@ -43,9 +53,9 @@ def prompt_text(steps, question, extracted_text) -> F.Column:
     """
     txt = F.coalesce(extracted_text, F.lit(""))
     return F.concat(
-        F.lit("Steps:\n"), F.coalesce(steps, F.lit("")),
-        F.lit("\n\nQuestion:\n"), F.coalesce(question, F.lit("")), F.lit("\n"),
-        F.when(txt != "", F.concat(F.lit("\nExtracted Text:\n"), txt)).otherwise(F.lit("")),
+        F.lit(PROMPT_STEPS), F.coalesce(steps, F.lit("")),
+        F.lit(PROMPT_QUESTION), F.coalesce(question, F.lit("")), F.lit("\n"),
+        F.when(txt != "", F.concat(F.lit(PROMPT_TEXT), txt)).otherwise(F.lit("")),
     )
 
 
@@ -72,18 +82,8 @@ def chat_request(prompt: str) -> dict:
     }
 
 
-def complete(prompts: DataFrame, fn: Callable[[str], str], parallelism: int | None = None,
-             max_attempts: int = 3, backoff_seconds: float = 0.5) -> DataFrame:
-    """M1: score every prompt with `fn` (prompt -> response) in Python workers.
-
-    `parallelism` bounds concurrent calls (one call at a time per partition).
-    Errors are kept apart from responses.  The result is recomputed on every
-    action, which would call the service again: write it once (see
-    `complete_to_table`) and read it back.
-    """
-    src = prompts.select(prompt_id(F.col("prompt")).alias("prompt_id"), "task_id", "prompt")
-    if parallelism:
-        src = src.repartition(parallelism, "prompt_id")
+def _answers(distinct: DataFrame, fn: Callable[[str], str], max_attempts: int, backoff_seconds: float) -> DataFrame:
+    """(prompt_id, response, error, attempts) of rows (prompt_id, prompt), one call per row."""
 
     def run(batches):
         for pdf in batches:
@@ -101,27 +101,67 @@ def complete(prompts: DataFrame, fn: Callable[[str], str], parallelism: int | No
                             time.sleep(backoff_seconds * 2 ** (n - 1))
                 out.append((resp, err, n))
             yield pd.DataFrame({
-                "prompt_id": pdf["prompt_id"], "task_id": pdf["task_id"],
+                "prompt_id": pdf["prompt_id"],
                 "response": [o[0] for o in out], "error": [o[1] for o in out],
                 "attempts": pd.array([o[2] for o in out], dtype="int32"),
             })
 
-    return src.mapInPandas(run, COMPLETED)
+    return distinct.mapInPandas(run, SCORED)
+
+
+def _identified(prompts: DataFrame) -> DataFrame:
+    return prompts.select(prompt_id(F.col("prompt")).alias("prompt_id"), "task_id", "prompt")
+
+
+def _distinct(identified: DataFrame, parallelism: int | None) -> DataFrame:
+    d = identified.groupBy("prompt_id").agg(F.first("prompt").alias("prompt"))
+    return d.repartition(parallelism, "prompt_id") if parallelism else d
+
+
+def complete(prompts: DataFrame, fn: Callable[[str], str], parallelism: int | None = None,
+             max_attempts: int = 3, backoff_seconds: float = 0.5) -> DataFrame:
+    """M1: one row per (task, prompt) with the response of `fn` (prompt -> response).
+
+    Equal prompts are sent once.  `parallelism` bounds concurrent calls (one
+    call at a time per partition).  Errors are kept apart from responses.  The
+    result is recomputed on every action, which would call the service again:
+    use `complete_to_table` to write answers once and read them back.
+    """
+    src = _identified(prompts)
+    got = _answers(_distinct(src, parallelism), fn, max_attempts, backoff_seconds)
+    return src.select("prompt_id", "task_id").join(got, "prompt_id").select(*COMPLETED.names)
 
 
 def changed_prompts(prompts: DataFrame, scored: DataFrame) -> DataFrame:
-    """M2: prompts whose text has not been scored yet (by prompt id)."""
+    """M2: prompts whose text has no answer yet (by prompt id; a failed call is no answer)."""
     p = prompts.withColumn("prompt_id", prompt_id(F.col("prompt")))
-    return p.join(scored.select("prompt_id").distinct(), "prompt_id", "left_anti").drop("prompt_id")
+    done = scored.where(F.col("error").isNull()) if "error" in scored.columns else scored
+    return p.join(done.select("prompt_id").distinct(), "prompt_id", "left_anti").drop("prompt_id")
+
 
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """The stored answer of each prompt: a response if there is one, else the last error."""
+    rows = spark.read.schema(SCORED).parquet(path)
+    best = F.max(F.struct(F.col("error").isNull().alias("ok"), "attempts", "response", "error"))
+    return rows.groupBy("prompt_id").agg(best.alias("b")).select("prompt_id", "b.response", "b.error", "b.attempts")
 
-def complete_to_table(prompts: DataFrame, fn: Callable[[str], str], path: str, **kw) -> DataFrame:
-    """M1 with a single write: only prompts not already in `path` are sent, then appended."""
+
+def complete_to_table(prompts: DataFrame, fn: Callable[[str], str], path: str, slices: int = 1,
+                      parallelism: int | None = None, max_attempts: int = 3, backoff_seconds: float = 0.5) -> DataFrame:
+    """M1 and M2 with bookkeeping: a row per (task, prompt), answers stored in `path`.
+
+    Prompts with a stored response are not sent; those that failed before, and
+    new ones, are sent once each, in `slices` parts that are committed one after
+    the other, so a failure loses at most the answers of one part.  Only a
+    missing path counts as "no table yet"; any other fault is raised.
+    """
     spark = prompts.sparkSession
-    try:
-        done = spark.read.schema(COMPLETED).parquet(path)
-        todo = changed_prompts(prompts, done)
-    except Exception:  # noqa: BLE001 - no table yet
-        todo = prompts
-    complete(todo, fn, **kw).write.mode("append").parquet(path)
-    return spark.read.schema(COMPLETED).parquet(path)
+    src = _identified(prompts)
+    part = F.pmod(F.xxhash64("prompt_id"), F.lit(slices))
+    for i in range(slices):
+        todo = src.where(part == i)
+        if path_exists(spark, path):
+            answered = spark.read.schema(SCORED).parquet(path).where(F.col("error").isNull())
+            todo = todo.join(answered.select("prompt_id"), "prompt_id", "left_anti")
+        _answers(_distinct(todo, parallelism), fn, max_attempts, backoff_seconds).write.mode("append").parquet(path)
+    return src.select("prompt_id", "task_id").join(read_answers(spark, path), "prompt_id").select(*COMPLETED.names)

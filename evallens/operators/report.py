@@ -34,8 +34,21 @@ def summary(evals: DataFrame) -> DataFrame:
 
 
 def format_pct(pct) -> F.Column:
-    """Display form `f"{x:.2f}%"` (Java rounds half-up on the decimal value)."""
-    return F.format_string("%.2f%%", pct)
+    """Display form `f"{x:.2f}%"`: the double's exact binary value, half to even.
+
+    A percentage scaled by a power of two is a whole number exactly, so the
+    hundredths and the remainder are exact integers (below 1/16 a larger scale is
+    needed for that).
+    """
+    def hundredths(bits: int) -> F.Column:
+        one = F.lit(1 << bits).cast("decimal(20,0)")
+        v = (pct * F.lit(float(1 << bits))).cast("long").cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)")
+        q = ((v - v % one) / one).cast("long")
+        twice = (v % one) * F.lit(2).cast("decimal(1,0)")
+        return q + F.when((twice > one) | ((twice == one) & (q % 2 == 1)), 1).otherwise(0)
+
+    h = F.when(pct >= 0.0625, hundredths(56)).otherwise(hundredths(60))
+    return F.concat(F.floor(h / 100).cast("string"), F.lit("."), F.lpad((h % 100).cast("string"), 2, "0"), F.lit("%"))
 
 
 def summary_display(evals: DataFrame) -> DataFrame:
@@ -52,48 +65,44 @@ def distribution(evals: DataFrame) -> DataFrame:
         F.expr("stack(2, 'Correct', correct_answers, 'Incorrect', incorrect_answers) AS (outcome, n)"))
 
 
-# Position of a token: (row id, index in the row) packed into one exact
-# decimal, id * 2^31 + index, so `min` runs in a hash aggregate (a struct
-# would force a sort-based aggregate over every token).
-_POS_SPAN = 2 ** 31
-
-
-def first_position(row_id, pos) -> F.Column:
-    return row_id.cast("decimal(38,0)") * F.lit(_POS_SPAN).cast("decimal(38,0)") + pos.cast("decimal(38,0)")
+def _tokens(df: DataFrame, text_col: str, id_col: str, stopwords) -> DataFrame:
+    toks = (df.where(F.col(text_col).isNotNull())
+              .select(F.col(id_col).alias("_id"), F.posexplode(tokens(text_col)).alias("_pos", "word")))
+    return toks.where(~F.col("word").isin(list(stopwords))) if stopwords else toks
 
 
 def word_counts(df: DataFrame, text_col: str = "user_feedback", id_col: str = "evaluation_id",
                 stopwords=STOPWORDS) -> DataFrame:
-    """Frequency of each non-stop-word, with its first occurrence.
+    """Frequency of each non-stop-word, and the id of the first row that holds it.
 
     Tokenising row by row equals tokenising the space-joined text, since a
-    space never belongs to a token.  `first` = (row id, position) of the first
-    occurrence breaks ties deterministically.  Counts and `min(first)` are
-    combined map-side, so a very frequent word is one row per task before the
-    shuffle.
+    space never belongs to a token.  Both are hash aggregates combined
+    map-side, so a very frequent word is one row per task before the shuffle.
     """
-    toks = (df.where(F.col(text_col).isNotNull())
-              .select(F.col(id_col).alias("_id"), F.posexplode(tokens(text_col)).alias("_pos", "word")))
-    if stopwords:
-        toks = toks.where(~F.col("word").isin(list(stopwords)))
-    return toks.groupBy("word").agg(
-        F.count(F.lit(1)).alias("frequency"),
-        F.min(first_position(F.col("_id"), F.col("_pos"))).alias("first"),
-    )
+    return _tokens(df, text_col, id_col, stopwords).groupBy("word").agg(
+        F.count(F.lit(1)).alias("frequency"), F.min("_id").alias("first_id"))
 
 
 def top_words(df: DataFrame, k: int = TOP_WORDS_K, text_col: str = "user_feedback",
               id_col: str = "evaluation_id", stopwords=STOPWORDS) -> DataFrame:
     """A6 + O2: `Counter(words).most_common(k)`; ties keep first-seen order.
 
-    `orderBy(...).limit(k)` plans as TakeOrderedAndProject: each task keeps
-    its own top k, no global sort.
+    Words are counted by (frequency, first row); `orderBy(...).limit(k)` plans as
+    TakeOrderedAndProject.  Only words that tie in both at the cut are told apart
+    by their place in the row, so positions are looked up in the at most k rows
+    the top words first occur in, never kept per token.
     """
     counts = word_counts(df, text_col, id_col, stopwords)
-    top = counts.orderBy(F.desc("frequency"), F.asc("first")).limit(k)
+    top = counts.orderBy(F.desc("frequency"), F.asc("first_id")).limit(k)
+    # every word of a (frequency, first row) pair among the top k: those of k rows at most
+    pairs = top.select("frequency", "first_id").distinct()
+    tied = counts.join(F.broadcast(pairs), ["frequency", "first_id"])
+    rows = df.join(F.broadcast(pairs.select(F.col("first_id").alias(id_col)).distinct()), id_col, "left_semi")
+    place = _tokens(rows, text_col, id_col, stopwords).groupBy(F.col("_id").alias("first_id"), "word").agg(F.min("_pos").alias("_pos"))
+    order = [F.desc("frequency"), F.asc("first_id"), F.asc("_pos")]
+    final = tied.join(place, ["first_id", "word"]).orderBy(*order).limit(k)
     # k rows only: a global window over them is free.
-    rank = F.row_number().over(Window.orderBy(F.desc("frequency"), F.asc("first")))
-    return top.select(rank.alias("rank"), "word", "frequency")
+    return final.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), "word", "frequency")
 
 
 def detail(evals: DataFrame) -> DataFrame:
@@ -101,13 +110,17 @@ def detail(evals: DataFrame) -> DataFrame:
 
     Sorting is a range shuffle; page through it with `limit`, never collect.
     """
-    return (evals.select("evaluation_id", "task_id", "is_correct", "user_feedback", "evaluation_timestamp")
+    return (evals.select("evaluation_id", "task_id", as_bool(F.col("is_correct")).alias("is_correct"), "user_feedback",
+                         "evaluation_timestamp")
                  .orderBy(F.col("evaluation_timestamp").asc_nulls_last(), F.col("evaluation_id")))
 
 
-def evaluation_report(evals: DataFrame, k: int = TOP_WORDS_K, max_bins: int = 30,
-                      grain: str | None = None) -> dict[str, DataFrame]:
-    """Job D in one call: every block of the report as a lazy DataFrame."""
+def evaluation_report(evals: DataFrame, k: int = TOP_WORDS_K, max_bins: int = 30) -> dict[str, DataFrame]:
+    """Job D in one call: every block of the report as a DataFrame.
+
+    All are lazy but the histogram, whose counted times are written to the
+    shared folder when the report is built.
+    """
     from evallens.operators import gaps
 
     return {
@@ -115,7 +128,7 @@ def evaluation_report(evals: DataFrame, k: int = TOP_WORDS_K, max_bins: int = 30
         "distribution": distribution(evals),
         "top_words": top_words(evals, k=k),
         "mean_gap": gaps.mean_gap(evals),
-        "histogram": gaps.gap_histogram(evals, max_bins=max_bins, grain=grain),
+        "histogram": gaps.gap_histogram(evals, max_bins=max_bins),
         "detail": detail(evals),
     }
 

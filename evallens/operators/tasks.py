@@ -17,12 +17,19 @@ from evallens.functions.text import py_strip
 def latest_per_key(df: DataFrame, key: str = "task_id", order: tuple[str, ...] = ("loaded_at",)) -> DataFrame:
     """One row per key, the last by `order` ("last row wins" made explicit).
 
-    `max_by` is combined map-side, so a key repeated in many rows costs one
-    row per task before the shuffle.
+    Rows that tie in `order` are told apart by their other columns, in column
+    order, so the result never depends on how rows are dealt.  The last order
+    value per key comes from a hash aggregate over (key, order) alone; only the
+    rows that hold it are compared in full.
     """
-    others = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*others), F.struct(*order)).alias("_row")
-    return df.groupBy(key).agg(best).select(key, "_row.*")
+    others = [c for c in df.columns if c != key and c not in order]
+    if len(order) == 1:
+        top = df.groupBy(F.col(key).alias("_k")).agg(F.max(order[0]).alias("_o"))
+        df_last = df.join(top, df[key].eqNullSafe(F.col("_k")) & df[order[0]].eqNullSafe(F.col("_o"))).drop("_k", "_o")
+    else:
+        df_last = df
+    best = F.max(F.struct(*order, *others)).alias("_row")
+    return df_last.groupBy(key).agg(best).select(*[F.col(key) if c == key else F.col(f"_row.`{c}`") for c in df.columns])
 
 
 def pick_tasks(tasks: DataFrame, ids) -> DataFrame:
@@ -50,7 +57,7 @@ def rejected_step_changes(changes: DataFrame) -> DataFrame:
 
 
 def latest_step_change(changes: DataFrame) -> DataFrame:
-    """Latest accepted edit per task, by (changed_at, seq)."""
+    """Latest accepted edit per task, by (changed_at, seq), ties by the steps' text."""
     return latest_per_key(valid_step_changes(changes).select("task_id", "steps", "changed_at", "seq"),
                           "task_id", ("changed_at", "seq"))
 
@@ -71,3 +78,13 @@ def apply_step_updates(tasks: DataFrame, changes: DataFrame) -> DataFrame:
 def unmatched_step_updates(tasks: DataFrame, changes: DataFrame) -> DataFrame:
     """Accepted edits whose task id matches no task (the reference reports success)."""
     return valid_step_changes(changes).join(tasks.select("task_id"), "task_id", "left_anti")
+
+
+def compact_steps(tasks: DataFrame, changes: DataFrame, path: str) -> DataFrame:
+    """Write the tasks with their current steps to `path` (a new version) and read it back.
+
+    Afterwards a reader needs only this version and the edits made since; the
+    compacted edits need not be aggregated again.  `path` must not exist.
+    """
+    apply_step_updates(tasks, changes).write.mode("errorifexists").parquet(path)
+    return tasks.sparkSession.read.parquet(path)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from evallens.operators import gaps, report
 from evallens.plans import fixtures as fx
@@ -55,7 +56,19 @@ def time_gaps(spark, d):
 
 
 def time_gaps_daily(spark, d):
-    return gaps.time_gaps(_events(spark, d), ts="ts", key="event_id", grain="day")
+    """Gaps of the events of each calendar day, restarted at midnight."""
+    gap = gaps.time_gaps(_events(spark, d), ts="ts", key="event_id")
+    prev = gaps.micros(F.col("ts")) - F.round(F.col("gap_minutes") * gaps.MICROS_PER_MINUTE).cast("long")
+    midnight = gaps.micros(F.to_date("ts").cast("timestamp_ntz"))
+    return gap.withColumn("gap_minutes", F.when(prev >= midnight, F.col("gap_minutes")))
+
+
+def time_gaps_tied(spark, d):
+    """Events with repeated rows and rows without an id at the same times."""
+    ev = _events(spark, d)
+    again = ev.where(F.col("event_id") % 10 == 0)
+    unnamed = ev.where(F.col("event_id") % 15 == 0).select(F.lit(None).cast("long").alias("event_id"), "ts")
+    return gaps.time_gaps(ev.unionByName(again).unionByName(unnamed), ts="ts", key="event_id")
 
 
 def evaluation_gaps(spark, d):
@@ -71,7 +84,7 @@ def evaluation_mean_gap(spark, d):
 
 
 def gap_histogram(spark, d):
-    return gaps.gap_histogram(_events(spark, d), ts="ts", key="event_id")
+    return gaps.gap_histogram(_events(spark, d), ts="ts")
 
 
 def evaluation_gap_histogram(spark, d):
@@ -88,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "first_evaluation": first_evaluation,
     "time_gaps": time_gaps,
     "time_gaps_daily": time_gaps_daily,
+    "time_gaps_tied": time_gaps_tied,
     "evaluation_gaps": evaluation_gaps,
     "mean_gap": mean_gap,
     "evaluation_mean_gap": evaluation_mean_gap,
@@ -98,8 +112,6 @@ QUERIES: dict[str, Query] = {
 
 # --- tasks -------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from evallens.operators import files as files_op  # noqa: E402
 from evallens.operators import links as links_op  # noqa: E402
 from evallens.operators import tasks as tasks_op  # noqa: E402
@@ -225,12 +237,11 @@ from evallens.operators import prompts as prompts_op  # noqa: E402
 
 
 def extract_plain(spark, d):
-    return extract_op.extract_text(fx.file_bytes(spark, d)).select("key", "ext", "text", "status")
+    return extract_op.extract_text(fx.file_bytes(spark, d), python_formats=()).select("key", "ext", "text", "status")
 
 
 def extract_csv(spark, d):
-    n = spark.sparkContext.defaultParallelism
-    return extract_op.extract_text(fx.csv_files(spark, d), parallelism=n).select("key", "ext", "text", "status")
+    return extract_op.extract_text(fx.csv_files(spark, d)).select("key", "ext", "text", "status")
 
 
 def extract_zip(spark, d):
@@ -256,13 +267,73 @@ def completions(spark, d):
     return prompts_op.complete(_prompts(spark, d), answer_fingerprint)
 
 
+def _extracted(spark, d):
+    """The text of the tasks' files, extracted once and stored."""
+    files = files_op.wanted_files(_tasks(spark, d), fx.object_bytes(spark, d))
+    path = scratch_path(spark, "extracted")
+    extract_op.extract_text(files).write.parquet(path)
+    return spark.read.schema(extract_op.EXTRACTED).parquet(path)
+
+
 def rerun_completions(spark, d):
-    """M2: after steps edits, only prompts whose text changed are scored again."""
-    before = _prompts(spark, d).withColumn("prompt_id", prompts_op.prompt_id(F.col("prompt")))
-    edited = tasks_op.apply_step_updates(_tasks(spark, d), fx.step_changes(spark, d))
-    after = _prompts(spark, d, edited)
-    return prompts_op.complete(prompts_op.changed_prompts(after, before), answer_fingerprint)
+    """M2: after steps edits, only prompts without a stored answer are scored again."""
+    tasks, texts = _tasks(spark, d), _extracted(spark, d)
+    answers = scratch_path(spark, "answers")
+    prompts_op.complete_to_table(prompts_op.build_prompts(tasks, texts), answer_fingerprint, answers)
+    edited = tasks_op.apply_step_updates(tasks, fx.step_changes(spark, d))
+    after = prompts_op.build_prompts(edited, texts)
+    return prompts_op.complete(prompts_op.changed_prompts(after, prompts_op.read_answers(spark, answers)), answer_fingerprint)
+
+
+def _failing_fingerprint(prompt: str) -> str:
+    """A service that is down for the prompts whose fingerprint starts with a letter."""
+    out = answer_fingerprint(prompt)
+    if out.split(":")[1][0] in "abcdef":
+        raise RuntimeError("down")
+    return out
+
+
+def completions_resumed(spark, d):
+    """M1 + M2: some prompts fail in the first run; the second run sends only those."""
+    p, answers = _prompts(spark, d), scratch_path(spark, "answers")
+    prompts_op.complete_to_table(p, _failing_fingerprint, answers, max_attempts=1)
+    return prompts_op.complete_to_table(p, answer_fingerprint, answers, slices=2)
+
+
+def completions_shared(spark, d):
+    """M1: tasks that share a prompt get a row each and the prompt is sent once."""
+    p = prompts_op.build_prompts(_tasks(spark, d))
+    again = p.withColumn("task_id", F.concat(F.lit("copy-"), "task_id"))
+    answers = scratch_path(spark, "answers")
+    rows = prompts_op.complete_to_table(p.unionByName(again), answer_fingerprint, answers)
+    sent = spark.read.schema(prompts_op.SCORED).parquet(answers).groupBy("prompt_id").agg(F.count(F.lit(1)).alias("times_sent"))
+    return rows.join(sent, "prompt_id").select("task_id", "response", "times_sent")
+
 
+def extract_csv_rewritten(spark, d):
+    """E4 where pandas changes the text: quoted fields, trailing zeros and a missing value."""
+    return extract_op.extract_text(fx.quoted_csv_files(spark, d)).select("key", "ext", "text", "status")
+
+
+def extract_encodings(spark, d):
+    """Carriage returns, bytes that are not UTF-8, and files without content."""
+    return extract_op.extract_text(fx.odd_file_bytes(spark, d), python_formats=()).select("key", "ext", "text", "status")
+
+
+def extract_decoded(spark, d):
+    """A caller's decoder for `.docx` files."""
+    files = fx.file_bytes(spark, d).select(F.regexp_replace("key", r"\.json$", ".docx").alias("key"), "content")
+    decode = lambda data: f"{len(data)} bytes"
+    return extract_op.extract_text(files, decoders={".docx": decode}, python_formats=()).where("ext = '.docx'").select("key", "text", "status")
+
+
+QUERIES.update({
+    "completions_resumed": completions_resumed,
+    "completions_shared": completions_shared,
+    "extract_csv_rewritten": extract_csv_rewritten,
+    "extract_encodings": extract_encodings,
+    "extract_decoded": extract_decoded,
+})
 
 QUERIES.update({
     "extract_plain": extract_plain,
@@ -284,23 +355,13 @@ from evallens.streaming import ingest as ingest_st  # noqa: E402
 KEY_DIR_PATTERN = r"/key=([^/]+)/[^/]*$"
 
 
-_STORES: dict[tuple[str, str], str] = {}
-
-
 def _stored_documents(spark, d):
-    """Documents written as files, one per key (the text writer adds a final newline).
-
-    Written once per application and input folder, then reused.
-    """
-    k = (spark.sparkContext.applicationId, d)
-    if k in _STORES:
-        return _STORES[k]
+    """Documents written as files, one per key (the text writer adds a final newline)."""
     store = scratch_path(spark, "store")
     docs = fx.file_bytes(spark, d).select("key", F.col("content").cast("string").alias("value"))
     # One file per key: spread keys over parallel writer tasks.
     docs = docs.repartition(4 * spark.sparkContext.defaultParallelism, "key")
     docs.write.partitionBy("key").text(store)
-    _STORES[k] = store
     return store
 
 
@@ -316,7 +377,7 @@ def objects_landed(spark, d):
     out = scratch_path(spark, "landed")
     objects_src.land_objects(spark, store, out, key_pattern=KEY_DIR_PATTERN)
     landed = objects_src.read_landed(spark, out)
-    return extract_op.extract_text(landed).select("key", "ext", "text", "status")
+    return extract_op.extract_text(landed, python_formats=()).select("key", "ext", "text", "status")
 
 
 def _evaluation_files(spark, d):
@@ -334,7 +395,7 @@ def ingest_stream_result(spark, d):
     sink = scratch_path(spark, "eval-sink")
     q = ingest_st.ingest_evaluations(spark, f"{src}/*", sink, scratch_path(spark, "ckpt"))
     q.awaitTermination()
-    return spark.read.schema(ingest_st.EVALUATIONS).parquet(sink)
+    return ingest_st.read_ingested(spark, sink)
 
 
 def live_summary_result(spark, d):
@@ -344,7 +405,7 @@ def live_summary_result(spark, d):
     ingest_st.ingest_evaluations(spark, f"{src}/*", sink, scratch_path(spark, "ckpt")).awaitTermination()
     out = scratch_path(spark, "summary")
     ingest_st.live_summary(spark, sink, out, scratch_path(spark, "ckpt")).awaitTermination()
-    return spark.read.parquet(out)
+    return ingest_st.read_summary(spark, out)
 
 
 QUERIES.update({
@@ -356,8 +417,8 @@ QUERIES.update({
 
 
 def links_parsed(spark, d):
-    """S10 through an HTML parser (exact tree semantics)."""
-    return links_op.harvest_links_parsed(_pages(spark, d))
+    """S10 on pages with nested and unclosed items, comments and custom tags."""
+    return links_op.harvest_links(fx.odd_pages(spark, d))
 
 
 QUERIES["links_parsed"] = links_parsed
@@ -373,3 +434,105 @@ def evaluated_tasks(spark, d):
 
 
 QUERIES.update({"summary_display": summary_display, "evaluated_tasks": evaluated_tasks})
+
+
+# --- backfills, strictness, versions -----------------------------------------------
+
+from evallens.operators import verdicts as verdicts_ops  # noqa: E402
+from evallens.sources import evaluations as evals_src  # noqa: E402
+
+
+def ingest_stream_backfill(spark, d):
+    """T1 over several triggers with old files among them, and equal verdicts without ids."""
+    src, sink = scratch_path(spark, "backfill-in"), scratch_path(spark, "backfill-sink")
+    ev = fx.evaluations(spark, d)
+    for i in range(3):  # each file's times lie months before the one before
+        part = ev.where(F.col("evaluation_id") % 3 == i)
+        part = part.withColumn("evaluation_timestamp", F.col("evaluation_timestamp") - F.make_dt_interval(F.lit(60 * i)))
+        part.coalesce(1).write.parquet(f"{src}/part{i}")
+    unnamed = ev.where(F.col("evaluation_id") % 5 == 0).withColumn("evaluation_id", F.lit(None).cast("long"))
+    unnamed.unionByName(unnamed).coalesce(1).write.parquet(f"{src}/part3")
+    ingest_st.ingest_evaluations(spark, f"{src}/*", sink, scratch_path(spark, "ckpt"), max_files_per_trigger=1).awaitTermination()
+    got = ingest_st.read_ingested(spark, sink)
+    return got.select(F.col("evaluation_id").isNotNull().alias("has_id"), "task_id", "is_correct", "user_feedback", "evaluation_timestamp")
+
+
+def evaluations_stored(spark, d):
+    """S5 + S6 + F10: verdicts without id and time, appended twice and read back."""
+    path = scratch_path(spark, "evaluations")
+    v = verdicts_ops.valid_verdicts(fx.verdicts(spark, d)).drop("evaluation_id", "evaluation_timestamp")
+    for _ in range(2):
+        evals_src.append_evaluations(v, path)
+    got = evals_src.read_evaluations(spark, path)
+    return got.groupBy("task_id", "is_correct", "user_feedback").agg(
+        F.count_distinct("evaluation_id").alias("ids"), F.count("evaluation_timestamp").alias("times"))
+
+
+def objects_fetched(spark, d):
+    """The content of the wanted keys."""
+    store = _stored_documents(spark, d)
+    wanted = fx.file_bytes(spark, d).where(F.col("key").rlike(r"[05]\.(txt|py)$")).select("key")
+    got = objects_src.fetch_objects(spark, store, wanted, key_pattern=KEY_DIR_PATTERN)
+    return got.select("key", F.col("content").cast("string").alias("text"))
+
+
+def _task_lines(spark, d):
+    """Task records as JSON lines; each eleventh is cut off, some levels are text or decimals."""
+    r = fx.nested_task_records(spark, d)
+    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in r.columns]))
+    i = F.col("task_id").cast("long")
+    line = F.when(i % 3 == 1, F.regexp_replace(line, r'"Level":(\d)', '"Level":"$1"')).when(
+        i % 3 == 2, F.regexp_replace(line, r'"Level":(\d)', '"Level":$1.0')).otherwise(line)
+    path = scratch_path(spark, "task-lines")
+    r.select(F.when(i % 11 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
+    return tasks_src.read_task_json(spark, path, multiline=False, strict=False)
+
+
+def tasks_lenient(spark, d):
+    """S1 + S2: the valid records of a lenient read, levels given as text or decimals."""
+    return tasks_src.flatten_tasks(tasks_src.good_records(_task_lines(spark, d)))
+
+
+def tasks_rejected(spark, d):
+    """The text of the records that are not valid JSON."""
+    return tasks_src.rejected_records(_task_lines(spark, d))
+
+
+def tasks_array(spark, d):
+    """S1 + S2: files whose root is an array, one per hundred tasks."""
+    r = fx.nested_task_records(spark, d)
+    arrays = r.groupBy(F.floor(F.col("task_id").cast("long") / 100).alias("part")).agg(
+        F.expr("concat('[', listagg(to_json(struct(*)), ',\n'), ']')").alias("value"))
+    path = scratch_path(spark, "task-arrays")
+    arrays.repartition("part").write.partitionBy("part").text(path)
+    return tasks_src.flatten_tasks(tasks_src.read_task_json(spark, path).drop("part"))
+
+
+def tasks_tied(spark, d):
+    """Loads with one time; the row that sorts last by its columns stays."""
+    loads = fx.task_loads(spark, d).withColumn("loaded_at", F.expr("timestamp_ntz'2024-03-01 00:00:00'"))
+    return tasks_op.latest_per_key(loads, "task_id", ("loaded_at",))
+
+
+def tasks_compacted(spark, d):
+    """A compacted version of the tasks reads like the log."""
+    return tasks_op.compact_steps(_tasks(spark, d), fx.step_changes(spark, d), scratch_path(spark, "tasks-v2"))
+
+
+def links_odd_files(spark, d):
+    """P3-P5 on odd pages: one row per file URL, `/blob/` rewritten."""
+    links = links_op.harvest_links(fx.odd_pages(spark, d))
+    return links_op.file_urls(links, distinct=True)
+
+
+QUERIES.update({
+    "ingest_stream_backfill": ingest_stream_backfill,
+    "evaluations_stored": evaluations_stored,
+    "objects_fetched": objects_fetched,
+    "tasks_lenient": tasks_lenient,
+    "tasks_rejected": tasks_rejected,
+    "tasks_array": tasks_array,
+    "tasks_tied": tasks_tied,
+    "tasks_compacted": tasks_compacted,
+    "links_odd_files": links_odd_files,
+})

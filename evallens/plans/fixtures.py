@@ -240,6 +240,46 @@ def file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files with carriage returns (id % 3 = 1), a byte that is not
+    UTF-8 at the end (id % 3 = 2; in `.py` files it reads as Latin-1), or, for ids
+    divisible by 9, no content."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    ext = F.element_at(F.array(F.lit(".txt"), F.lit(".py"), F.lit(".pdb")), (F.floor(F.col("doc_id") / 3) % 3 + 1).cast("int"))
+    text = F.encode(F.col("text"), "UTF-8")
+    ascii_ = F.encode(F.regexp_replace("text", r"[^\x00-\x7F]", "?"), "UTF-8")
+    bad = F.concat(F.when(ext == ".py", ascii_).otherwise(text), F.unhex(F.lit("E9")))
+    m = F.col("doc_id") % 3
+    content = F.when(F.col("doc_id") % 9 == 0, F.lit(None).cast("binary")).when(
+        m == 1, F.encode(F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n")), "UTF-8")).when(m == 2, bad).otherwise(text)
+    return d.select(F.concat(F.col("doc_id").cast("string"), ext).alias("key"), content.alias("content"))
+
+
+def quoted_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`{custkey}.csv` of the customer's orders: keys in quotes, priorities with a
+    zero too many, an empty field for orders that are not finished."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    line = F.concat(F.lit('"'), F.col("o_orderkey").cast("string"), F.lit('",'), (F.col("o_orderkey") % 7).cast("string"), F.lit(".50,"),
+                    F.when(F.col("o_orderstatus") == "F", F.lit("F")).otherwise(F.lit("")))
+    per = o.withColumn("_line", line).groupBy("o_custkey").agg(
+        F.expr("listagg(_line, '\n') WITHIN GROUP (ORDER BY o_orderkey)").alias("_body"))
+    return per.select(F.concat(F.col("o_custkey").cast("string"), F.lit(".csv")).alias("key"),
+                      F.encode(F.concat(F.lit("key,prio,status\n"), F.col("_body"), F.lit("\n\n")), "UTF-8").alias("content"))
+
+
+# --- odd pages: nested and unclosed items around the real page ---------------------------
+
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    i = F.col("page_id").cast("string")
+    head = F.concat(
+        F.lit('<!-- <li><a href="/hidden.pdf">x</a></li> --><ul><li><a href="/u/blob/'), i,
+        F.lit('.pdf">a<li class="x>y"><a name=n href=\'/v/'), i, F.lit('.txt\'>b</ul><li-icon><a href="/icon.pdf"></a></li-icon>'
+              '<script>var x = "<li><a href=/s.pdf>";</script><ol><li>outer<ul><li><a href="/in&#x26;'), i,
+        F.lit('&amp;&#233;.csv">c</a></li></ul></li><LI><br/><a href="https://o.example/z/blob/same.pdf">d</a></LI></ol><a href="/free.pdf">e</a>'))
+    return p.select("page_id", "url", F.concat(head, F.col("html")).alias("html"))
+
+
 # --- CSV files: one per order, its line items ----------------------------------------
 
 CSV_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")

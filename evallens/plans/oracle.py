@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from evallens.functions.text import WORD_PATTERN
 from evallens.plans import fixtures as fx
 from evallens.schemas import STOPWORDS
 
@@ -21,7 +20,7 @@ def _summary(src: str) -> str:
 
 def _word_counts(src: str, text: str, key: str) -> str:
     return f"""
-  src AS (SELECT {key} AS id, regexp_extract_all(lower({text}), '{WORD_PATTERN}') AS t
+  src AS (SELECT {key} AS id, [w FOR w IN regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}_]+') IF w <> ''] AS t
           FROM {src} WHERE {text} IS NOT NULL),
   toks AS (SELECT id, unnest(t) AS word, generate_subscripts(t, 1) AS pos FROM src),
   kept AS (SELECT * FROM toks WHERE word NOT IN ({_STOP})),
@@ -59,14 +58,14 @@ def _histogram(gaps_sql: str, max_bins: int = 30) -> str:
     return f"""
   g AS ({gaps_sql}),
   v AS (SELECT gap_minutes AS v FROM g WHERE gap_minutes IS NOT NULL),
-  r AS (SELECT (max(v) - min(v)) / {float(max_bins)}::DOUBLE AS raw FROM v),
-  p AS (SELECT raw, pow(10.0::DOUBLE, floor(log10(CASE WHEN raw > 0 THEN raw ELSE 1.0 END))) AS p FROM r),
-  w AS (SELECT CASE WHEN raw > 0 THEN
-                 (CASE WHEN raw / p <= 1.0 THEN 1.0 WHEN raw / p <= 2.0 THEN 2.0
-                       WHEN raw / p <= 5.0 THEN 5.0 ELSE 10.0 END)::DOUBLE * p
-               ELSE 1.0::DOUBLE END AS w FROM p),
-  b AS (SELECT CAST(floor(v / w) AS BIGINT) AS bin, w FROM v, w)
-SELECT bin, bin * w AS bin_start, (bin + 1) * w AS bin_end, count(*) AS n FROM b GROUP BY bin, w"""
+  r AS (SELECT min(v) AS lo, max(v) AS hi FROM v HAVING count(*) > 0),
+  w AS (SELECT lo, hi, CASE WHEN hi > lo THEN (
+          SELECT min(c.w) FROM (
+            SELECT m * pow(10.0::DOUBLE, e) AS w FROM (VALUES (1::DOUBLE), (2::DOUBLE), (5::DOUBLE)) m(m), range(-12, 15) e(e)) c
+          WHERE floor(hi / c.w) - floor(lo / c.w) + 1 <= {max_bins} AND c.w >= (hi - lo) / {max_bins}) ELSE 1.0::DOUBLE END AS w FROM r),
+  b AS (SELECT unnest(range(CAST(floor(lo / w) AS BIGINT), CAST(floor(hi / w) AS BIGINT) + 1)) AS bin, w FROM w),
+  c AS (SELECT CAST(floor(v / w) AS BIGINT) AS bin, count(*) AS n FROM v, w GROUP BY ALL)
+SELECT b.bin, b.bin * w AS bin_start, (b.bin + 1) * w AS bin_end, coalesce(n, 0) AS n FROM b LEFT JOIN c USING (bin)"""
 
 
 EV = "WITH" + fx.EVALUATIONS_SQL
@@ -86,7 +85,16 @@ SELECT evaluation_id, task_id, is_correct, user_feedback, evaluation_timestamp F
 ORDER BY evaluation_timestamp NULLS LAST, evaluation_id""",
     "first_evaluation": EV + "\nSELECT * FROM evaluations ORDER BY evaluation_id LIMIT 1",
     "time_gaps": _gaps(EVENTS, "ts", "event_id"),
-    "time_gaps_daily": _gaps(EVENTS, "ts", "event_id"),
+    "time_gaps_daily": """
+  SELECT event_id, ts,
+         CAST(date_diff('microsecond', lag(ts) OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id), ts) AS DOUBLE)
+         / 60000000.0::DOUBLE AS gap_minutes
+  FROM events WHERE ts IS NOT NULL
+  UNION ALL SELECT event_id, ts, NULL FROM events WHERE ts IS NULL""",
+    "time_gaps_tied": _gaps("""(
+    SELECT event_id, ts FROM events
+    UNION ALL SELECT event_id, ts FROM events WHERE event_id % 10 = 0
+    UNION ALL SELECT CAST(NULL AS BIGINT), ts FROM events WHERE event_id % 15 = 0)""", "ts", "event_id"),
     "evaluation_gaps": EV + _gaps("evaluations", "evaluation_timestamp", "evaluation_id"),
     "mean_gap": _mean_gap(EVENTS, "ts"),
     "evaluation_mean_gap": EV + _mean_gap("evaluations", "evaluation_timestamp"),
@@ -97,8 +105,6 @@ ORDER BY evaluation_timestamp NULLS LAST, evaluation_id""",
 
 # --- tasks, verdicts, files, links -------------------------------------------------
 
-from evallens.functions.text import HAS_EXT_PATTERN, SPLIT_EXT_PATTERN, STRIP_PATTERN  # noqa: E402
-from evallens.operators.links import A_HREF_PATTERN, ENTITIES, LI_PATTERN, ORIGIN_PATTERN  # noqa: E402
 from evallens.schemas import HARVEST_SUFFIXES, SUPPORTED_EXTENSIONS  # noqa: E402
 
 
@@ -107,8 +113,13 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# Python's white space, by code point.
+_SPACES = " || ".join(f"chr({c})" for c in (
+    *range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
+
+
 def strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, {q(STRIP_PATTERN)}, '', 'g')"
+    return f"trim({x}, {_SPACES})"
 
 
 _TASKS_FLAT = """
@@ -126,13 +137,12 @@ FROM tasks"""
 _VALID_CHANGES = f"""
   valid AS (SELECT * FROM step_changes WHERE {strip_sql('steps')} <> '')"""
 
-_SPLIT = f"""
-  SELECT file_name,
-         CASE WHEN regexp_matches(file_name, {q(HAS_EXT_PATTERN)})
-              THEN regexp_extract(file_name, {q(SPLIT_EXT_PATTERN)}, 1) ELSE file_name END AS file_base_name,
-         lower(CASE WHEN regexp_matches(file_name, {q(HAS_EXT_PATTERN)})
-              THEN regexp_extract(file_name, {q(SPLIT_EXT_PATTERN)}, 2) ELSE '' END) AS file_ext
-  FROM {{src}}"""
+# The extension starts at the last dot of the last path segment, leading dots aside.
+_SPLIT = """
+  SELECT file_name, left(file_name, length(file_name) - length(e)) AS file_base_name, lower(e) AS file_ext FROM (
+    SELECT file_name, CASE WHEN contains(ltrim(string_split(file_name, '/')[-1], '.'), '.')
+                           THEN '.' || string_split(file_name, '.')[-1] ELSE '' END AS e
+    FROM {src})"""
 
 
 def _split(src: str) -> str:
@@ -140,27 +150,29 @@ def _split(src: str) -> str:
     return f"SELECT *, file_ext IN ({exts}) AS supported FROM ({_SPLIT.format(src=src)})"
 
 
-def _unescape(x: str) -> str:
-    for ent, ch in ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return x
-
-
-_LINKS = f"""
-  li AS (SELECT page_id, url, regexp_extract_all(html, {q(LI_PATTERN)}, 1) AS items FROM pages),
-  li1 AS (SELECT page_id, url, unnest(items) AS li, generate_subscripts(items, 1) AS li_pos FROM li),
-  a AS (SELECT page_id, url, li_pos, regexp_extract(li, {q(A_HREF_PATTERN)}, 1) AS raw FROM li1),
+# The pages' items hold one level of list and hrefs in double quotes.
+_LINKS = """
+  li1 AS (SELECT page_id, url, unnest(string_split(html, '<li')[2:]) AS li,
+                 generate_subscripts(string_split(html, '<li')[2:], 1) AS li_pos FROM pages),
+  a AS (SELECT page_id, url, li_pos, regexp_extract(string_split(li, '</li>')[1], '<a [^>]*href="([^"]*)"', 1) AS raw FROM li1),
   links AS (
-    SELECT page_id, url AS page_url, CAST(li_pos AS INTEGER) AS li_pos,
-           {_unescape("CASE WHEN starts_with(raw, '\"') OR starts_with(raw, '''') THEN substring(raw, 2, length(raw) - 2) ELSE raw END")} AS href
+    SELECT page_id, url AS page_url, CAST(li_pos AS INTEGER) AS li_pos, replace(raw, '&amp;', '&') AS href
     FROM a WHERE raw <> '')"""
 
+# The four links before each odd page's own, which the page's then follow.
+_ODD = """,
+  odd AS (
+    SELECT page_id, url AS page_url, unnest([1, 2, 3, 4, 5]) AS li_pos,
+           unnest(['/u/blob/' || page_id || '.pdf', '/v/' || page_id || '.txt', '/in&' || page_id || '&é.csv', '/in&' || page_id || '&é.csv',
+                   'https://o.example/z/blob/same.pdf']) AS href FROM pages
+    UNION ALL SELECT page_id, page_url, li_pos + 5, href FROM links)"""
+
 
 def _file_urls(suffixes) -> str:
     ends = " OR ".join(f"ends_with(href, {q(s)})" for s in suffixes)
     return f"""WITH {_LINKS},
   f AS (SELECT *, replace(CASE WHEN starts_with(href, '/')
-                    THEN regexp_extract(page_url, {q(ORIGIN_PATTERN)}, 1) || href ELSE href END,
+                    THEN array_to_string(string_split(page_url, '/')[1:3], '/') || href ELSE href END,
                     '/blob/', '/resolve/') AS url
         FROM links WHERE href <> '' AND ({ends}))
 SELECT *, string_split(url, '/')[-1] AS key FROM f"""
@@ -317,11 +329,63 @@ ORACLE.update({
     "live_summary_result": EV + _summary("evaluations"),
 })
 
-# The test pages have no nested lists, where the parser and the regex agree.
-ORACLE["links_parsed"] = ORACLE["links_all"]
+ORACLE["links_parsed"] = f"WITH {_LINKS}{_ODD}\nSELECT page_id, page_url, CAST(li_pos AS INTEGER) AS li_pos, href FROM odd"
+ORACLE["links_odd_files"] = f"""WITH {_LINKS}{_ODD},
+  f AS (SELECT DISTINCT replace(CASE WHEN starts_with(href, '/') THEN array_to_string(string_split(page_url, '/')[1:3], '/') || href
+                                     ELSE href END, '/blob/', '/resolve/') AS url
+        FROM odd WHERE {" OR ".join(f"ends_with(href, {q(x)})" for x in HARVEST_SUFFIXES)})
+SELECT url, string_split(url, '/')[-1] AS key FROM f"""
 
 ORACLE["summary_display"] = EV + """, s AS (""" + _summary("evaluations") + """)
 SELECT total_evaluations, correct_answers, incorrect_answers,
        printf('%.2f%%', correct_pct) AS correct_rate, printf('%.2f%%', incorrect_pct) AS incorrect_rate FROM s"""
 ORACLE["evaluated_tasks"] = "WITH" + fx.TASKS_SQL + "," + fx.EVALUATIONS_SQL + """
 SELECT * EXCLUDE (conv_id) FROM tasks WHERE task_id IN (SELECT task_id FROM evaluations)"""
+
+ORACLE.update({
+    "completions_resumed": ORACLE["completions"],
+    "completions_shared": "WITH" + fx.TASKS_SQL + """,
+  p AS (SELECT task_id, 'Steps:' || chr(10) || coalesce(steps, '') || chr(10) || chr(10) || 'Question:' || chr(10)
+               || coalesce(question, '') || chr(10) AS prompt FROM tasks)
+SELECT task_id, """ + _FP + """ AS response, CAST(1 AS BIGINT) AS times_sent FROM p
+UNION ALL SELECT 'copy-' || task_id, """ + _FP + """, 1 FROM p""",
+    "extract_csv_rewritten": """
+SELECT CAST(o_custkey AS VARCHAR) || '.csv' AS key, '.csv' AS ext,
+       'key,prio,status' || chr(10) || string_agg(o_orderkey || ',' || o_orderkey % 7 || '.5,'
+         || CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE '' END || chr(10), '' ORDER BY o_orderkey) AS text, 'ok' AS status
+FROM orders GROUP BY o_custkey""",
+    "extract_encodings": """WITH f AS (
+  SELECT doc_id % 9 = 0 AS none, doc_id % 3 = 2 AS bad, ['.txt', '.py', '.pdb'][CAST(doc_id // 3 % 3 + 1 AS INTEGER)] AS ext, doc_id,
+         text FROM documents)
+SELECT doc_id || ext AS key, ext,
+       CASE WHEN none THEN NULL
+            WHEN bad AND ext = '.py' THEN regexp_replace(text, '[^\x00-\x7F]', '?', 'g') || 'é'
+            WHEN bad AND ext = '.pdb' THEN 'Error processing .pdb file: ''utf-8'' codec can''t decode the bytes: invalid UTF-8'
+            WHEN bad THEN 'Error processing file: ''utf-8'' codec can''t decode the bytes: invalid UTF-8'
+            ELSE replace(text, chr(13), chr(10)) END AS text,
+       CASE WHEN none THEN 'missing' WHEN bad AND ext <> '.py' THEN 'error' ELSE 'ok' END AS status
+FROM f""",
+    "extract_decoded": """
+SELECT doc_id || '.docx' AS key, strlen(text) || ' bytes' AS text, 'ok' AS status FROM documents WHERE doc_id % 4 = 3""",
+    "ingest_stream_backfill": EV + """
+SELECT true AS has_id, task_id, is_correct, user_feedback,
+       evaluation_timestamp - to_days(CAST(60 * (evaluation_id % 3) AS INTEGER)) AS evaluation_timestamp FROM evaluations
+UNION ALL SELECT true, task_id, is_correct, user_feedback, evaluation_timestamp
+FROM evaluations, range(2) WHERE evaluation_id % 5 = 0""",
+    "evaluations_stored": "WITH" + fx.VERDICTS_SQL + f""",
+  c AS (SELECT *, {strip_sql('user_feedback')} AS stripped FROM verdicts)
+SELECT task_id, is_correct, CASE WHEN NOT is_correct THEN stripped END AS user_feedback,
+       CAST(2 AS BIGINT) AS ids, CAST(2 AS BIGINT) AS times
+FROM c WHERE CASE WHEN is_correct THEN user_feedback IS NULL ELSE coalesce(stripped, '') <> '' END""",
+    "objects_fetched": _DOC_KEYS + """
+SELECT key, text || chr(10) AS text FROM f WHERE regexp_matches(key, '[05][.](txt|py)$')""",
+    "tasks_lenient": "WITH" + fx.TASKS_SQL + _TASKS_FLAT + " WHERE conv_id % 11 <> 0",
+    "tasks_rejected": "WITH" + fx.TASKS_SQL + """
+SELECT left('{"task_id":"' || task_id || '","Question":"' || coalesce(question, ''), 20) AS record FROM tasks WHERE conv_id % 11 = 0""",
+    "tasks_array": "WITH" + fx.TASKS_SQL + _TASKS_FLAT,
+    "tasks_tied": "WITH" + fx.TASK_LOADS_SQL + """
+SELECT * EXCLUDE (rn) REPLACE (TIMESTAMP '2024-03-01 00:00:00' AS loaded_at) FROM (
+  SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY question DESC NULLS LAST) AS rn FROM task_loads)
+WHERE rn = 1""",
+    "tasks_compacted": ORACLE["tasks_current_steps"],
+})

@@ -16,7 +16,7 @@ ANNOTATOR_METADATA = T.StructType([
 TASK_JSON = T.StructType([
     T.StructField("task_id", T.StringType()),
     T.StructField("Question", T.StringType()),
-    T.StructField("Level", T.IntegerType()),
+    T.StructField("Level", T.StringType()),
     T.StructField("file_name", T.StringType()),
     T.StructField("Final answer", T.StringType()),
     T.StructField("Annotator Metadata", ANNOTATOR_METADATA),
@@ -81,3 +81,11 @@ TEMPERATURE = 0.7
 
 TOP_WORDS_K = 5
 HISTOGRAM_MAX_BINS = 30
+
+# Prompt and text-chunk wording.
+PROMPT_STEPS = "Steps:\n"
+PROMPT_QUESTION = "\n\nQuestion:\n"
+PROMPT_TEXT = "\nExtracted Text:\n"
+CHUNK_HEAD = "Extracted Text from "
+CHUNK_MID = ":\n"
+CHUNK_END = "\n"

@@ -26,18 +26,27 @@ def normalize_evaluations(df: DataFrame) -> DataFrame:
     )
 
 
-def read_evaluations(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scan stored evaluations with the fixed schema (no inference pass)."""
-    return normalize_evaluations(spark.read.format(fmt).schema(EVALUATIONS).load(path))
+def read_evaluations(spark: SparkSession, path: str | None, fmt: str = "parquet",
+                     options: dict | None = None) -> DataFrame:
+    """Scan stored evaluations with the fixed schema (no inference pass).
+
+    With `fmt="jdbc"` pass `path=None` and the JDBC options; the database gives
+    the schema (`partitionColumn` and its bounds let many tasks read).
+    """
+    r = spark.read.format(fmt).options(**(options or {}))
+    if fmt != "jdbc":
+        r = r.schema(EVALUATIONS)
+    return normalize_evaluations(r.load(path) if path is not None else r.load())
 
 
 def with_evaluation_id(df: DataFrame) -> DataFrame:
-    """Fill a missing `evaluation_id` with a hash of the row's content.
+    """Give rows without an `evaluation_id` a new one.
 
-    Unlike `uuid()` or `monotonically_increasing_id()`, the hash is the same when a
-    task is retried after an executor loss, so re-runs do not mint new ids.
+    Equal verdicts are different rows, so an id is random and never a hash of the
+    content.  Write the result once and read it back: only one attempt of each
+    task is committed, so a retried task does not store a row twice.
     """
-    h = F.xxhash64("task_id", "evaluation_timestamp", "is_correct", "user_feedback")
+    h = F.xxhash64(F.uuid())
     if "evaluation_id" not in df.columns:
         return df.withColumn("evaluation_id", h)
     return df.withColumn("evaluation_id", F.coalesce(F.col("evaluation_id").cast("long"), h))
@@ -51,10 +60,12 @@ def stamp(df: DataFrame) -> DataFrame:
                          F.coalesce(F.col("evaluation_timestamp").cast("timestamp_ntz"), F.localtimestamp()))
 
 
-def append_evaluations(valid: DataFrame, path: str, fmt: str = "parquet") -> None:
+def append_evaluations(valid: DataFrame, path: str | None, fmt: str = "parquet",
+                       options: dict | None = None) -> None:
     """Append validated verdicts (see operators.verdicts.validate_verdicts).
 
     One job commit for the whole batch, like the single transaction per insert.
     """
     rows = normalize_evaluations(with_evaluation_id(stamp(valid)))
-    rows.write.mode("append").format(fmt).save(path)
+    w = rows.write.mode("append").format(fmt).options(**(options or {}))
+    w.save(path) if path is not None else w.save()

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evallens.functions.text import last_segment, splitext_ext
+from evallens.session import scratch_path
 
 
 def _key(path: F.Column, key_pattern: str | None) -> F.Column:
@@ -40,15 +41,17 @@ def fetch_objects(spark: SparkSession, uri: str, wanted: DataFrame | None = None
                   key_pattern: str | None = None, glob: str | None = None) -> DataFrame:
     """(key, content) of the objects below `uri`, optionally only the keys in `wanted`.
 
-    The binaryFile reader loads a whole file per row (bounded by
-    `spark.sql.sources.binaryFile.maxLength`); for repeated reads of a large
-    store, land it once (`land_objects`) and read the landed table instead.
+    Wanted keys are resolved to paths on the listing, without reading a byte, and
+    the paths' semi join filters the file rows before their content is
+    shuffled: Spark broadcasts the path table if its stored size is under the
+    broadcast threshold.  For repeated reads of a large store, land it once.
     """
-    df = _reader(spark, glob).load(uri).select("path", "content")
-    df = df.select(_key(F.col("path"), key_pattern).alias("key"), "content")
+    store = _reader(spark, glob).load(uri)
+    key = _key(F.col("path"), key_pattern)
     if wanted is not None:
-        df = df.join(wanted.select("key").distinct(), "key", "left_semi")
-    return df
+        paths = store.select("path", key.alias("key")).join(wanted.select("key").distinct(), "key", "left_semi").select("path")
+        store = store.join(_stored(paths, "fetch-paths"), "path", "left_semi")
+    return store.select(key.alias("key"), "content")
 
 
 def latest_per_key(listing: DataFrame) -> DataFrame:
@@ -58,45 +61,45 @@ def latest_per_key(listing: DataFrame) -> DataFrame:
         F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
 
 
-# Fixed value: most superseded paths shipped to every task as a broadcast
-# (a path is ~100 bytes, so this bounds the broadcast near 10 MB).
-MAX_BROADCAST_SUPERSEDED = 100_000
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def land_objects(spark: SparkSession, uri: str, out: str, key_pattern: str | None = None,
-                 glob: str | None = None, max_broadcast: int = MAX_BROADCAST_SUPERSEDED,
-                 bytes_per_task: int = 128 << 20) -> None:
+                 glob: str | None = None, bytes_per_task: int = 128 << 20, landing: int = 0) -> None:
     """Copy the store into a table (key, ext, length, modificationTime, content)
-    partitioned by extension.
-
-    Winners are chosen on metadata (no bytes read), and one metadata job
-    counts the paths they supersede and the bytes to land.  When nothing is
-    superseded, every file is kept as it is scanned.  Up to `max_broadcast`
-    superseded paths, a broadcast anti join drops them.  Only beyond that are
-    the bytes shuffled (a semi join on the winners).  Scan partitions of many
-    small files are coalesced (no shuffle) to about one per `bytes_per_task`
-    of data (at least one per core), so each writer task writes
-    few, full files.  Listing and bytes come from one relation, so both see
-    the same file listing.  Writes go to a new directory; nothing is
-    overwritten.
+    under `out`, partitioned by landing number and extension.
+
+    Winners per key are chosen on metadata (no bytes read); the paths they
+    supersede go to a table, and an anti join drops them as files are scanned.
+    Scan partitions of many small files are coalesced (no shuffle) to about one
+    per `bytes_per_task` of data (at least one per core), so each writer
+    task writes few, full files.  A later landing has a greater number and
+    overwrites only itself if it is repeated; `read_landed` resolves the latest
+    object per key over all of them.
     """
     store = _reader(spark, glob).load(uri)
     listing = store.select("path", "length", "modificationTime").withColumn("key", _key(F.col("path"), key_pattern))
-    winners = latest_per_key(listing).select("path")
-    flagged = listing.join(winners.withColumn("_won", F.lit(True)), "path", "left")
-    superseded_n, total = flagged.agg(F.count_if(F.col("_won").isNull()), F.coalesce(F.sum("length"), F.lit(0))).first()
-    if superseded_n == 0:
-        kept = store
-    elif superseded_n <= max_broadcast:
-        kept = store.join(F.broadcast(listing.select("path").join(winners, "path", "left_anti")), "path", "left_anti")
-    else:
-        kept = store.join(winners, "path", "left_semi")
+    superseded = _stored(listing.join(latest_per_key(listing).select("path"), "path", "left_anti").select("path"), "land-superseded")
+    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // bytes_per_task))
     key = _key(F.col("path"), key_pattern)
-    landed = kept.coalesce(tasks).select(
+    landed = store.join(superseded, "path", "left_anti").coalesce(tasks).select(
         key.alias("key"), splitext_ext(key).alias("ext"), "length", "modificationTime", "content")
-    landed.write.mode("errorifexists").partitionBy("ext").parquet(out)
+    landed.write.mode("overwrite").partitionBy("ext").parquet(f"{out}/landing={landing}")
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The landed objects, the latest per key over all landings (a later landing wins).
+
+    With one landing nothing is joined; otherwise the superseded (key, landing)
+    pairs are found on metadata and dropped by an anti join.
+    """
+    df = spark.read.parquet(path)
+    if df.select("landing").distinct().count() > 1:
+        last = df.groupBy("key").agg(F.max("landing").alias("last"))
+        gone = df.select("key", "landing").join(last, "key").where(F.col("landing") < F.col("last")).select("key", "landing")
+        df = df.join(_stored(gone, "landed-superseded"), ["key", "landing"], "left_anti")
+    return df.select("key", "ext", "length", "modificationTime", "content")

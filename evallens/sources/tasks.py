@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evallens.schemas import TASK_JSON, TASKS
 
@@ -14,17 +15,35 @@ READ_COLUMNS = ["task_id", "question", "final_answer", "steps", "number_of_steps
                 "how_long", "tools", "number_of_tools"]
 
 
-def read_task_json(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def read_task_json(spark: SparkSession, path: str, multiline: bool = True, strict: bool = True) -> DataFrame:
     """Metadata JSON with the fixed schema.
 
     `multiline=True` reads files whose root is an array (one record per
     element); such a file is one task, so at scale prefer many files or JSON
-    lines (`multiline=False`), which split.
+    lines (`multiline=False`), which split.  A record that is not valid JSON fails
+    the read; with `strict=False` it is kept as text in `_corrupt_record`
+    (`good_records`, `rejected_records`).
     """
-    return (spark.read.schema(TASK_JSON)
-                 .option("multiLine", multiline)
-                 .option("mode", "PERMISSIVE")
-                 .json(path))
+    r = spark.read.option("multiLine", multiline)
+    if strict:
+        return r.schema(TASK_JSON).option("mode", "FAILFAST").json(path)
+    lenient = T.StructType([*TASK_JSON.fields, T.StructField(CORRUPT, T.StringType())])
+    return r.schema(lenient).option("mode", "PERMISSIVE").json(path)
+
+
+def good_records(read: DataFrame) -> DataFrame:
+    """The records of a lenient read that are valid."""
+    return read.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected_records(read: DataFrame) -> DataFrame:
+    """The text of the records of a lenient read that are not."""
+    # Spark reads the text of bad records only beside another column.
+    nothing = F.left(F.coalesce("task_id", F.lit("")), F.lit(0))
+    return read.where(F.col(CORRUPT).isNotNull()).select(F.concat(F.col(CORRUPT), nothing).alias("record"))
 
 
 def parse_task_json(text_col) -> F.Column:
@@ -46,7 +65,8 @@ def flatten_tasks(nested: DataFrame) -> DataFrame:
     return nested.select(
         s(F.col("task_id")).alias("task_id"),
         s(F.col("Question")).alias("question"),
-        F.coalesce(F.col("Level").cast("int"), F.lit(0)).alias("level"),
+        # a number, a number as text or with a decimal point
+        F.coalesce(F.expr("try_cast(Level AS double)").cast("int"), F.lit(0)).alias("level"),
         s(F.col("file_name")).alias("file_name"),
         s(F.col("`Final answer`")).alias("final_answer"),
         s(meta.getField("Steps")).alias("steps"),

@@ -10,61 +10,78 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from evallens.operators import report
 from evallens.operators.verdicts import valid_verdicts
 from evallens.schemas import EVALUATIONS
-from evallens.sources.evaluations import normalize_evaluations, with_evaluation_id
+from evallens.sources.evaluations import EVAL_COLUMNS, normalize_evaluations, stamp, with_evaluation_id
+from evallens.sources.paths import path_exists
+
+
+STORED = T.StructType([*EVALUATIONS.fields, T.StructField("batch", T.LongType())])
 
 
 def _trigger(w, available_now: bool, interval: str):
     return w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
 
 
-def deduplicated(stream: DataFrame, watermark: str = "7 days") -> DataFrame:
-    """Drop repeated `evaluation_id`s seen within the watermark delay.
-
-    `withWatermark` needs a TIMESTAMP column, so the zone-less time is cast
-    (session zone UTC).  Rows later than the watermark are dropped by Spark:
-    keep the delay generous and the raw files, so a batch run can rebuild.
-    """
-    s = stream.withColumn("_event_time", F.col("evaluation_timestamp").cast("timestamp"))
-    return (s.withWatermark("_event_time", watermark)
-             .dropDuplicatesWithinWatermark(["evaluation_id"])
-             .drop("_event_time"))
+def read_ingested(spark: SparkSession, sink: str) -> DataFrame:
+    """The evaluations stored by `ingest_evaluations`."""
+    return spark.read.schema(EVALUATIONS).parquet(sink).select(*EVAL_COLUMNS)
 
 
 def ingest_evaluations(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                       watermark: str = "7 days", validate: bool = False, fmt: str = "parquet",
+                       validate: bool = False, fmt: str = "parquet",
                        max_files_per_trigger: int | None = None, available_now: bool = True,
                        interval: str = "1 minute") -> StreamingQuery:
-    """verdict/evaluation files in `source` -> deduplicated rows appended to `sink`."""
+    """verdict/evaluation files in `source` -> rows stored in `sink`, one folder per micro-batch.
+
+    Nothing is dropped for being late.  A supplied `evaluation_id` is stored
+    once: repeats within a batch and ids stored by earlier batches are left out
+    (an anti join on ids; no state is kept between batches).  Rows without an id
+    are all kept and get a new one, and a missing time becomes the batch's time.
+    A batch that is replayed after a failure overwrites its own folder.
+    """
     r = spark.readStream.schema(EVALUATIONS).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = r.load(source)
-    if validate:
-        rows = valid_verdicts(rows)
-    rows = normalize_evaluations(with_evaluation_id(rows))
-    w = (deduplicated(rows, watermark).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    return _trigger(w, available_now, interval).start(sink)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        if validate:
+            batch = valid_verdicts(batch)
+        named = batch.where(F.col("evaluation_id").isNotNull()).dropDuplicates(["evaluation_id"])
+        if path_exists(spark, sink):
+            earlier = spark.read.schema(STORED).parquet(sink)
+            named = named.join(earlier.where(F.col("batch") < batch_id).select("evaluation_id"), "evaluation_id", "left_anti")
+        new = with_evaluation_id(batch.where(F.col("evaluation_id").isNull()))
+        out = normalize_evaluations(stamp(named.select(*EVAL_COLUMNS).unionByName(new.select(*EVAL_COLUMNS))))
+        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    w = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, interval).start()
 
 
 def live_summary(spark: SparkSession, evaluations: str, out: str, checkpoint: str,
                  available_now: bool = True, interval: str = "1 minute") -> StreamingQuery:
     """A1-A4 over the evaluations table as a streaming aggregate.
 
-    Complete mode; each micro-batch replaces the summary table (idempotent if
-    a batch is replayed after a failure).
+    Complete mode; each micro-batch writes a version of its own, which readers
+    see once it is committed (`read_summary`), so a reader or a crash never finds
+    the summary gone.
     """
-    src = spark.readStream.schema(EVALUATIONS).parquet(evaluations)
-    agg = report.summary(src)
+    agg = report.summary(spark.readStream.schema(EVALUATIONS).parquet(evaluations))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
 
     w = (agg.writeStream.outputMode("complete").foreachBatch(publish)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, available_now, interval).start()
+
+
+def read_summary(spark: SparkSession, out: str) -> DataFrame:
+    """The latest complete version of the summary."""
+    return spark.read.parquet(out).orderBy(F.desc("version")).limit(1).drop("version")

@@ -97,11 +97,41 @@ def test_complete_to_table_sends_only_new(spark, tmp_dir):
         return p * 2
 
     out = f"{tmp_dir}/done"
-    prompts_op.complete_to_table(p1, fn, out)
+    assert prompts_op.complete_to_table(p1, fn, out).count() == 2
     p2 = spark.createDataFrame([("t1", "a"), ("t2", "b2")], "task_id string, prompt string")
     res = prompts_op.complete_to_table(p2, fn, out)
-    assert calls.value == 3 and res.count() == 3
-    assert res.where(F.col("response") == "b2b2").count() == 1
+    assert {(r.task_id, r.response) for r in res.collect()} == {("t1", "aa"), ("t2", "b2b2")}
+    assert calls.value == 3
+
+
+def test_completion_bookkeeping(spark, tmp_dir):
+    """A failed prompt is sent again, equal prompts are sent once, every task gets a row."""
+    import pytest
+
+    calls = spark.sparkContext.accumulator(0)
+    p = spark.createDataFrame([("t1", "a"), ("t2", "b"), ("t9", "a")], "task_id string, prompt string")
+
+    def down(x):
+        raise RuntimeError("down")
+
+    def up(x):
+        calls.add(1)
+        return x * 2
+
+    out = f"{tmp_dir}/answers"
+    first = prompts_op.complete_to_table(p, down, out, max_attempts=1).collect()
+    assert {(r.task_id, r.response) for r in first} == {("t1", None), ("t2", None), ("t9", None)}
+    second = prompts_op.complete_to_table(p, up, out, slices=3).collect()
+    assert {(r.task_id, r.response, r.error) for r in second} == {("t1", "aa", None), ("t2", "bb", None), ("t9", "aa", None)}
+    assert calls.value == 2
+    bad = f"{tmp_dir}/broken"
+    import os
+    os.makedirs(bad)
+    with open(f"{bad}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):  # a fault is not "no table yet"
+        prompts_op.complete_to_table(p, up, bad)
+    assert calls.value == 2
 
 
 _CSV_TOKENS = ["1", "0", "-3", "007", "+5", "-0", "1.5", "1e5", "12345678901234567890", "x", "abc", "N", "-", ".",
@@ -162,3 +192,25 @@ def test_extract_reads_each_file_once(spark, tmp_dir):
     assert got["a.txt"] == ("x\ny", "ok") and got["b.csv"] == ("k,v\n1,x\n", "ok")
     assert got["c.csv"] == ("k,v\n1.5,x\n", "ok")  # pandas re-emits the float
     assert got["d.zip"][1] == "error"
+
+
+def test_text_only_plan_stays_in_the_jvm(spark):
+    rows = [("a.txt", b"x\r\ny"), ("b.csv", b"k,v\n1,x\n"), ("c.csv", b"k,v\n1.50,x\n"), ("n.txt", None), ("n.zip", None), ("d.zip", b"PK")]
+    out = extract_op.extract_text(files(spark, rows), python_formats=())
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.key: (r.text, r.status) for r in out.collect()}
+    assert got == {"a.txt": ("x\ny", "ok"), "b.csv": ("k,v\n1,x\n", "ok"), "c.csv": (None, "not_routed"), "d.zip": (None, "not_routed"),
+                   "n.txt": (None, "missing"), "n.zip": (None, "missing")}
+    full = {r.key: r.status for r in extract_op.extract_text(files(spark, rows)).collect()}
+    assert full["n.txt"] == full["n.zip"] == "missing" and full["c.csv"] == "ok"
+
+
+def test_archives_nest_without_a_limit_and_report_faults():
+    data = _zip([("deep.txt", b"bottom")])
+    want = "Extracted from deep.txt:\nbottom\n"
+    for _ in range(40):
+        data, want = _zip([("in.zip", data)]), f"Extracted from in.zip:\n{want}\n"
+    assert extract_op.extract_bytes("x.zip", data) == (want, "ok", None)
+    text, status, err = extract_op.extract_bytes("x.zip", _zip([("a.txt", b"\xff"), ("b.zip", b"broken"), ("c.txt", b"ok")]))
+    assert status == "partial" and err.startswith("a.txt: ") and text.endswith("Extracted from c.txt:\nok\n")
+    assert "Extracted from b.zip:\nError processing file: File is not a zip file\n" in text

@@ -82,8 +82,15 @@ def test_gaps_edge_rows_all_grains(spark):
     df = evals(spark, [(i, str(i), True, None, t) for i, t in GAP_ROWS])
     want = _pandas_gaps(GAP_ROWS)
     assert want[2] == 0.0 and want[4] is None
-    for kw in ({}, {"buckets": 3}, {"grain": "day"}, {"grain": "hour"}, {"grain": "month"}):
-        assert _spark_gaps(gaps.time_gaps(df, **kw)) == want, kw
+    assert _spark_gaps(gaps.time_gaps(df)) == want
+
+
+def test_gaps_of_repeated_and_null_keys(spark):
+    T1 = T0 + dt.timedelta(minutes=4)
+    rows = [(1, T0), (2, T1), (2, T1), (None, T1), (None, T1 + dt.timedelta(minutes=11)), (None, None)]
+    df = evals(spark, [(i, "a", True, None, t) for i, t in rows])
+    got = sorted(str((r.evaluation_id, r.gap_minutes)) for r in gaps.time_gaps(df).collect())
+    assert got == sorted(map(str, [(1, None), (2, 4.0), (2, 0.0), (None, 0.0), (None, 11.0), (None, None)]))
 
 
 def test_gaps_single_row_and_mean(spark):
@@ -107,12 +114,16 @@ def test_gaps_on_events_equal_naive_lag(spark):
     assert naive.exceptAll(mine).count() == 0 and mine.exceptAll(naive).count() == 0
 
 
-def test_gaps_plan_has_no_global_window_over_rows(spark):
+def test_gaps_scan_the_input_once_and_window_per_bucket(spark, monkeypatch):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "ts")
-    plan = gaps.time_gaps(ev, ts="ts", key="event_id", grain="day")._jdf.queryExecution().executedPlan().toString()
-    # rows are windowed per bucket (hash exchange on the bucket), never as one partition
-    assert "hashpartitioning(_b" in plan
-    assert plan.count("lag(ts") == 1
+    monkeypatch.setattr(gaps, "ROWS_PER_BUCKET", 100)
+    out = gaps.gap_histogram(ev, ts="ts")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # times are windowed per bucket (hash exchange on the bucket), never as one partition
+    assert "hashpartitioning(_b" in plan and plan.count("lag(_ts") >= 1
+    assert "events.parquet" not in plan
+    counted = gaps._counted(ev, "ts", [])
+    assert counted.select("_b").distinct().count() > 60  # buckets follow the rows, not a fixed number
 
 
 def test_histogram_equal_values_one_bin(spark):
@@ -127,13 +138,15 @@ def test_histogram_counts_sum_and_width(spark):
     rows = gaps.histogram(df).collect()
     assert sum(r.n for r in rows) == len(vals)
     assert {r.bin_end - r.bin_start for r in rows} == {5.0}  # 61/30 -> 2.03 -> 5
-    assert len(rows) <= 31
+    assert sorted(r.bin for r in rows) == list(range(13))  # empty bins too
+    many = gaps.histogram(spark.createDataFrame([(i + 0.5,) for i in range(31)], "gap_minutes double")).collect()
+    assert len(many) <= 30 and sum(r.n for r in many) == 31
 
 
 def test_evaluation_report_bundle(spark):
     df = evals(spark, [(i, str(i), i % 3 != 0, None if i % 3 else "bad units", T0 + dt.timedelta(minutes=7 * i))
                        for i in range(12)])
-    rep = report.evaluation_report(df, grain="day")
+    rep = report.evaluation_report(df)
     assert set(rep) == {"summary", "distribution", "top_words", "mean_gap", "histogram", "detail"}
     assert rep["summary"].collect()[0].total_evaluations == 12
     assert abs(rep["mean_gap"].collect()[0].mean_gap_minutes - 7.0) < 1e-12
@@ -149,7 +162,7 @@ def test_gaps_ignore_session_time_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         df = evals(spark, [(i, str(i), True, None, t) for i, t in rows])
-        got = _spark_gaps(gaps.time_gaps(df, buckets=2))
+        got = _spark_gaps(gaps.time_gaps(df))
         mean = gaps.mean_gap(df).collect()[0].mean_gap_minutes
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
@@ -164,9 +177,19 @@ def test_gap_histogram_equals_histogram_of_row_gaps(spark):
     tied = ev.where(F.col("event_id") % 50 == 0).select((F.col("event_id") + 10_000_000).alias("event_id"), "ts")
     nulls = ev.limit(3).select((F.col("event_id") + 20_000_000).alias("event_id"), F.lit(None).cast("timestamp_ntz").alias("ts"))
     df = ev.unionByName(tied).unionByName(nulls)
-    for grain in (None, "day"):
-        rows = gaps.histogram(gaps.time_gaps(df, ts="ts", key="event_id", grain=grain))
-        inst = gaps.gap_histogram(df, ts="ts", key="event_id", grain=grain)
-        assert sorted(rows.collect()) == sorted(inst.collect())
+    rows = gaps.histogram(gaps.time_gaps(df, ts="ts", key="event_id"))
+    inst = gaps.gap_histogram(df, ts="ts")
+    assert sorted(rows.collect()) == sorted(inst.collect())
     one = evals(spark, [(1, "a", True, None, T0), (2, "b", True, None, T0), (3, "c", True, None, None)])
     assert [(r.bin, r.n) for r in gaps.gap_histogram(one).collect()] == [(0, 1)]  # the tie's 0; the first is NULL
+
+
+def test_rates_round_like_python(spark):
+    vals = [c / n * 100.0 for n in range(1, 130) for c in range(n + 1)] + [3.125, 2.675, 0.005, 0.015, 0.0625, 100.0, 0.0, 1e-9, 66.665]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.t for r in df.select(report.format_pct(F.col("v")).alias("t")).collect()]
+    assert got == [f"{v:.2f}%" for v in vals]
+
+
+def test_detail_shows_a_missing_flag_as_false(spark):
+    assert report.detail(evals(spark, [(1, "a", None, None, T0)])).collect()[0].is_correct is False

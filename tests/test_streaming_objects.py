@@ -16,15 +16,28 @@ def test_ingest_two_runs_dedupes(spark, tmp_dir):
     second = [(2, "b", False, "x", T0 + dt.timedelta(hours=1)), (4, "d", True, None, T0 + dt.timedelta(days=1))]
     spark.createDataFrame(second, EVALUATIONS).write.parquet(f"{src}/b2")
     ingest.ingest_evaluations(spark, f"{src}/*", sink, ck).awaitTermination()
-    ids = sorted(r.evaluation_id for r in spark.read.parquet(sink).collect())
-    assert ids == [1, 2, 3, 4]
+    rows = ingest.read_ingested(spark, sink).collect()
+    assert sorted(r.evaluation_id for r in rows) == [1, 2, 3, 4]
+    assert all(r.evaluation_timestamp for r in rows)  # a missing time is the batch's
 
     out, ck2 = os.path.join(tmp_dir, "summary"), os.path.join(tmp_dir, "ck2")
     ingest.live_summary(spark, sink, out, ck2).awaitTermination()
-    r = spark.read.parquet(out).collect()[0]
+    r = ingest.read_summary(spark, out).collect()[0]
     assert (r.total_evaluations, r.correct_answers) == (4, 3)
 
 
+def test_ingest_keeps_late_rows_and_equal_verdicts(spark, tmp_dir):
+    src, sink, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    for n, month in enumerate((3, 3, 3, 1)):  # the last file is two months older
+        rows = [(n * 10 + i, "t", True, None, dt.datetime(2024, month, 1 + i)) for i in range(10)]
+        spark.createDataFrame(rows, EVALUATIONS).coalesce(1).write.parquet(f"{src}/{n}")
+    same = [(None, "t", False, "x", T0)] * 2
+    spark.createDataFrame(same, EVALUATIONS).coalesce(1).write.parquet(f"{src}/9")
+    ingest.ingest_evaluations(spark, f"{src}/*", sink, ck, max_files_per_trigger=1).awaitTermination()
+    got = [r.evaluation_id for r in ingest.read_ingested(spark, sink).collect()]
+    assert len(got) == 42 and len(set(got)) == 42 and None not in got
+
+
 def test_list_fetch_land(spark, tmp_dir):
     store = os.path.join(tmp_dir, "store")
     os.makedirs(os.path.join(store, "sub"))
@@ -45,7 +58,7 @@ def test_list_fetch_land(spark, tmp_dir):
 
 
 def test_land_paths_agree(spark, tmp_dir):
-    """No superseded file, a broadcast of them, and the shuffle fallback land the same rows."""
+    """With and without a broadcast of the superseded paths the same rows land; a later landing wins."""
     store = os.path.join(tmp_dir, "store2")
     for rel, data, when in [("x/a.txt", b"old", 1_000), ("y/a.txt", b"new", 2_000), ("b.txt", b"b", 1_000),
                             ("x/c.py", b"c1", 5_000), ("y/c.py", b"c2", 5_000)]:
@@ -54,12 +67,18 @@ def test_land_paths_agree(spark, tmp_dir):
             f.write(data)
         os.utime(os.path.join(store, rel), (when, when))
     runs = {}
-    for name, limit in (("broadcast", 100), ("shuffle", 0)):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for name, limit in (("broadcast", old), ("shuffle", "-1")):
         out = os.path.join(tmp_dir, "landed-" + name)
-        objects_src.land_objects(spark, store, out, max_broadcast=limit)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        objects_src.land_objects(spark, store, out)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         runs[name] = {r.key: bytes(r.content) for r in objects_src.read_landed(spark, out).collect()}
     # equal times: the greater path wins
     assert runs["broadcast"] == runs["shuffle"] == {"a.txt": b"new", "b.txt": b"b", "c.py": b"c2"}
     out = os.path.join(tmp_dir, "landed-single")
     objects_src.land_objects(spark, os.path.join(store, "x"), out)
     assert {r.key for r in objects_src.read_landed(spark, out).collect()} == {"a.txt", "c.py"}
+    objects_src.land_objects(spark, os.path.join(store, "y"), out, landing=1)
+    again = {r.key: bytes(r.content) for r in objects_src.read_landed(spark, out).collect()}
+    assert again == {"a.txt": b"new", "c.py": b"c2"}

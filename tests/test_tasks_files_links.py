@@ -56,6 +56,24 @@ def test_latest_per_key(spark):
     df = spark.createDataFrame([("a", "v1", 1), ("a", "v2", 2), ("b", "w", 1)], "task_id string, q string, loaded_at int")
     got = {r.task_id: r.q for r in tasks_op.latest_per_key(df).collect()}
     assert got == {"a": "v2", "b": "w"}
+    tied = [("a", "new", 1), ("a", "old", 1), ("a", None, 1)]
+    for rows in (tied, tied[::-1]):
+        t = spark.createDataFrame(rows, "task_id string, q string, loaded_at int")
+        assert [r.q for r in tasks_op.latest_per_key(t).collect()] == ["old"]
+
+
+def test_broken_records_fail_or_are_kept_apart(spark, tmp_dir):
+    import pytest
+
+    p = os.path.join(tmp_dir, "lines.json")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write('{"task_id": "t1", "Level": "2"}\n{"task_id": "t2", "Lev\n{"task_id": "t3", "Level": 1.0}\n{"task_id": "t4", "Level": "x"}\n')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        tasks_src.read_task_json(spark, p, multiline=False).collect()
+    read = tasks_src.read_task_json(spark, p, multiline=False, strict=False)
+    got = {r.task_id: r.level for r in tasks_src.flatten_tasks(tasks_src.good_records(read)).collect()}
+    assert got == {"t1": 2, "t3": 1, "t4": 0}
+    assert [r.record for r in tasks_src.rejected_records(read).collect()] == ['{"task_id": "t2", "Lev']
 
 
 def test_task_files_and_orphans(spark):
@@ -107,16 +125,54 @@ def test_verdicts(spark):
     assert bad == {1: ("feedback_on_correct", "extra"), 2: ("empty_feedback", "  \t"), 5: ("empty_feedback", None)}
 
 
-def test_links_parser_nested_and_bare_href(spark):
-    html = ('<ul><li>outer<ul><li><a href="/in.pdf">x</a></li></ul></li>'
-            '<li><a href>bare</a><a href="/later.txt">l</a></li><li><br/><a href="/q?a=1&amp;b=2">e</a></li></ul>')
-    assert links_op.li_first_links(html) == [(1, "/in.pdf"), (2, "/in.pdf"), (3, ""), (4, "/q?a=1&b=2")]
-    pages = spark.createDataFrame([(7, "https://h.example/p", html)], "page_id long, url string, html string")
-    got = [(r.li_pos, r.href) for r in links_op.harvest_links_parsed(pages).orderBy("li_pos").collect()]
-    assert got == [(1, "/in.pdf"), (2, "/in.pdf"), (4, "/q?a=1&b=2")]
-    # the regex form reads the first closing tag: the nested item is folded into the outer one
-    regex = [(r.li_pos, r.href) for r in links_op.harvest_links(pages).orderBy("li_pos").collect()]
-    assert regex[0] == (1, "/in.pdf")
+def brute_links(html):
+    """(li_pos, href) by a stack over the tags that the standard library's parser finds."""
+    from html.parser import HTMLParser
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.items, self.stack = [], []
+
+        def handle_starttag(self, tag, attrs, alone=False):
+            href = dict(reversed(attrs)).get("href") if tag == "a" else None
+            for _, li in self.stack if href else ():
+                if li is not None and self.items[li] is None:
+                    self.items[li] = href
+            if tag == "li":
+                self.items.append(None)
+            if tag not in links_op.VOID_TAGS and not alone:
+                self.stack.append((tag, len(self.items) - 1 if tag == "li" else None))
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs, alone=True)
+
+        def handle_endtag(self, tag):
+            names = [t for t, _ in self.stack]
+            if tag in names:
+                del self.stack[len(names) - 1 - names[::-1].index(tag):]
+
+    p = P()
+    p.feed(html)
+    p.close()
+    return [(i + 1, h) for i, h in enumerate(p.items) if h]
+
+
+def test_links_follow_the_tree(spark):
+    import random
+
+    r = random.Random(8)
+    pieces = ["<ul>", "</ul>", "<li>", "</li>", "<li class='a>b'>", "<a href='/x{}.pdf'>", '<a name=n href="/y{}?a=1&amp;b=2">', "<a href=/z{}>", "</a>",
+              "<div>", "</div>", "<br/>", "<img src=x>", "text", "<!-- <li><a href='/no'> -->", "<script>'<li><a href=/no>'</script>", "<li-icon>", "</li-icon>",
+              "<OL>", "</OL>", "<a href='/e&#x26;{}&#233;&lt;'>", "<a>", "</p>", "<LI>"]
+    docs = ["".join(r.choice(pieces).replace("{}", str(i)) for i in range(r.randrange(1, 40))) for _ in range(300)]
+    docs += ["<ul><li><a href='/1'><li><a href='/2'></ul>", "", HTML]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)] + [(9999, None)], "page_id long, html string")
+    got = {}
+    for x in links_op.harvest_links(df).collect():
+        got.setdefault(x.page_id, []).append((x.li_pos, x.href))
+    for i, d in enumerate(docs):
+        assert sorted(got.get(i, [])) == brute_links(d), d
 
 
 def test_pick_tasks(spark, tmp_dir):
