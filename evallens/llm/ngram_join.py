@@ -1,7 +1,8 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The global order of n-grams is the order of their 64-bit hashes.  It is cut into
-fragments, and a document's set falls into one segment per fragment.
+The global order of n-grams puts the frequent ones last and is by 64-bit hash
+otherwise.  It is cut into fragments, and a document's set falls into one segment
+per fragment.
 
 1. Fragments propose pairs.  Sets of a size class are cut into k fragments with
    k above the number of n-grams in which two linked sets of the class can
@@ -30,33 +31,42 @@ from evallens.llm.components import connected_components
 
 _U = np.uint64
 CLASS_RATIO = 1.5          # largest to smallest set of a size class
-SLACK = 0.15               # extra fragments, so that nearly empty segments can be left out
+SLACK = 0.3                # extra fragments, so that nearly empty segments can be left out
+CELLS = 1 << 18            # cells of the n-gram count sketch (its hot cells are a bitmap of 32 KB)
+HOT = 4                    # a cell is hot above so many times the mean
 FRAGMENT_GRAMS = 1 << 15   # n-grams of a fragment when partial overlaps are counted
 BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 19
 
 
 class Classes:
-    """Size classes and their fragment counts for the threshold num/den."""
+    """Size classes for the threshold num/den, and how their sets are cut.
+
+    `differ`: n-grams in which two linked sets of the class can differ at most;
+    `k`: fragments, `slack` more than needed; `least`: n-grams of a segment worth joining.
+    """
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        self.low, self.k, self.slack, self.differ = [], [], [], []
+        self.low, self.k, self.slack, self.differ, self.least = [], [], [], [], []
 
     def _add(self) -> None:
-        lo = self.low[-1] if self.low else 0
-        lo = 1 if not self.low else max(lo + 1, math.floor(lo * CLASS_RATIO))
+        lo = max(self.low[-1] + 1, math.floor(self.low[-1] * CLASS_RATIO)) if self.low else 1
         hi = max(lo + 1, math.floor(lo * CLASS_RATIO))
         a, b = hi - 1, (hi - 1) * self.den // self.num
         d = (a + b) * (self.den - self.num) // (self.den + self.num)
         s = math.ceil(SLACK * (d + 1))
+        mean, least = 0.9 * lo / (d + 1 + s), 1
+        while sum(math.exp(-mean) * mean ** i / math.factorial(i) for i in range(least + 1)) <= 0.7 * s / (d + 1 + s):
+            least += 1
         self.low.append(lo)
         self.differ.append(d)
         self.slack.append(s)
         self.k.append(d + 1 + s)
+        self.least.append(least)
 
     def of(self, n: int) -> list[int]:
         """The classes in which a set of n n-grams is cut: that of its own size, and
-        the one below if a linked set may be the smaller one there."""
+        those below if a linked set may be the smaller one there."""
         if n == 0:
             return []
         while not self.low or self.low[-1] <= n:
@@ -70,32 +80,83 @@ class Classes:
         return [i for i in out if self.differ[i] > 0]
 
 
-def segments(grams: np.ndarray, classes: Classes) -> np.ndarray:
+def _cells(grams: np.ndarray) -> np.ndarray:
+    return (mix64(grams ^ _U(0xA0761D6478BD642F)) % _U(CELLS)).astype(np.int64)
+
+
+def _cut(grams: np.ndarray, k: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """(join key, n-grams) of each of the k segments of a sorted set."""
+    total = np.concatenate([np.zeros(1, _U), np.cumsum(mix64(grams ^ _U(0x5851F42D4C957F2D)), dtype=_U)])
+    at = np.searchsorted((grams >> _U(32)) * _U(k) >> _U(32), np.arange(k + 1, dtype=_U))
+    count = np.diff(at)
+    key = mix64(total[at[1:]] - total[at[:-1]] + count.astype(_U) * _U(0xD6E8FEB86659FD93))
+    return mix64(key ^ mix64(_U(salt << 32) + np.arange(k, dtype=_U))), count
+
+
+def segments(grams: np.ndarray, classes: Classes, hot: np.ndarray) -> np.ndarray:
     """Join keys of a set (sorted hashes): one per class, fragment and segment content.
 
-    Two linked sets agree on more than `slack` segments of a common class, so one
-    of them has enough n-grams unless a set has more than `slack` weak ones;
-    such a set's weak segments are joined too (its partner has as many there).
+    Two linked sets agree on more than `slack` segments of a common class, also
+    if hot n-grams are left out of both.  A segment with fewer than `least`
+    n-grams is weak.  If one of the two sets has at most `slack` weak segments,
+    they agree on one that is not, and both sets join on it.  A set with more
+    weak ones is also cut with its hot n-grams, and there, if it still has more
+    weak ones than `slack`, joins on these too; two such sets meet there.
     """
-    n, out = len(grams), []
-    mixed = mix64(grams ^ _U(0x5851F42D4C957F2D))
-    total = np.concatenate([np.zeros(1, _U), np.cumsum(mixed, dtype=_U)])
-    for i in classes.of(n):
-        k = classes.k[i]
-        at = np.searchsorted((grams >> _U(32)) * _U(k) >> _U(32), np.arange(k + 1, dtype=_U))
-        count = np.diff(at)
-        key = mix64(total[at[1:]] - total[at[:-1]] + count.astype(_U) * _U(0xD6E8FEB86659FD93))
-        key = mix64(key ^ mix64(_U(i << 32) + np.arange(k, dtype=_U)))
-        strong = count >= 2
-        out.append(key if k - strong.sum() > classes.slack[i] else key[strong])
+    out, rare = [], grams[~hot[_cells(grams)]]
+    for i in classes.of(len(grams)):
+        key, count = _cut(rare, classes.k[i], 2 * i)
+        strong = count >= classes.least[i]
+        out.append(key[strong])
+        if (~strong).sum() > classes.slack[i]:
+            key, count = _cut(grams, classes.k[i], 2 * i + 1)
+            strong = count >= classes.least[i]
+            out.append(key if (~strong).sum() > classes.slack[i] else key[strong])
     return np.concatenate(out) if out else np.zeros(0, _U)
 
 
+def hot_cells(docs: DataFrame, n: int) -> np.ndarray:
+    """Cells of a hash of all documents' n-grams that are hit more than HOT times the mean.
+
+    The counts are exact sums over all documents; which cells are hot changes only
+    how fast pairs are found, never which.  Tasks give one block of counts for each
+    part of the sketch, summed in two steps, so the driver sees the sketch once.
+    """
+    width = 4096
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        total = np.zeros(CELLS, dtype=np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                grams = list(ngram_sets(b.slice(lo, 512).column("text"), n))
+                total += np.bincount(_cells(np.concatenate(grams)), minlength=CELLS)
+        blocks = CELLS // width
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(blocks), pa.int32()), pa.array([TaskContext.get().partitionId() // 64] * blocks, pa.int32()),
+             pa.ListArray.from_arrays(pa.array(np.arange(blocks + 1) * width, pa.int32()), pa.array(total))],
+            names=["block", "part", "counts"])
+
+    def add(t: pa.Table) -> pa.Table:
+        c = t.column("counts").combine_chunks()
+        total = np.asarray(c.flatten()).reshape(len(c), width).sum(axis=0)
+        return pa.table({"block": t.column("block")[:1], "part": t.column("part")[:1], "counts": pa.array([total], pa.list_(pa.int64()))})
+
+    schema = "block int, part int, counts array<long>"
+    parts = docs.select("text").mapInArrow(count, schema).groupBy("block", "part").applyInArrow(add, schema)
+    rows = parts.groupBy("block").applyInArrow(add, schema).collect()
+    total = np.zeros((CELLS // width, width), dtype=np.int64)
+    for r in rows:
+        total[r.block] = r.counts
+    return total.ravel() > HOT * max(1.0, total.mean())
+
+
 def _digest(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
-def shingle_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def shingle_table(docs: DataFrame, n: int, num: int, den: int, hot: np.ndarray) -> DataFrame:
     """(doc_id, n_shingles, digest, keys): the size and 128-bit digest of each row's set, and its segments' join keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +169,7 @@ def shingle_table(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 for g in ngram_sets(part.column("text"), n):
                     size.append(len(g))
                     digest.append(_digest(g))
-                    keys.append(segments(g, classes))
+                    keys.append(segments(g, classes, hot))
                     ends.append(ends[-1] + len(keys[-1]))
                 flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -211,7 +272,7 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> Da
     joined once and counted as copies.  Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table = stored(shingle_table(docs, n, num, den), "ngram-sets")
+    table = stored(shingle_table(docs, n, num, den, hot_cells(docs, n)), "ngram-sets")
     usable = table.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     groups = stored(usable.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "ngram-groups")
     # One set per digest is cut; a doc_id that stands for two sets stands for both.

@@ -91,6 +91,22 @@ def test_ngram_join_matches_brute_force(spark, n, num, den):
     assert ngram_join.ngram_join(df, n, num, den).where("doc_id is null").collect()[0].component_id is None
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.3, 1.0])
+def test_any_choice_of_hot_ngrams_finds_all_links(hot):
+    """Two sets that link share a join key, whichever n-grams are left out."""
+    r = np.random.default_rng(int(hot * 10))
+    cells = r.random(ngram_join.CELLS) < hot
+    for num, den in ((90, 100), (80, 100), (50, 100)):
+        c = ngram_join.Classes(num, den)
+        for _ in range(400):
+            n = int(r.integers(2, 300))
+            a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            b = np.unique(np.concatenate([a[r.random(len(a)) < 1 - r.random() * 0.3], r.integers(0, 1 << 63, int(r.integers(0, n // 6 + 2)), dtype=np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if len(b) and not np.array_equal(a, b) and den * both >= num * (len(a) + len(b) - both):
+                assert len(np.intersect1d(ngram_join.segments(a, c, cells), ngram_join.segments(b, c, cells)))
+
+
 def test_ngram_join_blocks_and_fragments(spark, monkeypatch):
     """Tiny blocks and fragments: many tasks a cluster, same links."""
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 3)
