@@ -1,7 +1,9 @@
 """evallens: evaluate model answers at scale with Spark DataFrames.
 
-Every public function takes DataFrames (or column expressions) and returns a
-DataFrame; none starts a session or collects data to the driver.
+Public functions take DataFrames (or column expressions) and return DataFrames;
+none starts a session.  Some write intermediate tables to the shared folder or
+read a bounded number of rows (sums, counts, a histogram) while they are
+called; their docstrings say so.
 """
 
 import sys as _sys

@@ -1,7 +1,6 @@
 """Column expressions that reproduce Python string semantics inside the JVM.
 
-Each pattern is written so that both Java regex (Spark) and RE2 (DuckDB)
-read it the same way; the oracle SQL reuses the same pattern strings.
+The oracle SQL restates these rules in its own words, without these patterns.
 """
 
 from __future__ import annotations

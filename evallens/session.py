@@ -44,13 +44,28 @@ def shared_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         d = tempfile.mkdtemp(prefix="evallens-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/evallens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared folder (never reused, never cleared)."""
-    return f"{shared_dir(spark)}/evallens/{name}-{uuid.uuid4().hex}"
+    """A new, unique path for this application under the shared folder."""
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables.
+
+    Results that still read them become unreadable, so write those first.
+    """
+    from evallens.sources.paths import delete_path
+
+    delete_path(spark, _own_scratch(spark))

@@ -14,3 +14,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """False only if there is nothing there; any other fault is raised."""
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete `path` and all below it, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -82,3 +82,16 @@ def test_land_paths_agree(spark, tmp_dir):
     objects_src.land_objects(spark, os.path.join(store, "y"), out, landing=1)
     again = {r.key: bytes(r.content) for r in objects_src.read_landed(spark, out).collect()}
     assert again == {"a.txt": b"new", "c.py": b"c2"}
+
+
+def test_scratch_belongs_to_the_application(spark):
+    from evallens.session import clear_scratch, scratch_path, shared_dir
+
+    other = f"{shared_dir(spark)}/evallens/other-application/t"
+    spark.range(1).write.mode("overwrite").parquet(other)
+    own = scratch_path(spark, "t")
+    assert own != scratch_path(spark, "t") and spark.sparkContext.applicationId in own
+    spark.range(1).write.parquet(own)
+    clear_scratch(spark)
+    clear_scratch(spark)  # nothing left is no fault
+    assert not os.path.exists(own.removeprefix("file:")) and spark.read.parquet(other).count() == 1
