@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evallens.llm.common import stored
 from evallens.llm.components import connected_components
@@ -48,7 +49,7 @@ def _signatures(reps: DataFrame, bits: int, tables: int, seed: int) -> DataFrame
                                              names=["rep", "label", "copies", "embedding", "sigs"])
 
     cols = reps.select("rep", "label", "copies", "embedding")
-    return cols.mapInArrow(run, cols.schema.simpleString()[7:-1].replace(":", " ") + ", sigs array<long>")
+    return cols.mapInArrow(run, T.StructType([*cols.schema.fields, T.StructField("sigs", T.ArrayType(T.LongType()))]))
 
 
 def near_links(bucket: np.ndarray, table: np.ndarray, side: np.ndarray, rep: np.ndarray, copies: np.ndarray,

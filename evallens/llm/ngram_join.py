@@ -4,12 +4,13 @@ The global order of n-grams puts the frequent ones last and is by 64-bit hash
 otherwise.  It is cut into fragments, and a document's set falls into one segment
 per fragment.
 
-1. Fragments propose pairs.  Sets of a size class are cut into k fragments with
+1. Fragments propose groups.  Sets of a size class are cut into k fragments with
    k above the number of n-grams in which two linked sets of the class can
    differ, so two linked sets agree on whole segments; segments are joined on
    (class, fragment, segment hash).
-2. Each proposed cluster is cut into blocks; a task takes two blocks, counts the
-   partial overlaps of every pair fragment by fragment and sums them per pair.
+2. The sets that share a segment with one set form its star.  Each star is cut
+   into blocks; a task takes two blocks, counts the partial overlaps of every
+   pair fragment by fragment and sums them per pair.
    Exact counts decide; of the links a task reports the degrees and a spanning
    forest, never all pairs.
 3. Links become components.
@@ -26,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evallens.llm.common import mix64, ngram_sets, stored
+from evallens.llm.common import mix64, ngram_sets, rows_with_ids, stored
 from evallens.llm.components import connected_components
 
 _U = np.uint64
 CLASS_RATIO = 1.5          # largest to smallest set of a size class
 SLACK = 0.3                # extra fragments, so that nearly empty segments can be left out
-CELLS = 1 << 18            # cells of the n-gram count sketch (its hot cells are a bitmap of 32 KB)
+CELLS = 1 << 18            # cells of the n-gram count sketch (tasks get its hot cells: 256 KB)
 HOT = 4                    # a cell is hot above so many times the mean
 FRAGMENT_GRAMS = 1 << 15   # n-grams of a fragment when partial overlaps are counted
 BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 19
@@ -180,11 +181,30 @@ def shingle_table(docs: DataFrame, n: int, num: int, den: int, hot: np.ndarray)
     return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>")
 
 
-def _proposals(reps: DataFrame) -> DataFrame:
-    """Links (a, b) between each set and the least set of every segment they share."""
-    member = reps.select("rep", F.explode("keys").alias("k"))
-    shared = member.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("a")).where(F.col("c") > 1).drop("c")
-    return member.join(shared, "k").where(F.col("rep") != F.col("a")).select("a", F.col("rep").alias("b")).distinct()
+def _stars(keys: DataFrame) -> DataFrame:
+    """(star, rep): sets with a common key, from (rep, keys), around the least of them.
+
+    Rows (key, set) are shuffled once and sorted; a task streams over them, so a
+    key held by very many sets takes no memory.  Two sets that share a key are
+    in one star at least.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = first = None
+        for batch in batches:
+            k, rep = batch.column("k").to_numpy(), batch.column("rep").to_numpy()
+            if not len(k):
+                continue
+            new = np.concatenate([[last is None or k[0] != last], k[1:] != k[:-1]])
+            start = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
+            lead = np.where(start < 0, 0 if first is None else first, rep[start])
+            pairs = np.unique(np.column_stack([lead, rep])[lead != rep], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["star", "rep"])
+            last, first = int(k[-1]), int(lead[-1])
+
+    dealt = keys.select(F.explode("keys").alias("k"), "rep").repartition("k").sortWithinPartitions("k", "rep")
+    found = stored(dealt.mapInArrow(run, "star long, rep long").distinct(), "ngram-stars")
+    return found.unionByName(found.select("star", F.col("star").alias("rep")).distinct())
 
 
 def _size_class(n, num: int, den: int):
@@ -195,6 +215,8 @@ def _size_class(n, num: int, den: int):
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """Overlap of every pair of sets of two lists: partial overlaps are counted fragment by fragment and summed."""
     total = np.zeros((len(a), len(b)), dtype=np.int64)
+    if not a or not b:  # a block without sets
+        return total
     fragments = 1 + sum(map(len, a + b)) // FRAGMENT_GRAMS
     cuts = np.arange(1, fragments, dtype=_U) * _U(((1 << 64) - 1) // fragments)
     at_a = [np.concatenate([[0], np.searchsorted(x, cuts), [len(x)]]) for x in a]
@@ -255,9 +277,19 @@ def _links(blocks: DataFrame, n: int, num: int, den: int) -> DataFrame:
         linked |= linked.T
         keep = linked.any(axis=1)
         rep, linked, copies = rep[keep], linked[np.ix_(keep, keep)], copies[keep]
-        return pa.table({"rep": rep, "n_links": linked.astype(np.int64) @ copies, "root": local_roots(linked, rep)})
+        # A pair is counted in the first star that holds both.
+        star, earlier = t.column("star")[0].as_py(), {}
+        stars = t.column("stars").to_pylist()
+        for at, i in enumerate(np.array(rows)[keep]):
+            for s in stars[i]:
+                if s < star:
+                    earlier.setdefault(s, []).append(at)
+        counted = linked.copy()
+        for at in earlier.values():
+            counted[np.ix_(at, at)] = False
+        return pa.table({"rep": rep, "n_links": counted.astype(np.int64) @ copies, "root": local_roots(linked, rep)})
 
-    return blocks.groupBy("cluster", "ca", "ba", "cb", "bb").applyInArrow(run, "rep long, n_links long, root long")
+    return blocks.groupBy("star", "ca", "ba", "cb", "bb").applyInArrow(run, "rep long, n_links long, root long")
 
 
 def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -275,32 +307,36 @@ def ngram_join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> Da
     table = stored(shingle_table(docs, n, num, den, hot_cells(docs, n)), "ngram-sets")
     usable = table.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     groups = stored(usable.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "ngram-groups")
-    # One set per digest is cut; a doc_id that stands for two sets stands for both.
     member = stored(usable.select("doc_id", "n_shingles", "digest").join(groups, ["n_shingles", "digest"])
-                    .select("doc_id", "digest", "rep", "copies", "n_shingles"), "ngram-members")
-    first = member.where(F.col("doc_id") == F.col("rep")).select("doc_id", "digest", "rep").distinct()
-    reps = table.join(first, ["doc_id", "digest"], "inner").select("rep", "keys")
-    proposed = stored(_proposals(reps), "ngram-proposals")
-    cluster = stored(connected_components(proposed).withColumnRenamed("node", "rep").withColumnRenamed("component", "cluster"), "ngram-clusters")
-    # The clusters' sets, in blocks of bounded size by size class.
-    one = groups.join(cluster, "rep").withColumn("c", _size_class(F.col("n_shingles"), num, den))
-    load = one.groupBy("cluster", "c").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("grams"))
-    cut = load.select("cluster", "c", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    below = cut.select("cluster", (F.col("c") + 1).alias("c"), F.col("blocks").alias("blocks_below"))
-    above = cut.select("cluster", (F.col("c") - 1).alias("c"), F.col("blocks").alias("blocks_above"))
-    plan = (one.join(cut, ["cluster", "c"]).join(below, ["cluster", "c"], "left").join(above, ["cluster", "c"], "left")
-            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+                    .select("doc_id", "digest", "rep", "copies"), "ngram-members")
+    # One set per digest is joined.  The copies' ids are broadcast if Spark finds their table small.
+    copies = stored(member.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("rep")).alias("first")).where(~F.col("first")).select("doc_id"), "ngram-copies")
+    keys = usable.select("doc_id", "keys").join(copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "rep")
+    stars = _stars(keys)
+    centres = stars.groupBy("rep").agg(F.sort_array(F.collect_list("star")).alias("stars"))  # at most one per key of the set
+    # The stars' sets, in blocks of bounded size by size class.
+    one = stored(groups.join(stars, "rep").join(centres, "rep"), "ngram-star-sets")
+    # A star that fits one block is one task; in others only neighbouring size classes are compared.
+    whole = one.groupBy("star").agg(((F.count(F.lit(1)) <= BLOCK_SETS) & (F.sum("n_shingles") <= BLOCK_GRAMS)).alias("fits"))
+    one = one.join(whole, "star").withColumn("c", F.when(F.col("fits"), 0).otherwise(_size_class(F.col("n_shingles"), num, den))).drop("fits")
+    load = one.groupBy("star", "c").agg(F.count(F.lit(1)).alias("sets"), F.sum("n_shingles").alias("grams"))
+    cut = load.select("star", "c", "sets", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    below = cut.select("star", (F.col("c") + 1).alias("c"), F.col("blocks").alias("blocks_below"))
+    above = cut.select("star", (F.col("c") - 1).alias("c"), F.col("blocks").alias("blocks_above"))
+    plan = (one.join(cut, ["star", "c"]).join(below, ["star", "c"], "left").join(above, ["star", "c"], "left")
+            .withColumns({"block": F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"), "nobody": F.lit(0)}))
     span = lambda c: F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
     task = lambda ca, ba, cb, bb, side: F.struct(ca.alias("ca"), ba.alias("ba"), cb.alias("cb"), bb.alias("bb"), side.alias("side"))
     c, blk, zero, one_, two = F.col("c"), F.col("block"), F.lit(0), F.lit(1), F.lit(2)
-    own = F.transform(span("blocks"), lambda j: F.when(j == blk, task(c, blk, c, blk, zero))
+    # A set alone in its class has nobody there to be compared with.
+    own = F.transform(F.when(F.col("sets") > 1, span("blocks")).otherwise(span("nobody")), lambda j: F.when(j == blk, task(c, blk, c, blk, zero))
                       .when(j > blk, task(c, blk, c, j, one_)).otherwise(task(c, j, c, blk, two)))
     up = F.transform(span("blocks_above"), lambda j: task(c, blk, c + 1, j, one_))
     down = F.transform(span("blocks_below"), lambda j: task(c - 1, j, c, blk, two))
-    plan = plan.select("rep", "digest", "copies", "cluster", F.explode(F.concat(own, up, down)).alias("t"))
-    plan = plan.select("rep", "digest", "copies", "cluster", "t.*")
-    texts = docs.withColumnRenamed("doc_id", "rep").join(one.select("rep").distinct(), "rep")
-    blocks = plan.join(texts, "rep").select("cluster", "ca", "ba", "cb", "bb", "side", "rep", "digest", "copies", "text")
+    plan = plan.select("rep", "digest", "copies", "stars", "star", F.explode(F.concat(own, up, down)).alias("t"))
+    plan = plan.select("rep", "digest", "copies", "stars", "star", "t.*")
+    texts = rows_with_ids(docs.withColumnRenamed("doc_id", "rep"), "rep", one.select("rep").distinct())
+    blocks = plan.join(texts, "rep").select("star", "ca", "ba", "cb", "bb", "side", "rep", "digest", "copies", "stars", "text")
     links = stored(_links(blocks, n, num, den), "ngram-links")
     same = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where(F.col("a") != F.col("b")).select("a", "b")
     found = links.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(same)

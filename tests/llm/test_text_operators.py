@@ -107,6 +107,13 @@ def test_any_choice_of_hot_ngrams_finds_all_links(hot):
                 assert len(np.intersect1d(ngram_join.segments(a, c, cells), ngram_join.segments(b, c, cells)))
 
 
+def test_sets_that_share_a_key_share_a_star(spark):
+    rows = [(i, [7] if i % 3 else [7, -5 - i // 100]) for i in range(1500)] + [(5000 + i, [100 + i // 2]) for i in range(40)] + [(9000, [])]
+    got = {(r.star, r.rep) for r in ngram_join._stars(spark.createDataFrame(rows, "rep long, keys array<long>").repartition(5)).collect()}
+    assert {(0, i) for i in range(1500)} <= got and {(5000 + i // 2 * 2, 5000 + i) for i in range(40)} <= got
+    assert all(s <= r for s, r in got) and not any(r == 9000 for _, r in got)
+
+
 def test_ngram_join_blocks_and_fragments(spark, monkeypatch):
     """Tiny blocks and fragments: many tasks a cluster, same links."""
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 3)
