@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evallens.llm import mixing, ngram_join, packing, toxicity
+from evallens.llm.common import rows_without_ids, stored
 from evallens.session import scratch_path
 
 
@@ -20,7 +21,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     or more): the one with the least doc_id."""
     groups = ngram_join.ngram_join(docs, n=5, num=80, den=100)
     gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return rows_without_ids(docs, "doc_id", stored(gone, "pipeline-gone"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

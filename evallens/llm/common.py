@@ -79,6 +79,19 @@ def with_position(df: DataFrame, groups: Sequence[str], key: str, ties: Sequence
 ID_BITS = 1 << 23
 
 
+def _marked(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """`df` with `_maybe`: whether `col` may be among `ids` (modulo ID_BITS); no row of `df` is shuffled."""
+    cell = lambda c: F.pmod(c, F.lit(ID_BITS).cast("long"))
+    i = F.col(ids.columns[0])
+    maps = ids.where(i.isNotNull()).groupBy(F.bitmap_bucket_number(cell(i)).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(cell(i))).alias("_bits"))
+    at = F.bitmap_bit_position(cell(F.col(col)))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = df.withColumn("_bucket", F.bitmap_bucket_number(cell(F.col(col)))).join(F.broadcast(maps), "_bucket", "left")
+    marked = marked.withColumns({"_byte": byte, "_bit": (at % 8).cast("int")})
+    return marked.withColumn("_maybe", F.coalesce(F.expr("shiftright(_byte, _bit)").bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+
+
 def rows_with_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     """Rows of `df` whose `col` (long) is in the one column of `ids`, without shuffling most of the others.
 
@@ -86,16 +99,16 @@ def rows_with_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     that, is broadcast and drops rows as they are scanned; a semi join on what
     passes is exact.
     """
-    cell = lambda c: F.pmod(c, F.lit(ID_BITS).cast("long"))
-    i = F.col(ids.columns[0])
-    maps = ids.where(i.isNotNull()).groupBy(F.bitmap_bucket_number(cell(i)).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(cell(i))).alias("_bits"))
-    at = F.bitmap_bit_position(cell(F.col(col)))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftright(_byte, _bit)").bitwiseAND(F.lit(1))
-    near = df.withColumn("_bucket", F.bitmap_bucket_number(cell(F.col(col)))).join(F.broadcast(maps), "_bucket")
-    near = near.withColumns({"_byte": byte, "_bit": (at % 8).cast("int")}).where(bit == 1).select(df.columns)
-    return near.join(ids.select(i.alias(col)), col, "left_semi").select(df.columns)
+    near = _marked(df, col, ids).where("_maybe").select(df.columns)
+    return near.join(ids.select(F.col(ids.columns[0]).alias(col)), col, "left_semi").select(df.columns)
+
+
+def rows_without_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """The other rows, NULL included: those the bitmap clears are kept as they are
+    scanned, and an anti join decides on the rest."""
+    marked = _marked(df, col, ids)
+    rest = marked.where("_maybe").select(df.columns).join(ids.select(F.col(ids.columns[0]).alias(col)), col, "left_anti")
+    return marked.where("not _maybe").select(df.columns).unionByName(rest.select(df.columns))
 
 
 # --- 64-bit hashes of words and n-grams, over many texts at a time -----------------
