@@ -339,3 +339,14 @@ def test_cumulative_link_shares_weights_and_orders_thresholds():
     assert (np.diff(t) > 0).all() and w[0] > w[1] > w[2] >= 0
     p = toxicity.Model({}, list(t)).probabilities(x @ w)
     assert np.allclose(p.sum(axis=1), 1) and np.corrcoef(p @ np.arange(4), y)[0, 1] > 0.85
+
+
+def test_id_maps_keep_exactly_the_ids(spark, monkeypatch):
+    monkeypatch.setattr(common, "ID_BITS", 1 << 16)  # ids share bits
+    df = spark.sql("select id - 50 as a, id as _x from range(200000) union all select cast(null as bigint), 1L")
+    ids = spark.sql("select id * 7 - 49 as i from range(20000) union all select cast(null as bigint) union all select 65539L")
+    want = {i * 7 - 49 for i in range(20000)} | {65539}
+    assert {r.a for r in common.rows_with_ids(df, "a", ids).collect()} == want & set(range(-50, 199950))
+    rest = [r.a for r in common.rows_without_ids(df, "a", ids).collect()]
+    assert len(rest) == len(set(rest)) and set(rest) == (set(range(-50, 199950)) - want) | {None}
+    assert common.rows_without_ids(df, "a", ids.limit(0)).count() == 200001 and common.rows_with_ids(df, "a", ids.limit(0)).count() == 0
