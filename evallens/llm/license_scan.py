@@ -53,13 +53,11 @@ def scan(files: DataFrame, threshold: float = 0.6, templates: list[tuple[str, st
     licence file, with a TF-IDF cosine of at least `threshold`; ties: first name),
     license (own, else that of the licence file in the nearest directory upwards),
     license_dir (where an inherited one was found).  Document frequencies count
-    every line of all files, for the templates' terms; a term that no template
-    holds weighs as one never seen, so the statistics are bounded by the
-    templates.  Only lines that hold a term without which no template can reach
-    the threshold are exploded into terms.  NULL text: no own licence; NULL path: no
-    directory; rows that repeat an id and path are each returned; several
-    licence files in a directory: the best score.  Empty input: no rows.  Other
-    columns are not read.
+    every line of all files, for all terms.  Only lines that hold a term without
+    which no template can reach the threshold are scored.  NULL text: no own
+    licence; NULL path: no directory; rows that repeat an id and path are each
+    returned; several licence files in a directory: the best score.  Empty input:
+    no rows.  Other columns are not read.
     """
     spark = files.sparkSession
     files = files.select(F.col("file_id").cast("long").alias("file_id"), F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
@@ -70,11 +68,13 @@ def scan(files: DataFrame, threshold: float = 0.6, templates: list[tuple[str, st
 
     segs = _segments(files)
     lit = lambda xs: F.array(*[F.lit(x) for x in xs])
-    seen = segs.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect("words", lit(vocabulary)))).alias("term"))
-    df = dict(seen.groupBy("term").count().collect())  # one row per template term
+    # Term "" counts the lines.  A term of one line only is left out: its frequency is known to be 1.
+    seen = segs.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct("words"))).alias("term"))
+    own_terms = F.col("term").isin(["", *vocabulary])
+    counts = stored(seen.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") > 1) | own_terms), "license-terms")
+    df = dict(counts.where(own_terms).collect())  # one row per template term
     n = df.get("", 0)
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1 for w in vocabulary}
-    unseen = math.log(n + 1) + 1
     weight = {(i, w): (1 + math.log(tf)) * idf[w] for i, _, w, tf in t_rows}
     # Per template, the fewest terms whose absence keeps every line below the threshold.
     needed, norm = set(), {}
@@ -90,10 +90,10 @@ def scan(files: DataFrame, threshold: float = 0.6, templates: list[tuple[str, st
     lines = segs.where(F.arrays_overlap("words", lit(sorted(needed))))
     tf = lines.select("file_id", "path", "seg", F.explode("words").alias("term")).groupBy("file_id", "path", "seg", "term").agg(F.count(F.lit(1)).alias("tf"))
     names = dict(r[:2] for r in t_rows)
-    known = spark.createDataFrame([(w, float(idf[w]), *[float(weight.get((i, w), 0) / norm[i]) for i in names]) for w in vocabulary],
-                                  ", ".join(["term string", "idf double", *[f"t{i} double" for i in names]]))
-    w = (1 + F.log(F.col("tf").cast("double"))) * F.coalesce("idf", F.lit(unseen))
-    tf = tf.join(F.broadcast(known), "term", "left").withColumn("w", w)  # one row per template term
+    known = spark.createDataFrame([(w, *[float(weight.get((i, w), 0) / norm[i]) for i in names]) for w in vocabulary],
+                                  ", ".join(["term string", *[f"t{i} double" for i in names]]))
+    w = (1 + F.log(F.col("tf").cast("double"))) * (F.log(F.lit(float(n + 1)) / (F.coalesce("df", F.lit(1)) + 1)) + 1)
+    tf = tf.join(counts, "term", "left").join(F.broadcast(known), "term", "left").withColumn("w", w)  # known: one row per template term
     dots = tf.groupBy("file_id", "path", "seg").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"),
                                                     *[F.coalesce(F.sum(F.col("w") * F.col(f"t{i}")), F.lit(0.0)).alias(f"d{i}") for i in names])
     best = F.array_min(F.array(*[F.struct((-F.round(F.col(f"d{i}") / F.col("len"), 6)).alias("neg"), F.lit(n_).alias("license")) for i, n_ in names.items()]))

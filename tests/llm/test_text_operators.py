@@ -2,8 +2,10 @@
 empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -350,3 +352,36 @@ def test_id_maps_keep_exactly_the_ids(spark, monkeypatch):
     rest = [r.a for r in common.rows_without_ids(df, "a", ids).collect()]
     assert len(rest) == len(set(rest)) and set(rest) == (set(range(-50, 199950)) - want) | {None}
     assert common.rows_without_ids(df, "a", ids.limit(0)).count() == 200001 and common.rows_with_ids(df, "a", ids.limit(0)).count() == 0
+
+
+def brute_license_scores(rows, templates):
+    """Best TF-IDF cosine of each one-line file, document frequencies of all terms counted."""
+    cut = lambda s: re.findall(r"[^\W_]+", s.lower())
+    lines = {i: cut(s) for i, s in rows}
+    df = Counter(t for w in lines.values() for t in set(w))
+    idf = lambda t: math.log((len(lines) + 1) / (df[t] + 1)) + 1
+    vector = lambda w: {t: (1 + math.log(c)) * idf(t) for t, c in Counter(w).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    known = [vector(cut(t)) for _, t in templates]
+    out = {}
+    for i, w in lines.items():
+        v = vector(w)
+        out[i] = max(sum(x * k.get(t, 0) for t, x in v.items()) / norm(v) / norm(k) for k in known)
+    return out
+
+
+@pytest.mark.parametrize("times", [1, 12])
+def test_licenses_inside_longer_lines(spark, times):
+    """All terms weigh by their own document frequency, so common words cost little and table size next to nothing."""
+    mit = "Released under the MIT License."
+    notices = [mit, mit + " en", mit + " en de", mit + " en de for", mit + " xylophone quartz", "en de for " + mit + " en de", "de license of en"]
+    texts = notices + ["en de for"] * 150 + ["words en de"] * 40 + [f"for row{i} en" for i in range(60)]
+    rows = list(enumerate(texts * times))
+    df = spark.createDataFrame([(i, f"/{i}.txt", t) for i, t in rows], "file_id long, path string, text string").repartition(3)
+    got = {r.file_id: r.own_score for r in license_scan.scan(df).collect()}
+    want = brute_license_scores(rows, license_scan.TEMPLATES)
+    assert len(got) == len(rows)
+    for i, score in want.items():
+        assert abs(score - 0.6) > 1e-4
+        assert got[i] is None if score < 0.6 else abs(got[i] - score) < 2e-6, (rows[i], got[i], score)
+    assert all(got[i] is not None and got[i] > 0.8 for i in range(4))
