@@ -1,16 +1,18 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The global order of n-grams puts the frequent ones last and is by 64-bit hash
-otherwise.  It is cut into fragments, and a document's set falls into one segment
-per fragment.
+The global order of n-grams is by 64-bit hash alone.  It is cut into fragments,
+and a document's set falls into one segment per fragment; frequent n-grams are
+left out of the segments, not put last.
 
 1. Fragments propose groups.  Sets of a size class are cut into k fragments with
    k above the number of n-grams in which two linked sets of the class can
    differ, so two linked sets agree on whole segments; segments are joined on
    (class, fragment, segment hash).
 2. The sets that share a segment with one set form its star.  Each star is cut
-   into blocks; a task takes two blocks, counts the partial overlaps of every
-   pair fragment by fragment and sums them per pair.
+   into blocks; a task takes two blocks and counts the overlap of every pair from
+   their whole sets.  Fragments of FRAGMENT_GRAMS n-grams only bound that task's
+   arrays, and a task with fewer has one: no partial counts are emitted per pair
+   and fragment, and no Spark aggregation sums them.
    Exact counts decide; of the links a task reports the degrees and a spanning
    forest, never all pairs.
 3. Links become components.
@@ -35,7 +37,7 @@ CLASS_RATIO = 1.5          # largest to smallest set of a size class
 SLACK = 0.3                # extra fragments, so that nearly empty segments can be left out
 CELLS = 1 << 18            # cells of the n-gram count sketch (tasks get its hot cells: 256 KB)
 HOT = 4                    # a cell is hot above so many times the mean
-FRAGMENT_GRAMS = 1 << 15   # n-grams of a fragment when partial overlaps are counted
+FRAGMENT_GRAMS = 1 << 15   # n-grams compared at a time when overlaps are counted
 BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 19
 
 
@@ -213,7 +215,7 @@ def _size_class(n, num: int, den: int):
 
 
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Overlap of every pair of sets of two lists: partial overlaps are counted fragment by fragment and summed."""
+    """Overlap of every pair of sets of two lists, counted in this task, FRAGMENT_GRAMS n-grams or so at a time."""
     total = np.zeros((len(a), len(b)), dtype=np.int64)
     if not a or not b:  # a block without sets
         return total
