@@ -57,32 +57,42 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, i
     source with a third of all rows is cut like any other.  Empty input: empty
     output.  Other columns of `docs` are not read.
     """
+    return _taken(docs, weights, share, cap, seed, [])
+
+
+def _taken(docs: DataFrame, weights: Sequence[int], share: tuple[int, int], cap: int, seed: str, ties: Sequence[str]) -> DataFrame:
+    """`mix`, with the columns `ties` of `docs`, which order rows of equal key, id and size."""
     src = F.col("source").cast("string")
-    base = stored(docs.select("doc_id", src.isNull().alias("_null"), F.coalesce(src, F.lit("")).alias("_src"),
+    base = stored(docs.select("doc_id", *ties, src.isNull().alias("_null"), F.coalesce(src, F.lit("")).alias("_src"),
                               word_count(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed=seed).alias("_key")), "mix-docs")
     sizes = base.groupBy("_null", "_src").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, cap)
     budget = F.floor(F.col("target") + 0.5)
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)))
     targets = targets.withColumn("_rest", budget - F.col("epochs") * F.col("source_size"))
-    rows = with_position(base, ["_null", "_src"], "_key", ["doc_id", "size"], weight="size", extra=targets)
+    rows = with_position(base, ["_null", "_src"], "_key", ["doc_id", "size", *ties], weight="size", extra=targets)
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before")))
     return rows.select("doc_id", F.when(~F.col("_null"), F.col("_src")).alias("source"), "size", "source_size", "target",
-                       "epochs", (F.col("epochs") * F.col("size") + part).alias("taken"))
+                       "epochs", (F.col("epochs") * F.col("size") + part).alias("taken"), *ties)
 
 
-def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), cap: int = 2,
+                    seed: str = "mix") -> DataFrame:
     """The mix itself: the rows of `docs`, each as often as it is taken.
 
     A document at the cut appears once more with its first words up to the
     budget, joined by single spaces.  Documents that give no word are left out.
-    `doc_id` must name one row; rows that repeat an id are taken alike.
+    `docs` is stored once with a number for each row, so rows that repeat an id
+    or have none are each taken for themselves (equal keys: by id, size and a
+    hash of the text).  Rows without an id share one key: a source's rows of
+    that kind are ordered by one task, without their texts.
     """
-    plan = mix(docs, **how).where(F.col("taken") > 0).groupBy("doc_id").agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
+    rows = stored(docs.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()}), "mix-rows")
+    plan = _taken(rows, weights, share, cap, seed, ["_text", "_row"]).where(F.col("taken") > 0).select("_row", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     full = F.floor(F.col("_taken") / F.col("_size")).cast("int")
     rest = (F.col("_taken") % F.col("_size")).cast("int")
     times = F.concat(F.array_repeat(F.lit(0), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    out = docs.join(plan.withColumn("_cut", times).select("doc_id", "_cut"), "doc_id").withColumn("_cut", F.explode("_cut"))
+    out = rows.join(plan.withColumn("_cut", times).select("_row", "_cut"), "_row").withColumn("_cut", F.explode("_cut"))
     head = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})")), 1, F.col("_cut")), " ")
     out = out.withColumn("text", F.when(F.col("_cut") == 0, F.col("text")).otherwise(head))
     if "n_chars" in docs.columns:

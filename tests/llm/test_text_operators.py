@@ -385,3 +385,27 @@ def test_licenses_inside_longer_lines(spark, times):
         assert abs(score - 0.6) > 1e-4
         assert got[i] is None if score < 0.6 else abs(got[i] - score) < 2e-6, (rows[i], got[i], score)
     assert all(got[i] is not None and got[i] > 0.8 for i in range(4))
+
+
+def test_mixed_documents_without_or_with_repeated_ids(spark):
+    """Every row is emitted as often as its own `taken` says, so each source keeps its budget."""
+    rows = [(None if i % 3 == 0 else i // 4, f"r{i} " + " ".join(["w"] * (i % 9)), f"s{i % 3}" if i % 7 else None, i) for i in range(240)]
+    rows += [(7, " ".join(["long"] * 100), "s1", 900), (7, "same words", "s1", 901), (7, "same words", "s1", 902), (None, None, "s1", 903), (7, "", "s1", 904)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size int").repartition(3)
+    target, by_group = {}, {}
+    for r in mixing.mix(df).collect():
+        target[r.source] = r.target
+        by_group[r.doc_id, r.source, r.size] = by_group.get((r.doc_id, r.source, r.size), 0) + r.taken
+    text = {i: t for _, t, _, i in rows}
+    size = {i: len((t or "").split()) for i, t in text.items()}
+    words, got_group, cut = {}, {}, {}
+    for r in mixing.mixed_documents(df).collect():
+        n = len(r.text.split())
+        words[r.source] = words.get(r.source, 0) + n
+        k = (r.doc_id, r.source, size[r.size])
+        got_group[k] = got_group.get(k, 0) + n
+        if r.text != text[r.size]:
+            cut[r.source] = cut.get(r.source, 0) + 1
+            assert r.text.split() == text[r.size].split()[:n]
+    assert all(abs(words.get(s, 0) - t) <= 0.5 for s, t in target.items())
+    assert got_group == {k: v for k, v in by_group.items() if v} and all(c == 1 for c in cut.values())
