@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evallens.llm import mixing, ngram_join, packing, toxicity
-from evallens.llm.common import rows_without_ids, stored
+from evallens.llm.common import rows_with_ids, rows_without_ids, stored
 from evallens.session import scratch_path
 
 
@@ -17,11 +17,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8
-    or more): the one with the least doc_id."""
-    groups = ngram_join.ngram_join(docs, n=5, num=80, den=100)
-    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return rows_without_ids(docs, "doc_id", stored(gone, "pipeline-gone"))
+    """One row of each group of near-duplicates (five-word shingles, similarity 0.8
+    or more): the one with the least doc_id, NULL last.
+
+    A row's key is its doc_id; that of a row without one is a 64-bit hash of its
+    text, and if any doc_id repeats, that of every row is a hash of both.  So each
+    text is compared for itself, and equal rows have a key in common.
+    """
+    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
+    repeated = not ids.where(F.col("count") > 1).isEmpty()
+    key = F.xxhash64("doc_id", "text") if repeated else F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    keyed = docs.withColumn("_key", key)
+    groups = ngram_join.ngram_join(keyed.select(F.col("_key").alias("doc_id"), "text"), n=5, num=80, den=100)
+    linked = groups.where(F.col("n_links") > 0).groupBy(F.col("doc_id").alias("_key"), "component_id").agg(F.count(F.lit(1)).alias("rows"))
+    linked = stored(linked, "pipeline-linked")
+    named = rows_with_ids(keyed.select("_key", "doc_id"), "_key", linked.select("_key")).distinct()
+    named = stored(linked.join(named, "_key"), "pipeline-named")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("first"))
+    gone = named.join(first, "component_id").where(F.col("_key") != F.col("first._key")).select("_key")
+    kept = rows_without_ids(keyed, "_key", stored(gone, "pipeline-gone"))
+    equal = linked.where(F.col("rows") > 1).select("_key")  # rows with the same id and text: one stays
+    if not equal.isEmpty():
+        kept = rows_without_ids(kept, "_key", equal).unionByName(rows_with_ids(kept, "_key", equal).dropDuplicates(["_key"]))
+    return kept.select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

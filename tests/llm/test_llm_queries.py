@@ -72,3 +72,21 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     packed = P.STAGES[-1][1](spark, kept, SF).toPandas()
     assert packed.n_tokens.sum() == count(after).sum()
     assert P.run(spark, SF).count() == len(packed)
+
+
+@pytest.mark.parametrize("rows,want", [
+    # an id with two texts: the one that is no copy stays
+    ([(5, "A"), (5, "B"), (3, "A")], [(3, "A"), (5, "B")]),
+    # equal rows, and copies without an id
+    ([(1, "A"), (1, "A"), (2, "B"), (None, "C"), (None, "C"), (None, "C"), (None, "B")], [(1, "A"), (2, "B"), (None, "C")]),
+    ([(1, "A"), (None, "C"), (None, "C"), (None, "D"), (4, "D"), (6, "C2")], [(1, "A"), (4, "D"), (6, "C2")]),
+    # rows without words are copies of nothing
+    ([(1, None), (1, None), (None, ""), (None, ""), (2, "A")], [(1, None), (1, None), (None, ""), (None, ""), (2, "A")]),
+])
+def test_near_duplicates_by_row(spark, rows, want):
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "ABCD"} | {None: None, "": ""}
+    text["C2"] = text["C"] + " more"
+    df = spark.createDataFrame([(i, text[c], "x") for i, c in rows], "doc_id long, text string, source string").repartition(2)
+    got = P.drop_near_duplicates(spark, df, SF)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(((i, text[c]) for i, c in want), key=str)
