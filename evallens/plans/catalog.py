@@ -446,13 +446,14 @@ def ingest_stream_backfill(spark, d):
     """T1 over several triggers with old files among them, and equal verdicts without ids."""
     src, sink = scratch_path(spark, "backfill-in"), scratch_path(spark, "backfill-sink")
     ev = fx.evaluations(spark, d)
-    for i in range(3):  # each file's times lie months before the one before
+    for i in range(3):  # each part's times lie months before the one before
         part = ev.where(F.col("evaluation_id") % 3 == i)
         part = part.withColumn("evaluation_timestamp", F.col("evaluation_timestamp") - F.make_dt_interval(F.lit(60 * i)))
-        part.coalesce(1).write.parquet(f"{src}/part{i}")
+        part.write.parquet(f"{src}/part{i}")
     unnamed = ev.where(F.col("evaluation_id") % 5 == 0).withColumn("evaluation_id", F.lit(None).cast("long"))
-    unnamed.unionByName(unnamed).coalesce(1).write.parquet(f"{src}/part3")
-    ingest_st.ingest_evaluations(spark, f"{src}/*", sink, scratch_path(spark, "ckpt"), max_files_per_trigger=1).awaitTermination()
+    unnamed.unionByName(unnamed).write.parquet(f"{src}/part3")
+    files = len(spark.read.parquet(f"{src}/*").inputFiles())
+    ingest_st.ingest_evaluations(spark, f"{src}/*", sink, scratch_path(spark, "ckpt"), max_files_per_trigger=-(-files // 4)).awaitTermination()
     got = ingest_st.read_ingested(spark, sink)
     return got.select(F.col("evaluation_id").isNotNull().alias("has_id"), "task_id", "is_correct", "user_feedback", "evaluation_timestamp")
 

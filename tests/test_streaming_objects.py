@@ -95,3 +95,23 @@ def test_scratch_belongs_to_the_application(spark):
     clear_scratch(spark)
     clear_scratch(spark)  # nothing left is no fault
     assert not os.path.exists(own.removeprefix("file:")) and spark.read.parquet(other).count() == 1
+
+
+def test_backfill_writes_with_all_partitions(spark, monkeypatch):
+    """No part goes through a single task, and several triggers still run, old times last."""
+    from evallens.plans import catalog
+
+    paths = {}
+    real = catalog.scratch_path
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, name: paths.setdefault(name, real(s, name)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = catalog.ingest_stream_backfill(spark, "/root/testdata/sf0.001").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all(len(spark.read.parquet(f"{paths['backfill-in']}/part{i}").inputFiles()) > 1 for i in range(4))
+    got = spark.read.parquet(paths["backfill-sink"]).where("evaluation_id is not null").groupBy("batch")
+    first = [r.first for r in got.agg({"evaluation_timestamp": "min"}).toDF("batch", "first").orderBy("batch").collect()]
+    assert n and len(first) >= 3 and first[0] > min(first)
