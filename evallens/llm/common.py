@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -92,6 +93,15 @@ def _marked(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     return marked.withColumn("_maybe", F.coalesce(F.expr("shiftright(_byte, _bit)").bitwiseAND(F.lit(1)) == 1, F.lit(False)))
 
 
+def rows_near_ids(df: DataFrame, col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of `df` that may have an id of `ids` (those that have one, and some more), and the others, NULL included.
+
+    No row is shuffled; join the first table with what belongs to the ids.
+    """
+    marked = _marked(df, col, ids)
+    return marked.where("_maybe").select(df.columns), marked.where("not _maybe").select(df.columns)
+
+
 def rows_with_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     """Rows of `df` whose `col` (long) is in the one column of `ids`, without shuffling most of the others.
 
@@ -111,16 +121,13 @@ def rows_without_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     return marked.where("not _maybe").select(df.columns).unionByName(rest.select(df.columns))
 
 
-# --- 64-bit hashes of words and n-grams, over many texts at a time -----------------
+# --- hashes of words and n-grams, over many texts at a time ------------------------
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: list[np.ndarray] = [np.ones(1, dtype=_U), np.ones(1, dtype=_U)]
 # Bytes of text hashed at once; the arrays for them take about 40 times as much.
 CHUNK = 1 << 20
 
@@ -132,18 +139,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        n = max(n, CHUNK + 1)
-        for i, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(n, base, dtype=_U)
-            p[0] = 1
-            _POWERS[i] = np.multiply.accumulate(p)
-    return _POWERS
+_BYTES = np.arange(16)
+
+
+def _digests(words: list[bytes]) -> np.ndarray:
+    found = b"".join(hashlib.blake2b(w, digest_size=16).digest() for w in words)
+    return np.frombuffer(found, dtype="<u8").reshape(-1, 2).astype(_U)
 
 
-def _hash_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text number) of each word of the texts raw[bounds[i]:bounds[i+1]], ASCII letters lower-cased."""
+def word_hashes(raw: np.ndarray, bounds: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, text number) of each word of the texts raw[bounds[i]:bounds[i+1]].
+
+    A word's hash is two 64-bit numbers (one row of `hashes`): its bytes and its
+    length as they are, mixed, for words of up to 16 bytes, and a BLAKE2b digest of
+    longer ones.  `lower`: A-Z are lower-cased.
+    """
     n = len(raw)
     solid = ~_SPACE[raw]
     edge = np.zeros(n + 1, dtype=bool)
@@ -152,14 +162,19 @@ def _hash_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     first[1:] &= ~solid[:-1] | edge[1:n]
     last[:-1] &= ~solid[1:] | edge[1:n]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers(n + 1)
-    total = np.zeros(n + 1, dtype=_U)
-    np.cumsum((_LOWER[raw].astype(_U) + _U(1)) * power[:n], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93)
-    return mix64(h), np.searchsorted(bounds, starts, side="right") - 1
-
-
-def _long_text(raw: np.ndarray) -> np.ndarray:
+    size = ends - starts
+    letters = np.concatenate([_LOWER[raw] if lower else raw, np.zeros(16, np.uint8)])
+    packed = letters[starts[:, None] + _BYTES]
+    packed[_BYTES >= size[:, None]] = 0
+    packed = np.ascontiguousarray(packed).view("<u8").astype(_U)
+    x, y = mix64(packed[:, 0] + size.astype(_U)), mix64(packed[:, 1] ^ _U(0x9E3779B97F4A7C15))
+    hashes = np.column_stack([mix64(x + y * _U(0x9FB21C651E98DF25)), mix64(y + x * _U(0xD6E8FEB86659FD93))])
+    for i in np.flatnonzero(size > 16).tolist():
+        hashes[i] = _digests([letters[starts[i]:ends[i]].tobytes()])[0]
+    return hashes, np.searchsorted(bounds, starts, side="right") - 1
+
+
+def _long_text(raw: np.ndarray, lower: bool) -> np.ndarray:
     """Word hashes of one text longer than CHUNK, in pieces that end at white space."""
     out, at = [], 0
     while at < len(raw):
@@ -172,9 +187,42 @@ def _long_text(raw: np.ndarray) -> np.ndarray:
                 while stop < len(raw) and not _SPACE[raw[stop]]:
                     nxt = np.flatnonzero(_SPACE[raw[stop:stop + CHUNK]])
                     stop = stop + int(nxt[0]) if len(nxt) else min(stop + CHUNK, len(raw))
-        out.append(_hash_words(raw[at:stop], np.array([0, stop - at]))[0])
+        out.append(word_hashes(raw[at:stop], np.array([0, stop - at]), lower)[0])
         at = stop
-    return np.concatenate(out) if out else np.zeros(0, dtype=_U)
+    return np.concatenate(out) if out else np.zeros((0, 2), dtype=_U)
+
+
+def text_words(texts, lower: bool = True):
+    """Per block of a pyarrow string array: (number of its first text, the word hashes of
+    its texts one after the other, where each text's words begin and end).
+
+    Texts are read whole (NULL: no words); memory is bounded by CHUNK and by the
+    longest text's words.
+    """
+    import pyarrow as pa
+
+    texts = texts.cast(pa.large_binary())
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    if not len(texts):
+        return
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    i = 0
+    while i < len(texts):
+        lo = int(offsets[i])
+        if offsets[i + 1] - lo > CHUNK:
+            words = _long_text(raw[lo:int(offsets[i + 1])], lower)
+            yield i, words, np.array([0, len(words)])
+            i += 1
+            continue
+        j = max(i + 1, int(np.searchsorted(offsets, lo + CHUNK, side="right")) - 1)
+        j = min(j, len(texts))
+        words, which = word_hashes(raw[lo:int(offsets[j])], (offsets[i:j + 1] - lo).astype(np.int64), lower)
+        # empty texts share a bound with their neighbour; the last of equal bounds owns the words
+        yield i, words, np.searchsorted(which, np.arange(j - i + 1))
+        i = j
 
 
 def _ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -190,18 +238,8 @@ def ngram_sets(texts, n: int):
     """Per text of a pyarrow string array: sorted distinct 64-bit hashes of its n-word shingles.
 
     A text with fewer words is one shingle, its whole sequence; NULL or without
-    words: empty.  Texts are read whole; memory is bounded by CHUNK and by the
-    longest text's words.
+    words: empty.
     """
-    import pyarrow as pa
-
-    texts = texts.cast(pa.large_binary())
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
-    data = texts.buffers()[2] if len(texts) else None
-    raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-
     def one(words: np.ndarray) -> np.ndarray:
         if len(words) == 0:
             return np.zeros(0, dtype=_U)
@@ -209,20 +247,8 @@ def ngram_sets(texts, n: int):
         h = _ngram_hashes(words, k)
         return np.unique(h if k == n else mix64(h + _U(k)))
 
-    i = 0
-    while i < len(texts):
-        lo = int(offsets[i])
-        if offsets[i + 1] - lo > CHUNK:
-            yield one(_long_text(raw[lo:int(offsets[i + 1])]))
-            i += 1
-            continue
-        j = max(i + 1, int(np.searchsorted(offsets, lo + CHUNK, side="right")) - 1)
-        j = min(j, len(texts))
-        words, which = _hash_words(raw[lo:int(offsets[j])], (offsets[i:j + 1] - lo).astype(np.int64))
-        # empty texts share a bound with their neighbour; the last of equal bounds owns the words
-        cut = np.searchsorted(which, np.arange(j - i + 1))
+    for _, hashes, cut in text_words(texts):
+        words = hashes[:, 0]
         grams = _ngram_hashes(words, n) if len(words) >= n else np.zeros(0, dtype=_U)
-        for t in range(j - i):
-            a, b = int(cut[t]), int(cut[t + 1])
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
             yield np.unique(grams[a:b - n + 1]) if b - a >= n else one(words[a:b])
-        i = j

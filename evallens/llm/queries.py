@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import ann, chat, embed_dedup, license_scan, mixing, ngram_join, packing, sharding, toxicity, warc
+from evallens.llm import ann, chat, embed_dedup, license_scan, mixing, ngram_join, packing, sharding, substring_dedup, toxicity, warc
 
 
 def _read(spark, d, name):
@@ -74,7 +74,13 @@ def op10_warc(spark, d):
     return warc.page_records(warc.read_warc(archives, payloads=False))
 
 
+def op12_substring_dedup(spark, d):
+    kept = substring_dedup.remove_repeats(_read(spark, d, "documents"), window=50, base=25)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op12_substring_dedup": op12_substring_dedup,
     "op1_toxicity": op1_toxicity,
     "op7_license_scan": op7_license_scan,
     "op4_sharding": op4_sharding,
@@ -100,6 +106,19 @@ _BACK = ",\n".join(f"e{k} AS (SELECT d.i AS j, d.j AS last FROM d{k} d JOIN e{k
 _TEMPLATES = ",\n".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(license_scan.TEMPLATES))
 
 ORACLE = {
+    "op12_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, generate_subscripts(h, 1) AS s, unnest(h) AS h FROM (
+    SELECT doc_id, list_transform(range(1, greatest(1, len(w) - 48)), lambda s: md5(array_to_string(w[s:s + 49], ' '))) AS h FROM d)),
+firsts AS (SELECT h, min(doc_id) AS lo FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM win JOIN firsts USING (h) WHERE doc_id > lo),
+words AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS x FROM d),
+kept AS (
+  SELECT doc_id, count(g.p) AS n_removed, string_agg(x, ' ' ORDER BY w.p) FILTER (WHERE g.p IS NULL) AS t
+  FROM words w LEFT JOIN gone g USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
     "op7_license_scan": f"""
 WITH parts AS (
   SELECT doc_id, text, '/' || coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/' || (coalesce(doc_id, -1) >> 8) AS up,
