@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import ann, chat, embed_dedup, license_scan, mixing, ngram_join, packing, sharding, substring_dedup, toxicity, warc
+from evallens.llm import ann, chat, embed_dedup, license_scan, mixing, ngram_join, packing, repair, sharding, substring_dedup, toxicity, warc
 
 
 def _read(spark, d, name):
@@ -74,12 +74,25 @@ def op10_warc(spark, d):
     return warc.page_records(warc.read_warc(archives, payloads=False))
 
 
+def op11_conversation_repair(spark, d):
+    conv = _read(spark, d, "conversations")
+    facts, edits = repair.repair(repair.damage(conv))
+    digest = repair.digests(edits)
+    every = conv.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    for t, name in ((facts, "_f"), (digest, "_d")):
+        every = every.join(t.withColumnRenamed("conv_id", name), F.col("conv_id").eqNullSafe(F.col(name)), "left").drop(name)
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_substring_dedup(spark, d):
     kept = substring_dedup.remove_repeats(_read(spark, d, "documents"), window=50, base=25)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_substring_dedup": op12_substring_dedup,
     "op1_toxicity": op1_toxicity,
     "op7_license_scan": op7_license_scan,
@@ -105,7 +118,70 @@ _BACK = ",\n".join(f"e{k} AS (SELECT d.i AS j, d.j AS last FROM d{k} d JOIN e{k
 
 _TEMPLATES = ",\n".join("({}, '{}', '{}')".format(i, n, t.replace("'", "''")) for i, (n, t) in enumerate(license_scan.TEMPLATES))
 
+# crc32 of the ASCII string `s`, bit by bit.
+_CRC = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ord(s[i])::BIGINT)), "
+        "lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)")
+
+
+def _then(state: str, cost: str, letter: str, when: str = "TRUE") -> str:
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || {letter}}} END"
+
+
+def _turn(state: str, initial: str) -> str:
+    """A row that becomes the turn a state asks for: kept if it is one, else rewritten."""
+    return _then(state, f"CASE WHEN i = '{initial}' THEN late ELSE 2 + late END", f"CASE WHEN i = '{initial}' THEN 'K' ELSE 'R' END", "stays")
+
+
+_REPAIR_STEP = f"""
+  SELECT conv_id, k, n0 AS s0, n1 AS s1, m2 AS s2, list_min([n3, {_then('m2', '2', "'I'")}]) AS s3 FROM (
+    SELECT *, list_min([n2, {_then('n0', '2', "'I'")}, {_then('n1', '2', "'I'")}, {_then('n3', '2', "'I'")}]) AS m2 FROM (
+      SELECT r.conv_id, r.k, {_then('s0', '3', "'D'")} AS n0,
+             list_min([{_then('s1', '3', "'D'")}, {_then('s0', 'late', "'K'", "stays AND i = 's'")}]) AS n1,
+             list_min([{_then('s2', '3', "'D'")}, {_turn('s0', 'u')}, {_turn('s1', 'u')}, {_turn('s3', 'u')}]) AS n2,
+             list_min([{_then('s3', '3', "'D'")}, {_turn('s2', 'a')}]) AS n3
+      FROM v JOIN r ON r.conv_id = v.conv_id AND r.k = v.k + 1))"""
+
 ORACLE = {
+    "op11_conversation_repair": f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations),
+kinds AS (SELECT *, {_CRC} % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM damaged),
+faults AS (
+  SELECT conv_id, turn, role, text, k, role[1] AS i,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY k) || role[1] AS pair FROM placed),
+r AS (SELECT *, (fault = 'truncated')::BIGINT AS late, fault NOT IN ('blank', 'duplicate') AS stays FROM faults),
+v AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS k, {{'c': 0::BIGINT, 'a': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR) AS s1,
+         {{'c': 2::BIGINT, 'a': 'I'}} AS s2, {{'c': 4::BIGINT, 'a': 'II'}} AS s3 FROM conversations
+  UNION ALL {_REPAIR_STEP}),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(k) AS n FROM r GROUP BY conv_id),
+best AS (SELECT conv_id, list_min([s0, s3]) AS b FROM v JOIN facts USING (conv_id) WHERE v.k = n),
+letters AS (SELECT conv_id, generate_series AS p, b.a[generate_series] AS e FROM best, generate_series(1, len(b.a))),
+marked AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER w AS k, count(*) FILTER (e <> 'D') OVER w - 1 AS place FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+turns AS (
+  SELECT m.*, r.role, CASE WHEN e = 'I' THEN '' ELSE r.text END AS text,
+         max(CASE WHEN place = 0 AND e = 'K' AND r.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY m.conv_id) AS lead
+  FROM marked m LEFT JOIN r ON r.conv_id = m.conv_id AND r.k = m.k AND e <> 'I'),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (place - lead) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p)) AS h
+  FROM turns WHERE e <> 'D' GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.a, '') AS audit,
+       coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts USING (conv_id) LEFT JOIN best USING (conv_id) LEFT JOIN repaired USING (conv_id)""",
     "op12_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (
