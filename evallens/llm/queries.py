@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evallens.llm import ann, chat, embed_dedup, license_scan, mixing, ngram_join, packing, repair, sharding, substring_dedup, toxicity, warc
+from evallens.llm import ann, chat, embed_dedup, license_scan, mixing, ngram_join, packing, prefix_trie, repair, sharding, substring_dedup, toxicity, warc
 
 
 def _read(spark, d, name):
@@ -91,7 +91,12 @@ def op12_substring_dedup(spark, d):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_prefix_trie(spark, d):
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(_read(spark, d, "conversations"))).drop("node")
+
+
 QUERIES = {
+    "op13_prefix_trie": op13_prefix_trie,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_substring_dedup": op12_substring_dedup,
     "op1_toxicity": op1_toxicity,
@@ -142,6 +147,33 @@ _REPAIR_STEP = f"""
       FROM v JOIN r ON r.conv_id = v.conv_id AND r.k = v.k + 1))"""
 
 ORACLE = {
+    "op13_prefix_trie": f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, conv_id::VARCHAR AS s, count(*) AS n FROM t GROUP BY conv_id),
+plan AS (SELECT conv_id, n, conv_id - conv_id % 5 AS donor, {_CRC} % 9 AS h FROM ids),
+path AS (
+  SELECT p.conv_id, t.pos AS depth, role, text FROM plan p JOIN t ON t.conv_id = p.donor WHERE pos <= h
+  UNION ALL
+  SELECT p.conv_id, pos - p.h + least(p.h, coalesce(d.n, 0)), role, text
+  FROM plan p JOIN t ON t.conv_id = p.conv_id LEFT JOIN ids d ON d.conv_id = p.donor WHERE pos > p.h),
+pre AS (
+  SELECT conv_id, depth, strlen(text) AS bytes, md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (
+           PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS node FROM path
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+steps AS (SELECT *, lag(node) OVER w AS parent, lead(node) OVER w IS NULL AS last FROM pre WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+node AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(parent) AS parent, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM steps GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent),
+sub AS (SELECT DISTINCT a.node AS top, b.node FROM steps a JOIN steps b ON b.conv_id = a.conv_id AND b.depth >= a.depth),
+sums AS (
+  SELECT top, sum((n_convs - 1) * bytes) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM sub JOIN node USING (node) LEFT JOIN kids USING (node) GROUP BY top)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM node n JOIN sums ON top = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN node p ON p.node = n.parent""",
     "op11_conversation_repair": f"""
 WITH RECURSIVE keyed AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
