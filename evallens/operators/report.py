@@ -13,26 +13,39 @@ from evallens.schemas import STOPWORDS, TOP_WORDS_K
 from evallens.sources.evaluations import as_bool
 
 
-def summary(evals: DataFrame) -> DataFrame:
-    """A1-A4: total, correct, incorrect and their shares in percent.
+def counts(evals: DataFrame, *by: str) -> DataFrame:
+    """The mergeable part of the summary: all rows and the correct ones, optionally by some columns."""
+    aggs = (F.count(F.lit(1)).alias("total_evaluations"), F.count_if(as_bool(F.col("is_correct"))).alias("correct_answers"))
+    return evals.groupBy(*by).agg(*aggs) if by else evals.agg(*aggs)
 
-    One global aggregate (partial counts per task, one tiny final merge).  An
-    empty table yields no row, as the reference shows no block then.
-    """
-    counts = evals.agg(
-        F.count(F.lit(1)).alias("total_evaluations"),
-        F.count_if(as_bool(F.col("is_correct"))).alias("correct_answers"),
-    ).where(F.col("total_evaluations") > 0)
+
+def merged_counts(parts: DataFrame) -> DataFrame:
+    """One row of counts from those of several parts; none from no parts."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+    return parts.agg(total("total_evaluations"), total("correct_answers"))
+
+
+def summary_of(merged: DataFrame) -> DataFrame:
+    """A1-A4 from a row of counts; no row if nothing was counted."""
     total = F.col("total_evaluations")
     correct = F.col("correct_answers")
     incorrect = (total - correct).alias("incorrect_answers")
-    return counts.select(
+    return merged.where(total > 0).select(
         total, correct, incorrect,
         (correct.cast("double") / total * F.lit(100.0)).alias("correct_pct"),
         ((total - correct).cast("double") / total * F.lit(100.0)).alias("incorrect_pct"),
     )
 
 
+def summary(evals: DataFrame) -> DataFrame:
+    """A1-A4: total, correct, incorrect and their shares in percent.
+
+    One global aggregate (partial counts per task, one tiny final merge).  An
+    empty table yields no row, as the reference shows no block then.
+    """
+    return summary_of(counts(evals))
+
+
 def format_pct(pct) -> F.Column:
     """Display form `f"{x:.2f}%"`: the double's exact binary value, half to even.
 

@@ -349,6 +349,7 @@ QUERIES.update({
 
 from evallens.session import shared_dir  # noqa: E402,F401
 from evallens.sources import objects as objects_src  # noqa: E402
+from evallens.sources.paths import delete_path  # noqa: E402
 from evallens.streaming import ingest as ingest_st  # noqa: E402
 
 # Files written by Spark's text writer, one directory per key: key=<name>/part-*.txt
@@ -408,7 +409,25 @@ def live_summary_result(spark, d):
     return ingest_st.read_summary(spark, out)
 
 
+def live_summary_replayed(spark, d):
+    """T2 after T1 has replayed a batch whose commit was lost."""
+    src, sink, ckpt = _evaluation_files(spark, d), scratch_path(spark, "eval-sink"), scratch_path(spark, "ckpt")
+    out, seen = scratch_path(spark, "summary"), scratch_path(spark, "ckpt")
+    files = len(spark.read.parquet(f"{src}/*").inputFiles())
+
+    def both():
+        ingest_st.ingest_evaluations(spark, f"{src}/*", sink, ckpt, max_files_per_trigger=-(-files // 3)).awaitTermination()
+        ingest_st.live_summary(spark, sink, out, seen).awaitTermination()
+
+    both()
+    last = spark.read.schema(ingest_st.STORED).parquet(sink).agg(F.max("batch")).first()[0]
+    delete_path(spark, f"{ckpt}/commits/{last}")
+    both()
+    return ingest_st.read_summary(spark, out)
+
+
 QUERIES.update({
+    "live_summary_replayed": live_summary_replayed,
     "object_listing": object_listing,
     "objects_landed": objects_landed,
     "ingest_stream_result": ingest_stream_result,

@@ -327,6 +327,7 @@ ORACLE.update({
     "objects_landed": _PLAIN.replace("AS key, text\n  FROM documents", "AS key, text || chr(10) AS text\n  FROM documents"),
     "ingest_stream_result": EV + "\nSELECT * FROM evaluations",
     "live_summary_result": EV + _summary("evaluations"),
+    "live_summary_replayed": EV + _summary("evaluations"),
 })
 
 ORACLE["links_parsed"] = f"WITH {_LINKS}{_ODD}\nSELECT page_id, page_url, CAST(li_pos AS INTEGER) AS li_pos, href FROM odd"

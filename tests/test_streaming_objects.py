@@ -1,8 +1,10 @@
 import datetime as dt
 import os
+import shutil
 
 from evallens.schemas import EVALUATIONS
 from evallens.sources import objects as objects_src
+from evallens.sources.paths import delete_path
 from evallens.streaming import ingest
 
 T0 = dt.datetime(2024, 1, 10)
@@ -38,6 +40,43 @@ def test_ingest_keeps_late_rows_and_equal_verdicts(spark, tmp_dir):
     assert len(got) == 42 and len(set(got)) == 42 and None not in got
 
 
+def test_replayed_batch_counts_once(spark, tmp_dir):
+    src, sink, ck, out, ck2 = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck", "summary", "ck2"))
+    rows = [(i, "t", i % 2 == 0, None, T0) for i in range(10)] + [(None, "t", True, None, None)] * 2
+    spark.createDataFrame(rows, EVALUATIONS).write.parquet(f"{src}/b1")
+
+    def run():
+        ingest.ingest_evaluations(spark, f"{src}/*", sink, ck).awaitTermination()
+        ingest.live_summary(spark, sink, out, ck2).awaitTermination()
+        r = ingest.read_summary(spark, out).collect()[0]
+        return r.total_evaluations, r.correct_answers, ingest.read_ingested(spark, sink).count()
+
+    assert run() == (12, 7, 12)
+    for _ in range(2):
+        delete_path(spark, f"{ck}/commits/0")
+        assert run() == (12, 7, 12)
+    assert os.path.isdir(f"{ingest.ledger_path(sink)}/batch=0/attempt=2")
+    spark.createDataFrame([(3, "t", True, None, T0), (90, "t", True, None, T0)], EVALUATIONS).write.parquet(f"{src}/b2")
+    assert run() == (13, 8, 13)
+    # a lost ledger is rebuilt from the table
+    shutil.rmtree(ingest.ledger_path(sink))
+    ingest.rebuild_ledger(spark, sink)
+    out, ck2 = out + "-2", ck2 + "-2"
+    assert run() == (13, 8, 13)
+
+
+def test_ingest_reads_nothing_of_the_table(spark, tmp_dir):
+    """Ids stored by earlier batches are known even if those files are gone."""
+    src, sink, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    for n in range(4):
+        rows = [(i, f"{n}", True, None, T0) for i in range(n * 10, n * 10 + 20)]
+        spark.createDataFrame(rows, EVALUATIONS).coalesce(1).write.parquet(f"{src}/{n}")
+        ingest.ingest_evaluations(spark, f"{src}/*", sink, ck).awaitTermination()
+        stored = spark.read.schema(ingest.STORED).parquet(sink).where(f"batch = {n}").count()
+        assert stored == (20 if n == 0 else 10)
+        shutil.rmtree(f"{sink}/batch={n}")
+
+
 def test_list_fetch_land(spark, tmp_dir):
     store = os.path.join(tmp_dir, "store")
     os.makedirs(os.path.join(store, "sub"))
