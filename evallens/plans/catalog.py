@@ -360,9 +360,12 @@ def _stored_documents(spark, d):
     """Documents written as files, one per key (the text writer adds a final newline)."""
     store = scratch_path(spark, "store")
     docs = fx.file_bytes(spark, d).select("key", F.col("content").cast("string").alias("value"))
-    # One file per key: spread keys over parallel writer tasks.
-    docs = docs.repartition(4 * spark.sparkContext.defaultParallelism, "key")
-    docs.write.partitionBy("key").text(store)
+    return _written(docs, store)
+
+
+def _written(docs, store):
+    """(key, value) rows as files, one folder per key."""
+    docs.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, "key").write.partitionBy("key").text(store)
     return store
 
 
@@ -496,6 +499,33 @@ def objects_fetched(spark, d):
     return got.select("key", F.col("content").cast("string").alias("text"))
 
 
+def objects_fetched_landed(spark, d):
+    """S9 on a landed store: only the slots of the wanted keys are read."""
+    out = scratch_path(spark, "landed")
+    objects_src.land_objects(spark, _stored_documents(spark, d), out, key_pattern=KEY_DIR_PATTERN, slot_bytes=1 << 14)
+    wanted = fx.file_bytes(spark, d).where(F.col("key").rlike(r"^[0-9]*77\.")).select("key")
+    return objects_src.fetch_landed(spark, out, wanted).select("key", F.col("content").cast("string").alias("text"))
+
+
+def objects_landed_delta(spark, d):
+    """S8 + S11 from inventories: of the second one only new and changed objects are read, deleted ones go."""
+    docs = fx.file_bytes(spark, d).select("key", F.col("content").cast("string").alias("value"))
+    m = F.regexp_extract("key", r"^(\d+)", 1).cast("long") % 7
+    first = _written(docs.where(m != 3), scratch_path(spark, "store"))
+    later = docs.where(m.isin(1, 3)).withColumn("value", F.concat("value", F.lit(" (again)")))
+    later = _written(later, scratch_path(spark, "store"))
+    old, new = (objects_src.list_objects(spark, s, key_pattern=KEY_DIR_PATTERN) for s in (first, later))
+    inventories = [old, old.where(~m.isin(1, 2)).unionByName(new)]
+    out = scratch_path(spark, "landed")
+    for i, inventory in enumerate(inventories):
+        path = scratch_path(spark, "inventory")
+        inventory.select(F.col("path").alias("object"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified")).write.parquet(path)
+        listing = objects_src.inventory_listing(spark.read.parquet(path), "object", "size", "last_modified", key_pattern=KEY_DIR_PATTERN)
+        objects_src.land_changes(spark, out, listing, landing=i)
+    landed = objects_src.read_landed(spark, out)
+    return landed.select("key", "ext", "length", F.col("content").cast("string").alias("text"))
+
+
 def _task_lines(spark, d):
     """Task records as JSON lines; each eleventh is cut off, some levels are text or decimals."""
     r = fx.nested_task_records(spark, d)
@@ -549,6 +579,8 @@ QUERIES.update({
     "ingest_stream_backfill": ingest_stream_backfill,
     "evaluations_stored": evaluations_stored,
     "objects_fetched": objects_fetched,
+    "objects_fetched_landed": objects_fetched_landed,
+    "objects_landed_delta": objects_landed_delta,
     "tasks_lenient": tasks_lenient,
     "tasks_rejected": tasks_rejected,
     "tasks_array": tasks_array,

@@ -380,6 +380,12 @@ SELECT task_id, is_correct, CASE WHEN NOT is_correct THEN stripped END AS user_f
 FROM c WHERE CASE WHEN is_correct THEN user_feedback IS NULL ELSE coalesce(stripped, '') <> '' END""",
     "objects_fetched": _DOC_KEYS + """
 SELECT key, text || chr(10) AS text FROM f WHERE regexp_matches(key, '[05][.](txt|py)$')""",
+    "objects_fetched_landed": _DOC_KEYS + """
+SELECT key, text || chr(10) AS text FROM f WHERE regexp_matches(key, '^[0-9]*77[.]')""",
+    "objects_landed_delta": """WITH f AS (
+  SELECT CAST(doc_id AS VARCHAR) || ['.txt', '.py', '.pdb', '.json'][CAST(doc_id % 4 + 1 AS INTEGER)] AS key,
+         text || CASE WHEN doc_id % 7 IN (1, 3) THEN ' (again)' ELSE '' END || chr(10) AS text FROM documents WHERE doc_id % 7 <> 2)
+SELECT key, '.' || string_split(key, '.')[2] AS ext, CAST(strlen(text) AS BIGINT) AS length, text FROM f""",
     "tasks_lenient": "WITH" + fx.TASKS_SQL + _TASKS_FLAT + " WHERE conv_id % 11 <> 0",
     "tasks_rejected": "WITH" + fx.TASKS_SQL + """
 SELECT left('{"task_id":"' || task_id || '","Question":"' || coalesce(question, ''), 20) AS record FROM tasks WHERE conv_id % 11 = 0""",

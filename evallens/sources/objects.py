@@ -1,17 +1,38 @@
-"""Object store: listing (S8), fetch (S9) and landing (S11), on Spark's `binaryFile` source.
+"""Object store: listing (S8), fetch (S9) and landing.
 
 The store is any path Hadoop can read (local, HDFS, S3 through its connector,
-with the caller's configuration).  Keys are object names: by default the last
-path segment (the reference's bucket is flat), or a regex group over the path.
+with the caller's configuration); Spark's `binaryFile` source reads it.  Keys are
+object names: by default the last path segment (the reference's bucket is
+flat), or a regex group over the path.
+
+A landed store is a folder:
+
+    slots/       the number of slots, fixed by the first landing
+    landing=N/   the objects of one landing, bucketed by slot (a hash of the key)
+    gone=N/      after landing N: per slot, bitmaps of the rows that later objects
+                 or deletions supersede, by landing
+
+Bitmaps are found on metadata columns and applied while a landing is read: both are
+bucketed by slot, so they meet without moving an object's bytes.  `gone=N` is
+written last; a landing counts once it is there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evallens.functions.text import last_segment, splitext_ext
 from evallens.session import scratch_path
+from evallens.sources.paths import folder_numbers, path_exists
+
+LISTING = ("path", "length", "modificationTime", "key")
+SLOT_BYTES = 256 << 20
+MAX_SLOTS = 1 << 16
+PATHS_PER_JOB = 20_000  # paths the driver names at a time when it reads a part of a store
 
 
 def _key(path: F.Column, key_pattern: str | None) -> F.Column:
@@ -41,24 +62,37 @@ def fetch_objects(spark: SparkSession, uri: str, wanted: DataFrame | None = None
                   key_pattern: str | None = None, glob: str | None = None) -> DataFrame:
     """(key, content) of the objects below `uri`, optionally only the keys in `wanted`.
 
-    Wanted keys are resolved to paths on the listing, without reading a byte, and
-    the paths' semi join filters the file rows before their content is
-    shuffled: Spark broadcasts the path table if its stored size is under the
-    broadcast threshold.  For repeated reads of a large store, land it once.
+    Wanted keys are resolved to paths on the listing, without reading a byte, and only
+    those files are read then (into the shared folder, when this is called).
+    For repeated reads of a large store, land it once (`fetch_landed`).
     """
-    store = _reader(spark, glob).load(uri)
-    key = _key(F.col("path"), key_pattern)
-    if wanted is not None:
-        paths = store.select("path", key.alias("key")).join(wanted.select("key").distinct(), "key", "left_semi").select("path")
-        store = store.join(_stored(paths, "fetch-paths"), "path", "left_semi")
-    return store.select(key.alias("key"), "content")
+    if wanted is None:
+        return _reader(spark, glob).load(uri).select(_key(F.col("path"), key_pattern).alias("key"), "content")
+    listing = list_objects(spark, uri, key_pattern, glob)
+    return _read_paths(listing.join(wanted.select("key").distinct(), "key", "left_semi").select(*LISTING)).select("key", "content")
 
 
-def latest_per_key(listing: DataFrame) -> DataFrame:
-    """One path per key: the most recently modified (then greatest path) wins,
-    as a later upload of the same name overwrites the earlier one."""
-    return listing.groupBy("key").agg(
-        F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
+def _read_paths(listing: DataFrame) -> DataFrame:
+    """The listing's rows with their files' content, stored; other files are not opened.
+
+    The driver names the files, PATHS_PER_JOB or so at a time, and the rows of as many
+    are broadcast to their bytes.  A file that cannot be found raises an error.
+    """
+    spark, wanted = listing.sparkSession, _stored(listing, "objects-wanted")
+    total = wanted.count()
+    parts = -(-total // PATHS_PER_JOB) or 1
+    part, staged = F.pmod(F.xxhash64("path"), F.lit(parts)), scratch_path(spark, "objects-read")
+    wanted.limit(0).withColumn("content", F.lit(None).cast("binary")).write.parquet(staged)
+    for i in range(parts):
+        rows = wanted.where(part == i)
+        paths = [r.path for r in rows.select("path").distinct().collect()]
+        if paths:
+            files = spark.read.format("binaryFile").load(paths).select("path", "content")
+            files.join(F.broadcast(rows), "path").select(*LISTING, "content").write.mode("append").parquet(staged)
+    out = spark.read.parquet(staged)
+    if out.count() != total:
+        raise ValueError(f"{total - out.count()} of {total} listed paths name no file as Spark writes its path")
+    return out
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -67,39 +101,188 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# --- inventories ---------------------------------------------------------------------
+
+def inventory_listing(inventory: DataFrame, path: str = "path", length: str = "length", modified: str = "modificationTime",
+                      key_pattern: str | None = None) -> DataFrame:
+    """S8 from an inventory table (as object stores deliver them), in the form of `list_objects`.
+
+    The listing is then a scan like any other: no file is listed by the driver.
+    """
+    p = F.regexp_replace(F.col(path).cast("string"), "^file:/+", "file:/")  # as Spark writes local paths
+    return inventory.select(p.alias("path"), F.col(length).cast("long").alias("length"), F.col(modified).cast("timestamp").alias("modificationTime"),
+                            _key(p, key_pattern).alias("key"))
+
+
+def _latest_rows(listing: DataFrame) -> DataFrame:
+    """The listing's row per key that counts: the most recently modified, then the greatest path."""
+    best = F.max(F.struct("modificationTime", "path", "length")).alias("b")
+    return listing.groupBy("key").agg(best).select("b.path", "b.length", "b.modificationTime", "key")
+
+
+def inventory_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What turns one listing into another, per key: (key, change, path, length, modificationTime).
+
+    `change` is new, changed (another path, length or time) or deleted (then the other
+    columns are NULL).  Keys that stay as they are have no row.
+    """
+    before = _latest_rows(old).select(F.col("key").alias("_k"), F.struct("path", "length", "modificationTime").alias("_old"))
+    now = _latest_rows(new).select("key", F.struct("path", "length", "modificationTime").alias("_new"))
+    both = now.join(before, F.col("key") == F.col("_k"), "full")
+    change = F.when(F.col("_new").isNull(), "deleted").when(F.col("_old").isNull(), "new").when(~F.col("_new").eqNullSafe(F.col("_old")), "changed")
+    return both.select(F.coalesce("key", "_k").alias("key"), change.alias("change"), "_new.*").where(F.col("change").isNotNull())
+
+
+# --- landing -------------------------------------------------------------------------
+
+COLUMNS = "slot int, row long, key string, ext string, path string, length long, modificationTime timestamp, deleted boolean, content binary"
+GONE = "slot int, bits map<struct<landing:int,chunk:long>,binary>"
+
+
+def _bucketed(spark: SparkSession, path: str, columns: str, slots: int) -> DataFrame:
+    """A folder of files bucketed by slot, read as such."""
+    name = f"landed_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (slot) INTO {slots} BUCKETS LOCATION '{path}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the files stay
+
+
+def _write_bucketed(df: DataFrame, path: str, slots: int) -> None:
+    name = f"landed_{uuid.uuid4().hex}"
+    df.write.mode("overwrite").bucketBy(slots, "slot").option("path", path).saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")
+
+
+def _slots(spark: SparkSession, out: str, total_bytes: int | None = None, slot_bytes: int = SLOT_BYTES) -> int:
+    if total_bytes is not None and not path_exists(spark, f"{out}/slots/_SUCCESS"):
+        n = min(MAX_SLOTS, max(spark.sparkContext.defaultParallelism, -(-total_bytes // slot_bytes)))
+        spark.range(n, n + 1).coalesce(1).write.mode("overwrite").parquet(f"{out}/slots")
+    return spark.read.parquet(f"{out}/slots").first()[0]
+
+
+def _slot(key: F.Column, slots: int) -> F.Column:
+    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+
+
+def _landing(spark: SparkSession, out: str, n: int) -> DataFrame:
+    return _bucketed(spark, f"{out}/landing={n}", COLUMNS, _slots(spark, out)).withColumn("landing", F.lit(n))
+
+
+def _landings(spark: SparkSession, out: str) -> list[int]:
+    """The landings that count: those up to the last one whose bitmaps are written."""
+    done = [n for n in folder_numbers(spark, out, "gone") if path_exists(spark, f"{out}/gone={n}/_SUCCESS")]
+    return [n for n in folder_numbers(spark, out, "landing") if done and n <= max(done)]
+
+
+def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame) -> None:
+    """Objects (path, key, length, modificationTime, deleted, content) -> landing and bitmaps."""
+    slots = _slots(spark, out)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # dense in each writer's part, which holds whole slots
+    rows = rows.withColumn("slot", _slot(F.col("key"), slots)).repartition(slots, "slot").withColumn("row", at + 1)
+    _write_bucketed(rows.select("slot", "row", "key", splitext_ext(F.col("key")).alias("ext"), "path", "length", "modificationTime", "deleted", "content"),
+                    f"{out}/landing={landing}", slots)
+    numbers = [n for n in folder_numbers(spark, out, "landing") if n <= landing]
+    slim = ("slot", "row", "key", "path", "modificationTime", "deleted", "landing")
+    every = functools.reduce(DataFrame.unionByName, [_landing(spark, out, n).select(*slim) for n in numbers])
+    newest = Window.partitionBy("slot", "key").orderBy(F.desc("landing"), F.desc("modificationTime"), F.desc("path"))
+    gone = every.withColumn("_r", F.row_number().over(newest)).where((F.col("_r") > 1) | F.col("deleted"))
+    bits = gone.groupBy("slot", "landing", F.bitmap_bucket_number("row").alias("chunk")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits"))
+    bits = bits.groupBy("slot").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("landing", "chunk"), "bits"))).alias("bits"))
+    _write_bucketed(bits.repartition(slots, "slot"), f"{out}/gone={landing}", slots)
+
+
 def land_objects(spark: SparkSession, uri: str, out: str, key_pattern: str | None = None,
-                 glob: str | None = None, bytes_per_task: int = 128 << 20, landing: int = 0) -> None:
-    """Copy the store into a table (key, ext, length, modificationTime, content)
-    under `out`, partitioned by landing number and extension.
-
-    Winners per key are chosen on metadata (no bytes read); the paths they
-    supersede go to a table, and an anti join drops them as files are scanned.
-    Scan partitions of many small files are coalesced (no shuffle) to about one
-    per `bytes_per_task` of data (at least one per core), so each writer
-    task writes few, full files.  A later landing has a greater number and
-    overwrites only itself if it is repeated; `read_landed` resolves the latest
-    object per key over all of them.
+                 glob: str | None = None, slot_bytes: int = SLOT_BYTES, landing: int = 0) -> None:
+    """Copy the whole store into a landed store, as landing number `landing`.
+
+    Every object is scanned once and dealt by slot, a hash of its key; the first
+    landing fixes the number of slots, about one per `slot_bytes` of data.  Where
+    several paths have one key, the most recently modified (then the greatest
+    path) counts, and a later landing's objects count before earlier ones: the
+    others' rows are marked, not compared with while bytes are moved.  A landing
+    that is repeated overwrites itself; landings are numbered upwards.
     """
     store = _reader(spark, glob).load(uri)
-    listing = store.select("path", "length", "modificationTime").withColumn("key", _key(F.col("path"), key_pattern))
-    superseded = _stored(listing.join(latest_per_key(listing).select("path"), "path", "left_anti").select("path"), "land-superseded")
-    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    tasks = max(spark.sparkContext.defaultParallelism, -(-total // bytes_per_task))
+    total = store.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    _slots(spark, out, total, slot_bytes)
     key = _key(F.col("path"), key_pattern)
-    landed = store.join(superseded, "path", "left_anti").coalesce(tasks).select(
-        key.alias("key"), splitext_ext(key).alias("ext"), "length", "modificationTime", "content")
-    landed.write.mode("overwrite").partitionBy("ext").parquet(f"{out}/landing={landing}")
+    _write_landing(spark, out, landing, store.select("path", key.alias("key"), "length", "modificationTime", F.lit(False).alias("deleted"), "content"))
+
+
+def landed_listing(spark: SparkSession, out: str) -> DataFrame:
+    """(path, length, modificationTime, key) of the objects that count, without reading their bytes."""
+    return _live(spark, out, ("path", "length", "modificationTime", "key"))
+
+
+def land_changes(spark: SparkSession, out: str, listing: DataFrame, landing: int, slot_bytes: int = SLOT_BYTES) -> DataFrame:
+    """S11 for what changed: makes the landed store equal to `listing` and returns the changes.
+
+    `listing` (path, length, modificationTime, key; see `inventory_listing`) is compared
+    with what is landed; only new and changed objects are read, PATHS_PER_JOB at a time
+    so that the driver never names more, and deleted keys become rows without
+    content that hide the earlier ones.
+    """
+    first = not _landings(spark, out)
+    old = listing.limit(0) if first else landed_listing(spark, out)
+    if first:
+        _slots(spark, out, listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0], slot_bytes)
+    changes = _stored(inventory_changes(old, listing), "inventory-changes")
+    wanted = changes.where("change != 'deleted'")
+    objects = _read_paths(wanted.select(*LISTING)).withColumn("deleted", F.lit(False))
+    tombs = changes.where("change = 'deleted'").select(*LISTING, F.lit(None).cast("binary").alias("content"), F.lit(True).alias("deleted"))
+    rows = objects.unionByName(tombs)
+    _write_landing(spark, out, landing, rows)
+    return changes
+
+
+def _marked(bits: F.Column) -> F.Column:
+    """Whether a row's bit is set in its slot's bitmaps."""
+    here = F.element_at(bits, F.struct(F.col("landing"), F.bitmap_bucket_number("row").alias("chunk")))
+    at = F.bitmap_bit_position("row")
+    byte = F.conv(F.hex(F.substring(here, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+
+
+def _live(spark: SparkSession, out: str, columns, slots: list[int] | None = None, wanted: DataFrame | None = None) -> DataFrame:
+    """Columns of the rows that count, optionally of some slots and of the keys `wanted` (slot, keys) names."""
+    numbers, n = _landings(spark, out), _slots(spark, out)
+    gone = _bucketed(spark, f"{out}/gone={max(numbers)}", GONE, n)
+    parts = []
+    for i in numbers:
+        rows = _landing(spark, out, i)
+        bits = gone
+        if slots is not None:
+            rows, bits = rows.where(F.col("slot").isin(slots)), gone.where(F.col("slot").isin(slots))
+        # one row per slot on the right: a hash table of one row, no sort of the objects
+        rows = rows.join(bits.hint("shuffle_hash"), "slot", "left").where(~_marked(F.col("bits")))
+        if wanted is not None:
+            rows = rows.join(wanted.hint("shuffle_hash"), "slot").where(F.array_contains("keys", F.col("key")))
+        parts.append(rows.select(*columns))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """The landed objects, the latest per key over all landings (a later landing wins).
+    """The landed objects that count: the latest per key over all landings, deleted ones left out.
+
+    No object is exchanged or sorted: each landing meets its bitmaps by slot.
+    """
+    return _live(spark, path, ("key", "ext", "length", "modificationTime", "content"))
+
+
+def fetch_landed(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """S9 on a landed store: (key, content) of the keys in `wanted`.
 
-    With one landing nothing is joined; otherwise the superseded (key, landing)
-    pairs are found on metadata and dropped by an anti join.
+    Their slots, at most as many as the store has, become a filter that leaves other
+    slots' files unread; what is read meets the wanted keys slot by slot.
     """
-    df = spark.read.parquet(path)
-    if df.select("landing").distinct().count() > 1:
-        last = df.groupBy("key").agg(F.max("landing").alias("last"))
-        gone = df.select("key", "landing").join(last, "key").where(F.col("landing") < F.col("last")).select("key", "landing")
-        df = df.join(_stored(gone, "landed-superseded"), ["key", "landing"], "left_anti")
-    return df.select("key", "ext", "length", "modificationTime", "content")
+    n = _slots(spark, path)
+    keys = wanted.where(F.col("key").isNotNull()).select(_slot(F.col("key"), n).alias("slot"), "key")
+    keys = keys.groupBy("slot").agg(F.collect_set("key").alias("keys"))
+    folder = scratch_path(spark, "fetch-keys")
+    _write_bucketed(keys.repartition(n, "slot"), folder, n)
+    keys = _bucketed(spark, folder, "slot int, keys array<string>", n)
+    slots = [r.slot for r in keys.select("slot").collect()]
+    return _live(spark, path, ("key", "content"), slots, keys)

@@ -20,3 +20,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Delete `path` and all below it, if it is there."""
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def folder_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers N of the folders `name=N` in `path`, ascending; none if there is no such path."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))

@@ -1,7 +1,11 @@
 import datetime as dt
 import os
+import re
 import shutil
 
+import pytest
+from pyspark.sql import functions as F
+
 from evallens.schemas import EVALUATIONS
 from evallens.sources import objects as objects_src
 from evallens.sources.paths import delete_path
@@ -123,6 +127,78 @@ def test_land_paths_agree(spark, tmp_dir):
     assert again == {"a.txt": b"new", "c.py": b"c2"}
 
 
+def _store(folder, files):
+    for name, data in files.items():
+        os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+        with open(os.path.join(folder, name), "wb") as f:
+            f.write(data)
+    return folder
+
+
+def _contents(df):
+    return {r.key: bytes(r.content) for r in df.collect()}
+
+
+def test_three_landings_are_read_without_moving_objects(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "landed")
+    want = {}
+    for n in range(3):
+        files = {f"{i}.txt": f"{n}-{i}".encode() for i in range(n * 20, n * 20 + 60)}
+        want |= files
+        objects_src.land_objects(spark, _store(os.path.join(tmp_dir, f"s{n}"), files), out, slot_bytes=40, landing=n)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = objects_src.read_landed(spark, out)
+        assert _contents(df) == want
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan.replace("SortMerge", "") and plan.count("ShuffledHashJoin") >= 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # a repeated landing overwrites itself
+    objects_src.land_objects(spark, _store(os.path.join(tmp_dir, "s3"), {"1.txt": b"x", "70.txt": b"y"}), out, landing=2)
+    want = {f"{i}.txt": f"{max(0, min(1, (i - 20) // 20 + 1 if i >= 20 else 0))}-{i}".encode() for i in range(80)} | {"1.txt": b"x", "70.txt": b"y"}
+    got = _contents(objects_src.read_landed(spark, out))
+    assert set(got) == set(want) and got["1.txt"] == b"x" and got["70.txt"] == b"y" and got["25.txt"] == b"1-25" and got["5.txt"] == b"0-5"
+
+
+def test_fetch_reads_the_wanted_slots_only(spark, tmp_dir):
+    out, files = os.path.join(tmp_dir, "landed"), {f"{i}.bin": os.urandom(500) for i in range(400)}
+    store = _store(os.path.join(tmp_dir, "store"), files)
+    objects_src.land_objects(spark, store, out, slot_bytes=1000)
+    wanted = spark.createDataFrame([("7.bin",), ("7.bin",), ("88.bin",), ("120.bin",), ("nowhere",), (None,)], "key string")
+    df = objects_src.fetch_landed(spark, out, wanted)
+    assert _contents(df) == {k: files[k] for k in ("7.bin", "88.bin", "120.bin")}
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    picked, slots = map(int, re.search(r"SelectedBucketsCount: (\d+) out of (\d+)", plan).groups())
+    assert slots == 200 and picked <= 4
+    assert _contents(objects_src.fetch_landed(spark, out, wanted.limit(0))) == {}
+    # and straight from the store
+    assert _contents(objects_src.fetch_objects(spark, store, wanted)) == {k: files[k] for k in ("7.bin", "88.bin", "120.bin")}
+
+
+def test_changes_between_inventories(spark, tmp_dir):
+    out, store = os.path.join(tmp_dir, "landed"), os.path.join(tmp_dir, "store")
+    _store(store, {"a.txt": b"a", "b.txt": b"b", "c.txt": b"c", "old/d.txt": b"d"})
+    land = lambda n: {(r.key, r.change) for r in objects_src.land_changes(spark, out, objects_src.list_objects(spark, store), n).collect()}
+    assert land(0) == {(k, "new") for k in ("a.txt", "b.txt", "c.txt", "d.txt")}
+    assert land(1) == set()
+    _store(store, {"b.txt": b"bb", "new/e.txt": b"e"})
+    os.remove(os.path.join(store, "c.txt"))
+    assert land(2) == {("b.txt", "changed"), ("c.txt", "deleted"), ("e.txt", "new")}
+    _store(store, {"c.txt": b"back"})
+    os.remove(os.path.join(store, "a.txt"))
+    assert land(3) == {("c.txt", "new"), ("a.txt", "deleted")}
+    assert _contents(objects_src.read_landed(spark, out)) == {"b.txt": b"bb", "c.txt": b"back", "d.txt": b"d", "e.txt": b"e"}
+    assert sorted(r.key for r in objects_src.landed_listing(spark, out).collect()) == ["b.txt", "c.txt", "d.txt", "e.txt"]
+    # only what changed was read
+    rows = [spark.read.schema(objects_src.COLUMNS).parquet(f"{out}/landing={n}").where("not deleted").count() for n in range(4)]
+    assert rows == [4, 0, 2, 1]
+    gone = objects_src.list_objects(spark, store).withColumn("path", F.concat("path", F.lit("x"))).withColumn("key", F.lit("z"))
+    with pytest.raises(Exception, match="(?i)exist"):
+        objects_src.land_changes(spark, out, gone, 4)
+
+
 def test_scratch_belongs_to_the_application(spark):
     from evallens.session import clear_scratch, scratch_path, shared_dir
 
