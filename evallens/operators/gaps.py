@@ -4,24 +4,29 @@ The reference sorts all rows on one machine and takes `diff()`.  A plain
 `lag().over(Window.orderBy(ts))` does the same in Spark by moving every row
 into one task, so it is avoided.  Instead:
 
-1. Rows with one time and key collapse to one counted row (map-side
-   aggregation), which a range shuffle on the time deals into as many
-   buckets as the data needs; this table is written once and everything else
-   reads it, so the input is scanned once.
-2. `lag` runs over the distinct times of each bucket, in parallel.
-3. Each bucket's first time takes the last time of the bucket before it, from
-   a table with one row per bucket.
-4. The first row (lowest key, NULL last) of a time gets the gap, further rows
-   at that time get 0, as `diff()` gives.
-
-Spark cuts a range shuffle between distinct values only, so a time is in one
-bucket, and a burst at one time is few rows there: one per distinct key.
+Gaps of rows (`time_gaps`):
+
+1. Rows are dealt into buckets by a range shuffle on (time, key, a random number), as
+   many as the data needs, so that a burst at one time, or of one repeated row, is
+   split like any other rows.  Before that they are written once, so the input is
+   scanned once.
+2. Each bucket is sorted, and a row's previous time is that of the row before it.
+   A bucket's first row takes the last time of the bucket before, from a table with
+   one row per bucket; if that is its own time, the instant has begun there
+   and its gap is 0.
+
+Counts of gaps (`gap_histogram`) need no rows: equal times collapse to one counted
+row before any shuffle, and `lag` runs over the distinct times of each bucket.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evallens.session import scratch_path
 
@@ -49,29 +54,52 @@ def minutes_between(earlier, later) -> F.Column:
 ROWS_PER_BUCKET = 1 << 20
 
 
-def _counted(df: DataFrame, ts: str, keys: list[str]) -> DataFrame:
-    """Rows with a known time as (_ts, *keys, _c, _b), stored: _c equal rows, bucket _b in time order."""
-    spark = df.sparkSession
-    rows = df.where(F.col(ts).isNotNull()).groupBy(F.col(ts).alias("_ts"), *keys).agg(F.count(F.lit(1)).alias("_c"))
-    raw = scratch_path(spark, "gap-counts")
-    rows.write.parquet(raw)
-    rows = spark.read.schema(rows.schema).parquet(raw)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_BUCKET))
-    path = scratch_path(spark, "gap-buckets")
-    rows.repartitionByRange(n, "_ts").withColumn("_b", F.spark_partition_id()).write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _instant_gaps(counted: DataFrame, first: str | None) -> DataFrame:
-    """One row per distinct time: (_b, _ts, _first, _n, _gap); `_gap` is NULL for the first time."""
-    key = F.min(first) if first else F.lit(None)
-    instants = counted.groupBy("_b", "_ts").agg(key.alias("_first"), F.sum("_c").alias("_n"))
-    instants = instants.withColumn("_prev", F.lag("_ts").over(Window.partitionBy("_b").orderBy("_ts")))
+def _counted(df: DataFrame, ts: str) -> DataFrame:
+    """Known times as (_ts, _n, _b), stored: the number of rows at each, bucket _b in time order."""
+    times = _stored(df.where(F.col(ts).isNotNull()).groupBy(F.col(ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_n")), "gap-counts")
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-times.count() // ROWS_PER_BUCKET))
+    return _stored(times.repartitionByRange(n, "_ts").withColumn("_b", F.spark_partition_id()), "gap-buckets")
+
+
+def _instant_gaps(counted: DataFrame) -> DataFrame:
+    """One row per distinct time: (_ts, _n, _gap); `_gap` is NULL for the first time."""
+    instants = counted.withColumn("_prev", F.lag("_ts").over(Window.partitionBy("_b").orderBy("_ts")))
     # One row per non-empty bucket.
     edges = counted.groupBy("_b").agg(F.max("_ts").alias("_last"))
     edges = edges.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_before"))
     instants = instants.join(edges, "_b").withColumn("_prev", F.coalesce("_prev", "_before"))
-    return instants.select("_b", "_ts", "_first", "_n", minutes_between(F.col("_prev"), F.col("_ts")).alias("_gap"))
+    return instants.select("_ts", "_n", minutes_between(F.col("_prev"), F.col("_ts")).alias("_gap"))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _in_order(df: DataFrame, ts: str, key: str) -> DataFrame:
+    """Rows with a known time as (_key, _ts, _prev, _b), stored: bucket _b in the order of
+    (time, key), the time of the row before (NULL for the first of a bucket)."""
+    rows = _stored(df.where(F.col(ts).isNotNull()).select(F.col(key).alias("_key"), F.col(ts).alias("_ts")), "gap-rows")
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_BUCKET))
+    order = ["_ts", F.col("_key").asc_nulls_last()]
+    spread = rows.withColumn("_any", F.xxhash64(F.monotonically_increasing_id()))  # equal rows may lie in any order
+    dealt = spread.repartitionByRange(n, *order, "_any").sortWithinPartitions(*order).drop("_any")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        last, bucket = None, TaskContext.get().partitionId()
+        for b in batches:
+            if not b.num_rows:
+                continue
+            now = b.column("_ts")
+            prev = pa.concat_arrays([pa.array([None], now.type) if last is None else last, now.slice(0, len(now) - 1)])
+            last = now.slice(len(now) - 1)
+            yield pa.RecordBatch.from_arrays([b.column("_key"), now, prev, pa.array([bucket] * len(now), pa.int32())], names=["_key", "_ts", "_prev", "_b"])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField("_prev", rows.schema["_ts"].dataType), T.StructField("_b", T.IntegerType())])
+    return _stored(dealt.mapInArrow(run, schema), "gap-order")
 
 
 def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evaluation_id") -> DataFrame:
@@ -79,15 +107,16 @@ def time_gaps(df: DataFrame, ts: str = "evaluation_timestamp", key: str = "evalu
 
     The first row and rows with a NULL time get a NULL gap.  Tied times are
     ordered by `key`, NULL keys last; of rows that repeat a time and key, one is
-    the first.  The counted rows are written to the shared folder when this is called.
+    the first.  The ordered rows are written to the shared folder when this is called.
     """
-    counted = _counted(df, ts, [F.col(key).alias("_key")])
-    instants = _instant_gaps(counted, "_key").drop("_n")
-    joined = counted.join(instants, ["_b", "_ts"])
-    is_first = F.col("_key").eqNullSafe(F.col("_first"))
-    each = joined.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))))
-    gap = F.when(is_first & (F.col("_i") == 1), F.col("_gap")).otherwise(F.lit(0.0))
-    gaps = each.select(F.col("_key").alias(key), F.col("_ts").alias(ts), gap.alias("gap_minutes"))
+    rows = _in_order(df, ts, key)
+    # One row per non-empty bucket.
+    edges = rows.groupBy("_b").agg(F.max("_ts").alias("_last"))
+    edges = edges.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_before"))
+    first = F.col("_prev").isNull()
+    starts = rows.where(first).join(edges, "_b").select("_key", "_ts", F.col("_before").alias("_prev"))
+    each = rows.where(~first).select("_key", "_ts", "_prev").unionByName(starts)
+    gaps = each.select(F.col("_key").alias(key), F.col("_ts").alias(ts), minutes_between(F.col("_prev"), F.col("_ts")).alias("gap_minutes"))
     unknown = df.where(F.col(ts).isNull()).select(key, ts, F.lit(None).cast("double").alias("gap_minutes"))
     return gaps.unionByName(unknown)
 
@@ -100,7 +129,7 @@ def gap_histogram(df: DataFrame, ts: str = "evaluation_timestamp", max_bins: int
     the gaps are counted as weights on the instants: a time holding many rows is
     one weighted row.
     """
-    instants = _instant_gaps(_counted(df, ts, []), None)
+    instants = _instant_gaps(_counted(df, ts))
     # per time: its gap once, and 0 for each further row (one pass, two values)
     weighted = (instants.select(F.expr("stack(2, _gap, 1L, 0.0D, _n - 1) AS (_v, _c)"))
                         .where(F.col("_v").isNotNull() & (F.col("_c") > 0)))

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import functools
+import html as html_references
 import operator
+import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evallens.functions.text import last_segment
 from evallens.schemas import HARVEST_SUFFIXES
@@ -14,82 +18,97 @@ from evallens.schemas import HARVEST_SUFFIXES
 # One token per comment, script or style element, or tag (attribute values may hold '>').
 TOKEN_PATTERN = (r"""(?is)<!--.*?(?:-->|\z)|<(?:script|style)\b.*?</(?:script|style)\s*>"""
                  r"""|</?[a-z][^\s/>]*+(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
-# The value of the first href attribute of a tag (double, single or no quotes).
-HREF_PATTERN = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# The name of a tag, with a slash before it for end tags.
+NAME_PATTERN = r"^<(/?[A-Za-z][^\s/>]*)"
+# One attribute of a tag after another: name and value (in double quotes, single quotes or none).
+ATTRIBUTE_PATTERN = r"""[\s/]*+([^\s/>][^\s/=>]*+)(\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?"""
 ORIGIN_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)"
-REFERENCE_PATTERN = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[^&]+|&"
-
-# The basic HTML character references, decoded in attribute values.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 # Elements that never have content (no end tag to wait for).
-VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
-
-
-def _unquote(v: F.Column) -> F.Column:
-    quoted = v.startswith('"') | v.startswith("'")
-    return F.when(quoted, F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-
+VOID_TAGS = frozenset((
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input", "isindex", "keygen",
+    "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr"))
 
-def _numeric(part: F.Column) -> F.Column:
-    """A numeric character reference as its character; other parts as they are."""
-    digits = F.regexp_extract(part, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
-    code = F.when(part.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("int")
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.when(part.startswith("&#") & F.coalesce(valid, F.lit(False)), char).otherwise(part)
+_NAME, _ATTRIBUTE = re.compile(NAME_PATTERN), re.compile(ATTRIBUTE_PATTERN)
 
 
-def _unescape(v: F.Column) -> F.Column:
-    numeric = F.array_join(F.transform(F.regexp_extract_all(v, F.lit(REFERENCE_PATTERN), 0), _numeric), "")
-    out = F.when(v.contains("&#"), numeric).otherwise(v)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(v.contains("&"), out).otherwise(v)
+def href_of(tag: str) -> str | None:
+    """The href of an `a` start tag, references decoded: the last one if there are
+    several, '' if it has no value, None if there is none."""
+    found, at = None, re.match(NAME_PATTERN, tag).end()
+    while m := _ATTRIBUTE.match(tag, at):
+        at = m.end()
+        if m[1].lower() == "href":
+            found = html_references.unescape(next((v for v in m.group(3, 4, 5) if v is not None), ""))
+    return found
 
 
-def _fold(state: F.Column, token: F.Column) -> F.Column:
-    """One tag on the stack of open elements.
+def item_links(tags: list[str]) -> list[dict]:
+    """The first link of each <li> among a page's tags, as {i: number, href}, in one pass.
 
-    `open`: (tag, number of the <li> or 0, link found) from the outermost in; `n`:
-    <li> so far; `found`: (number, raw href).
+    `open` holds the names of the open elements and `starts` their places by name;
+    `waiting` the items that are open and have no link yet, as (depth, number).  Each
+    tag, element and item is put there once and taken away once.
     """
-    entry = "struct<t:string,i:int,done:boolean>"
-    tag = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
-    opened, n = state["open"], state["n"]
-    back = F.array_position(F.reverse(F.transform(opened, lambda o: o["t"])), tag).cast("int")
-    closed = F.when(back > 0, F.slice(opened, 1, F.size(opened) - back)).otherwise(opened)
-    href = F.regexp_extract(token, HREF_PATTERN, 1)
-    link = (tag == "a") & (href != "")
-    marked = F.when(link, F.transform(opened, lambda o: F.struct(o["t"].alias("t"), o["i"].alias("i"), F.lit(True).alias("done")))).otherwise(opened)
-    hits = F.transform(F.filter(opened, lambda o: (o["i"] > 0) & ~o["done"]), lambda o: F.struct(o["i"].alias("i"), href.alias("href")))
-    number = F.when(tag == "li", n + 1).otherwise(F.lit(0))
-    grown = F.concat(marked, F.array(F.struct(tag.alias("t"), number.alias("i"), F.lit(False).alias("done")).cast(entry)))
-    skip = tag.isin("", *VOID_TAGS) | token.endswith("/>")
-    is_end = token.startswith("</")
-    return F.struct(
-        F.when(is_end, closed).when(skip, marked).otherwise(grown).cast(f"array<{entry}>").alias("open"),
-        (n + F.when(~is_end & (tag == "li"), 1).otherwise(0)).cast("int").alias("n"),
-        F.when(~is_end & link, F.concat(state["found"], hits)).otherwise(state["found"]).cast("array<struct<i:int,href:string>>").alias("found"))
+    out, opened, starts, waiting, items = [], [], {}, [], 0
+    for tag in tags:
+        m = _NAME.match(tag)
+        if m is None:
+            continue
+        name = m[1].lower()
+        if name[0] == "/":
+            places = starts.get(name[1:])
+            if places:  # closes the latest one of its name and all that was opened since
+                depth = places[-1]
+                while len(opened) > depth:
+                    starts[opened.pop()].pop()
+                while waiting and waiting[-1][0] >= depth:
+                    waiting.pop()
+            continue
+        if name == "li":
+            items += 1
+        elif name == "a" and waiting:
+            href = href_of(tag)
+            if href is not None:
+                out += [{"i": i, "href": href} for _, i in waiting]
+                waiting.clear()
+        if name not in VOID_TAGS and not tag.endswith("/>"):
+            if name == "li":
+                waiting.append((len(opened), items))
+            starts.setdefault(name, []).append(len(opened))
+            opened.append(name)
+    return out
+
+
+LINKS = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("href", T.StringType())]))
+
+
+@F.arrow_udf(LINKS)
+def _item_links(tags: pa.Array) -> pa.Array:
+    kind = pa.list_(pa.struct([("i", pa.int32()), ("href", pa.string())]))
+    return pa.array([item_links(t or []) for t in tags.to_pylist()], kind)
 
 
 def harvest_links(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
-    """S10 + O4: for each <li>, the href of its first <a href>; <li> without one is skipped.
+    """S10 + O4: for each <li>, the href of its first <a> that has one; an <li> without one is skipped.
 
     Returns (page_id, li_pos, href, page_url?) with li_pos counting all <li> from 1.
-    Rules of a lenient parser, folded over the page's tags in the JVM: an end tag
-    closes the latest open element of its name and everything opened inside it,
-    stray end tags are ignored, unclosed elements stay open (so outer items see
-    inner links), and comments, scripts and styles hold no tags.  One page in, many
-    rows out; nothing crosses a shuffle.
+    Rules of a lenient parser: an end tag closes the latest open element of its name
+    and everything opened inside it, stray end tags are ignored, unclosed elements
+    stay open (so outer items see inner links), and comments, scripts and styles
+    hold no tags.  Attributes are read one by one, so text that looks like one
+    inside another's value is none; of two equal ones the last counts; character
+    references are decoded; an empty href is the item's link, and the item is skipped.
+
+    The JVM cuts pages into tags.  What is open takes a stack, which array functions
+    copy at each step; a small Arrow function keeps it, in one pass over the tags
+    of a page.  One page in, many rows out; nothing crosses a shuffle.
     """
     keep = [key] + (["url"] if "url" in pages.columns else [])
-    start = F.struct(F.array().cast("array<struct<t:string,i:int,done:boolean>>").alias("open"), F.lit(0).alias("n"),
-                     F.array().cast("array<struct<i:int,href:string>>").alias("found"))
     tags = F.regexp_extract_all(F.col(html), F.lit(TOKEN_PATTERN), 0)
     tags = F.filter(tags, lambda t: ~t.rlike(r"(?i)^<(?:!--|script\b|style\b)"))
-    found = F.aggregate(tags, start, _fold, lambda s: s["found"])
-    rows = pages.where(F.col(html).isNotNull()).select(*keep, F.explode(found).alias("_l"))
-    out = rows.select(*keep, F.col("_l.i").alias("li_pos"), _unescape(_unquote(F.col("_l.href"))).alias("href")).where(F.col("href") != "")
+    listing = pages.where(F.col(html).rlike("(?i)<li"))
+    rows = listing.select(*keep, F.explode(_item_links(tags)).alias("_l"))
+    out = rows.select(*keep, F.col("_l.i").alias("li_pos"), F.col("_l.href").alias("href")).where(F.col("href") != "")
     return out.withColumnRenamed("url", "page_url") if "url" in keep else out
 
 

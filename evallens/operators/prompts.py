@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from evallens.functions.text import splitext_base
 from evallens.schemas import (CHUNK_END, CHUNK_HEAD, CHUNK_MID, MAX_RESPONSE_TOKENS, PROMPT_QUESTION, PROMPT_STEPS, PROMPT_TEXT,
                               SUPPORTED_EXTENSIONS, SYSTEM_MESSAGE, TEMPERATURE)
-from evallens.sources.paths import path_exists
+from evallens.session import scratch_path
+from evallens.sources.paths import folder_numbers, path_exists
 
 # Stored answers, one row per prompt sent.
 SCORED = T.StructType([
@@ -146,22 +147,81 @@ def read_answers(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("prompt_id").agg(best.alias("b")).select("prompt_id", "b.response", "b.error", "b.attempts")
 
 
+# --- queue -----------------------------------------------------------------------------
+#
+# A queue is a folder beside its answers:
+#     <answers>-queue/prompts/run=N   (prompt_id, prompt) that no earlier run holds
+#     <answers>-queue/members/run=N   (prompt_id, task_id) of run N
+# Answers are appended, one row for each time a prompt was sent, so a prompt's state is
+# pending (no row), failed (only errors) or done.
+
+PROMPTS = "prompt_id string, prompt string"
+MEMBERS = "prompt_id string, task_id string"
+
+
+def queue_path(answers: str) -> str:
+    return answers.rstrip("/") + "-queue"
+
+
+def enqueue(prompts: DataFrame, answers: str) -> int:
+    """Stores the tasks' prompts, those not queued yet once each; returns the run's number.
+
+    Prompts are built (files read, texts extracted) here and never again.
+    """
+    spark, queue = prompts.sparkSession, queue_path(answers)
+    done = [n for n in folder_numbers(spark, f"{queue}/members", "run") if path_exists(spark, f"{queue}/prompts/run={n}/_SUCCESS")]
+    run = max(done, default=-1) + 1
+    raw = scratch_path(spark, "queue-prompts")
+    _identified(prompts).write.parquet(raw)
+    src = spark.read.schema(MEMBERS + ", prompt string").parquet(raw)
+    src.select("prompt_id", "task_id").write.mode("overwrite").parquet(f"{queue}/members/run={run}")
+    new = src.select("prompt_id", "prompt")
+    if done:
+        new = new.join(spark.read.schema(PROMPTS).parquet(f"{queue}/prompts/run=*").select("prompt_id"), "prompt_id", "left_anti")
+    new.groupBy("prompt_id").agg(F.first("prompt").alias("prompt")).write.mode("overwrite").parquet(f"{queue}/prompts/run={run}")
+    return run
+
+
+def queue_states(spark: SparkSession, answers: str) -> DataFrame:
+    """(prompt_id, state, times_sent) of every queued prompt: pending, failed or done."""
+    queued = spark.read.schema(PROMPTS).parquet(f"{queue_path(answers)}/prompts/run=*").select("prompt_id")
+    if not path_exists(spark, answers):
+        return queued.select("prompt_id", F.lit("pending").alias("state"), F.lit(0).cast("long").alias("times_sent"))
+    sent = spark.read.schema(SCORED).parquet(answers).groupBy("prompt_id").agg(
+        F.count(F.lit(1)).alias("times_sent"), F.bool_or(F.col("error").isNull()).alias("ok"))
+    state = F.when(F.col("ok").isNull(), "pending").when(F.col("ok"), "done").otherwise("failed")
+    return queued.join(sent, "prompt_id", "left").select("prompt_id", state.alias("state"), F.coalesce("times_sent", F.lit(0)).alias("times_sent"))
+
+
+def drain(spark: SparkSession, fn: Callable[[str], str], answers: str, slices: int = 1,
+          parallelism: int | None = None, max_attempts: int = 3, backoff_seconds: float = 0.5) -> None:
+    """Sends every queued prompt that is not done, once each, in `slices` parts.
+
+    A part claims its prompts by state when it begins and is committed when it
+    ends, so a failure loses at most one part's answers, and whoever drains
+    the queue next goes on from there.  Only stored prompts are read.
+    """
+    queued = spark.read.schema(PROMPTS).parquet(f"{queue_path(answers)}/prompts/run=*")
+    part = F.pmod(F.xxhash64("prompt_id"), F.lit(slices))
+    for i in range(slices):
+        todo = queued.where(part == i)
+        if path_exists(spark, answers):
+            done = spark.read.schema(SCORED).parquet(answers).where(F.col("error").isNull() & (part == i))
+            todo = todo.join(done.select("prompt_id"), "prompt_id", "left_anti")
+        todo = todo.repartition(parallelism, "prompt_id") if parallelism else todo
+        _answers(todo, fn, max_attempts, backoff_seconds).write.mode("append").parquet(answers)
+
+
 def complete_to_table(prompts: DataFrame, fn: Callable[[str], str], path: str, slices: int = 1,
                       parallelism: int | None = None, max_attempts: int = 3, backoff_seconds: float = 0.5) -> DataFrame:
-    """M1 and M2 with bookkeeping: a row per (task, prompt), answers stored in `path`.
+    """M1 and M2 with bookkeeping: a row per (task, prompt), answers stored in `path`, prompts in its queue.
 
     Prompts with a stored response are not sent; those that failed before, and
-    new ones, are sent once each, in `slices` parts that are committed one after
-    the other, so a failure loses at most the answers of one part.  Only a
-    missing path counts as "no table yet"; any other fault is raised.
+    new ones, are sent once each.  The prompts are built once, whatever `slices` is.
+    Only a missing path counts as "no table yet"; any other fault is raised.
     """
     spark = prompts.sparkSession
-    src = _identified(prompts)
-    part = F.pmod(F.xxhash64("prompt_id"), F.lit(slices))
-    for i in range(slices):
-        todo = src.where(part == i)
-        if path_exists(spark, path):
-            answered = spark.read.schema(SCORED).parquet(path).where(F.col("error").isNull())
-            todo = todo.join(answered.select("prompt_id"), "prompt_id", "left_anti")
-        _answers(_distinct(todo, parallelism), fn, max_attempts, backoff_seconds).write.mode("append").parquet(path)
-    return src.select("prompt_id", "task_id").join(read_answers(spark, path), "prompt_id").select(*COMPLETED.names)
+    run = enqueue(prompts, path)
+    drain(spark, fn, path, slices, parallelism, max_attempts, backoff_seconds)
+    members = spark.read.schema(MEMBERS).parquet(f"{queue_path(path)}/members/run={run}")
+    return members.join(read_answers(spark, path), "prompt_id").select(*COMPLETED.names)

@@ -8,10 +8,14 @@ being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evallens.functions.text import py_strip
+from evallens.session import scratch_path
+from evallens.sources.buckets import read_bucketed, write_bucketed
+from evallens.sources.paths import folder_numbers, path_exists
+from evallens.sources.tasks import TASK_COLUMNS
 
 
 def latest_per_key(df: DataFrame, key: str = "task_id", order: tuple[str, ...] = ("loaded_at",)) -> DataFrame:
@@ -23,13 +27,11 @@ def latest_per_key(df: DataFrame, key: str = "task_id", order: tuple[str, ...] =
     rows that hold it are compared in full.
     """
     others = [c for c in df.columns if c != key and c not in order]
-    if len(order) == 1:
-        top = df.groupBy(F.col(key).alias("_k")).agg(F.max(order[0]).alias("_o"))
-        df_last = df.join(top, df[key].eqNullSafe(F.col("_k")) & df[order[0]].eqNullSafe(F.col("_o"))).drop("_k", "_o")
-    else:
-        df_last = df
+    # structs of the order columns: one column that compares and joins like all of them
+    top = df.groupBy(F.col(key).alias("_k")).agg(F.max(F.struct(*order)).alias("_o"))
+    last = df.join(top, df[key].eqNullSafe(F.col("_k")) & F.struct(*[df[c] for c in order]).eqNullSafe(F.col("_o"))).drop("_k", "_o")
     best = F.max(F.struct(*order, *others)).alias("_row")
-    return df_last.groupBy(key).agg(best).select(*[F.col(key) if c == key else F.col(f"_row.`{c}`") for c in df.columns])
+    return last.groupBy(key).agg(best).select(*[F.col(key) if c == key else F.col(f"_row.`{c}`") for c in df.columns])
 
 
 def pick_tasks(tasks: DataFrame, ids) -> DataFrame:
@@ -80,6 +82,82 @@ def unmatched_step_updates(tasks: DataFrame, changes: DataFrame) -> DataFrame:
     return valid_step_changes(changes).join(tasks.select("task_id"), "task_id", "left_anti")
 
 
+# --- versions --------------------------------------------------------------------------
+#
+# A store of tasks is a folder:
+#     base=V/       the tasks with their steps as of version V, bucketed by task id
+#     edits=N/      the accepted edits of one append, as they are in the log
+#     manifest=V/   (buckets, edits): how many buckets base=V has, and the first append it does not hold
+# `manifest=V` is written last; a version counts once it is there.
+
+EDITS = "task_id string, steps string, changed_at timestamp_ntz, seq long"
+BASE = ", ".join(f"{c} {'int' if c == 'level' else 'string'}" for c in TASK_COLUMNS) + ", steps_changed_at timestamp_ntz, steps_seq long"
+BUCKETS = 64
+
+
+def _latest_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(version, its buckets, the first append after it)."""
+    done = [v for v in folder_numbers(spark, path, "manifest") if path_exists(spark, f"{path}/manifest={v}/_SUCCESS")]
+    m = spark.read.schema("buckets int, edits int").parquet(f"{path}/manifest={max(done)}").first()
+    return max(done), m.buckets, m.edits
+
+
+def _write_version(tasks: DataFrame, path: str, version: int, buckets: int, edits: int) -> None:
+    spark = tasks.sparkSession
+    write_bucketed(tasks, f"{path}/base={version}", "task_id", buckets)
+    spark.createDataFrame([(buckets, edits)], "buckets int, edits int").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest={version}")
+
+
+def create_task_store(tasks: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Version 0 of a store of tasks, without edits."""
+    never = (F.lit(None).cast("timestamp_ntz").alias("steps_changed_at"), F.lit(None).cast("long").alias("steps_seq"))
+    _write_version(tasks.select(*TASK_COLUMNS, *never), path, 0, buckets, 0)
+
+
+def append_step_edits(changes: DataFrame, path: str) -> int:
+    """Appends the accepted edits among `changes` (P10) to a store; returns the append's number."""
+    n = max(folder_numbers(changes.sparkSession, path, "edits"), default=-1) + 1
+    valid_step_changes(changes).select("task_id", "steps", "changed_at", F.col("seq").cast("long").alias("seq")).write.mode(
+        "overwrite").parquet(f"{path}/edits={n}")
+    return n
+
+
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    version, buckets, first = _latest_version(spark, path)
+    base = read_bucketed(spark, f"{path}/base={version}", BASE, "task_id", buckets)
+    later = [f"{path}/edits={n}" for n in folder_numbers(spark, path, "edits") if n >= first]
+    if not later:
+        return base
+    edits = latest_per_key(spark.read.schema(EDITS).parquet(*later), "task_id", ("changed_at", "seq"))
+    folder = scratch_path(spark, "task-edits")
+    write_bucketed(edits.select("task_id", F.struct("changed_at", "seq", "steps").alias("edit")), folder, "task_id", buckets)
+    edits = read_bucketed(spark, folder, "task_id string, edit struct<changed_at:timestamp_ntz,seq:long,steps:string>", "task_id", buckets)
+    both = base.join(edits.hint("shuffle_hash"), "task_id", "left")
+    held = F.struct(F.col("steps_changed_at").alias("changed_at"), F.col("steps_seq").alias("seq"), "steps")
+    newer = F.col("edit").isNotNull() & (F.col("steps_changed_at").isNull() | (F.col("edit") >= held))
+    now = {"steps": "edit.steps", "steps_changed_at": "edit.changed_at", "steps_seq": "edit.seq"}
+    return both.select(*[F.when(newer, F.col(now[c])).otherwise(F.col(c)).alias(c) if c in now else F.col(c) for c in base.columns])
+
+
+def read_current_tasks(spark: SparkSession, path: str) -> DataFrame:
+    """S4 + S7: every task with its current steps and `steps_changed_at`.
+
+    The newest version with the latest edit per task of the appends since.  Those
+    edits are resolved among themselves and stored in as many buckets as the base,
+    whose rows are then neither exchanged nor sorted.  An edit that is older than
+    the one its task already holds (it came late) does not undo it.
+    """
+    return _current(spark, path).drop("steps_seq")
+
+
+def compact_task_store(spark: SparkSession, path: str) -> int:
+    """Writes the current tasks as the next version, of which edits so far are part; returns its number."""
+    version, buckets, _ = _latest_version(spark, path)
+    until = max(folder_numbers(spark, path, "edits"), default=-1) + 1
+    _write_version(_current(spark, path), path, version + 1, buckets, until)
+    return version + 1
+
+
 def compact_steps(tasks: DataFrame, changes: DataFrame, path: str) -> DataFrame:
     """Write the tasks with their current steps to `path` (a new version) and read it back.
 

@@ -71,6 +71,12 @@ def time_gaps_tied(spark, d):
     return gaps.time_gaps(ev.unionByName(again).unionByName(unnamed), ts="ts", key="event_id")
 
 
+def time_gaps_burst(spark, d):
+    """Half of all events at one time."""
+    at = F.when(F.col("event_id") % 2 == 0, F.expr("timestamp_ntz'2024-01-15 12:00:00'")).otherwise(F.col("ts"))
+    return gaps.time_gaps(_events(spark, d).withColumn("ts", at), ts="ts", key="event_id")
+
+
 def evaluation_gaps(spark, d):
     return gaps.time_gaps(fx.evaluations(spark, d))
 
@@ -102,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "time_gaps": time_gaps,
     "time_gaps_daily": time_gaps_daily,
     "time_gaps_tied": time_gaps_tied,
+    "time_gaps_burst": time_gaps_burst,
     "evaluation_gaps": evaluation_gaps,
     "mean_gap": mean_gap,
     "evaluation_mean_gap": evaluation_mean_gap,
@@ -297,7 +304,8 @@ def completions_resumed(spark, d):
     """M1 + M2: some prompts fail in the first run; the second run sends only those."""
     p, answers = _prompts(spark, d), scratch_path(spark, "answers")
     prompts_op.complete_to_table(p, _failing_fingerprint, answers, max_attempts=1)
-    return prompts_op.complete_to_table(p, answer_fingerprint, answers, slices=2)
+    rows = prompts_op.complete_to_table(p, answer_fingerprint, answers, slices=2)
+    return rows.join(prompts_op.queue_states(spark, answers), "prompt_id")
 
 
 def completions_shared(spark, d):
@@ -569,6 +577,19 @@ def tasks_compacted(spark, d):
     return tasks_op.compact_steps(_tasks(spark, d), fx.step_changes(spark, d), scratch_path(spark, "tasks-v2"))
 
 
+def tasks_versioned(spark, d):
+    """A store with edits before, at and after a compaction, some of them late, reads like the log."""
+    path, log = scratch_path(spark, "task-store"), fx.step_changes(spark, d)
+    tasks_op.create_task_store(_tasks(spark, d), path, buckets=8)
+    late = F.regexp_extract("task_id", r"(\d+)$", 1).cast("long") % 8 == 0
+    for i, part in enumerate((log.where((F.col("seq") > 1) & late), log.where((F.col("seq") == 1) & ~late), log.where((F.col("seq") == 1) & late),
+                              log.where((F.col("seq") > 1) & ~late))):
+        tasks_op.append_step_edits(part, path)
+        if i % 2 == 0:
+            tasks_op.compact_task_store(spark, path)
+    return tasks_op.read_current_tasks(spark, path)
+
+
 def links_odd_files(spark, d):
     """P3-P5 on odd pages: one row per file URL, `/blob/` rewritten."""
     links = links_op.harvest_links(fx.odd_pages(spark, d))
@@ -586,5 +607,6 @@ QUERIES.update({
     "tasks_array": tasks_array,
     "tasks_tied": tasks_tied,
     "tasks_compacted": tasks_compacted,
+    "tasks_versioned": tasks_versioned,
     "links_odd_files": links_odd_files,
 })

@@ -95,6 +95,8 @@ ORDER BY evaluation_timestamp NULLS LAST, evaluation_id""",
     SELECT event_id, ts FROM events
     UNION ALL SELECT event_id, ts FROM events WHERE event_id % 10 = 0
     UNION ALL SELECT CAST(NULL AS BIGINT), ts FROM events WHERE event_id % 15 = 0)""", "ts", "event_id"),
+    "time_gaps_burst": _gaps("""(
+    SELECT event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-01-15 12:00:00' ELSE ts END AS ts FROM events)""", "ts", "event_id"),
     "evaluation_gaps": EV + _gaps("evaluations", "evaluation_timestamp", "evaluation_id"),
     "mean_gap": _mean_gap(EVENTS, "ts"),
     "evaluation_mean_gap": EV + _mean_gap("evaluations", "evaluation_timestamp"),
@@ -344,7 +346,10 @@ ORACLE["evaluated_tasks"] = "WITH" + fx.TASKS_SQL + "," + fx.EVALUATIONS_SQL + "
 SELECT * EXCLUDE (conv_id) FROM tasks WHERE task_id IN (SELECT task_id FROM evaluations)"""
 
 ORACLE.update({
-    "completions_resumed": ORACLE["completions"],
+    "completions_resumed": "WITH" + fx.OBJECT_KEYS_SQL + _prompts_sql("tasks") + f"""
+SELECT sha256(prompt) AS prompt_id, task_id, {_FP} AS response, CAST(NULL AS VARCHAR) AS error, CAST(1 AS INTEGER) AS attempts, 'done' AS state,
+       CAST(CASE WHEN sha256(prompt)[1] IN ('a', 'b', 'c', 'd', 'e', 'f') THEN 2 ELSE 1 END AS BIGINT) AS times_sent
+FROM pr_tasks""",
     "completions_shared": "WITH" + fx.TASKS_SQL + """,
   p AS (SELECT task_id, 'Steps:' || chr(10) || coalesce(steps, '') || chr(10) || chr(10) || 'Question:' || chr(10)
                || coalesce(question, '') || chr(10) AS prompt FROM tasks)
@@ -395,4 +400,5 @@ SELECT * EXCLUDE (rn) REPLACE (TIMESTAMP '2024-03-01 00:00:00' AS loaded_at) FRO
   SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY question DESC NULLS LAST) AS rn FROM task_loads)
 WHERE rn = 1""",
     "tasks_compacted": ORACLE["tasks_current_steps"],
+    "tasks_versioned": ORACLE["tasks_current_steps"],
 })

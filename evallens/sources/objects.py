@@ -20,13 +20,13 @@ written last; a landing counts once it is there.
 from __future__ import annotations
 
 import functools
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evallens.functions.text import last_segment, splitext_ext
 from evallens.session import scratch_path
+from evallens.sources.buckets import read_bucketed, write_bucketed
 from evallens.sources.paths import folder_numbers, path_exists
 
 LISTING = ("path", "length", "modificationTime", "key")
@@ -140,19 +140,7 @@ GONE = "slot int, bits map<struct<landing:int,chunk:long>,binary>"
 
 
 def _bucketed(spark: SparkSession, path: str, columns: str, slots: int) -> DataFrame:
-    """A folder of files bucketed by slot, read as such."""
-    name = f"landed_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (slot) INTO {slots} BUCKETS LOCATION '{path}'")
-    try:
-        return spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE {name}")  # the files stay
-
-
-def _write_bucketed(df: DataFrame, path: str, slots: int) -> None:
-    name = f"landed_{uuid.uuid4().hex}"
-    df.write.mode("overwrite").bucketBy(slots, "slot").option("path", path).saveAsTable(name)
-    df.sparkSession.sql(f"DROP TABLE {name}")
+    return read_bucketed(spark, path, columns, "slot", slots)
 
 
 def _slots(spark: SparkSession, out: str, total_bytes: int | None = None, slot_bytes: int = SLOT_BYTES) -> int:
@@ -181,8 +169,8 @@ def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame)
     slots = _slots(spark, out)
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # dense in each writer's part, which holds whole slots
     rows = rows.withColumn("slot", _slot(F.col("key"), slots)).repartition(slots, "slot").withColumn("row", at + 1)
-    _write_bucketed(rows.select("slot", "row", "key", splitext_ext(F.col("key")).alias("ext"), "path", "length", "modificationTime", "deleted", "content"),
-                    f"{out}/landing={landing}", slots)
+    write_bucketed(rows.select("slot", "row", "key", splitext_ext(F.col("key")).alias("ext"), "path", "length", "modificationTime", "deleted", "content"),
+                   f"{out}/landing={landing}", "slot", slots)
     numbers = [n for n in folder_numbers(spark, out, "landing") if n <= landing]
     slim = ("slot", "row", "key", "path", "modificationTime", "deleted", "landing")
     every = functools.reduce(DataFrame.unionByName, [_landing(spark, out, n).select(*slim) for n in numbers])
@@ -191,7 +179,7 @@ def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame)
     bits = gone.groupBy("slot", "landing", F.bitmap_bucket_number("row").alias("chunk")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits"))
     bits = bits.groupBy("slot").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("landing", "chunk"), "bits"))).alias("bits"))
-    _write_bucketed(bits.repartition(slots, "slot"), f"{out}/gone={landing}", slots)
+    write_bucketed(bits, f"{out}/gone={landing}", "slot", slots)
 
 
 def land_objects(spark: SparkSession, uri: str, out: str, key_pattern: str | None = None,
@@ -282,7 +270,7 @@ def fetch_landed(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame
     keys = wanted.where(F.col("key").isNotNull()).select(_slot(F.col("key"), n).alias("slot"), "key")
     keys = keys.groupBy("slot").agg(F.collect_set("key").alias("keys"))
     folder = scratch_path(spark, "fetch-keys")
-    _write_bucketed(keys.repartition(n, "slot"), folder, n)
+    write_bucketed(keys, folder, "slot", n)
     keys = _bucketed(spark, folder, "slot int, keys array<string>", n)
     slots = [r.slot for r in keys.select("slot").collect()]
     return _live(spark, path, ("key", "content"), slots, keys)

@@ -122,10 +122,25 @@ def test_gaps_scan_the_input_once_and_window_per_bucket(spark, monkeypatch):
     # times are windowed per bucket (hash exchange on the bucket), never as one partition
     assert "hashpartitioning(_b" in plan and plan.count("lag(_ts") >= 1
     assert "events.parquet" not in plan
-    counted = gaps._counted(ev, "ts", [])
+    counted = gaps._counted(ev, "ts")
     assert counted.select("_b").distinct().count() > 60  # buckets follow the rows, not a fixed number
 
 
+def test_bursts_are_split(spark, monkeypatch):
+    """Half of all rows at one time, a third of them the same row: no bucket is much larger than the rest."""
+    monkeypatch.setattr(gaps, "ROWS_PER_BUCKET", 200)
+    at = F.expr("timestamp_ntz'2024-01-15 12:00:00'")
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(7)).alias("id"),
+                                  F.when(F.col("id") % 2 == 0, at).otherwise(at + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int") - 3000)).alias("ts"))
+    order = gaps._in_order(df, "ts", "id")
+    sizes = [r["count"] for r in order.groupBy("_b").count().collect()]
+    assert len(sizes) >= 25 and max(sizes) < 600
+    from pyspark.sql import Window
+    naive = df.select("id", "ts", (F.timestamp_diff("MICROSECOND", F.lag("ts").over(Window.orderBy("ts", "id")), F.col("ts")) / 60e6).alias("gap_minutes"))
+    mine = gaps.time_gaps(df, ts="ts", key="id")
+    assert naive.exceptAll(mine).count() == 0 and mine.exceptAll(naive).count() == 0
+
+
 def test_histogram_equal_values_one_bin(spark):
     df = spark.createDataFrame([(1.5,), (1.5,), (None,)], "gap_minutes double")
     rows = gaps.histogram(df).collect()

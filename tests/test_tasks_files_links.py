@@ -135,8 +135,8 @@ def brute_links(html):
             self.items, self.stack = [], []
 
         def handle_starttag(self, tag, attrs, alone=False):
-            href = dict(reversed(attrs)).get("href") if tag == "a" else None
-            for _, li in self.stack if href else ():
+            href = {k: v or "" for k, v in attrs}.get("href") if tag == "a" else None
+            for _, li in self.stack if href is not None else ():
                 if li is not None and self.items[li] is None:
                     self.items[li] = href
             if tag == "li":
@@ -164,7 +164,8 @@ def test_links_follow_the_tree(spark):
     r = random.Random(8)
     pieces = ["<ul>", "</ul>", "<li>", "</li>", "<li class='a>b'>", "<a href='/x{}.pdf'>", '<a name=n href="/y{}?a=1&amp;b=2">', "<a href=/z{}>", "</a>",
               "<div>", "</div>", "<br/>", "<img src=x>", "text", "<!-- <li><a href='/no'> -->", "<script>'<li><a href=/no>'</script>", "<li-icon>", "</li-icon>",
-              "<OL>", "</OL>", "<a href='/e&#x26;{}&#233;&lt;'>", "<a>", "</p>", "<LI>"]
+              "<a title='see href=/wrong{}.pdf' href='/right{}'>", "<a href>", '<a HREF="">', "<a href='/1{}' x href='/2{}'>", "<a href='/caf&eacute;{}&hellip;'>",
+              "<a data-href='/d'>", "<a\nhref = '/s{}'>", "<a class=x/href=/u{}>", "<hr>", "<spacer>", "<OL>", "</OL>", "<a href='/e&#x26;{}&#233;&lt;'>", "<a>", "</p>", "<LI>"]
     docs = ["".join(r.choice(pieces).replace("{}", str(i)) for i in range(r.randrange(1, 40))) for _ in range(300)]
     docs += ["<ul><li><a href='/1'><li><a href='/2'></ul>", "", HTML]
     df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)] + [(9999, None)], "page_id long, html string")
@@ -175,6 +176,54 @@ def test_links_follow_the_tree(spark):
         assert sorted(got.get(i, [])) == brute_links(d), d
 
 
+def test_links_as_the_parser_sees_them(spark):
+    html = ["<li><a title=\"see href=/wrong.pdf\" href=\"/right.pdf\">", "<li><a href='/caf&eacute;.pdf'>", "<li><a href><a href='/b.pdf'></li><li><a href='/c.pdf'>"]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id int, html string")
+    got = sorted((r.page_id, r.li_pos, r.href) for r in links_op.harvest_links(df).collect())
+    assert got == [(0, 1, "/right.pdf"), (1, 1, "/café.pdf"), (2, 2, "/c.pdf")]
+
+
+def test_links_take_linear_time():
+    import time
+
+    def seconds(n):
+        tags = ["<ul>"] + ["<li>", "<b>"] * n + ["<a href='/x'>"] + ["<li class=a>", "<i>", "</i>", "<a href=/y>", "</li>"] * n + ["</ul>"]
+        best = []
+        for _ in range(3):
+            t = time.perf_counter()
+            assert len(links_op.item_links(tags)) == 2 * n
+            best.append(time.perf_counter() - t)
+        return min(best)
+
+    assert seconds(16000) < 40 * seconds(1000)
+
+
+def test_task_store_versions(spark, tmp_dir):
+    path = f"{tmp_dir}/store"
+    cols = "task_id string, question string, level int, file_name string, final_answer string, steps string, number_of_steps string, how_long string, tools string, number_of_tools string"
+    rows = [(f"t{i}", "q", 1, "", "", f"old {i}", "", "", "", "") for i in range(40)]
+    tasks = spark.createDataFrame(rows, cols)
+    tasks_op.create_task_store(tasks, path, buckets=4)
+    edits = "task_id string, steps string, changed_at timestamp_ntz, seq long"
+    at = lambda d: T0 + dt.timedelta(days=d)
+    logs = [[("t1", "five", at(5), 1), ("t2", "two", at(2), 1), ("t3", "  ", at(9), 1), ("none", "x", at(1), 1)],
+            [("t1", "late", at(4), 9), ("t2", "again", at(2), 2), ("t4", "a", at(1), 1), ("t4", "b", at(1), 1)],
+            [("t2", "earlier seq", at(2), 1), ("t4", "aa", at(1), 1), ("t5", "new", at(1), None)]]
+    log = spark.createDataFrame([r for x in logs for r in x], edits)
+    for i, x in enumerate(logs):
+        assert tasks_op.append_step_edits(spark.createDataFrame(x, edits), path) == i
+        if i == 0:
+            assert tasks_op.compact_task_store(spark, path) == 1
+        if i == 1:
+            shown = tasks_op.read_current_tasks(spark, path)
+            plan = shown._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "Sort " not in plan and "ShuffledHashJoin" in plan
+            assert tasks_op.compact_task_store(spark, path) == 2
+    got = {r.task_id: (r.steps, r.steps_changed_at) for r in tasks_op.read_current_tasks(spark, path).collect()}
+    want = {r.task_id: (r.steps, r.steps_changed_at) for r in tasks_op.apply_step_updates(tasks, log).collect()}
+    assert got == want and got["t2"][0] == "again" and got["t4"][0] == "b" and got["t1"][0] == "five" and len(got) == 40
+
+
 def test_pick_tasks(spark, tmp_dir):
     t = spark.createDataFrame([("t1",), ("t2",), ("t3",)], "task_id string")
     assert tasks_op.pick_tasks(t, "").count() == 0
