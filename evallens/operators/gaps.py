@@ -61,14 +61,16 @@ def _counted(df: DataFrame, ts: str) -> DataFrame:
     return _stored(times.repartitionByRange(n, "_ts").withColumn("_b", F.spark_partition_id()), "gap-buckets")
 
 
-def _instant_gaps(counted: DataFrame) -> DataFrame:
-    """One row per distinct time: (_ts, _n, _gap); `_gap` is NULL for the first time."""
+def instant_gaps(df: DataFrame, ts: str) -> DataFrame:
+    """One row per distinct time: (_ts, _n, _prev, _gap), its rows, the time before and the
+    minutes since (NULL for the first time)."""
+    counted = _counted(df, ts)
     instants = counted.withColumn("_prev", F.lag("_ts").over(Window.partitionBy("_b").orderBy("_ts")))
     # One row per non-empty bucket.
     edges = counted.groupBy("_b").agg(F.max("_ts").alias("_last"))
     edges = edges.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_before"))
     instants = instants.join(edges, "_b").withColumn("_prev", F.coalesce("_prev", "_before"))
-    return instants.select("_ts", "_n", minutes_between(F.col("_prev"), F.col("_ts")).alias("_gap"))
+    return instants.select("_ts", "_n", "_prev", minutes_between(F.col("_prev"), F.col("_ts")).alias("_gap"))
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -129,7 +131,7 @@ def gap_histogram(df: DataFrame, ts: str = "evaluation_timestamp", max_bins: int
     the gaps are counted as weights on the instants: a time holding many rows is
     one weighted row.
     """
-    instants = _instant_gaps(_counted(df, ts))
+    instants = instant_gaps(df, ts)
     # per time: its gap once, and 0 for each further row (one pass, two values)
     weighted = (instants.select(F.expr("stack(2, _gap, 1L, 0.0D, _n - 1) AS (_v, _c)"))
                         .where(F.col("_v").isNotNull() & (F.col("_c") > 0)))

@@ -72,10 +72,13 @@ def summary_display(evals: DataFrame) -> DataFrame:
         format_pct(F.col("incorrect_pct")).alias("incorrect_rate"))
 
 
+def distribution_of(summary: DataFrame) -> DataFrame:
+    """A5 from a summary: always both classes, zero included (a plain groupBy would drop one)."""
+    return summary.select(F.expr("stack(2, 'Correct', correct_answers, 'Incorrect', incorrect_answers) AS (outcome, n)"))
+
+
 def distribution(evals: DataFrame) -> DataFrame:
-    """A5: always both classes, zero included (a plain groupBy would drop one)."""
-    return summary(evals).select(
-        F.expr("stack(2, 'Correct', correct_answers, 'Incorrect', incorrect_answers) AS (outcome, n)"))
+    return distribution_of(summary(evals))
 
 
 def _tokens(df: DataFrame, text_col: str, id_col: str, stopwords) -> DataFrame:
@@ -96,24 +99,39 @@ def word_counts(df: DataFrame, text_col: str = "user_feedback", id_col: str = "e
         F.count(F.lit(1)).alias("frequency"), F.min("_id").alias("first_id"))
 
 
+def placed_words(df: DataFrame, text_col: str, id_col: str, stopwords, *by: F.Column) -> DataFrame:
+    """A6 with each word's first row and place in it, by some more columns: counts that merge.
+
+    `first` is (none, id, pos); rows without an id come after all others.
+    """
+    toks = df.where(F.col(text_col).isNotNull()).select(*by, F.col(id_col).cast("long").alias("_id"), F.posexplode(tokens(text_col)).alias("_pos", "word"))
+    toks = toks.where(~F.col("word").isin(list(stopwords))) if stopwords else toks
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_pos").alias("pos")))
+    names = [c for c in toks.columns if c not in ("_id", "_pos")]
+    return toks.groupBy(*names).agg(F.count(F.lit(1)).alias("frequency"), first.alias("first"))
+
+
 def top_words(df: DataFrame, k: int = TOP_WORDS_K, text_col: str = "user_feedback",
               id_col: str = "evaluation_id", stopwords=STOPWORDS) -> DataFrame:
     """A6 + O2: `Counter(words).most_common(k)`; ties keep first-seen order.
 
-    Words are counted by (frequency, first row); `orderBy(...).limit(k)` plans as
+    Rows are seen by id, those without one after all others.  Words are counted by
+    (frequency, first row); `orderBy(...).limit(k)` plans as
     TakeOrderedAndProject.  Only words that tie in both at the cut are told apart
-    by their place in the row, so positions are looked up in the at most k rows
-    the top words first occur in, never kept per token.
+    by their place in the row, so positions are looked up in the rows the top
+    words first occur in (at most k, and the rows without an id if a top word is in
+    no other), never kept per token.
     """
     counts = word_counts(df, text_col, id_col, stopwords)
-    top = counts.orderBy(F.desc("frequency"), F.asc("first_id")).limit(k)
-    # every word of a (frequency, first row) pair among the top k: those of k rows at most
-    pairs = top.select("frequency", "first_id").distinct()
-    tied = counts.join(F.broadcast(pairs), ["frequency", "first_id"])
-    rows = df.join(F.broadcast(pairs.select(F.col("first_id").alias(id_col)).distinct()), id_col, "left_semi")
-    place = _tokens(rows, text_col, id_col, stopwords).groupBy(F.col("_id").alias("first_id"), "word").agg(F.min("_pos").alias("_pos"))
-    order = [F.desc("frequency"), F.asc("first_id"), F.asc("_pos")]
-    final = tied.join(place, ["first_id", "word"]).orderBy(*order).limit(k)
+    top = counts.orderBy(F.desc("frequency"), F.asc_nulls_last("first_id")).limit(k)
+    # every word of a (frequency, first row) pair among the top k
+    pairs = F.broadcast(top.select(F.col("frequency").alias("_f"), F.col("first_id").alias("_first")).distinct())
+    tied = counts.join(pairs, (F.col("frequency") == F.col("_f")) & F.col("first_id").eqNullSafe(F.col("_first")), "left_semi")
+    ids = F.broadcast(top.select(F.col("first_id").alias("_first")).distinct())
+    rows = df.join(ids, F.col(id_col).eqNullSafe(F.col("_first")), "left_semi")
+    place = _tokens(rows, text_col, id_col, stopwords).groupBy("_id", F.col("word").alias("_word")).agg(F.min("_pos").alias("_pos"))
+    order = [F.desc("frequency"), F.asc_nulls_last("first_id"), F.asc("_pos"), F.asc("word")]
+    final = tied.join(place, F.col("first_id").eqNullSafe(F.col("_id")) & (F.col("word") == F.col("_word"))).orderBy(*order).limit(k)
     # k rows only: a global window over them is free.
     return final.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), "word", "frequency")
 

@@ -6,12 +6,13 @@ full; the matching DuckDB SQL is in `evallens.plans.oracle`.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evallens.operators import gaps, report
+from evallens.operators import daily, gaps, report
 from evallens.plans import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,6 +464,51 @@ def evaluated_tasks(spark, d):
     return tasks_op.pick_tasks(_tasks(spark, d), fx.evaluations(spark, d).select("task_id"))
 
 
+def _flat(blocks):
+    """Blocks of the report as (block, item, value) rows."""
+    summary = {"total": "total_evaluations", "correct": "correct_answers", "incorrect": "incorrect_answers", "correct_pct": "correct_pct",
+               "incorrect_pct": "incorrect_pct"}
+    numbers = f"stack({len(summary)}, " + ", ".join(f"'{k}', double({c})" for k, c in summary.items()) + ")"
+    rows = {
+        "summary": blocks["summary"].select(F.expr(f"{numbers} AS (item, value)")),
+        "distribution": blocks["distribution"].select(F.col("outcome").alias("item"), F.col("n").cast("double").alias("value")),
+        "top_words": blocks["top_words"].select(F.concat_ws(" ", "rank", "word").alias("item"), F.col("frequency").cast("double").alias("value")),
+        "mean_gap": blocks["mean_gap"].select(F.col("n_times").cast("string").alias("item"), F.col("mean_gap_minutes").alias("value")),
+        "histogram": blocks["histogram"].select(F.col("bin").cast("string").alias("item"), F.col("n").cast("double").alias("value")),
+    }
+    out = [df.select(F.lit(name).alias("block"), "item", "value") for name, df in rows.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), out)
+
+
+def report_incremental(spark, d):
+    """The report from daily states: old days first, then a new day, and an old one again after late rows."""
+    path, ev = scratch_path(spark, "report-states"), fx.evaluations(spark, d)
+    day = F.to_date("evaluation_timestamp")
+    last = ev.agg(F.max(day).cast("string")).first()[0]
+    late = ev.agg(F.min(day).cast("string")).first()[0]
+    daily.update_states(ev.where((day < last) & ((day != late) | (F.col("evaluation_id") % 3 == 0))), path)
+    daily.update_states(ev, path, [last])
+    daily.update_states(ev, path, [late])
+    return _flat(daily.report_from_states(spark, path))
+
+
+def report_empty(spark, d):
+    """Rows per block of the report over a table without evaluations."""
+    none = fx.evaluations(spark, d).where(F.col("evaluation_id").isNull())
+    out = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("block"), "n") for name, df in report.evaluation_report(none).items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), out)
+
+
+def top_words_unnamed(spark, d):
+    """O2 with rows that have no id: a third of the feedback, and a word that only they hold."""
+    ev = fx.evaluations(spark, d)
+    none = F.col("evaluation_id") % 3 == 0
+    text = F.when(none, F.concat("user_feedback", F.lit(" zebra zebra zebra zebra zebra zebra zebra zebra"))).otherwise(F.col("user_feedback"))
+    ev = ev.withColumns({"user_feedback": text, "evaluation_id": F.when(~none, F.col("evaluation_id"))})
+    return report.top_words(ev)
+
+
+QUERIES.update({"report_incremental": report_incremental, "report_empty": report_empty, "top_words_unnamed": top_words_unnamed})
 QUERIES.update({"summary_display": summary_display, "evaluated_tasks": evaluated_tasks})
 
 

@@ -342,6 +342,25 @@ SELECT url, string_split(url, '/')[-1] AS key FROM f"""
 ORACLE["summary_display"] = EV + """, s AS (""" + _summary("evaluations") + """)
 SELECT total_evaluations, correct_answers, incorrect_answers,
        printf('%.2f%%', correct_pct) AS correct_rate, printf('%.2f%%', incorrect_pct) AS incorrect_rate FROM s"""
+ORACLE["report_incremental"] = EV + ", s AS (" + _summary("evaluations") + """),
+  m AS (""" + _mean_gap("evaluations", "evaluation_timestamp") + "),\n  h AS (WITH" + _histogram(
+    _gaps("evaluations", "evaluation_timestamp", "evaluation_id")) + "),\n  t AS (WITH e AS (SELECT * FROM evaluations)" + _top_words(
+    "e", "user_feedback", "evaluation_id") + """)
+SELECT 'summary' AS block, 'total' AS item, total_evaluations::DOUBLE AS value FROM s
+UNION ALL SELECT 'summary', 'correct', correct_answers FROM s UNION ALL SELECT 'summary', 'incorrect', incorrect_answers FROM s
+UNION ALL SELECT 'summary', 'correct_pct', correct_pct FROM s UNION ALL SELECT 'summary', 'incorrect_pct', incorrect_pct FROM s
+UNION ALL SELECT 'distribution', 'Correct', correct_answers FROM s UNION ALL SELECT 'distribution', 'Incorrect', incorrect_answers FROM s
+UNION ALL SELECT 'top_words', rank || ' ' || word, frequency FROM t
+UNION ALL SELECT 'mean_gap', n_times::VARCHAR, mean_gap_minutes FROM m
+UNION ALL SELECT 'histogram', bin::VARCHAR, n FROM h"""
+ORACLE["report_empty"] = EV + """, e AS (SELECT * FROM evaluations WHERE evaluation_id IS NULL), s AS (""" + _summary("e") + """)
+SELECT unnest(['summary', 'distribution', 'top_words', 'mean_gap', 'histogram', 'detail']) AS block,
+       unnest([(SELECT count(*) FROM s), (SELECT 2 * count(*) FROM s), (SELECT least(count(*), 5) FROM e), 1, (SELECT count(*) FROM s),
+               (SELECT count(*) FROM e)]) AS n"""
+ORACLE["top_words_unnamed"] = EV + """, e AS (
+  SELECT CASE WHEN evaluation_id % 3 <> 0 THEN evaluation_id ELSE 9223372036854775807 END AS evaluation_id,
+         user_feedback || CASE WHEN evaluation_id % 3 = 0 THEN ' zebra zebra zebra zebra zebra zebra zebra zebra' ELSE '' END AS user_feedback
+  FROM evaluations)""" + _top_words("e", "user_feedback", "evaluation_id")
 ORACLE["evaluated_tasks"] = "WITH" + fx.TASKS_SQL + "," + fx.EVALUATIONS_SQL + """
 SELECT * EXCLUDE (conv_id) FROM tasks WHERE task_id IN (SELECT task_id FROM evaluations)"""
 

@@ -88,6 +88,28 @@ def test_complete_retries_and_errors(spark):
     assert req["max_tokens"] == 1500 and req["messages"][1]["content"] == "p"
 
 
+def test_prompts_are_built_once_for_all_slices(spark, tmp_dir):
+    """Prompts that differ each time they are built get their answers, from three slices and a second run."""
+    out = f"{tmp_dir}/answers-once"
+    p = spark.range(30).select(F.col("id").cast("string").alias("task_id"), F.concat(F.lit("p"), F.uuid()).alias("prompt"))
+    assert prompts_op.complete_to_table(p, str.upper, out, slices=3).count() == 30
+    assert {(r.state, r.times_sent) for r in prompts_op.queue_states(spark, out).collect()} == {("done", 1)}
+
+    def down(prompt):
+        raise RuntimeError("down")
+
+    more = spark.createDataFrame([("a", "new"), ("b", "new"), ("c", "other")], "task_id string, prompt string")
+    prompts_op.enqueue(more, out)
+    states = lambda: sorted((r.state, r.times_sent) for r in prompts_op.queue_states(spark, out).collect() if r.times_sent != 1 or r.state != "done")
+    assert states() == [("pending", 0)] * 2
+    prompts_op.drain(spark, down, out, max_attempts=1)
+    assert states() == [("failed", 1)] * 2
+    prompts_op.drain(spark, str.upper, out, slices=2)
+    assert states() == [("done", 2)] * 2
+    got = prompts_op.complete_to_table(more, down, out)  # nothing is left to send
+    assert sorted((r.task_id, r.response) for r in got.collect()) == [("a", "NEW"), ("b", "NEW"), ("c", "OTHER")]
+
+
 def test_complete_to_table_sends_only_new(spark, tmp_dir):
     calls = spark.sparkContext.accumulator(0)
     p1 = spark.createDataFrame([("t1", "a"), ("t2", "b")], "task_id string, prompt string")

@@ -169,6 +169,34 @@ def test_evaluation_report_bundle(spark):
     assert report.summary_display(df).collect()[0].correct_rate == "66.67%"
 
 
+def test_top_words_of_rows_without_an_id(spark):
+    df = evals(spark, [(None, "t", False, "zebra zebra zebra apple", T0), (1, "t", False, "apple pear", T0)])
+    assert [(r["rank"], r.word, r.frequency) for r in report.top_words(df).collect()] == [(1, "zebra", 3), (2, "apple", 2), (3, "pear", 1)]
+    only = evals(spark, [(None, "t", False, "b q b", T0), (None, "t", False, "c", T0)])
+    assert [r.word for r in report.top_words(only).collect()] == ["b", "c", "q"]
+
+
+def test_states_of_one_day_leave_others_alone(spark, tmp_dir):
+    from evallens.operators import daily
+
+    def rows(day, n, word="bad"):
+        return [(day * 100 + i, "t", i % 2 == 0, f"{word} w{i} {day}", T0 + dt.timedelta(days=day, minutes=i * i % 37)) for i in range(n)]
+
+    path = f"{tmp_dir}/states"
+    all_rows = rows(0, 9) + rows(1, 12, "late") + rows(3, 7) + [(5000, "t", True, None, None), (None, "t", False, "bad unnamed", None)]
+    days = lambda n: str((T0 + dt.timedelta(days=n)).date())
+    daily.update_states(evals(spark, rows(0, 9) + rows(1, 4, "late")), path)
+    # a broken day that is not asked for is never looked at
+    daily.update_states(evals(spark, [r for r in all_rows if r[0] is None or r[0] >= 100] + rows(0, 1, "never")), path, [days(1), days(3), None])
+    df = evals(spark, all_rows)
+    got, want = daily.report_from_states(spark, path), report.evaluation_report(df)
+    for block in got:
+        assert sorted(map(tuple, got[block].collect())) == sorted(map(tuple, want[block].collect())), block
+    empty = f"{tmp_dir}/none"
+    daily.update_states(df.limit(0), empty)
+    assert {k: v.count() for k, v in daily.report_from_states(spark, empty).items()} == {"summary": 0, "distribution": 0, "top_words": 0, "mean_gap": 1, "histogram": 0}
+
+
 def test_gaps_ignore_session_time_zone(spark):
     """Zone-less times differ by wall-clock time, also across a daylight-saving change."""
     rows = [(1, dt.datetime(2024, 3, 10, 1, 30)), (2, dt.datetime(2024, 3, 10, 3, 30)),
