@@ -22,6 +22,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with the scheme and host of its file system, the session's default if it names none."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def folder_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
     """The numbers N of the folders `name=N` in `path`, ascending; none if there is no such path."""
     fs, p = _fs(spark, path)
