@@ -3,7 +3,8 @@
 Archives are gzip files with one member per record.  The reader's tasks get
 byte ranges; each looks for the gzip magic in its range, takes a candidate as a
 member only if it decodes to a WARC header, and owns the records that start
-inside.  Files are opened through `pyarrow.fs`, so any store it knows will do.
+inside.  Folders are named through the session's file system; files are opened
+through `pyarrow.fs`, so any store it knows will do.
 """
 
 from __future__ import annotations
@@ -21,19 +22,23 @@ from pyspark.sql import functions as F
 
 from evallens.llm.common import stored
 from evallens.session import scratch_path
+from evallens.sources.paths import qualified
 
 MAGIC = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:x-page:"
 READ = 1 << 18
+MAX_TASKS = 100_000  # beyond it, tasks read several ranges
 
 
 def _open_fs(uri: str):
     from pyarrow import fs
 
-    if uri.startswith("file:") or "://" not in uri:
+    if uri.startswith("file:"):
         return fs.LocalFileSystem(), re.sub(r"^file:(//)?", "", uri)
-    return fs.FileSystem.from_uri(uri)
+    if "://" not in uri:
+        raise ValueError(f"{uri}: a path needs its file system")
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
 def _member(lines: list[str], block: bytes, level: int) -> bytes:
@@ -74,7 +79,7 @@ def write_warc(pages: DataFrame, out: str | None = None, date: str = "2020-01-01
     are not read; empty input gives no archive.
     """
     spark = pages.sparkSession
-    out = out or scratch_path(spark, "warc")
+    out = qualified(spark, out or scratch_path(spark, "warc"))
     rows = with_revisits(pages.select("page_id", F.col("url").cast("string").alias("url"), "html"), min_bytes)
     rows = rows.select("page_id", "url", "payload", "payload_digest", "refers_to")
 
@@ -196,14 +201,21 @@ READ_SCHEMA = ("path string, offset long, record_type string, record_id string,
 def read_warc(archives: DataFrame, split_bytes: int = 32 << 20, payloads: bool = True) -> DataFrame:
     """Response and revisit records of `archives` (path, bytes): one row each.
 
+    A path without a file system is taken in the session's.
+
     Ranges of `split_bytes` are dealt to tasks.  A response's length and digest
     are computed from the payload read and held against the header's digest (a
     difference is an error); a revisit's are those its header gives.
     `payloads=False` leaves the payload column NULL.
     """
     step = F.lit(int(split_bytes))
+    home = qualified(archives.sparkSession, "/").rstrip("/")
+    path = F.when(F.col("path").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("path")).otherwise(F.concat(F.lit(home), "path"))
+    archives = stored(archives.select(path.alias("path"), "bytes"), "warc-archives")
+    many = archives.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / step)), F.lit(0))).first()[0]
     ranges = archives.where(F.col("bytes") > 0).select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, step.cast("long"))).alias("start"))
-    ranges = ranges.repartition(F.col("path"), F.col("start"))
+    # the rows are tiny: a given number of tasks keeps Spark from putting them together
+    ranges = ranges.repartitionByRange(max(1, min(int(many), MAX_TASKS)), "path", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in READ_SCHEMA.split(", ")]

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from evallens.llm import chat, common, components, license_scan, mixing, ngram_join, packing, sharding, toxicity
 
@@ -53,6 +55,30 @@ def brute_components(links, nodes):
     return {n: find(n) for n in nodes}
 
 
+def test_long_alternating_words_differ():
+    """The word of Thue and Morse and its complement, on which polynomial hashes modulo powers of two collide."""
+    w = "a"
+    for _ in range(11):
+        w += w.translate(str.maketrans("ab", "ba"))
+    sets = list(common.ngram_sets(pa.array([w, w.translate(str.maketrans("ab", "ba")), w.upper()]), 3))
+    assert len(w) == 2048 and sets[0] != sets[1] and sets[0] == sets[2]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abAB é\x0b\u2003", max_size=40), min_size=1, max_size=6), st.booleans())
+def test_word_hashes_tell_words_apart(texts, lower):
+    seen = {}
+    for first, words, cut in common.text_words(pa.array(texts), lower):
+        for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+            text = texts[first + i]
+            text = "".join(c.lower() if c.isascii() else c for c in text) if lower else text
+            found = re.findall(r"[^\x20\x09-\x0D]+", text)
+            assert len(found) == b - a
+            for w, h in zip(found, words[a:b].tolist()):
+                assert seen.setdefault(w, tuple(h)) == tuple(h)
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_components_match_union_find(spark):
     r = random.Random(3)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
@@ -205,6 +231,27 @@ def test_chat_texts_come_back(turns):
     assert r.loss_chars == len(learnt) and r.loss.hexdigest() == hashlib.sha256(learnt.encode()).hexdigest()
 
 
+def test_templates_of_other_shapes(spark):
+    """A suffix may be empty or end in plain text, if the next prefix has a control string."""
+    marks = {"user": ("<|user|>", "", False), "assistant": ("<|bot|>", " .", True)}
+    t = chat.Template(begin="", turns=marks, other=("<|role={role}]", "<|end|>", False), control=("<|user|>", "<|bot|>", "<|role=", "<|end|>"))
+    rows = [(1, 0, "user", "hi <|bot|> ."), (1, 1, "assistant", " . <|user|>\\"), (1, 2, "user", ""), (2, 0, "tool]x", "a"), (2, 1, "assistant", "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.read_chat(chat.format_chat(df, t), t).collect()}
+    for conv in (1, 2):
+        turns = [(role, text) for c, _, role, text in rows if c == conv]
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        assert got[conv].loss_sha256 == hashlib.sha256("".join(x for r, x in turns if r == "assistant").encode()).hexdigest()
+
+
+@pytest.mark.parametrize("change", [
+    {"turns": {"user": ("", "", False)}}, {"turns": {"user": (" ", " [/INST]", False), "assistant": (" ", " </s>", True)}},
+    {"control": ("",)}, {"control": ("a\\b",)}, {"other": ("[ROLE=] ", " [/ROLE]", False)}, {"other": ("x{role}", " [/ROLE]", False)}])
+def test_impossible_templates_are_rejected(change):
+    with pytest.raises(ValueError):
+        chat.Template(**change)
+
+
 def test_chat_states_nulls_and_ties(spark):
     rows = [(1, 0, "user", "q", 9), (1, 1, "assistant", "a", 9), (2, 0, "assistant", "a", 9), (2, None, "user", None, 9), (None, 0, None, "x", 9),
             (3, 1, "assistant", "b", 9), (3, 1, "assistant", "b", 9), (3, 0, "user", "", 9)]
@@ -241,6 +288,16 @@ def test_boundaries_are_optimal(hist, k):
     assert packing.best_boundaries([], k) == []
 
 
+def test_boundaries_of_many_lengths_take_little_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    got = packing.best_boundaries([(i, 1 + i % 5) for i in range(1, 4097)], 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[-1] == 4096 and len(got) == 4 and peak < 4 << 20
+
+
 def test_batches_hold_their_budget(spark):
     rows = [(i, " ".join(["w"] * ((i * 37) % 90)), 1) for i in range(300)] + [(7, "a b", 1)] * 3 + [(900, None, 1), (901, "x " * 450, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, bucket int")
@@ -278,6 +335,28 @@ def test_shards_are_even_and_keep_copies_together(spark):
     assert sorted(r.slot for r in few) == [0, 0, 0]
 
 
+def test_shard_columns_from_their_definition(spark):
+    """Sizes, checksums, even counts and gapless slots, held against plain Python; rounds until the cut settles."""
+    rows = [(i, f"text é {i % 90}") for i in range(700)] + [(None, "x"), (3, "text é 3"), (900, None), (901, "")]
+    df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, key string")
+    cut = {}
+    for rounds in (0, None):
+        got = sharding.shard(df, shards=7, rounds=rounds).collect()
+        assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=repr) == sorted(
+            ((i, len((t or "").encode()) + 16, None if t is None else zlib.crc32(t.encode())) for i, t in rows), key=repr)
+        slots = {}
+        for r in got:
+            slots.setdefault(r.shard, []).append(r.slot)
+        assert set(slots) == set(range(7)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+        assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+        groups = {}
+        for r in got:
+            if r.text_crc32 is not None:
+                groups.setdefault(r.text_crc32, []).append(r.shard)
+        cut[rounds] = sum(len(g) - max(map(g.count, g)) for g in groups.values())
+    assert cut[None] < cut[0] / 4
+
+
 def test_swaps_under_full_shards(spark):
     """All documents linked: shards are full from the start, so only swaps can move them."""
     df = spark.range(160).selectExpr("id as doc_id", "concat('t', id % 40) as text")
@@ -343,6 +422,24 @@ def test_cumulative_link_shares_weights_and_orders_thresholds():
     assert np.allclose(p.sum(axis=1), 1) and np.corrcoef(p @ np.arange(4), y)[0, 1] > 0.85
 
 
+INTERNAL = ("_text", "_row", "_cut", "_size", "_taken", "_key", "_bucket", "_byte", "_bit", "_maybe", "_tox", "_blk", "_pos", "_before", "_n", "_w",
+            "row", "maybe", "bucket", "bits", "cell", "cuts", "cut", "doc", "key", "tox", "rejected", "severity", "keys", "digest", "rep", "star")
+
+
+def test_user_columns_come_back(spark):
+    """Columns named like anything the stages use inside keep their values."""
+    import corpus_pipeline as P
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumns({c: F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")) for c in INTERNAL})
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}-{r.doc_id}" for r in rows for c in INTERNAL), name
+    assert P.STAGES[-1][1](spark, docs, sf).count() >= docs.count()
+
+
 def test_id_maps_keep_exactly_the_ids(spark, monkeypatch):
     monkeypatch.setattr(common, "ID_BITS", 1 << 16)  # ids share bits
     df = spark.sql("select id - 50 as a, id as _x from range(200000) union all select cast(null as bigint), 1L")

@@ -2,10 +2,12 @@
 
 import gzip
 import hashlib
+import os
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from evallens.llm import ann, embed_dedup, warc
 
@@ -123,6 +125,18 @@ def test_archives_come_back(spark, split):
     assert warc.page_records(warc.read_warc(warc.write_warc(df.limit(0)))).count() == 0
 
 
+@pytest.mark.parametrize("split,least", [(4000, 8), (400, 60)])
+def test_ranges_are_read_by_many_tasks(spark, tmp_path, split, least):
+    """As many tasks as ranges, and paths without a file system belong to the session's."""
+    rows = [(i, f"http://h/{i}", os.urandom(300).hex()) for i in range(60)]
+    archives = warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    assert [r.path.startswith("file:/") for r in archives.collect()] == [True]
+    bare = archives.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
+    recs = warc.read_warc(bare, split_bytes=split, payloads=False)
+    assert recs.rdd.getNumPartitions() >= least and recs.count() == 60
+    assert {r.page_id for r in warc.page_records(recs).collect()} == set(range(60))
+
+
 def test_a_broken_payload_is_an_error(spark, tmp_path):
     lines = ["WARC-Type: response", "WARC-Record-ID: <urn:x-page:1>", "WARC-Payload-Digest: sha1:" + "0" * 40]
     path = tmp_path / "a.warc.gz"
