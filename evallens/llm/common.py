@@ -81,44 +81,42 @@ ID_BITS = 1 << 23
 
 
 def _marked(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
-    """`df` with `_maybe`: whether `col` may be among `ids` (modulo ID_BITS); no row of `df` is shuffled."""
+    """(row, maybe): the rows of `df`, whole, and whether `col` may be among `ids` (modulo ID_BITS); nothing is shuffled."""
     cell = lambda c: F.pmod(c, F.lit(ID_BITS).cast("long"))
     i = F.col(ids.columns[0])
-    maps = ids.where(i.isNotNull()).groupBy(F.bitmap_bucket_number(cell(i)).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(cell(i))).alias("_bits"))
-    at = F.bitmap_bit_position(cell(F.col(col)))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    marked = df.withColumn("_bucket", F.bitmap_bucket_number(cell(F.col(col)))).join(F.broadcast(maps), "_bucket", "left")
-    marked = marked.withColumns({"_byte": byte, "_bit": (at % 8).cast("int")})
-    return marked.withColumn("_maybe", F.coalesce(F.expr("shiftright(_byte, _bit)").bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+    maps = ids.where(i.isNotNull()).groupBy(F.bitmap_bucket_number(cell(i)).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(cell(i))).alias("bits"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])  # names inside cannot clash with those beside it
+    cells = df.select(row.alias("row"), cell(F.col(col)).alias("cell")).withColumn("bucket", F.bitmap_bucket_number("cell"))
+    at = F.bitmap_bit_position("cell")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return cells.join(F.broadcast(maps), "bucket", "left").select("row", maybe.alias("maybe"))
 
 
 def rows_near_ids(df: DataFrame, col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of `df` that may have an id of `ids` (those that have one, and some more), and the others, NULL included.
 
-    No row is shuffled; join the first table with what belongs to the ids.
+    A bitmap of the ids modulo ID_BITS, built by Spark and never larger than
+    that, is broadcast and parts the rows as they are scanned; none is
+    shuffled.  Join the first table with what belongs to the ids.
     """
     marked = _marked(df, col, ids)
-    return marked.where("_maybe").select(df.columns), marked.where("not _maybe").select(df.columns)
+    return marked.where("maybe").select("row.*"), marked.where("not maybe").select("row.*")
 
 
 def rows_with_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
-    """Rows of `df` whose `col` (long) is in the one column of `ids`, without shuffling most of the others.
-
-    A bitmap of the ids modulo ID_BITS, built by Spark and never larger than
-    that, is broadcast and drops rows as they are scanned; a semi join on what
-    passes is exact.
-    """
-    near = _marked(df, col, ids).where("_maybe").select(df.columns)
+    """Rows of `df` whose `col` (long) is in the one column of `ids`, without shuffling most of the others."""
+    near, _ = rows_near_ids(df, col, ids)
     return near.join(ids.select(F.col(ids.columns[0]).alias(col)), col, "left_semi").select(df.columns)
 
 
 def rows_without_ids(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     """The other rows, NULL included: those the bitmap clears are kept as they are
     scanned, and an anti join decides on the rest."""
-    marked = _marked(df, col, ids)
-    rest = marked.where("_maybe").select(df.columns).join(ids.select(F.col(ids.columns[0]).alias(col)), col, "left_anti")
-    return marked.where("not _maybe").select(df.columns).unionByName(rest.select(df.columns))
+    near, far = rows_near_ids(df, col, ids)
+    rest = near.join(ids.select(F.col(ids.columns[0]).alias(col)), col, "left_anti")
+    return far.unionByName(rest.select(df.columns))
 
 
 # --- hashes of words and n-grams, over many texts at a time ------------------------

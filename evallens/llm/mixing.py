@@ -87,14 +87,16 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
     hash of the text).  Rows without an id share one key: a source's rows of
     that kind are ordered by one task, without their texts.
     """
-    rows = stored(docs.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()}), "mix-rows")
-    plan = _taken(rows, weights, share, cap, seed, ["_text", "_row"]).where(F.col("taken") > 0).select("_row", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    full = F.floor(F.col("_taken") / F.col("_size")).cast("int")
-    rest = (F.col("_taken") % F.col("_size")).cast("int")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # names inside cannot clash with those beside it
+    rows = stored(docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias("row")), "mix-rows")
+    texts = rows.select("doc.doc_id", "doc.source", "doc.text", F.xxhash64("doc.text").alias("_text"), F.col("row").alias("_row"))
+    plan = _taken(texts, weights, share, cap, seed, ["_text", "_row"]).where(F.col("taken") > 0)
+    full = F.floor(F.col("taken") / F.col("size")).cast("int")
+    rest = (F.col("taken") % F.col("size")).cast("int")
     times = F.concat(F.array_repeat(F.lit(0), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    out = rows.join(plan.withColumn("_cut", times).select("_row", "_cut"), "_row").withColumn("_cut", F.explode("_cut"))
-    head = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})")), 1, F.col("_cut")), " ")
-    out = out.withColumn("text", F.when(F.col("_cut") == 0, F.col("text")).otherwise(head))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    out = rows.join(plan.select(F.col("_row").alias("row"), times.alias("cuts")), "row").select("doc", F.explode("cuts").alias("cut"))
+    head = F.array_join(F.slice(F.regexp_extract_all(F.col("doc.text"), F.lit(f"({WORD})")), 1, F.col("cut")), " ")
+    new = {"text": head, "n_chars": F.length(head)}
+    value = lambda c: F.col(f"doc.`{c}`")
+    return out.select(*[F.when(F.col("cut") == 0, value(c)).otherwise(new[c]).cast(docs.schema[c].dataType).alias(c) if c in new else value(c).alias(c)
+                        for c in docs.columns])

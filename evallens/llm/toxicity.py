@@ -221,6 +221,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, model:
         return pd.DataFrame({"severity": p @ np.arange(p.shape[1]), "grade": p.argmax(axis=1).astype(np.int32), "p_toxic": 1 - p[:, 0]})
 
     names = ("severity", "grade", "p_toxic", "rejected")
-    out = docs.drop(*names).withColumn("_tox", score(F.col("text").cast("string")))
-    out = out.withColumns({c: F.col(f"_tox.{c}") for c in names[:3]}).drop("_tox")
-    return out.withColumn("rejected", F.col("p_toxic") >= threshold)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    out = docs.select(F.struct(*kept).alias("doc"), score(F.col("text").cast("string")).alias("tox"))
+    return out.select("doc.*", *[F.col(f"tox.{c}") for c in names[:3]], (F.col("tox.p_toxic") >= threshold).alias("rejected"))
