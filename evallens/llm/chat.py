@@ -43,6 +43,21 @@ class Template:
         "start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)})
     final: tuple = ("assistant",)
 
+    def __post_init__(self):
+        """Rejects templates whose texts could not be told from what stands around them."""
+        if any(not c or ESCAPE in c for c in self.control):
+            raise ValueError("control strings are not empty and do not hold the escape character")
+        parts = [*self.turns.values(), (*self.other[:2], False)]
+        marked = lambda s: any(c in s for c in self.control)
+        if "{role}" not in self.other[0] or not marked(self.other[0].split("{role}")[0]) or not marked(self.other[1]):
+            raise ValueError("other roles need a control string before and after")
+        if len({p for p, _, _ in self.turns.values()}) < len(self.turns):
+            raise ValueError("two roles begin alike")
+        for _, post, _ in parts:
+            for pre, _, _ in parts:
+                if not marked(post) and not marked(post + pre):
+                    raise ValueError(f"no control string between a text, {post!r} and {pre!r}")
+
     def around(self, role: str) -> tuple[str, str, bool]:
         if role in self.turns:
             return self.turns[role]
@@ -144,14 +159,21 @@ class _Reader:
             if role is None:
                 return False
             start, post = at + len(pre), self.t.turns[role][1]
-        # the escaped text holds no control string, so the suffix's own control string ends it
-        mark = next(c for c in self.t.control if c == post.strip())
-        k = b.find(mark, start)
-        while k >= 0 and not b.startswith(post, k - (len(post) - len(post.lstrip()))):
-            k = b.find(mark, k + 1)
-        if k < 0:
-            return False
-        stop = k - (len(post) - len(post.lstrip()))
+        # The escaped text holds no control string, so the first one of the suffix ends it;
+        # a suffix without one ends what has been fed, whole turns at a time.
+        marks = [(post.find(c), c) for c in self.t.control if c in post]
+        if marks:
+            off, mark = min(marks, key=lambda x: (x[0], -len(x[1])))
+            k = b.find(mark, start)
+            while k >= 0 and not (k - off >= start and b.startswith(post, k - off)):
+                k = b.find(mark, k + 1)
+            if k < 0:
+                return False
+            stop = k - off
+        else:
+            stop = len(b) - len(post)
+            if stop < start or not b.endswith(post):
+                return False
         text = self.t.unescape(b[start:stop])
         self.turns.update(f"{role}\n{text}\n".encode("utf-8"))
         self.ok &= role in self.t.steps.get(self.state, ())
