@@ -25,17 +25,22 @@ def best_boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]
         return []
     length, count = (np.array(x, dtype=np.int64) for x in zip(*h))
     seqs, tokens = (np.concatenate([[0], np.cumsum(x)]) for x in (count, length * count))
-    u, far = len(h), np.iinfo(np.int64).max // 4
-    # cost[i, j]: padding of lengths i..j-1 in one bucket
-    cost = length[None, :] * (seqs[None, 1:] - seqs[:u, None]) - (tokens[None, 1:] - tokens[:u, None])
-    cost[np.tril_indices(u, -1)] = far
-    best, cuts = cost[0], []
-    for _ in range(min(buckets, u) - 1):
-        total = cost.copy()
-        total[1:] += np.minimum(best[:-1], far)[:, None]
-        total[0] = cost[0]
-        cuts.append(total.argmin(axis=0))
-        best = np.minimum(total.min(axis=0), far)
+    u = len(h)
+
+    def padding(j: int) -> np.ndarray:
+        """Of lengths i..j in one bucket, for i from 0 to j."""
+        return length[j] * (seqs[j + 1] - seqs[:j + 1]) - (tokens[j + 1] - tokens[:j + 1])
+
+    best, cuts = np.array([padding(j)[0] for j in range(u)]), []
+    for _ in range(min(buckets, u) - 1):  # memory: one number per length and bucket
+        cut, new = np.zeros(u, dtype=np.int64), np.zeros(u, dtype=np.int64)
+        for j in range(u):
+            total = padding(j)
+            total[1:] += best[:j]
+            cut[j] = total.argmin()
+            new[j] = total[cut[j]]
+        cuts.append(cut)
+        best = new
     out, j = [], u
     for cut in [*reversed(cuts), np.zeros(u, dtype=np.int64)]:
         out.append(int(length[j - 1]))
