@@ -33,14 +33,17 @@ def _quotas(demand: dict[tuple[int, int], int], load: list[int], capacity: list[
     return out
 
 
-def shard(docs: DataFrame, shards: int = 40, rounds: int = 4, seed: str = "shard") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 40, rounds: int | None = None, seed: str = "shard") -> DataFrame:
     """Every row of `docs` (doc_id, text) with its shard: row counts at most one apart (law `rows`).
 
     Returns doc_id, size (UTF-8 bytes of the text, NULL: none, plus 16),
     text_crc32 (NULL for a NULL text), law, shard, slot (from 0 without gaps in
     each shard), grown_shard (NULL: the law is not `key`).  Equal texts are
     linked, NULL texts with nothing.  A text with more than half a shard's rows
-    is cut into groups of about that size, linked within themselves.  The choice
+    is cut into groups of about that size, linked within themselves.  Rounds of moves
+    go on until none is granted or the rows apart from most of their group are no
+    longer fewer than before (then the round before counts); `rounds` ends them
+    earlier.  The choice
     depends on ids and texts only; rows that repeat an id and text are rows of
     their own.  Only hashes and counts are shuffled; the driver sees sums per
     shard and pair of shards.  Empty input: no rows.  Other columns are not read.
@@ -62,8 +65,15 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 4, seed: str = "shard
         got = dict(s.groupBy("shard").count().collect())
         return [got.get(j, 0) for j in range(shards)]
 
-    for r in range(rounds):
+    r, cut, before = 0, None, state
+    while rounds is None or r < rounds:
         held = stored(state.groupBy("g", "part", "shard").agg(F.count(F.lit(1)).alias("c")), f"shard-held-{r}")
+        # links cut: rows apart from where most of their group is
+        apart = held.groupBy("g", "part").agg((F.sum("c") - F.max("c")).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if cut is not None and apart >= cut:
+            state = before
+            break
+        cut, before = apart, state
         best = held.groupBy("g", "part").agg(F.max(F.struct("c", F.xxhash64("g", "part", "shard").alias("h"), "shard")).alias("b"))
         asks = held.join(best, ["g", "part"]).where(F.col("b.shard") != F.col("shard")).select(
             "g", "part", "shard", F.col("b.shard").alias("to"), (F.col("b.c") - F.col("c")).alias("gain"), "c")
@@ -82,6 +92,7 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 4, seed: str = "shard
         granted_asks = asks.join(quota, ["shard", "to"], "left_semi").select("g", "part", "shard")
         stay = state.join(granted_asks, ["g", "part", "shard"], "left_anti")
         state = stored(stay.unionByName(moved.select(stay.columns)), f"shard-{r + 1}")
+        r += 1
 
     load = loads(state)
     ends, n = [], 0
