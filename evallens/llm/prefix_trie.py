@@ -34,6 +34,7 @@ NODES = 1 << 17    # turns a trie takes before it is expanded
 WIDTH = 16         # bytes of a digest
 TOP = bytes(WIDTH)  # digest of no turns
 KEYS = (1, 2, 4, 8, 16)
+RUN = 1 << 12      # ids written as one string
 PIECES_PER_TASK = 1 << 17
 
 
@@ -274,23 +275,38 @@ def _above(pieces: DataFrame, totals: DataFrame) -> DataFrame:
 def _ends(pieces: DataFrame) -> DataFrame:
     """(node, ends_sha256): the ids of the conversations that end at a node, ascending, joined by commas, as a hash.
 
-    Sorted rows are streamed, so a node at which very many end takes no memory.
+    Ids are sorted by range, so a node at which very many end is dealt to many tasks,
+    and written in runs of up to RUN ids; one task per node then hashes its runs
+    in order, as the hash demands, and holds one at a time.
     """
     end = F.when(F.length("digests") > 0, F.expr(f"substring(digests, length(digests) - {WIDTH - 1}, {WIDTH})")).otherwise(F.col("root"))
     parts = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.where("last").select(end.alias("node"), "conv_id").repartition(parts, "node").sortWithinPartitions("node", "conv_id")
+    ends = pieces.where("last").select(end.alias("node"), "conv_id")
+    dealt = ends.repartitionByRange(parts, "node", "conv_id").sortWithinPartitions("node", "conv_id")
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for node, conv in zip(b.column("node").to_pylist(), b.column("conv_id").to_pylist()):
+                if not out or out[-1][0] != node or len(out[-1][2]) == RUN:
+                    out.append((node, conv, []))
+                out[-1][2].append(str(conv))
+            cols = [[o[0] for o in out], [o[1] for o in out], [",".join(o[2]) for o in out]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.string()))], names=["node", "least", "ids"])
+
+    dealt = dealt.mapInArrow(runs, "node binary, least long, ids string").repartition(parts, "node").sortWithinPartitions("node", "least")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, sha = None, None
         for b in batches:
             out = []
-            for node, conv in zip(b.column("node").to_pylist(), b.column("conv_id").to_pylist()):
+            for node, ids in zip(b.column("node").to_pylist(), b.column("ids").to_pylist()):
                 if node != here:
                     if here is not None:
                         out.append((here, sha.hexdigest()))
-                    here, sha = node, hashlib.sha256(str(conv).encode())
+                    here, sha = node, hashlib.sha256(ids.encode())
                 else:
-                    sha.update(f",{conv}".encode())
+                    sha.update(f",{ids}".encode())
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.string())], names=["node", "ends_sha256"])
         if here is not None:
             yield pa.RecordBatch.from_arrays([pa.array([here], pa.binary()), pa.array([sha.hexdigest()], pa.string())], names=["node", "ends_sha256"])
