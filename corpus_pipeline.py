@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evallens.llm import mixing, ngram_join, packing, toxicity
@@ -10,10 +10,15 @@ from evallens.llm.common import rows_with_ids, rows_without_ids, stored
 from evallens.session import scratch_path
 
 
+def _whole(docs: DataFrame) -> Column:
+    """A row's columns in one, so that none clashes with those a stage adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.toxicity(docs, labels).where(~F.col("rejected")).select(docs.columns)
+    return toxicity.toxicity(docs.select("doc_id", "text", _whole(docs)), labels).where(~F.col("rejected")).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,19 +32,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
     repeated = not ids.where(F.col("count") > 1).isEmpty()
     key = F.xxhash64("doc_id", "text") if repeated else F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    keyed = docs.withColumn("_key", key)
-    groups = ngram_join.ngram_join(keyed.select(F.col("_key").alias("doc_id"), "text"), n=5, num=80, den=100)
-    linked = groups.where(F.col("n_links") > 0).groupBy(F.col("doc_id").alias("_key"), "component_id").agg(F.count(F.lit(1)).alias("rows"))
+    keyed = docs.select(key.alias("key"), _whole(docs))
+    groups = ngram_join.ngram_join(keyed.select(F.col("key").alias("doc_id"), "doc.text"), n=5, num=80, den=100)
+    linked = groups.where(F.col("n_links") > 0).groupBy(F.col("doc_id").alias("key"), "component_id").agg(F.count(F.lit(1)).alias("rows"))
     linked = stored(linked, "pipeline-linked")
-    named = rows_with_ids(keyed.select("_key", "doc_id"), "_key", linked.select("_key")).distinct()
-    named = stored(linked.join(named, "_key"), "pipeline-named")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("first"))
-    gone = named.join(first, "component_id").where(F.col("_key") != F.col("first._key")).select("_key")
-    kept = rows_without_ids(keyed, "_key", stored(gone, "pipeline-gone"))
-    equal = linked.where(F.col("rows") > 1).select("_key")  # rows with the same id and text: one stays
+    named = rows_with_ids(keyed.select("key", "doc.doc_id"), "key", linked.select("key")).distinct()
+    named = stored(linked.join(named, "key"), "pipeline-named")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"))
+    gone = named.join(first, "component_id").where(F.col("key") != F.col("first.key")).select("key")
+    kept = rows_without_ids(keyed, "key", stored(gone, "pipeline-gone"))
+    equal = linked.where(F.col("rows") > 1).select("key")  # rows with the same id and text: one stays
     if not equal.isEmpty():
-        kept = rows_without_ids(kept, "_key", equal).unionByName(rows_with_ids(kept, "_key", equal).dropDuplicates(["_key"]))
-    return kept.select(docs.columns)
+        kept = rows_without_ids(kept, "key", equal).unionByName(rows_with_ids(kept, "key", equal).dropDuplicates(["key"]))
+    return kept.select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
