@@ -248,10 +248,10 @@ total AS (SELECT count(*) AS n FROM seg),
 flat AS (SELECT doc_id, path, seg, unnest(w) AS term FROM seg),
 tf AS (SELECT doc_id, path, seg, term, count(*) AS tf FROM flat GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-idf AS (SELECT DISTINCT t.term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM ttf t CROSS JOIN total LEFT JOIN df USING (term)),
+idf AS (SELECT t.term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT term FROM ttf UNION SELECT term FROM df) t CROSS JOIN total LEFT JOIN df USING (term)),
 tw AS (SELECT i, license, term, (1 + ln(tf)) * idf AS w FROM ttf JOIN idf USING (term)),
 tn AS (SELECT i, sqrt(sum(w * w)) AS norm FROM tw GROUP BY i),
-sw AS (SELECT doc_id, path, seg, term, (1 + ln(tf)) * coalesce(idf, ln(n + 1) + 1) AS w FROM tf CROSS JOIN total LEFT JOIN idf USING (term)),
+sw AS (SELECT doc_id, path, seg, term, (1 + ln(tf)) * idf AS w FROM tf JOIN idf USING (term)),
 sn AS (SELECT doc_id, path, seg, sqrt(sum(w * w)) AS norm FROM sw GROUP BY ALL),
 cos AS (
   SELECT s.doc_id, s.path, s.seg, t.i, t.license, round(sum(s.w * t.w / tn.norm) / any_value(sn.norm), 6) AS score

@@ -411,6 +411,41 @@ def test_toxicity_held_out(spark):
     assert nothing == 0 and toxicity.toxicity(d.limit(0), lab).count() == 0
 
 
+def plain_severity(model, text):
+    """(expected grade, most probable grade, chance of a grade above 0) from the model's numbers, term by term."""
+    words = re.findall(r"\w+", (text or "").lower())
+    if not words:
+        return 0.0, 0, 0.0
+    counts = Counter()
+    for w in words:
+        counts[w] += 1
+        for k in (3, 4, 5, 6):
+            if len(w) >= k:
+                counts["^" + w[:k]] += 1
+    score = 0.0
+    for term, c in counts.items():
+        present, often = model.weights.get(term, (0.0, 0.0))
+        score += present + often * math.log(1 + 1000 * c / len(words))
+    below = [1 / (1 + math.exp(score - t)) for t in model.thresholds] + [1.0]
+    p = [b - a for a, b in zip([0.0, *below], below)]
+    return sum(g * x for g, x in enumerate(p)), p.index(max(p)), 1 - p[0]
+
+
+def test_toxicity_against_plain_scores(spark):
+    """Every document's severity, grade and chance, restated from the fitted weights and thresholds."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, " .,; "), (-4, "Ä" * 5000), (None, "no id"), (-5, "x " * 9000), (-5, "twice")], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(odd)
+    model = toxicity.fit(docs, labels)
+    assert model.weights and model.thresholds == sorted(model.thresholds) and all(a >= 0 and b >= 0 for a, b in model.weights.values())
+    rows = toxicity.toxicity(docs, labels, model=model).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        severity, grade, p = plain_severity(model, r.text)
+        assert abs(r.severity - severity) < 1e-9 and abs(r.p_toxic - p) < 1e-9 and r.grade == grade and r.rejected == (r.p_toxic >= 0.5)
+
+
 def test_cumulative_link_shares_weights_and_orders_thresholds():
     r = np.random.default_rng(0)
     x = r.random((800, 3))
