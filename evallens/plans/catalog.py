@@ -374,7 +374,9 @@ def _stored_documents(spark, d):
 
 def _written(docs, store):
     """(key, value) rows as files, one folder per key."""
-    docs.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, "key").write.partitionBy("key").text(store)
+    # many small folders: each task moves its own to their place, not the driver all of them
+    docs.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, "key").write.option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("key").text(store)
     return store
 
 
