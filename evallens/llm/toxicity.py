@@ -24,8 +24,10 @@ from evallens.llm.common import random_key, stored
 TERM, NOT_WORD = re.compile(r"\w+"), re.compile(r"\W")
 PIECE = 1 << 20
 CACHED_WORDS = 1 << 16
-# Bounds of the training sample: labelled rows per class, and features.
-SAMPLE_ROWS, SAMPLE_TERMS = 3000, 512
+SAMPLE_ROWS = 3000   # bound of the training sample: labelled rows per class
+STEP_TERMS = 1024    # features that join the model's working set at a time
+SLACK = 1.02         # a feature joins if its slope is steeper than the penalty by this factor
+UNIT = float(1 << 40)  # slopes are summed as whole numbers of 1 / UNIT, so that reruns agree
 GRADES = 4  # 0: not toxic; 1 to 3: mild, strong, severe
 PENALTY = 3e-4
 PREFIXES = (3, 4, 5, 6)
@@ -81,15 +83,15 @@ class Model:
 
 
 def fit_cumulative_link(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.ndarray, features: int,
-                        grades: int, penalty: float, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+                        grades: int, penalty: float, steps: int = 600, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) of the L1-penalised cumulative-link model, by accelerated proximal gradient steps.
 
     The sparse matrix is given by (rows, cols, vals).  Weights are not negative:
     evidence adds up, and common words cannot outweigh it.  Thresholds are a first
-    one and positive gaps, so they stay ordered.
+    one and positive gaps, so they stay ordered.  `start`: weights to begin with.
     """
     n, k = len(y), grades - 1
-    w, a, gap = np.zeros(features), 0.0, np.full(k - 1, 1.0)
+    w = np.zeros(features) if start is None else start.copy()
     share = np.clip(np.cumsum(np.bincount(y, minlength=grades))[:k] / n, 0.02, 0.98)
     t0 = np.log(share / (1 - share))
     a, gap = t0[0], np.maximum(np.diff(t0), 0.05)
@@ -141,16 +143,76 @@ def severity_grades(evidence: np.ndarray, toxic: np.ndarray, grades: int = GRADE
     return np.searchsorted(np.unique(grade), grade)  # no empty grade
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int = SAMPLE_TERMS,
-        penalty: float = PENALTY, seed: str = "toxicity") -> Model | None:
-    """Model fitted on at most `rows` labelled documents of each class and `terms` features.
+def slopes(score: np.ndarray, thresholds: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What the mean loss gains per unit of each document's score."""
+    f = 1 / (1 + np.exp(np.clip(score[:, None] - np.asarray(thresholds)[None, :], -500, 500)))
+    f = np.column_stack([np.zeros(len(y)), f, np.ones(len(y))])
+    d, at = f * (1 - f), np.arange(len(y))
+    return (d[at, y + 1] - d[at, y]) / np.maximum(f[at, y + 1] - f[at, y], 1e-12) / len(y)
 
-    The sample is the least hash keys of each class.  The features are the words
-    and word beginnings whose document rates differ most between the classes (in
-    standard errors).  The labels say yes or no; a toxic document's grade comes
+
+class _Sample:
+    """The sample's terms, in a table, and the columns of the working set, on the driver.
+
+    All features take part.  The L1 penalty leaves nearly all of them at weight 0, and
+    one stays there as long as its slope is no steeper than the penalty.  Slopes
+    of all features are sums over the table; only features that break the rule join the
+    working set, the steepest first, until none does.  The result is
+    the optimum over all features.
+    """
+
+    def __init__(self, found: DataFrame):
+        self.found, self.terms = found, []
+        docs = found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("words").alias("words")).toPandas().sort_values("doc_id")
+        self.ids, self.words = docs["doc_id"].to_numpy(), docs["words"].to_numpy()
+        self.toxic = docs["toxic"].to_numpy().astype(np.int64)
+        self.rows, self.cols, self.vals = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def steep(self, slope: np.ndarray, penalty: float) -> list[str]:
+        """Features outside the working set that would gain a weight, the steepest first."""
+        g = self.found.sparkSession.createDataFrame(pd.DataFrame({"doc_id": self.ids, "g": slope}))
+        often = F.log1p(F.lit(1000.0) * F.col("n") / F.col("words"))
+        total = lambda c: F.sum(F.round(c * F.lit(UNIT)).cast("long"))
+        # one row per sampled document is broadcast
+        sums = self.found.join(F.broadcast(g), "doc_id").groupBy("term").agg(F.least(total(F.col("g")), total(F.col("g") * often)).alias("s"))
+        steep = sums.where(F.col("s") < -penalty * SLACK * UNIT).orderBy("s", "term").limit(STEP_TERMS + len(self.terms))
+        held = set(self.terms)
+        return [r.term for r in steep.collect() if r.term not in held][:STEP_TERMS]
+
+    def add(self, terms: list[str]) -> None:
+        known = self.found.sparkSession.createDataFrame([(t, i) for i, t in enumerate(terms, len(self.terms))], "term string, i int")
+        data = self.found.join(F.broadcast(known), "term").select("doc_id", "i", "n").toPandas().sort_values(["doc_id", "i"])
+        doc = np.searchsorted(self.ids, data["doc_id"].to_numpy())
+        i, n = data["i"].to_numpy().astype(np.int64), data["n"].to_numpy()
+        self.rows = np.concatenate([self.rows, doc, doc])
+        self.cols = np.concatenate([self.cols, 2 * i, 2 * i + 1])
+        self.vals = np.concatenate([self.vals, np.ones(len(n)), np.log1p(1000 * n / self.words[doc])])
+        self.terms += terms
+
+    def score(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.vals * w[self.cols], minlength=len(self.ids))
+
+    def solve(self, y: np.ndarray, grades: int, penalty: float) -> tuple[np.ndarray, np.ndarray]:
+        """(weights of the working set, thresholds) at the optimum over all features."""
+        share = np.clip(np.cumsum(np.bincount(y, minlength=grades))[:grades - 1] / len(y), 0.02, 0.98)
+        w, thresholds = np.zeros(2 * len(self.terms)), np.log(share / (1 - share))
+        if self.terms:
+            w, thresholds = fit_cumulative_link(self.rows, self.cols, self.vals, y, len(w), grades, penalty)
+        while new := self.steep(slopes(self.score(w), thresholds, y), penalty):
+            self.add(new)
+            start = np.concatenate([w, np.zeros(2 * len(new))])
+            w, thresholds = fit_cumulative_link(self.rows, self.cols, self.vals, y, len(start), grades, penalty, start=start)
+        return w, thresholds
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, penalty: float = PENALTY, seed: str = "toxicity") -> Model | None:
+    """Model fitted on at most `rows` labelled documents of each class and all their features.
+
+    The sample is the least hash keys of each class.  An id that has several texts is
+    sampled with one of them, that of the least MD5.  The features are words
+    and word beginnings.  The labels say yes or no; a toxic document's grade comes
     from its evidence in a first yes/no fit.  None if a class has no usable document.
     """
-    spark = docs.sparkSession
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lab = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
@@ -158,44 +220,30 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int
     lab = lab.join(docs.where(F.length("text") > 0).select("doc_id").distinct(), "doc_id").withColumn("key", random_key(F.col("doc_id"), seed=seed))
     sample = lab.where("toxic = 0").orderBy("key").limit(rows).unionByName(lab.where("toxic = 1").orderBy("key").limit(rows))
     sample = stored(sample.select("doc_id", "toxic"), "toxicity-sample")
-    size = dict(sample.groupBy("toxic").count().collect())
-    if len(size) < 2:
+    if sample.select("toxic").distinct().count() < 2:
         return None
-    text = docs.join(F.broadcast(sample), "doc_id")  # at most 2 * rows rows
+    text = docs.where(F.length("text") > 0).join(F.broadcast(sample), "doc_id")  # at most 2 * rows ids
+    text = text.groupBy("doc_id", "toxic").agg(F.min_by("text", F.md5("text")).alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for doc_id, t, toxic in zip(pdf["doc_id"], pdf["text"], pdf["toxic"]):
-                words, c = words_of(t or ""), Counter()
+                words, c = words_of(t), Counter()
                 for word, k in words.items():
                     for f in features_of(word):
                         c[f] += k
                 if c:
                     yield pd.DataFrame({"doc_id": doc_id, "toxic": toxic, "words": sum(words.values()), "term": list(c), "n": list(c.values())})
 
-    found = stored(text.mapInPandas(count, "doc_id long, toxic int, words long, term string, n long")
-                   .dropDuplicates(["doc_id", "term"]), "toxicity-terms")
-    rate = lambda k: F.count_if(F.col("toxic") == k) / F.lit(float(size[k]))
-    both = F.count(F.lit(1)) / F.lit(float(size[0] + size[1]))
-    spread = F.sqrt(F.greatest(both * (1 - both), F.lit(1e-9)) * F.lit(1 / size[0] + 1 / size[1]))
-    ranked = found.groupBy("term").agg(((rate(1) - rate(0)) / spread).alias("z"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= 5)
-    top = [r.term for r in ranked.orderBy(F.desc(F.abs("z")), "term").limit(terms).collect()]
-    if not top:
-        return None
-    known = spark.createDataFrame([(t, i) for i, t in enumerate(top)], "term string, i int")
-    data = found.join(F.broadcast(known), "term").select("doc_id", "i", "n").toPandas().sort_values(["doc_id", "i"])
-    docs_ = found.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("words").alias("words")).toPandas().sort_values("doc_id")
-    toxic, words = docs_["toxic"].to_numpy().astype(np.int64), docs_["words"].to_numpy()
-    if toxic.min() == toxic.max():
+    found = stored(text.mapInPandas(count, "doc_id long, toxic int, words long, term string, n long"), "toxicity-terms")
+    sampled = _Sample(found)
+    toxic = sampled.toxic
+    if not len(toxic) or toxic.min() == toxic.max():
         return None
-    doc = np.searchsorted(docs_["doc_id"].to_numpy(), data["doc_id"].to_numpy())
-    term, n, k = data["i"].to_numpy().astype(np.int64), data["n"].to_numpy(), len(top)
-    rows_, cols = np.concatenate([doc, doc]), np.concatenate([term, term + k])
-    vals = np.concatenate([np.ones(len(n)), np.log1p(1000 * n / words[doc])])
-    w, _ = fit_cumulative_link(rows_, cols, vals, toxic, 2 * k, 2, penalty)
-    grade = severity_grades(np.bincount(rows_, vals * w[cols], minlength=len(toxic)), toxic)
-    w, thresholds = fit_cumulative_link(rows_, cols, vals, grade, 2 * k, int(grade.max()) + 1, penalty)
-    return Model({t: (float(w[i]), float(w[i + k])) for i, t in enumerate(top) if w[i] or w[i + k]}, [float(t) for t in thresholds])
+    w, _ = sampled.solve(toxic, 2, penalty)
+    grade = severity_grades(sampled.score(w), toxic)
+    w, thresholds = sampled.solve(grade, int(grade.max()) + 1, penalty)
+    return Model({t: (float(w[2 * i]), float(w[2 * i + 1])) for i, t in enumerate(sampled.terms) if w[2 * i] or w[2 * i + 1]}, [float(t) for t in thresholds])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, model: Model | None = None, **how) -> DataFrame:
