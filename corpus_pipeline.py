@@ -25,14 +25,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each group of near-duplicates (five-word shingles, similarity 0.8
     or more): the one with the least doc_id, NULL last.
 
-    A row's key is its doc_id; that of a row without one is a 64-bit hash of its
-    text, and if any doc_id repeats, that of every row is a hash of both.  So each
-    text is compared for itself, and equal rows have a key in common.
+    A row's key is its doc_id.  If any is NULL or repeats, each distinct (doc_id, text)
+    is numbered instead, told apart by the text's SHA-256, so that each text is
+    compared for itself; equal rows have a key in common.
     """
-    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
-    repeated = not ids.where(F.col("count") > 1).isEmpty()
-    key = F.xxhash64("doc_id", "text") if repeated else F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    keyed = docs.select(key.alias("key"), _whole(docs))
+    doc = F.col("doc_id").cast("long")
+    odd = docs.groupBy("doc_id").count().where(F.col("doc_id").isNull() | (F.col("count") > 1))
+    if odd.isEmpty():
+        keyed = docs.select(doc.alias("key"), _whole(docs))
+    else:
+        said = F.coalesce(F.sha2("text", 256), F.lit(""))
+        names = docs.select(doc.alias("id"), said.alias("said")).distinct()
+        names = stored(names.withColumn("key", F.monotonically_increasing_id()), "pipeline-numbers")
+        rows = docs.select(doc.alias("at"), said.alias("text_said"), _whole(docs))
+        keyed = rows.join(names, F.col("at").eqNullSafe(F.col("id")) & (F.col("text_said") == F.col("said"))).select("key", "doc")
+        keyed = stored(keyed, "pipeline-keyed")
     groups = ngram_join.ngram_join(keyed.select(F.col("key").alias("doc_id"), "doc.text"), n=5, num=80, den=100)
     linked = groups.where(F.col("n_links") > 0).groupBy(F.col("doc_id").alias("key"), "component_id").agg(F.count(F.lit(1)).alias("rows"))
     linked = stored(linked, "pipeline-linked")
