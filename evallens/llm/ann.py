@@ -13,6 +13,7 @@ projected radius already searched.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,91 +69,113 @@ class KdTree:
         return (gap * gap).sum(axis=1)
 
 
-def search_block(ids, x, query_ids, queries, k: int, dims: int, confidence: float, seed: int):
-    """(query position, id, score) of each query's k best of one block, as far as searched."""
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
-    # Of equal vectors no more than the k + 1 least ids can be among a query's k best.
-    same = distinct_rows(x)
-    by = np.argsort(same, kind="stable")
-    nth = np.empty(len(by), dtype=np.int64)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(same[by])) + 1])
-    nth[by] = np.arange(len(by)) - np.repeat(first, np.diff(np.append(first, len(by))))
-    ids, x = ids[nth <= k], x[nth <= k]
-    norm2 = np.einsum("ij,ij->i", x, x)
-    top = norm2.max()
-    normals = np.random.default_rng(seed).standard_normal((x.shape[1] + 1, dims))
-    tree = KdTree(np.column_stack([x, np.sqrt(top - norm2)]) @ normals)
-    ids, x = ids[tree.order], x[tree.order]
-    enough = chi2_quantile(confidence, dims)
-    projected = queries @ normals[:-1]
-    out = []
-    for i, q in enumerate(queries):
-        bound = tree.bounds(projected[i])
-        leaves = np.argsort(bound, kind="stable")
-        q2, seen, got = float(q @ q), [], 0
-        scores = np.full(len(ids), -np.inf)
-        at, step = 0, 4
-        while at < len(leaves):
-            for leaf in leaves[at:at + step]:
-                a, b = tree.start[leaf], tree.stop[leaf]
-                scores[a:b] = x[a:b] @ q
-                seen.append(np.arange(a, b))
-                got += b - a
-            at += step
-            if got > k and at < len(leaves):
-                found = scores[np.concatenate(seen)]
-                kth = np.partition(found, -(k + 1))[-(k + 1)]  # one more, for the query's own row
-                if bound[leaves[at]] >= enough * max(top + q2 - 2 * kth, 0.0) and bound[leaves[at]] > 0:
-                    break
-        pos = np.concatenate(seen)
-        pos = pos[ids[pos] != query_ids[i]]
-        if len(pos) > k:
-            kth = np.partition(scores[pos], -k)[-k]
-            pos = pos[scores[pos] >= kth - 1e-9 * (abs(kth) + 1e-300)]
-        exact = (x[pos] * q).sum(axis=1)
-        best = np.lexsort((ids[pos], -exact))[:k]
-        out.append((np.full(len(best), i), ids[pos][best], exact[best]))
-    return tuple(np.concatenate(z) for z in zip(*out))
+class BlockIndex:
+    """One block of vectors, projected and indexed once for all queries."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, dims: int, confidence: float, seed: int):
+        order = np.argsort(ids, kind="stable")
+        ids, x = ids[order], x[order]
+        # Of equal vectors no more than the k + 1 least ids can be among a query's k best.
+        same = distinct_rows(x)
+        by = np.argsort(same, kind="stable")
+        nth = np.empty(len(by), dtype=np.int64)
+        first = np.concatenate([[0], np.flatnonzero(np.diff(same[by])) + 1])
+        nth[by] = np.arange(len(by)) - np.repeat(first, np.diff(np.append(first, len(by))))
+        ids, x = ids[nth <= k], x[nth <= k]
+        norm2 = np.einsum("ij,ij->i", x, x)
+        self.k, self.top = k, norm2.max()
+        self.normals = np.random.default_rng(seed).standard_normal((x.shape[1] + 1, dims))
+        self.tree = KdTree(np.column_stack([x, np.sqrt(self.top - norm2)]) @ self.normals)
+        self.ids, self.x = ids[self.tree.order], x[self.tree.order]
+        self.enough = chi2_quantile(confidence, dims)
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray):
+        """(query position, id, score) of each query's k best of this block, as far as searched."""
+        ids, x, k, tree = self.ids, self.x, self.k, self.tree
+        projected = queries @ self.normals[:-1]
+        out = []
+        for i, q in enumerate(queries):
+            bound = tree.bounds(projected[i])
+            leaves = np.argsort(bound, kind="stable")
+            q2, seen, got = float(q @ q), [], 0
+            scores = np.full(len(ids), -np.inf)
+            at, step = 0, 4
+            while at < len(leaves):
+                for leaf in leaves[at:at + step]:
+                    a, b = tree.start[leaf], tree.stop[leaf]
+                    scores[a:b] = x[a:b] @ q
+                    seen.append(np.arange(a, b))
+                    got += b - a
+                at += step
+                if got > k and at < len(leaves):
+                    found = scores[np.concatenate(seen)]
+                    kth = np.partition(found, -(k + 1))[-(k + 1)]  # one more, for the query's own row
+                    if bound[leaves[at]] >= self.enough * max(self.top + q2 - 2 * kth, 0.0) and bound[leaves[at]] > 0:
+                        break
+            pos = np.concatenate(seen)
+            pos = pos[ids[pos] != query_ids[i]]
+            if len(pos) > k:
+                kth = np.partition(scores[pos], -k)[-k]
+                pos = pos[scores[pos] >= kth - 1e-9 * (abs(kth) + 1e-300)]
+            exact = (x[pos] * q).sum(axis=1)
+            best = np.lexsort((ids[pos], -exact))[:k]
+            out.append((np.full(len(best), i), ids[pos][best], exact[best]))
+        return tuple(np.concatenate(z) for z in zip(*out))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, dims: int = 8, confidence: float = 0.95,
-            block_rows: int = 1 << 14, query_rows: int = 1 << 12, seed: int = 7) -> DataFrame:
+            block_rows: int = 1 << 16, seed: int = 7) -> DataFrame:
     """The k rows of `vectors` with the largest inner product found, per row of `queries`.
 
     Both hold (vec_id, embedding).  Returns (query_id, rank from 1, vec_id,
     score), ties to the smaller vec_id; a query's own vec_id is no candidate.
-    Rows go to blocks by a hash of the id; each block is indexed, and each
-    (block, block of queries) is one task of bounded size that returns k rows a
-    query, of which the best k stay.  NULL ids, and vectors that are NULL, zero
+    Rows go to blocks of about `block_rows` by a hash of the id, to smaller ones if
+    there would be fewer blocks than cores.  A task holds one block at a time: it
+    indexes the block, then streams all queries past it and returns k rows a query,
+    of which the best k stay.  NULL ids, and vectors that are NULL, zero
     or hold NULL or non-finite components, take no part; vectors of another
     length than the query's neither.  Rows that repeat a vec_id are candidates of
-    their own.  Other columns are not read.
+    their own; queries that repeat one with another vector have a ranking each.
+    Other columns are not read.
     """
     def rows(df: DataFrame, name: str) -> DataFrame:
         ok = df.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         return stored(ok.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding"), name)
 
-    data, asked = rows(vectors, "ann-data"), rows(queries, "ann-queries")
-    nb = max(1, -(-data.count() // block_rows))
-    nq = max(1, -(-asked.count() // query_rows))
-    dim = F.size("embedding").alias("dim")
-    block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = data.select("vec_id", "embedding", dim, block(nb).alias("b"), every(nq).alias("q"))
-    right = asked.distinct().select("vec_id", "embedding", dim, block(nq).alias("q"), every(nb).alias("b"))
-
-    def run(t: pa.Table, u: pa.Table) -> pa.Table:
-        if not t.num_rows or not u.num_rows:
-            empty = np.zeros(0, np.int64)
-            return pa.table({"query_id": empty, "vec_id": empty, "score": np.zeros(0)})
-        qid = u.column("vec_id").to_numpy()
-        at, vec, score = search_block(t.column("vec_id").to_numpy(), matrix(t.column("embedding")), qid,
-                                      matrix(u.column("embedding")), k, dims, confidence, seed)
-        return pa.table({"query_id": qid[at], "vec_id": vec, "score": score})
-
-    found = left.groupBy("dim", "b", "q").cogroup(right.groupBy("dim", "b", "q")).applyInArrow(
-        run, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    data, asked = rows(vectors, "ann-data"), rows(queries, "ann-queries").distinct()
+    n = data.count()
+    blocks = max(1, -(-n // block_rows), min(data.sparkSession.sparkContext.defaultParallelism, n * 8 // block_rows))
+    dim, zero = F.size("embedding").alias("dim"), F.lit(0)
+    # A block's vectors come before the queries.
+    left = data.select(dim, F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("b"), zero.alias("asks"), "vec_id", "embedding")
+    right = asked.select(dim, F.explode(F.sequence(zero, F.lit(blocks - 1))).alias("b"), F.lit(1).alias("asks"), "vec_id", "embedding")
+    dealt = left.unionByName(right).repartitionByRange(blocks, "b").sortWithinPartitions("dim", "b", "asks")
+    dealt = dealt.withColumn("query", F.xxhash64("embedding"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, parts, index = None, [], None
+        for batch in batches:
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("dim", "b", "asks")])
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
+                if here != tuple(keys[lo, :2]):
+                    here, parts, index = tuple(keys[lo, :2]), [], None
+                part = batch.slice(lo, hi - lo)
+                ids, x = part.column("vec_id").to_numpy(), matrix(part.column("embedding"))
+                if not keys[lo, 2]:
+                    parts.append((ids, x))
+                    continue
+                if parts:
+                    index = BlockIndex(*(np.concatenate(z) for z in zip(*parts)), k, dims, confidence, seed)
+                    parts = []
+                if index is not None:
+                    at, vec, score = index.search(ids, x)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), part.column("query").take(pa.array(at)), pa.array(vec), pa.array(score)],
+                                                     names=["query_id", "query", "vec_id", "score"])
+
+    found = dealt.mapInArrow(run, "query_id long, query long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

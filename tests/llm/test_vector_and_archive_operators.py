@@ -28,7 +28,7 @@ def test_nearest_recall_ties_and_broken_vectors(spark):
     x[100:160] = x[100]  # more equal vectors than k
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + BROKEN
     df = table(spark, rows)
-    got = ann.nearest(df, df.where("vec_id % 20 = 0"), k=20, block_rows=700, query_rows=64).collect()
+    got = ann.nearest(df, df.where("vec_id % 20 = 0"), k=20, block_rows=700).collect()
     by = {}
     for g in got:
         by.setdefault(g.query_id, []).append(g)
@@ -53,6 +53,23 @@ def test_nearest_with_few_rows(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_queries_that_repeat_an_id(spark, monkeypatch):
+    """Each of them has a ranking, and every block is indexed once, however many batches of queries pass."""
+    r = np.random.default_rng(2)
+    df = table(spark, [(i, v, 0) for i, v in enumerate(r.standard_normal((400, 6)).tolist())])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        asked = table(spark, [(3, [1.0] * 6, 0), (3, [-1.0] * 6, 0), (3, [-1.0] * 6, 0), (9, [2.0] * 6, 0)])
+        got = ann.nearest(df, asked, k=5, block_rows=100).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((g.query_id, g["rank"]) for g in got) == sorted([(3, i) for i in range(1, 6)] * 2 + [(9, i) for i in range(1, 6)])
+    x = np.array([row.embedding for row in df.orderBy("vec_id").collect()])
+    s = x @ np.ones(6)
+    s[9] = -np.inf
+    assert [g.vec_id for g in sorted(got, key=lambda g: g["rank"]) if g.query_id == 9] == np.argsort(-s)[:5].tolist()
+
+
 def test_chi_square_quantile():
     assert abs(ann.chi2_quantile(0.95, 2) - 5.991465) < 1e-5 and abs(ann.chi2_quantile(0.9, 8) - 13.361566) < 1e-5
 
