@@ -411,24 +411,6 @@ def test_toxicity_held_out(spark):
     assert nothing == 0 and toxicity.toxicity(d.limit(0), lab).count() == 0
 
 
-def test_toxicity_fit_is_the_optimum_over_all_features(spark, monkeypatch):
-    """A working set that grows by a few features ends where a fit to all of them does."""
-    r = random.Random(4)
-    text = lambda bad: " ".join(r.choice(["aha", "bbb", "cid", "dodo"] if r.random() < 0.8 else ["vile", "vilest", "x%d" % r.randrange(40)] if bad else ["nice", "y%d" % r.randrange(40)]) for _ in range(15))
-    docs = spark.createDataFrame([(i, text(i % 3 == 0)) for i in range(240)] + [(3, "another text of three")], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id long, toxic int")
-    models = []
-    for step in (3, 100_000):
-        monkeypatch.setattr(toxicity, "STEP_TERMS", step)
-        models.append(toxicity.fit(docs, labels, penalty=2e-3))
-    scores = [toxicity.toxicity(docs, labels, model=m).orderBy("doc_id", "text").toPandas() for m in models]
-    assert np.abs(scores[0].p_toxic - scores[1].p_toxic).max() < 0.05
-    assert (scores[0].rejected == (scores[0].doc_id % 3 == 0))[:-1].mean() > 0.97
-    assert any("vile" in t for t in models[0].weights)
-    again = toxicity.fit(docs, labels, penalty=2e-3)
-    assert again.weights == models[1].weights and again.thresholds == models[1].thresholds
-
-
 def plain_severity(model, text):
     """(expected grade, most probable grade, chance of a grade above 0) from the model's numbers, term by term."""
     words = re.findall(r"\w+", (text or "").lower())
