@@ -102,9 +102,9 @@ def _latest_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
     return max(done), m.buckets, m.edits
 
 
-def _write_version(tasks: DataFrame, path: str, version: int, buckets: int, edits: int) -> None:
+def _write_version(tasks: DataFrame, path: str, version: int, buckets: int, edits: int, dealt: bool = False) -> None:
     spark = tasks.sparkSession
-    write_bucketed(tasks, f"{path}/base={version}", "task_id", buckets)
+    write_bucketed(tasks, f"{path}/base={version}", "task_id", buckets, dealt)
     spark.createDataFrame([(buckets, edits)], "buckets int, edits int").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest={version}")
 
 
@@ -154,7 +154,7 @@ def compact_task_store(spark: SparkSession, path: str) -> int:
     """Writes the current tasks as the next version, of which edits so far are part; returns its number."""
     version, buckets, _ = _latest_version(spark, path)
     until = max(folder_numbers(spark, path, "edits"), default=-1) + 1
-    _write_version(_current(spark, path), path, version + 1, buckets, until)
+    _write_version(_current(spark, path), path, version + 1, buckets, until, dealt=True)
     return version + 1
 
 

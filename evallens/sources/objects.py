@@ -170,7 +170,7 @@ def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame)
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # dense in each writer's part, which holds whole slots
     rows = rows.withColumn("slot", _slot(F.col("key"), slots)).repartition(slots, "slot").withColumn("row", at + 1)
     write_bucketed(rows.select("slot", "row", "key", splitext_ext(F.col("key")).alias("ext"), "path", "length", "modificationTime", "deleted", "content"),
-                   f"{out}/landing={landing}", "slot", slots)
+                   f"{out}/landing={landing}", "slot", slots, dealt=True)
     numbers = [n for n in folder_numbers(spark, out, "landing") if n <= landing]
     slim = ("slot", "row", "key", "path", "modificationTime", "deleted", "landing")
     every = functools.reduce(DataFrame.unionByName, [_landing(spark, out, n).select(*slim) for n in numbers])
@@ -209,9 +209,8 @@ def land_changes(spark: SparkSession, out: str, listing: DataFrame, landing: int
     """S11 for what changed: makes the landed store equal to `listing` and returns the changes.
 
     `listing` (path, length, modificationTime, key; see `inventory_listing`) is compared
-    with what is landed; only new and changed objects are read, PATHS_PER_JOB at a time
-    so that the driver never names more, and deleted keys become rows without
-    content that hide the earlier ones.
+    with what is landed; only new and changed objects are read, and deleted keys
+    become rows without content that hide the earlier ones.
     """
     first = not _landings(spark, out)
     old = listing.limit(0) if first else landed_listing(spark, out)
@@ -242,7 +241,7 @@ def _live(spark: SparkSession, out: str, columns, slots: list[int] | None = None
     for i in numbers:
         rows = _landing(spark, out, i)
         bits = gone
-        if slots is not None:
+        if slots is not None and 2 * len(slots) <= n:
             rows, bits = rows.where(F.col("slot").isin(slots)), gone.where(F.col("slot").isin(slots))
         # one row per slot on the right: a hash table of one row, no sort of the objects
         rows = rows.join(bits.hint("shuffle_hash"), "slot", "left").where(~_marked(F.col("bits")))
