@@ -10,7 +10,6 @@ through `pyarrow.fs`, so any store it knows will do.
 from __future__ import annotations
 
 import hashlib
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from evallens.llm.common import stored
 from evallens.session import scratch_path
-from evallens.sources.paths import qualified
+from evallens.sources.paths import open_fs, qualified
 
 MAGIC = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -31,16 +30,6 @@ READ = 1 << 18
 MAX_TASKS = 100_000  # beyond it, tasks read several ranges
 
 
-def _open_fs(uri: str):
-    from pyarrow import fs
-
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), re.sub(r"^file:(//)?", "", uri)
-    if "://" not in uri:
-        raise ValueError(f"{uri}: a path needs its file system")
-    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
-
-
 def _member(lines: list[str], block: bytes, level: int) -> bytes:
     head = "WARC/1.1\r\n" + "".join(x + "\r\n" for x in lines) + f"Content-Length: {len(block)}\r\n\r\n"
     z = zlib.compressobj(level, zlib.DEFLATED, 31)
@@ -84,7 +73,7 @@ def write_warc(pages: DataFrame, out: str | None = None, date: str = "2020-01-01
     rows = rows.select("page_id", "url", "payload", "payload_digest", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, folder = _open_fs(out)
+        fs, folder = open_fs(out)
         fs.create_dir(folder, recursive=True)
         done, sink, name, n = [], None, "", 0
 
@@ -227,7 +216,7 @@ def read_warc(archives: DataFrame, split_bytes: int = 32 << 20, payloads: bool =
 
         for b in batches:
             for path, start in zip(b.column("path").to_pylist(), b.column("start").to_pylist()):
-                fs, name = _open_fs(path)
+                fs, name = open_fs(path)
                 with fs.open_input_file(name) as f:
                     src = _Source(f)
                     for at, h, block in records(src, start, min(start + split_bytes, src.size)):

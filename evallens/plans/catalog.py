@@ -7,8 +7,11 @@ full; the matching DuckDB SQL is in `evallens.plans.oracle`.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -358,39 +361,75 @@ QUERIES.update({
 
 from evallens.session import shared_dir  # noqa: E402,F401
 from evallens.sources import objects as objects_src  # noqa: E402
-from evallens.sources.paths import delete_path  # noqa: E402
+from evallens.sources.paths import delete_path, open_fs, qualified  # noqa: E402
 from evallens.streaming import ingest as ingest_st  # noqa: E402
 
-# Files written by Spark's text writer, one directory per key: key=<name>/part-*.txt
-KEY_DIR_PATTERN = r"/key=([^/]+)/[^/]*$"
+# Stored files: <folder>/key=<name>
+KEY_PATTERN = r"/key=([^/]+)$"
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"  # the name of the object that holds the rows without a key
+FILES_PER_FOLDER = 2_000
 
 
 def _stored_documents(spark, d):
-    """Documents written as files, one per key (the text writer adds a final newline)."""
+    """Documents written as files, one per key, with a newline at the end."""
     store = scratch_path(spark, "store")
     docs = fx.file_bytes(spark, d).select("key", F.col("content").cast("string").alias("value"))
     return _written(docs, store)
 
 
 def _written(docs, store):
-    """(key, value) rows as files, one folder per key."""
-    # many small folders: each task moves its own to their place, not the driver all of them
-    docs.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, "key").write.option(
-        "mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("key").text(store)
+    """(key, value) rows as files, one per key, whose values are its lines.
+
+    Files lie in folders by a hash of their key.  A task streams each to a hidden name
+    and moves it to its place when it is whole, so a repeated task changes nothing.
+    """
+    spark = docs.sparkSession
+    store = qualified(spark, store)
+    fs, top = open_fs(store)
+    fs.create_dir(top, recursive=True)
+    folders = max(4 * spark.sparkContext.defaultParallelism, -(-docs.count() // FILES_PER_FOLDER))
+    rows = docs.select(F.coalesce(F.nullif("key", F.lit("")), F.lit(NO_KEY)).alias("key"), F.coalesce("value", F.lit("")).cast("binary").alias("value"))
+    rows = rows.withColumn("folder", F.pmod(F.xxhash64("key"), F.lit(folders)))
+    rows = rows.repartition(folders, "folder").sortWithinPartitions("folder", "key", "value")
+
+    def write(batches):
+        fs, top = open_fs(store)
+        at, sink, hidden, done = None, None, "", 0
+
+        def close():
+            sink.close()
+            fs.move(hidden, f"{top}/{at[0]}/key={quote(at[1], safe='')}")
+
+        for b in batches:
+            for folder, key, value in zip(b.column("folder").to_pylist(), b.column("key").to_pylist(), b.column("value")):
+                if (folder, key) != at:
+                    if sink is not None:
+                        close()
+                    if at is None or folder != at[0]:
+                        fs.create_dir(f"{top}/{folder}", recursive=True)
+                    at, hidden, done = (folder, key), f"{top}/{folder}/.{uuid.uuid4().hex}", done + 1
+                    sink = fs.open_output_stream(hidden, compression=None)
+                sink.write(value.as_buffer())
+                sink.write(b"\n")
+        if sink is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([done])], names=["files"])
+
+    rows.mapInArrow(write, "files long").agg(F.sum("files")).collect()
     return store
 
 
 def object_listing(spark, d):
     """S8 over a store derived from `documents`."""
     store = _stored_documents(spark, d)
-    return objects_src.list_objects(spark, store, key_pattern=KEY_DIR_PATTERN).select("key", "length")
+    return objects_src.list_objects(spark, store, key_pattern=KEY_PATTERN).select("key", "length")
 
 
 def objects_landed(spark, d):
     """S8 + S9 + S11 + extraction: store -> landed table (by ext) -> text."""
     store = _stored_documents(spark, d)
     out = scratch_path(spark, "landed")
-    objects_src.land_objects(spark, store, out, key_pattern=KEY_DIR_PATTERN)
+    objects_src.land_objects(spark, store, out, key_pattern=KEY_PATTERN)
     landed = objects_src.read_landed(spark, out)
     return extract_op.extract_text(landed, python_formats=()).select("key", "ext", "text", "status")
 
@@ -551,14 +590,14 @@ def objects_fetched(spark, d):
     """The content of the wanted keys."""
     store = _stored_documents(spark, d)
     wanted = fx.file_bytes(spark, d).where(F.col("key").rlike(r"[05]\.(txt|py)$")).select("key")
-    got = objects_src.fetch_objects(spark, store, wanted, key_pattern=KEY_DIR_PATTERN)
+    got = objects_src.fetch_objects(spark, store, wanted, key_pattern=KEY_PATTERN)
     return got.select("key", F.col("content").cast("string").alias("text"))
 
 
 def objects_fetched_landed(spark, d):
     """S9 on a landed store: only the slots of the wanted keys are read."""
     out = scratch_path(spark, "landed")
-    objects_src.land_objects(spark, _stored_documents(spark, d), out, key_pattern=KEY_DIR_PATTERN, slot_bytes=1 << 14)
+    objects_src.land_objects(spark, _stored_documents(spark, d), out, key_pattern=KEY_PATTERN, slot_bytes=1 << 14)
     wanted = fx.file_bytes(spark, d).where(F.col("key").rlike(r"^[0-9]*77\.")).select("key")
     return objects_src.fetch_landed(spark, out, wanted).select("key", F.col("content").cast("string").alias("text"))
 
@@ -570,13 +609,13 @@ def objects_landed_delta(spark, d):
     first = _written(docs.where(m != 3), scratch_path(spark, "store"))
     later = docs.where(m.isin(1, 3)).withColumn("value", F.concat("value", F.lit(" (again)")))
     later = _written(later, scratch_path(spark, "store"))
-    old, new = (objects_src.list_objects(spark, s, key_pattern=KEY_DIR_PATTERN) for s in (first, later))
+    old, new = (objects_src.list_objects(spark, s, key_pattern=KEY_PATTERN) for s in (first, later))
     inventories = [old, old.where(~m.isin(1, 2)).unionByName(new)]
     out = scratch_path(spark, "landed")
     for i, inventory in enumerate(inventories):
         path = scratch_path(spark, "inventory")
         inventory.select(F.col("path").alias("object"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified")).write.parquet(path)
-        listing = objects_src.inventory_listing(spark.read.parquet(path), "object", "size", "last_modified", key_pattern=KEY_DIR_PATTERN)
+        listing = objects_src.inventory_listing(spark.read.parquet(path), "object", "size", "last_modified", key_pattern=KEY_PATTERN)
         objects_src.land_changes(spark, out, listing, landing=i)
     landed = objects_src.read_landed(spark, out)
     return landed.select("key", "ext", "length", F.col("content").cast("string").alias("text"))

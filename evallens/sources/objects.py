@@ -20,18 +20,20 @@ written last; a landing counts once it is there.
 from __future__ import annotations
 
 import functools
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evallens.functions.text import last_segment, splitext_ext
-from evallens.session import scratch_path
+from evallens.session import scratch_path, settings
 from evallens.sources.buckets import read_bucketed, write_bucketed
 from evallens.sources.paths import folder_numbers, path_exists
 
 LISTING = ("path", "length", "modificationTime", "key")
 SLOT_BYTES = 256 << 20
 MAX_SLOTS = 1 << 16
+OPEN_BYTES = 64 << 10  # what opening an object counts as, when objects are dealt to tasks by their bytes
 PATHS_PER_JOB = 20_000  # paths the driver names at a time when it reads a part of a store
 
 
@@ -46,6 +48,20 @@ def _reader(spark: SparkSession, glob: str | None):
     return r.option("pathGlobFilter", glob) if glob else r
 
 
+@contextmanager
+def _dealt(spark: SparkSession, metadata: bool = False):
+    """Many small objects a task, for listings and reads planned meanwhile; by their number if only `metadata` is read.
+
+    By Spark's defaults a task lists a folder or two and reads at most 32 objects.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    values = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": tasks, "spark.sql.files.openCostInBytes": OPEN_BYTES}
+    if metadata:
+        values["spark.sql.files.maxPartitionNum"] = tasks
+    with settings(spark, {k: str(v) for k, v in values.items()}):
+        yield
+
+
 def list_objects(spark: SparkSession, uri: str, key_pattern: str | None = None,
                  glob: str | None = None) -> DataFrame:
     """(path, key, length, modificationTime) of every file below `uri`.
@@ -53,9 +69,11 @@ def list_objects(spark: SparkSession, uri: str, key_pattern: str | None = None,
     Only metadata is selected, so `content` is pruned from the scan and no file
     body is read.  Unlike the reference's single listing call, every object is
     listed.  Hidden files (names starting with `.` or `_`) are skipped by the reader.
+    The listing is stored in the shared folder, when this is called.
     """
-    df = _reader(spark, glob).load(uri).select("path", "length", "modificationTime")
-    return df.withColumn("key", _key(F.col("path"), key_pattern))
+    with _dealt(spark, metadata=True):
+        df = _reader(spark, glob).load(uri).select("path", "length", "modificationTime")
+        return _stored(df.withColumn("key", _key(F.col("path"), key_pattern)), "objects-listed")
 
 
 def fetch_objects(spark: SparkSession, uri: str, wanted: DataFrame | None = None,

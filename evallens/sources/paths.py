@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -10,6 +12,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def open_fs(uri: str):
+    """(file system, path in it) of a qualified path, for tasks that open files themselves (`pyarrow.fs`)."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), re.sub(r"^file:(//)?", "", uri)
+    if "://" not in uri:
+        raise ValueError(f"{uri}: a path needs its file system")
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """False only if there is nothing there; any other fault is raised."""
     fs, p = _fs(spark, path)

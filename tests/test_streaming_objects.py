@@ -230,3 +230,47 @@ def test_backfill_writes_with_all_partitions(spark, monkeypatch):
     got = spark.read.parquet(paths["backfill-sink"]).where("evaluation_id is not null").groupBy("batch")
     first = [r.first for r in got.agg({"evaluation_timestamp": "min"}).toDF("batch", "first").orderBy("batch").collect()]
     assert n and len(first) >= 3 and first[0] > min(first)
+
+
+@pytest.fixture(scope="module")
+def many_files(tmp_path_factory):
+    """3,000 small objects in 40 folders."""
+    return _store(str(tmp_path_factory.mktemp("many")), {f"{i % 40}/{i}.txt": b"%d" % i for i in range(3_000)})
+
+
+def _most_tasks(spark, run):
+    """The most tasks that a stage had while `run` ran, and its result."""
+    sc, group = spark.sparkContext, os.urandom(8).hex()
+    sc.setJobGroup(group, "")
+    try:
+        out = run()
+        tracker = sc.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+        return max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds if tracker.getStageInfo(s)), out
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_stored_files_share_folders(spark, tmp_dir):
+    """A file per key, whose values are its lines; no folder per key."""
+    from evallens.plans import catalog
+
+    rows = [(f"{i}.txt", f"text {i}") for i in range(100)] + [("5.txt", "again"), (None, "none"), ("", "empty"), ("a/b.py", "ü"), ("n.txt", None)]
+    docs = spark.createDataFrame(rows, "key string, value string").repartition(7)
+    store = catalog._written(docs, os.path.join(tmp_dir, "store")).removeprefix("file:")
+    folders = [(d, names) for d, _, names in os.walk(store) if d != store]
+    assert len(folders) <= 4 * spark.sparkContext.defaultParallelism
+    assert sum(len(names) for _, names in folders) == 103 and all(n.startswith("key=") for _, names in folders for n in names)
+    got = _contents(objects_src.fetch_objects(spark, store, key_pattern=catalog.KEY_PATTERN))
+    want = {f"{i}.txt": f"text {i}\n".encode() for i in range(100)}
+    assert got == want | {"5.txt": b"again\ntext 5\n", catalog.NO_KEY: b"empty\nnone\n", "a%2Fb.py": "ü\n".encode(), "n.txt": b"\n"}
+    empty = catalog._written(docs.limit(0), os.path.join(tmp_dir, "none"))
+    assert objects_src.list_objects(spark, empty, key_pattern=catalog.KEY_PATTERN).count() == 0
+
+
+def test_listing_deals_many_objects_a_task(spark, many_files):
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    listing = objects_src.list_objects(spark, many_files)
+    assert listing.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert {(r.key, r.length) for r in listing.collect()} == {(f"{i}.txt", len(str(i))) for i in range(3_000)}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
