@@ -105,8 +105,9 @@ def _read_paths(listing: DataFrame) -> DataFrame:
         rows = wanted.where(part == i)
         paths = [r.path for r in rows.select("path").distinct().collect()]
         if paths:
-            files = spark.read.format("binaryFile").load(paths).select("path", "content")
-            files.join(F.broadcast(rows), "path").select(*LISTING, "content").write.mode("append").parquet(staged)
+            with _dealt(spark):
+                files = spark.read.format("binaryFile").load(paths).select("path", "content")
+                files.join(F.broadcast(rows), "path").select(*LISTING, "content").write.mode("append").parquet(staged)
     out = spark.read.parquet(staged)
     if out.count() != total:
         raise ValueError(f"{total - out.count()} of {total} listed paths name no file as Spark writes its path")

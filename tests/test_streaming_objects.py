@@ -274,3 +274,11 @@ def test_listing_deals_many_objects_a_task(spark, many_files):
     assert listing.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
     assert {(r.key, r.length) for r in listing.collect()} == {(f"{i}.txt", len(str(i))) for i in range(3_000)}
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_fetch_deals_many_objects_a_task(spark, many_files):
+    keys = [f"{i}.txt" for i in range(3_000) if i % 10]
+    wanted = spark.createDataFrame([(k,) for k in keys], "key string")
+    tasks, got = _most_tasks(spark, lambda: _contents(objects_src.fetch_objects(spark, many_files, wanted)))
+    assert tasks <= 4 * spark.sparkContext.defaultParallelism
+    assert got == {k: k.split(".")[0].encode() for k in keys}
