@@ -282,3 +282,10 @@ def test_fetch_deals_many_objects_a_task(spark, many_files):
     tasks, got = _most_tasks(spark, lambda: _contents(objects_src.fetch_objects(spark, many_files, wanted)))
     assert tasks <= 4 * spark.sparkContext.defaultParallelism
     assert got == {k: k.split(".")[0].encode() for k in keys}
+
+
+def test_landing_deals_many_objects_a_task(spark, many_files, tmp_dir):
+    out = os.path.join(tmp_dir, "landed")
+    tasks, _ = _most_tasks(spark, lambda: objects_src.land_objects(spark, many_files, out))
+    assert tasks <= 4 * spark.sparkContext.defaultParallelism
+    assert _contents(objects_src.read_landed(spark, out)) == {f"{i}.txt": b"%d" % i for i in range(3_000)}
