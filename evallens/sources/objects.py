@@ -7,7 +7,7 @@ flat), or a regex group over the path.
 
 A landed store is a folder:
 
-    slots/       the number of slots, fixed by the first landing
+    slots/       the numbers of slots and of the files that hold them, fixed by the first landing
     landing=N/   the objects of one landing, bucketed by slot (a hash of the key)
     gone=N/      after landing N: per slot, bitmaps of the rows that later objects
                  or deletions supersede, by landing
@@ -33,6 +33,8 @@ from evallens.sources.paths import folder_numbers, path_exists
 LISTING = ("path", "length", "modificationTime", "key")
 SLOT_BYTES = 256 << 20
 MAX_SLOTS = 1 << 16
+FEW_FILES = 256  # slots share files beyond so many, as long as files would be smaller than FILE_BYTES
+FILE_BYTES = 4 << 20
 OPEN_BYTES = 64 << 10  # what opening an object counts as, when objects are dealt to tasks by their bytes
 PATHS_PER_JOB = 20_000  # paths the driver names at a time when it reads a part of a store
 
@@ -158,15 +160,18 @@ COLUMNS = "slot int, row long, key string, ext string, path string, length long,
 GONE = "slot int, bits map<struct<landing:int,chunk:long>,binary>"
 
 
-def _bucketed(spark: SparkSession, path: str, columns: str, slots: int) -> DataFrame:
-    return read_bucketed(spark, path, columns, "slot", slots)
+def _bucketed(spark: SparkSession, path: str, columns: str, files: int) -> DataFrame:
+    return read_bucketed(spark, path, columns, "slot", files)
 
 
-def _slots(spark: SparkSession, out: str, total_bytes: int | None = None, slot_bytes: int = SLOT_BYTES) -> int:
+def _layout(spark: SparkSession, out: str, total_bytes: int | None = None, slot_bytes: int = SLOT_BYTES) -> tuple[int, int]:
+    """The numbers of slots and of files; a file holds whole slots, one if it is not too small for that."""
     if total_bytes is not None and not path_exists(spark, f"{out}/slots/_SUCCESS"):
         n = min(MAX_SLOTS, max(spark.sparkContext.defaultParallelism, -(-total_bytes // slot_bytes)))
-        spark.range(n, n + 1).coalesce(1).write.mode("overwrite").parquet(f"{out}/slots")
-    return spark.read.parquet(f"{out}/slots").first()[0]
+        files = min(n, max(FEW_FILES, -(-total_bytes // FILE_BYTES)))
+        spark.range(n, n + 1).coalesce(1).withColumn("files", F.lit(files)).write.mode("overwrite").parquet(f"{out}/slots")
+    row = spark.read.parquet(f"{out}/slots").first()
+    return row[0], row[1] if len(row) > 1 else row[0]  # a store of an older form has a file per slot
 
 
 def _slot(key: F.Column, slots: int) -> F.Column:
@@ -174,7 +179,7 @@ def _slot(key: F.Column, slots: int) -> F.Column:
 
 
 def _landing(spark: SparkSession, out: str, n: int) -> DataFrame:
-    return _bucketed(spark, f"{out}/landing={n}", COLUMNS, _slots(spark, out)).withColumn("landing", F.lit(n))
+    return _bucketed(spark, f"{out}/landing={n}", COLUMNS, _layout(spark, out)[1]).withColumn("landing", F.lit(n))
 
 
 def _landings(spark: SparkSession, out: str) -> list[int]:
@@ -185,11 +190,11 @@ def _landings(spark: SparkSession, out: str) -> list[int]:
 
 def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame) -> None:
     """Objects (path, key, length, modificationTime, deleted, content) -> landing and bitmaps."""
-    slots = _slots(spark, out)
+    slots, files = _layout(spark, out)
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # dense in each writer's part, which holds whole slots
-    rows = rows.withColumn("slot", _slot(F.col("key"), slots)).repartition(slots, "slot").withColumn("row", at + 1)
+    rows = rows.withColumn("slot", _slot(F.col("key"), slots)).repartition(files, "slot").withColumn("row", at + 1)
     write_bucketed(rows.select("slot", "row", "key", splitext_ext(F.col("key")).alias("ext"), "path", "length", "modificationTime", "deleted", "content"),
-                   f"{out}/landing={landing}", "slot", slots, dealt=True)
+                   f"{out}/landing={landing}", "slot", files, dealt=True)
     numbers = [n for n in folder_numbers(spark, out, "landing") if n <= landing]
     slim = ("slot", "row", "key", "path", "modificationTime", "deleted", "landing")
     every = functools.reduce(DataFrame.unionByName, [_landing(spark, out, n).select(*slim) for n in numbers])
@@ -198,7 +203,7 @@ def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame)
     bits = gone.groupBy("slot", "landing", F.bitmap_bucket_number("row").alias("chunk")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits"))
     bits = bits.groupBy("slot").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("landing", "chunk"), "bits"))).alias("bits"))
-    write_bucketed(bits, f"{out}/gone={landing}", "slot", slots)
+    write_bucketed(bits, f"{out}/gone={landing}", "slot", files)
 
 
 def land_objects(spark: SparkSession, uri: str, out: str, key_pattern: str | None = None,
@@ -215,7 +220,7 @@ def land_objects(spark: SparkSession, uri: str, out: str, key_pattern: str | Non
     with _dealt(spark, metadata=True):
         store = _reader(spark, glob).load(uri)
         total = store.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    _slots(spark, out, total, slot_bytes)
+    _layout(spark, out, total, slot_bytes)
     key = _key(F.col("path"), key_pattern)
     with _dealt(spark):
         _write_landing(spark, out, landing, store.select("path", key.alias("key"), "length", "modificationTime", F.lit(False).alias("deleted"), "content"))
@@ -236,7 +241,7 @@ def land_changes(spark: SparkSession, out: str, listing: DataFrame, landing: int
     first = not _landings(spark, out)
     old = listing.limit(0) if first else landed_listing(spark, out)
     if first:
-        _slots(spark, out, listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0], slot_bytes)
+        _layout(spark, out, listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0], slot_bytes)
     changes = _stored(inventory_changes(old, listing), "inventory-changes")
     wanted = changes.where("change != 'deleted'")
     objects = _read_paths(wanted.select(*LISTING)).withColumn("deleted", F.lit(False))
@@ -256,8 +261,8 @@ def _marked(bits: F.Column) -> F.Column:
 
 def _live(spark: SparkSession, out: str, columns, slots: list[int] | None = None, wanted: DataFrame | None = None) -> DataFrame:
     """Columns of the rows that count, optionally of some slots and of the keys `wanted` (slot, keys) names."""
-    numbers, n = _landings(spark, out), _slots(spark, out)
-    gone = _bucketed(spark, f"{out}/gone={max(numbers)}", GONE, n)
+    numbers, (n, files) = _landings(spark, out), _layout(spark, out)
+    gone = _bucketed(spark, f"{out}/gone={max(numbers)}", GONE, files)
     parts = []
     for i in numbers:
         rows = _landing(spark, out, i)
@@ -286,11 +291,11 @@ def fetch_landed(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame
     Their slots, at most as many as the store has, become a filter that leaves other
     slots' files unread; what is read meets the wanted keys slot by slot.
     """
-    n = _slots(spark, path)
+    n, files = _layout(spark, path)
     keys = wanted.where(F.col("key").isNotNull()).select(_slot(F.col("key"), n).alias("slot"), "key")
     keys = keys.groupBy("slot").agg(F.collect_set("key").alias("keys"))
     folder = scratch_path(spark, "fetch-keys")
-    write_bucketed(keys, folder, "slot", n)
-    keys = _bucketed(spark, folder, "slot int, keys array<string>", n)
+    write_bucketed(keys, folder, "slot", files)
+    keys = _bucketed(spark, folder, "slot int, keys array<string>", files)
     slots = [r.slot for r in keys.select("slot").collect()]
     return _live(spark, path, ("key", "content"), slots, keys)

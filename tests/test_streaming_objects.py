@@ -289,3 +289,27 @@ def test_landing_deals_many_objects_a_task(spark, many_files, tmp_dir):
     tasks, _ = _most_tasks(spark, lambda: objects_src.land_objects(spark, many_files, out))
     assert tasks <= 4 * spark.sparkContext.defaultParallelism
     assert _contents(objects_src.read_landed(spark, out)) == {f"{i}.txt": b"%d" % i for i in range(3_000)}
+
+
+def test_small_slots_share_files(spark, tmp_dir):
+    """More slots than files: landings, deletions and fetches find the rows that count."""
+    out, store = os.path.join(tmp_dir, "landed"), os.path.join(tmp_dir, "store")
+    files = {f"{i}.bin": os.urandom(500) for i in range(700)}
+    objects_src.land_objects(spark, _store(store, files), out, slot_bytes=100)
+    assert objects_src._layout(spark, out) == (3500, objects_src.FEW_FILES)
+    assert len(spark.read.parquet(f"{out}/landing=0").inputFiles()) <= objects_src.FEW_FILES
+    later = {f"{i}.bin": os.urandom(400) for i in range(600, 800)}
+    _store(store, later)
+    for i in range(50):
+        os.remove(os.path.join(store, f"{i}.bin"))
+    objects_src.land_changes(spark, out, objects_src.list_objects(spark, store), 1)
+    want = {k: v for k, v in (files | later).items() if int(k.split(".")[0]) >= 50}
+    assert _contents(objects_src.read_landed(spark, out)) == want
+    wanted = spark.createDataFrame([("7.bin",), ("88.bin",), ("650.bin",), ("799.bin",), ("nowhere",), (None,)], "key string")
+    df = objects_src.fetch_landed(spark, out, wanted)
+    assert _contents(df) == {k: want[k] for k in ("88.bin", "650.bin", "799.bin")}
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert all(int(picked) <= 5 for picked in re.findall(r"SelectedBucketsCount: (\d+) out of 256", plan)) and "out of 256" in plan
+    # a store whose slots have a file each says nothing of files
+    spark.range(200, 201).coalesce(1).write.parquet(os.path.join(tmp_dir, "older", "slots"))
+    assert objects_src._layout(spark, os.path.join(tmp_dir, "older")) == (200, 200)
