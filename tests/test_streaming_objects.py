@@ -313,3 +313,12 @@ def test_small_slots_share_files(spark, tmp_dir):
     # a store whose slots have a file each says nothing of files
     spark.range(200, 201).coalesce(1).write.parquet(os.path.join(tmp_dir, "older", "slots"))
     assert objects_src._layout(spark, os.path.join(tmp_dir, "older")) == (200, 200)
+
+
+def test_changes_deal_many_objects_a_task(spark, many_files, tmp_dir):
+    out, listing = os.path.join(tmp_dir, "landed"), objects_src.list_objects(spark, many_files)
+    for n, part in enumerate((listing.where("key not like '%7.txt'"), listing.where("key not like '%3.txt'"))):
+        tasks, changes = _most_tasks(spark, lambda: {(r.key, r.change) for r in objects_src.land_changes(spark, out, part, n).collect()})
+        assert tasks <= 4 * spark.sparkContext.defaultParallelism
+    assert changes == {(f"{i}.txt", "new" if i % 10 == 7 else "deleted") for i in range(3_000) if i % 10 in (3, 7)}
+    assert _contents(objects_src.read_landed(spark, out)) == {f"{i}.txt": b"%d" % i for i in range(3_000) if i % 10 != 3}
