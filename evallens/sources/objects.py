@@ -1,8 +1,10 @@
 """Object store: listing (S8), fetch (S9) and landing.
 
 The store is any path Hadoop can read (local, HDFS, S3 through its connector,
-with the caller's configuration); Spark's `binaryFile` source reads it.  Keys are
-object names: by default the last path segment (the reference's bucket is
+with the caller's configuration).  The driver never holds the files of a store:
+`file:` paths (a disk or a mount that all machines see) are listed and read by
+tasks, others by Spark's `binaryFile` source, a part of the store at a time.
+Keys are object names: by default the last path segment (the reference's bucket is
 flat), or a regex group over the path.
 
 A landed store is a folder:
@@ -19,24 +21,29 @@ written last; a landing counts once it is there.
 
 from __future__ import annotations
 
+import errno
 import functools
+import os
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evallens.functions.text import last_segment, splitext_ext
 from evallens.session import scratch_path, settings
 from evallens.sources.buckets import read_bucketed, write_bucketed
-from evallens.sources.paths import folder_numbers, path_exists
+from evallens.sources.paths import file_system, folder_numbers, hidden_name, literal_path, path_exists, roots
 
 LISTING = ("path", "length", "modificationTime", "key")
+ENTRY = "path string, length long, modified long, folder boolean"  # `modified` in milliseconds
+ENTRIES_PER_TASK = 10_000  # a task that has listed so many entries leaves the folders it finds to the next round
 SLOT_BYTES = 256 << 20
 MAX_SLOTS = 1 << 16
 FEW_FILES = 256  # slots share files beyond so many, as long as files would be smaller than FILE_BYTES
 FILE_BYTES = 4 << 20
 OPEN_BYTES = 64 << 10  # what opening an object counts as, when objects are dealt to tasks by their bytes
-PATHS_PER_JOB = 20_000  # paths the driver names at a time when it reads a part of a store
+PATHS_PER_JOB = 20_000  # paths the driver names at a time when Spark's source lists or reads a part of a store
 
 
 def _key(path: F.Column, key_pattern: str | None) -> F.Column:
@@ -64,18 +71,123 @@ def _dealt(spark: SparkSession, metadata: bool = False):
         yield
 
 
+def _listed(batches):
+    """Local folders -> ENTRY rows: their files and those below; of folders, the ones that are not listed here."""
+    seen, rows = 0, []
+
+    def batch():
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.bool_()))], names=["path", "length", "modified", "folder"])
+        rows.clear()
+        return out
+
+    for given in (p for b in batches for p in b.column("path").to_pylist()):
+        below = [given]
+        while below:
+            folder = below.pop()
+            if folder != given and seen >= ENTRIES_PER_TASK:
+                rows.append((folder, None, None, True))
+                continue
+            try:
+                entries = os.scandir(folder.removeprefix("file:"))
+            except FileNotFoundError:  # deleted meanwhile, as below; Spark's listings pass over both
+                continue
+            with entries:
+                for e in entries:
+                    path = f"{folder.rstrip('/')}/{e.name}"
+                    try:
+                        is_folder = e.is_dir()
+                        if hidden_name(e.name, is_folder):
+                            continue
+                        stat = e.stat()
+                    except OSError as x:
+                        if x.errno not in (errno.ENOENT, errno.ELOOP):
+                            raise
+                        continue
+                    seen += 1
+                    if not is_folder:
+                        rows.append((path, stat.st_size, stat.st_mtime_ns // 1_000_000, False))
+                    elif seen < ENTRIES_PER_TASK:
+                        below.append(path)
+                    else:
+                        rows.append((path, None, None, True))
+                    if len(rows) >= ENTRIES_PER_TASK:
+                        yield batch()
+    if rows:
+        yield batch()
+
+
+def _list_in_tasks(spark: SparkSession, folders: list[str], out: str) -> None:
+    """The files below local folders, in rounds: each lists the folders that the one before it found and left."""
+    tasks, todo, i = 4 * spark.sparkContext.defaultParallelism, spark.createDataFrame([(p,) for p in folders], "path string"), 0
+    while n := todo.count():
+        todo.repartition(min(n, tasks), "path").mapInArrow(_listed, ENTRY).write.parquet(f"{out}/round={i}")
+        todo, i = spark.read.schema(ENTRY).parquet(f"{out}/round={i}").where("folder").select("path"), i + 1
+
+
+def _list_in_parts(spark: SparkSession, folders: list[str], out: str) -> None:
+    """The files below folders of other file systems, by Spark's listing of PATHS_PER_JOB or so at a time.
+
+    The driver holds the names of folders and the files of one part.
+    """
+    fs, path = file_system(spark, folders[0])
+    todo, part, size, named = list(folders), [], 0, []
+    at = lambda: f"{out}/part={len(folder_numbers(spark, out, 'part'))}"
+
+    def listed():
+        if part:
+            with _dealt(spark, metadata=True):
+                df = _reader(spark, None).load([literal_path(p) for p in part])
+                df.select("path", "length", F.unix_millis("modificationTime").alias("modified"), F.lit(False).alias("folder")).write.parquet(at())
+            part.clear()
+
+    def written():
+        if named:
+            spark.createDataFrame(named, ENTRY).write.parquet(at())
+            named.clear()
+
+    while todo:
+        folder = todo.pop()
+        files = fs.getContentSummary(path(folder)).getFileCount()
+        if files <= PATHS_PER_JOB:
+            if part and size + files > PATHS_PER_JOB:
+                listed()
+            size = size + files if part else files
+            part.append(folder)
+            continue
+        entries = fs.listStatusIterator(path(folder))
+        while entries.hasNext():
+            e = entries.next()
+            if hidden_name(e.getPath().getName(), e.isDirectory()):
+                continue
+            if e.isDirectory():
+                todo.append(e.getPath().toString())
+            else:
+                named.append((e.getPath().toString(), e.getLen(), e.getModificationTime(), False))
+                if len(named) >= PATHS_PER_JOB:
+                    written()
+    listed()
+    written()
+
+
 def list_objects(spark: SparkSession, uri: str, key_pattern: str | None = None,
                  glob: str | None = None) -> DataFrame:
     """(path, key, length, modificationTime) of every file below `uri`.
 
-    Only metadata is selected, so `content` is pruned from the scan and no file
-    body is read.  Unlike the reference's single listing call, every object is
-    listed.  Hidden files (names starting with `.` or `_`) are skipped by the reader.
-    The listing is stored in the shared folder, when this is called.
+    No file body is read.  Unlike the reference's single listing call, every object is
+    listed.  Hidden files (names starting with `.` or `_`) and files of no bytes are
+    skipped, as by Spark's readers.
+    The listing is stored in the shared folder, when this is called, by the tasks that make it.
     """
-    with _dealt(spark, metadata=True):
-        df = _reader(spark, glob).load(uri).select("path", "length", "modificationTime")
-        return _stored(df.withColumn("key", _key(F.col("path"), key_pattern)), "objects-listed")
+    out, found = scratch_path(spark, "objects-listed"), roots(spark, uri)
+    files = [(p, n, at, False) for p, n, at, folder in found if not folder and not hidden_name(p.rsplit("/", 1)[-1], False)]
+    spark.createDataFrame(files, ENTRY).write.parquet(f"{out}/roots=0")
+    if folders := [p for p, _, _, folder in found if folder]:
+        (_list_in_tasks if folders[0].startswith("file:/") else _list_in_parts)(spark, folders, out)
+    df = spark.read.schema(ENTRY).option("recursiveFileLookup", True).parquet(out).where("NOT folder AND length > 0")
+    if glob is not None:
+        name = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+        df = df.where(last_segment(F.col("path")).rlike(rf"(?s)\A(?:{name})\z"))
+    return df.select("path", "length", F.timestamp_millis("modified").alias("modificationTime"), _key(F.col("path"), key_pattern).alias("key"))
 
 
 def fetch_objects(spark: SparkSession, uri: str, wanted: DataFrame | None = None,
@@ -93,7 +205,7 @@ def fetch_objects(spark: SparkSession, uri: str, wanted: DataFrame | None = None
 
 
 def _read_paths(listing: DataFrame) -> DataFrame:
-    """The listing's rows with their files' content, stored; other files are not opened.
+    """The listing's rows with their files' content, read by Spark's source and stored; other files are not opened.
 
     The driver names the files, PATHS_PER_JOB or so at a time, and the rows of as many
     are broadcast to their bytes.  A file that cannot be found raises an error.
@@ -108,7 +220,7 @@ def _read_paths(listing: DataFrame) -> DataFrame:
         paths = [r.path for r in rows.select("path").distinct().collect()]
         if paths:
             with _dealt(spark):
-                files = spark.read.format("binaryFile").load(paths).select("path", "content")
+                files = spark.read.format("binaryFile").load([literal_path(p) for p in paths]).select("path", "content")
                 files.join(F.broadcast(rows), "path").select(*LISTING, "content").write.mode("append").parquet(staged)
     out = spark.read.parquet(staged)
     if out.count() != total:

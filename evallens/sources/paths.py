@@ -4,14 +4,48 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+PATTERN_CHARS = r"[{}\[\]*?\\]"
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of `path`, and Hadoop's class of paths."""
+    return _fs(spark, path)[0], spark._jvm.org.apache.hadoop.fs.Path
+
+
+def literal_path(path: str) -> str:
+    """`path` for Spark's readers, which take names as patterns."""
+    return re.sub(f"({PATTERN_CHARS})", r"\\\1", path)
+
+
+def hidden_name(name: str, folder: bool) -> bool:
+    """Whether Spark's readers pass over a file or a folder of this name."""
+    hidden = name.startswith(".") or (name.startswith("_") and "=" not in name)
+    if hidden and not folder:
+        return True
+    return (hidden or name.endswith("._COPYING_")) and not name.startswith(("_common_metadata", "_metadata"))
+
+
+def roots(spark: SparkSession, uri: str) -> list[tuple[str, int, int, bool]]:
+    """(path, length, modified, whether it is a folder) of what `uri`, which may be a pattern, names; as Spark writes paths."""
+    fs, p = _fs(spark, uri)
+    p = fs.makeQualified(p)
+    if re.search(PATTERN_CHARS, uri):
+        found = list(fs.globStatus(p) or ())
+    else:
+        found = [fs.getFileStatus(p)] if fs.exists(p) else []
+    if not found:
+        raise AnalysisException(f"[PATH_NOT_FOUND] Path does not exist: {p.toString()}.")
+    return [(f.getPath().toString(), f.getLen(), f.getModificationTime(), f.isDirectory()) for f in found]
+
+
 def open_fs(uri: str):
     """(file system, path in it) of a qualified path, for tasks that open files themselves (`pyarrow.fs`)."""
     from pyarrow import fs

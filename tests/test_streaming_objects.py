@@ -322,3 +322,76 @@ def test_changes_deal_many_objects_a_task(spark, many_files, tmp_dir):
         assert tasks <= 4 * spark.sparkContext.defaultParallelism
     assert changes == {(f"{i}.txt", "new" if i % 10 == 7 else "deleted") for i in range(3_000) if i % 10 in (3, 7)}
     assert _contents(objects_src.read_landed(spark, out)) == {f"{i}.txt": b"%d" % i for i in range(3_000) if i % 10 != 3}
+
+
+def _rows(df):
+    return sorted((r.path, r.length, r.modificationTime) for r in df.select("path", "length", "modificationTime").collect())
+
+
+def _odd_store(folder):
+    """Nested folders, names that are patterns, hidden names, links."""
+    names = [f"d{i % 3}/e{i % 5}/f{i % 7}/{i}.txt" for i in range(60)] + ["a [1].txt", "d0/{x,y}*.txt", "d1/z=1%2F.csv", "_x=1/k.txt", "_metadata_/k.txt", "top.PY"]
+    hidden = ["_no/1.txt", "d0/.h/2.txt", "d2/.3.txt", "d2/_4.txt", "d2/5._COPYING_", "_metadata"]
+    _store(folder, {n: n.encode() for n in names + hidden} | {"d1/empty.txt": b""})
+    os.makedirs(os.path.join(folder, "none"))
+    os.symlink(os.path.join(folder, "d1"), os.path.join(folder, "linked"))
+    os.symlink(os.path.join(folder, "nowhere"), os.path.join(folder, "broken"))
+    return folder
+
+
+def _no_index(monkeypatch):
+    """Spark's own reader of files is not used."""
+    def fail(*_):
+        raise AssertionError("Spark lists the store, and the driver holds its files")
+
+    monkeypatch.setattr(objects_src, "_reader", fail)
+
+
+def test_listing_is_made_by_tasks(spark, tmp_dir, monkeypatch):
+    """The rows of Spark's own listing, without the driver's index of files; in one round or in several."""
+    store = _odd_store(os.path.join(tmp_dir, "store"))
+    want = {glob: _rows(objects_src._reader(spark, glob).load(store)) for glob in (None, "*.{txt,csv}", "[0-4]*")}
+    single = _rows(spark.read.format("binaryFile").load(os.path.join(store, "top.PY")))
+    _no_index(monkeypatch)
+    assert len(want[None]) > 80 and 0 < len(want["[0-4]*"]) < len(want["*.{txt,csv}"]) < len(want[None])
+    for most in (10_000, 3):
+        monkeypatch.setattr(objects_src, "ENTRIES_PER_TASK", most)
+        assert all(_rows(objects_src.list_objects(spark, store, glob=glob)) == rows for glob, rows in want.items())
+    assert _rows(objects_src.list_objects(spark, os.path.join(store, "top.PY"))) == single
+    some = {r.key for r in objects_src.list_objects(spark, os.path.join(store, "d[01]/e{0,1}")).collect()}
+    assert some == {f"{i}.txt" for i in range(60) if i % 3 < 2 and i % 5 < 2}
+    with pytest.raises(Exception, match="does not exist"):
+        objects_src.list_objects(spark, os.path.join(store, "absent"))
+    hidden = spark._jvm.org.apache.spark.util.HadoopFSUtils.shouldFilterOutPathName
+    for name in ("a", ".a", "_a", "_a=1", ".a=1", "a._COPYING_", "_metadata", "_common_metadata", "_metadata._COPYING_", "a_"):
+        assert objects_src.hidden_name(name, True) == hidden(name)
+
+
+def test_other_file_systems_are_listed_in_parts(spark, tmp_dir, monkeypatch):
+    """A path that only Hadoop can open: the same rows, a part of the store at a time."""
+    store = _odd_store(os.path.join(tmp_dir, "store"))
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.parts.link./in", f"file://{tmp_dir}")
+    want = [(p.replace(f"file:{tmp_dir}", "viewfs://parts/in"), n, at) for p, n, at in _rows(objects_src._reader(spark, None).load(store))]
+    for most in (20_000, 7):
+        monkeypatch.setattr(objects_src, "PATHS_PER_JOB", most)
+        assert _rows(objects_src.list_objects(spark, "viewfs://parts/in/store")) == want
+    # fetched and landed, too
+    keys = spark.createDataFrame([("a [1].txt",), ("{x,y}*.txt",), ("17.txt",)], "key string")
+    assert _contents(objects_src.fetch_objects(spark, "viewfs://parts/in/store", keys)) == {
+        "a [1].txt": b"a [1].txt", "{x,y}*.txt": b"d0/{x,y}*.txt", "17.txt": b"d2/e2/f3/17.txt"}
+    out = os.path.join(tmp_dir, "landed")
+    objects_src.land_objects(spark, "viewfs://parts/in/store", out)
+    assert _contents(objects_src.read_landed(spark, out)) == _odd_contents(want, "viewfs://parts/in/store/")
+    # of an inventory that names files of both kinds, none is left out
+    both = objects_src.list_objects(spark, "viewfs://parts/in/store").where("key like '%7.txt'").unionByName(
+        objects_src.list_objects(spark, store).where("key like '%8.txt'"))
+    objects_src.land_changes(spark, out, both, 1)
+    assert set(_contents(objects_src.read_landed(spark, out))) == {f"{i}.txt" for i in range(60) if i % 10 in (7, 8)}
+
+
+def _odd_contents(rows, top):
+    """What the store's keys hold: the latest file's name below the store, then the greatest path's."""
+    best = {}
+    for path, _, at in rows:
+        best[path.rsplit("/", 1)[-1]] = max(best.get(path.rsplit("/", 1)[-1], (at, path)), (at, path))
+    return {k: path.removeprefix(top).replace("linked/", "d1/", 1).encode() for k, (_, path) in best.items()}
