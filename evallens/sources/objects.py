@@ -29,6 +29,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from evallens.functions.text import last_segment, splitext_ext
 from evallens.session import scratch_path, settings
@@ -44,6 +45,8 @@ FEW_FILES = 256  # slots share files beyond so many, as long as files would be s
 FILE_BYTES = 4 << 20
 OPEN_BYTES = 64 << 10  # what opening an object counts as, when objects are dealt to tasks by their bytes
 PATHS_PER_JOB = 20_000  # paths the driver names at a time when Spark's source lists or reads a part of a store
+READ_BYTES = 64 << 20  # what a task fetches
+BATCH_BYTES = 8 << 20
 
 
 def _key(path: F.Column, key_pattern: str | None) -> F.Column:
@@ -195,13 +198,60 @@ def fetch_objects(spark: SparkSession, uri: str, wanted: DataFrame | None = None
     """(key, content) of the objects below `uri`, optionally only the keys in `wanted`.
 
     Wanted keys are resolved to paths on the listing, without reading a byte, and only
-    those files are read then (into the shared folder, when this is called).
+    those files are read then (`file:` ones by the result's tasks, others into the shared
+    folder, when this is called).
     For repeated reads of a large store, land it once (`fetch_landed`).
     """
-    if wanted is None:
-        return _reader(spark, glob).load(uri).select(_key(F.col("path"), key_pattern).alias("key"), "content")
     listing = list_objects(spark, uri, key_pattern, glob)
-    return _read_paths(listing.join(wanted.select("key").distinct(), "key", "left_semi").select(*LISTING)).select("key", "content")
+    if wanted is not None:
+        listing = _stored(listing.join(wanted.select("key").distinct(), "key", "left_semi").select(*LISTING), "objects-wanted")
+    rows = _read_others(listing)
+    if "content" not in rows.columns:
+        files, total = listing.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+        tasks = max(4 * spark.sparkContext.defaultParallelism, -(-total // READ_BYTES))
+        rows = _with_content(rows.repartition(max(1, min(files, tasks)), "path"))
+    return rows.select("key", "content")
+
+
+def _local(path: F.Column) -> F.Column:
+    """Whether tasks open a path themselves; a row without a path fails there."""
+    return F.coalesce(path.startswith("file:/"), F.lit(True))
+
+
+def _with_content(rows: DataFrame) -> DataFrame:
+    """Rows (path, ...) with their files' content, read by the tasks that have the rows; none for rows that are `deleted`."""
+    def read(batches):
+        for b in batches:
+            paths = b.column("path").to_pylist()
+            gone = b.column("deleted").to_pylist() if "deleted" in b.schema.names else [False] * len(paths)
+            start, size, contents = 0, 0, []
+            for i, path in enumerate(paths):
+                contents.append(None if gone[i] else _content(path))
+                size += len(contents[-1] or b"")
+                if size >= BATCH_BYTES or i + 1 == len(paths):
+                    part = b.slice(start, len(contents))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(contents, pa.binary())], names=[*part.schema.names, "content"])
+                    start, size, contents = i + 1, 0, []
+
+    return rows.mapInArrow(read, StructType([*rows.schema.fields, StructField("content", BinaryType())]))
+
+
+def _content(path: str) -> bytes:
+    if path is None:
+        raise ValueError("a listed object has no path")
+    try:
+        with open(path.removeprefix("file:"), "rb") as f:
+            return f.read()
+    except FileNotFoundError:
+        raise FileNotFoundError(f"{path} does not exist") from None
+
+
+def _read_others(listing: DataFrame) -> DataFrame:
+    """The listing, for `_with_content`; with its content already if it names files that tasks do not open themselves."""
+    others = listing.where(~_local(F.col("path")))
+    if others.isEmpty():
+        return listing
+    return _with_content(listing.where(_local(F.col("path")))).unionByName(_read_paths(others))
 
 
 def _read_paths(listing: DataFrame) -> DataFrame:

@@ -395,3 +395,16 @@ def _odd_contents(rows, top):
     for path, _, at in rows:
         best[path.rsplit("/", 1)[-1]] = max(best.get(path.rsplit("/", 1)[-1], (at, path)), (at, path))
     return {k: path.removeprefix(top).replace("linked/", "d1/", 1).encode() for k, (_, path) in best.items()}
+
+
+def test_fetch_reads_in_tasks(spark, tmp_dir, monkeypatch):
+    """Wanted files are read without the driver's index of files, whatever their names."""
+    store = _odd_store(os.path.join(tmp_dir, "store"))
+    _no_index(monkeypatch)
+    wanted = spark.createDataFrame([("a [1].txt",), ("{x,y}*.txt",), ("17.txt",), ("empty.txt",), (None,)], "key string")
+    want = {"a [1].txt": b"a [1].txt", "{x,y}*.txt": b"d0/{x,y}*.txt", "17.txt": b"d2/e2/f3/17.txt"}
+    assert _contents(objects_src.fetch_objects(spark, store, wanted)) == want
+    monkeypatch.setattr(objects_src, "BATCH_BYTES", 20)  # several batches a task
+    assert _contents(objects_src.fetch_objects(spark, store, wanted)) == want
+    assert len(objects_src.fetch_objects(spark, store).collect()) == objects_src.list_objects(spark, store).count()
+    assert objects_src.fetch_objects(spark, store, wanted.limit(0)).count() == 0
