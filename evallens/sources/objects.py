@@ -351,10 +351,15 @@ def _landings(spark: SparkSession, out: str) -> list[int]:
 
 
 def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame) -> None:
-    """Objects (path, key, length, modificationTime, deleted, content) -> landing and bitmaps."""
+    """Objects (path, key, length, modificationTime, deleted) -> landing and bitmaps.
+
+    Rows without their content are dealt without it: the task that writes a slot reads its objects.
+    """
     slots, files = _layout(spark, out)
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # dense in each writer's part, which holds whole slots
     rows = rows.withColumn("slot", _slot(F.col("key"), slots)).repartition(files, "slot").withColumn("row", at + 1)
+    if "content" not in rows.columns:
+        rows = _with_content(rows)
     write_bucketed(rows.select("slot", "row", "key", splitext_ext(F.col("key")).alias("ext"), "path", "length", "modificationTime", "deleted", "content"),
                    f"{out}/landing={landing}", "slot", files, dealt=True)
     numbers = [n for n in folder_numbers(spark, out, "landing") if n <= landing]
@@ -379,13 +384,9 @@ def land_objects(spark: SparkSession, uri: str, out: str, key_pattern: str | Non
     others' rows are marked, not compared with while bytes are moved.  A landing
     that is repeated overwrites itself; landings are numbered upwards.
     """
-    with _dealt(spark, metadata=True):
-        store = _reader(spark, glob).load(uri)
-        total = store.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    _layout(spark, out, total, slot_bytes)
-    key = _key(F.col("path"), key_pattern)
-    with _dealt(spark):
-        _write_landing(spark, out, landing, store.select("path", key.alias("key"), "length", "modificationTime", F.lit(False).alias("deleted"), "content"))
+    listing = list_objects(spark, uri, key_pattern, glob)
+    _layout(spark, out, listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0], slot_bytes)
+    _write_landing(spark, out, landing, _read_others(listing).withColumn("deleted", F.lit(False)))
 
 
 def landed_listing(spark: SparkSession, out: str) -> DataFrame:

@@ -408,3 +408,20 @@ def test_fetch_reads_in_tasks(spark, tmp_dir, monkeypatch):
     assert _contents(objects_src.fetch_objects(spark, store, wanted)) == want
     assert len(objects_src.fetch_objects(spark, store).collect()) == objects_src.list_objects(spark, store).count()
     assert objects_src.fetch_objects(spark, store, wanted.limit(0)).count() == 0
+
+
+def test_landing_reads_in_the_tasks_that_write(spark, tmp_dir, monkeypatch):
+    """No index of files on the driver, and rows are dealt without their bytes."""
+    store, out, plans = _odd_store(os.path.join(tmp_dir, "store")), os.path.join(tmp_dir, "landed"), []
+    write = objects_src.write_bucketed
+
+    def seen(df, path, *args, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, path, *args, **kw)
+
+    _no_index(monkeypatch)
+    monkeypatch.setattr(objects_src, "write_bucketed", seen)
+    objects_src.land_objects(spark, store, out)
+    read, dealt = plans[0].index("MapInArrow"), plans[0].index("RepartitionByExpression")
+    assert read < dealt and "content" not in plans[0][dealt:]
+    assert _contents(objects_src.read_landed(spark, out)) == _odd_contents(_rows(objects_src.list_objects(spark, store)), f"file:{store}/")
