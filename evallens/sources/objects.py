@@ -424,13 +424,13 @@ def _marked(bits: F.Column) -> F.Column:
 
 def _live(spark: SparkSession, out: str, columns, slots: list[int] | None = None, wanted: DataFrame | None = None) -> DataFrame:
     """Columns of the rows that count, optionally of some slots and of the keys `wanted` (slot, keys) names."""
-    numbers, (n, files) = _landings(spark, out), _layout(spark, out)
+    numbers, files = _landings(spark, out), _layout(spark, out)[1]
     gone = _bucketed(spark, f"{out}/gone={max(numbers)}", GONE, files)
     parts = []
     for i in numbers:
         rows = _landing(spark, out, i)
         bits = gone
-        if slots is not None and 2 * len(slots) <= n:
+        if slots is not None:
             rows, bits = rows.where(F.col("slot").isin(slots)), gone.where(F.col("slot").isin(slots))
         # one row per slot on the right: a hash table of one row, no sort of the objects
         rows = rows.join(bits.hint("shuffle_hash"), "slot", "left").where(~_marked(F.col("bits")))
@@ -451,8 +451,9 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
 def fetch_landed(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
     """S9 on a landed store: (key, content) of the keys in `wanted`.
 
-    Their slots, at most as many as the store has, become a filter that leaves other
-    slots' files unread; what is read meets the wanted keys slot by slot.
+    Their slots become a filter that leaves other slots' files unread, if these are half
+    the files or more; else the driver holds no slots.  What is read meets the wanted keys
+    slot by slot.
     """
     n, files = _layout(spark, path)
     keys = wanted.where(F.col("key").isNotNull()).select(_slot(F.col("key"), n).alias("slot"), "key")
@@ -460,5 +461,6 @@ def fetch_landed(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame
     folder = scratch_path(spark, "fetch-keys")
     write_bucketed(keys, folder, "slot", files)
     keys = _bucketed(spark, folder, "slot int, keys array<string>", files)
-    slots = [r.slot for r in keys.select("slot").collect()]
+    opened = keys.select(F.pmod(F.hash("slot"), F.lit(files))).distinct().count()  # as Spark numbers buckets
+    slots = [r.slot for r in keys.select("slot").collect()] if 2 * opened <= files else None
     return _live(spark, path, ("key", "content"), slots, keys)

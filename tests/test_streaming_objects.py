@@ -425,3 +425,13 @@ def test_landing_reads_in_the_tasks_that_write(spark, tmp_dir, monkeypatch):
     read, dealt = plans[0].index("MapInArrow"), plans[0].index("RepartitionByExpression")
     assert read < dealt and "content" not in plans[0][dealt:]
     assert _contents(objects_src.read_landed(spark, out)) == _odd_contents(_rows(objects_src.list_objects(spark, store)), f"file:{store}/")
+
+
+def test_fetch_of_most_files_names_no_slots(spark, tmp_dir):
+    """The driver holds the wanted slots only if they spare it half the files."""
+    out, files = os.path.join(tmp_dir, "landed"), {f"{i}.bin": os.urandom(500) for i in range(700)}
+    objects_src.land_objects(spark, _store(os.path.join(tmp_dir, "store"), files), out, slot_bytes=100)
+    for keys, named in ((list(files)[:600], False), (list(files)[:20], True)):
+        df = objects_src.fetch_landed(spark, out, spark.createDataFrame([(k,) for k in keys], "key string"))
+        assert ("slot IN (" in df._jdf.queryExecution().logical().toString().replace("'", "").replace("`", "") or "slot#" in "".join(re.findall(r"Filter (\S+) IN \(", df._jdf.queryExecution().analyzed().toString()))) == named
+        assert _contents(df) == {k: files[k] for k in keys}
