@@ -246,6 +246,19 @@ def _content(path: str) -> bytes:
         raise FileNotFoundError(f"{path} does not exist") from None
 
 
+def _check_paths(listing: DataFrame) -> None:
+    """Raises an error if a file that tasks are to open is not there."""
+    def check(batches):
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                if path is None or not os.path.exists(path.removeprefix("file:")):
+                    raise FileNotFoundError(f"{path} does not exist")
+        return iter(())
+
+    paths = listing.where(_local(F.col("path"))).select("path")
+    paths.repartition(4 * listing.sparkSession.sparkContext.defaultParallelism).mapInArrow(check, "path string").count()
+
+
 def _read_others(listing: DataFrame) -> DataFrame:
     """The listing, for `_with_content`; with its content already if it names files that tasks do not open themselves."""
     others = listing.where(~_local(F.col("path")))
@@ -406,11 +419,11 @@ def land_changes(spark: SparkSession, out: str, listing: DataFrame, landing: int
     if first:
         _layout(spark, out, listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0], slot_bytes)
     changes = _stored(inventory_changes(old, listing), "inventory-changes")
-    wanted = changes.where("change != 'deleted'")
-    objects = _read_paths(wanted.select(*LISTING)).withColumn("deleted", F.lit(False))
-    tombs = changes.where("change = 'deleted'").select(*LISTING, F.lit(None).cast("binary").alias("content"), F.lit(True).alias("deleted"))
-    rows = objects.unionByName(tombs)
-    _write_landing(spark, out, landing, rows)
+    wanted = changes.where("change != 'deleted'").select(*LISTING)
+    _check_paths(wanted)
+    objects = _read_others(wanted).withColumn("deleted", F.lit(False))
+    tombs = changes.where("change = 'deleted'").select(*LISTING, F.lit(True).alias("deleted"))
+    _write_landing(spark, out, landing, objects.unionByName(tombs, allowMissingColumns=True))
     return changes
 
 

@@ -435,3 +435,24 @@ def test_fetch_of_most_files_names_no_slots(spark, tmp_dir):
         df = objects_src.fetch_landed(spark, out, spark.createDataFrame([(k,) for k in keys], "key string"))
         assert ("slot IN (" in df._jdf.queryExecution().logical().toString().replace("'", "").replace("`", "") or "slot#" in "".join(re.findall(r"Filter (\S+) IN \(", df._jdf.queryExecution().analyzed().toString()))) == named
         assert _contents(df) == {k: files[k] for k in keys}
+
+
+def test_changes_are_read_in_the_tasks_that_write(spark, tmp_dir, monkeypatch):
+    """Paths of an inventory are not named by the driver; a landing whose files are missing leaves the store as it was."""
+    out, store = os.path.join(tmp_dir, "landed"), _odd_store(os.path.join(tmp_dir, "store"))
+    _no_index(monkeypatch)
+    monkeypatch.setattr(objects_src, "_read_paths", lambda listing: pytest.fail("the driver names the files"))
+    listing = objects_src.list_objects(spark, store)
+    want = _odd_contents(_rows(listing), f"file:{store}/")
+    changes = objects_src.land_changes(spark, out, listing, 0)
+    assert {(r.key, r.change) for r in changes.collect()} == {(k, "new") for k in want}
+    later = listing.where("key not like '%3.txt'").unionByName(
+        listing.where("key = 'top.PY'").withColumn("key", F.lit("copy.py")))
+    objects_src.land_changes(spark, out, later, 1)
+    want = {k: v for k, v in want.items() if not k.endswith("3.txt")} | {"copy.py": b"top.PY"}
+    assert _contents(objects_src.read_landed(spark, out)) == want
+    absent = listing.withColumn("path", F.concat("path", F.lit("x")))
+    for rows in (absent, absent.withColumn("path", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="does not exist"):
+            objects_src.land_changes(spark, out, rows, 1)
+    assert _contents(objects_src.read_landed(spark, out)) == want
