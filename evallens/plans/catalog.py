@@ -368,6 +368,7 @@ from evallens.streaming import ingest as ingest_st  # noqa: E402
 KEY_PATTERN = r"/key=([^/]+)$"
 NO_KEY = "__HIVE_DEFAULT_PARTITION__"  # the name of the object that holds the rows without a key
 FILES_PER_FOLDER = 2_000
+MOST_REPEATED = 10_000  # keys that come more than once and are set apart, before all rows are dealt by key
 
 
 def _stored_documents(spark, d):
@@ -382,6 +383,7 @@ def _written(docs, store):
 
     Files lie in folders by a hash of their key.  A task streams each to a hidden name
     and moves it to its place when it is whole, so a repeated task changes nothing.
+    Rows are dealt by key where keys repeat; the others are written where they are read.
     """
     spark = docs.sparkSession
     store = qualified(spark, store)
@@ -390,11 +392,18 @@ def _written(docs, store):
     folders = max(4 * spark.sparkContext.defaultParallelism, -(-docs.count() // FILES_PER_FOLDER))
     rows = docs.select(F.coalesce(F.nullif("key", F.lit("")), F.lit(NO_KEY)).alias("key"), F.coalesce("value", F.lit("")).cast("binary").alias("value"))
     rows = rows.withColumn("folder", F.pmod(F.xxhash64("key"), F.lit(folders)))
-    rows = rows.repartition(folders, "folder").sortWithinPartitions("folder", "key", "value")
+    repeated = [(r.key,) for r in rows.groupBy("key").count().where("count > 1").select("key").limit(MOST_REPEATED + 1).collect()]
+    if len(repeated) > MOST_REPEATED:
+        parts = [(rows, True)]
+    elif repeated:
+        keys = F.broadcast(spark.createDataFrame(repeated, "key string"))
+        parts = [(rows.join(keys, "key", "left_anti"), False), (rows.join(keys, "key", "left_semi"), True)]
+    else:
+        parts = [(rows, False)]
 
     def write(batches):
         fs, top = open_fs(store)
-        at, sink, hidden, done = None, None, "", 0
+        at, sink, hidden, done, made = None, None, "", 0, set()
 
         def close():
             sink.close()
@@ -405,8 +414,9 @@ def _written(docs, store):
                 if (folder, key) != at:
                     if sink is not None:
                         close()
-                    if at is None or folder != at[0]:
+                    if folder not in made:
                         fs.create_dir(f"{top}/{folder}", recursive=True)
+                        made.add(folder)
                     at, hidden, done = (folder, key), f"{top}/{folder}/.{uuid.uuid4().hex}", done + 1
                     sink = fs.open_output_stream(hidden, compression=None)
                 sink.write(value.as_buffer())
@@ -415,7 +425,10 @@ def _written(docs, store):
             close()
         yield pa.RecordBatch.from_arrays([pa.array([done])], names=["files"])
 
-    rows.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+    for part, deal in parts:
+        if deal:
+            part = part.repartition(folders, "folder").sortWithinPartitions("folder", "key", "value")
+        part.select("folder", "key", "value").mapInArrow(write, "files long").agg(F.sum("files")).collect()
     return store
 
 

@@ -456,3 +456,19 @@ def test_changes_are_read_in_the_tasks_that_write(spark, tmp_dir, monkeypatch):
         with pytest.raises(Exception, match="does not exist"):
             objects_src.land_changes(spark, out, rows, 1)
     assert _contents(objects_src.read_landed(spark, out)) == want
+
+
+def test_stored_files_of_single_keys_are_not_dealt(spark, tmp_dir, monkeypatch):
+    """Only rows of repeated keys are dealt by key; with many of these, all are. The files are the same."""
+    from evallens.plans import catalog
+
+    docs = spark.createDataFrame([(f"{i % 90}.txt", f"text {i}") for i in range(100)] + [(None, "b"), ("", "a")], "key string, value string").repartition(7)
+    dealt, real = [], type(docs).sortWithinPartitions
+    monkeypatch.setattr(type(docs), "sortWithinPartitions", lambda df, *cols: dealt.append(df.count()) or real(df, *cols))
+    stores = []
+    for most in (10_000, 5):
+        monkeypatch.setattr(catalog, "MOST_REPEATED", most)
+        store = catalog._written(docs, os.path.join(tmp_dir, f"store{most}")).removeprefix("file:")
+        stores.append({os.path.relpath(os.path.join(d, n), store): open(os.path.join(d, n), "rb").read() for d, _, names in os.walk(store) for n in names})
+    assert dealt == [22, 102] and stores[0] == stores[1] and len(stores[0]) == 91
+    assert {k.split("/")[1]: v for k, v in stores[0].items()}["key=3.txt"] == b"text 3\ntext 93\n"
