@@ -17,9 +17,9 @@ def read_bucketed(spark: SparkSession, path: str, columns: str, key: str, bucket
         spark.sql(f"DROP TABLE {name}")  # the files stay
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, dealt: bool = False) -> None:
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, dealt: bool = False, **options: str) -> None:
     """Rows to one file per bucket, dealt by the key unless they are already (`dealt`)."""
     name = f"bucketed_{uuid.uuid4().hex}"
     rows = df if dealt else df.repartition(buckets, key)
-    rows.write.mode("overwrite").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    rows.write.mode("overwrite").bucketBy(buckets, key).options(path=path, **options).saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")

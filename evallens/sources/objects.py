@@ -374,7 +374,7 @@ def _write_landing(spark: SparkSession, out: str, landing: int, rows: DataFrame)
     if "content" not in rows.columns:
         rows = _with_content(rows)
     write_bucketed(rows.select("slot", "row", "key", splitext_ext(F.col("key")).alias("ext"), "path", "length", "modificationTime", "deleted", "content"),
-                   f"{out}/landing={landing}", "slot", files, dealt=True)
+                   f"{out}/landing={landing}", "slot", files, dealt=True, compression="zstd")
     numbers = [n for n in folder_numbers(spark, out, "landing") if n <= landing]
     slim = ("slot", "row", "key", "path", "modificationTime", "deleted", "landing")
     every = functools.reduce(DataFrame.unionByName, [_landing(spark, out, n).select(*slim) for n in numbers])
